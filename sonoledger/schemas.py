@@ -4,69 +4,107 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-DETECTIONS = T.StructType.fromDDL(
-    "recording_id STRING, chunk_id STRING, chunk_start_ms BIGINT, chunk_end_ms BIGINT,"
-    " timestamp_ms BIGINT, absolute_time_ms BIGINT, end_ms BIGINT, absolute_end_ms BIGINT,"
-    " label STRING, label_code STRING, label_name STRING, confidence DOUBLE, status STRING,"
-    " runner STRING, model_version STRING, chunk_sha256 STRING, source_path STRING,"
-    " dataset_root STRING"
+_STRING, _LONG, _INT = T.StringType(), T.LongType(), T.IntegerType()
+_DOUBLE, _BINARY = T.DoubleType(), T.BinaryType()
+
+
+def _table(*groups: tuple[T.DataType, str]) -> T.StructType:
+    """A struct from ``(type, "name name ...")`` groups, in order."""
+
+    return T.StructType(
+        [T.StructField(name, kind) for kind, names in groups for name in names.split()]
+    )
+
+
+DETECTIONS = _table(
+    (_STRING, "recording_id chunk_id"),
+    (_LONG, "chunk_start_ms chunk_end_ms timestamp_ms absolute_time_ms end_ms absolute_end_ms"),
+    (_STRING, "label label_code label_name"),
+    (_DOUBLE, "confidence"),
+    (_STRING, "status runner model_version chunk_sha256 source_path dataset_root"),
 )
 
-MANIFEST = T.StructType.fromDDL(
-    "recording_id STRING, chunk_id STRING, source_path STRING, start_ms BIGINT,"
-    " end_ms BIGINT, overlap_ms BIGINT, sha256 STRING, notes STRING"
+MANIFEST = _table(
+    (_STRING, "recording_id chunk_id source_path"),
+    (_LONG, "start_ms end_ms overlap_ms"),
+    (_STRING, "sha256 notes"),
 )
 
-RAW_LABELS = T.StructType.fromDDL(
-    "label_dir STRING, file_name STRING, timestamp_ms BIGINT, end_ms BIGINT,"
-    " label STRING, label_code STRING, label_name STRING, confidence DOUBLE"
+RAW_LABELS = _table(
+    (_STRING, "label_dir file_name"),
+    (_LONG, "timestamp_ms end_ms"),
+    (_STRING, "label label_code label_name"),
+    (_DOUBLE, "confidence"),
 )
 
-DEVICE_METRICS = (
-    "STRUCT<index: BIGINT, utilization: DOUBLE, memory_used_mb: DOUBLE, memory_total_mb: DOUBLE>"
+DEVICE_METRICS = _table((_LONG, "index"), (_DOUBLE, "utilization memory_used_mb memory_total_mb"))
+
+EVENT_DETAILS = T.StructType(
+    [
+        *_table(
+            (_DOUBLE, "attempt"),
+            (_STRING, "output runner stdout stderr"),
+            (_LONG, "returncode"),
+            (_DOUBLE, "backoff_s"),
+        ),
+        T.StructField(
+            "gpu_metrics", _table((DEVICE_METRICS, "before after"))
+        ),
+    ]
 )
 
-TELEMETRY_LINE = T.StructType.fromDDL(
-    "chunk_id STRING, gpu_index BIGINT, gpu_name STRING, status STRING, timestamp STRING,"
-    " finished_at STRING, runtime_s DOUBLE,"
-    " details STRUCT<attempt: DOUBLE, output: STRING, runner: STRING, stdout: STRING,"
-    " stderr: STRING, returncode: BIGINT, backoff_s: DOUBLE,"
-    f" gpu_metrics: STRUCT<before: {DEVICE_METRICS}, after: {DEVICE_METRICS}>>"
+TELEMETRY_LINE = _table(
+    (_STRING, "chunk_id"),
+    (_LONG, "gpu_index"),
+    (_STRING, "gpu_name status timestamp finished_at"),
+    (_DOUBLE, "runtime_s"),
+    (EVENT_DETAILS, "details"),
 )
 
 # One event row: the parsed line plus its place in the log.
 TELEMETRY = T.StructType(
-    [*TELEMETRY_LINE.fields, *T.StructType.fromDDL(
-        "event_order STRUCT<file: STRING, block: BIGINT, row: BIGINT>"
-    ).fields]
+    [
+        *TELEMETRY_LINE,
+        T.StructField("event_order", _table((_STRING, "file"), (_LONG, "block row"))),
+    ]
 )
 
-JOB_RESULTS = T.StructType.fromDDL(
-    "chunk_id STRING, recording_id STRING, status STRING, attempts INT, retries INT,"
-    " output STRING, worker STRING, last_backoff_s DOUBLE, last_error STRING, error STRING"
+JOB_RESULTS = _table(
+    (_STRING, "chunk_id recording_id status"),
+    (_INT, "attempts retries"),
+    (_STRING, "output worker"),
+    (_DOUBLE, "last_backoff_s"),
+    (_STRING, "last_error error"),
 )
 
-CHUNK_STATUS = T.StructType.fromDDL(
-    "recording_id STRING, audio_path STRING, chunk_output_dir STRING, manifest_path STRING,"
-    " chunk_duration DOUBLE, overlap DOUBLE, updated_at STRING, status STRING,"
-    " started_at STRING, completed_at STRING, manifest_rows BIGINT, duration_s DOUBLE,"
-    " error STRING"
+CHUNK_STATUS = _table(
+    (_STRING, "recording_id audio_path chunk_output_dir manifest_path"),
+    (_DOUBLE, "chunk_duration overlap"),
+    (_STRING, "updated_at status started_at completed_at"),
+    (_LONG, "manifest_rows"),
+    (_DOUBLE, "duration_s"),
+    (_STRING, "error"),
 )
 
-CHUNK_PLAN = T.StructType.fromDDL(
-    "recording_id STRING, audio_path STRING, manifest_path STRING, chunk_output_dir STRING,"
-    " chunk_duration DOUBLE, overlap DOUBLE"
+CHUNK_PLAN = _table(
+    (_STRING, "recording_id audio_path manifest_path chunk_output_dir"),
+    (_DOUBLE, "chunk_duration overlap"),
 )
 
-RECORDINGS = T.StructType.fromDDL(
-    "recording_id STRING, audio_path STRING, length BIGINT, channels INT, sample_rate INT,"
-    " sample_width_bytes INT, data_offset BIGINT, n_frames BIGINT, duration_s DOUBLE,"
-    " error STRING"
+RECORDINGS = _table(
+    (_STRING, "recording_id audio_path"),
+    (_LONG, "length"),
+    (_INT, "channels sample_rate sample_width_bytes"),
+    (_LONG, "data_offset n_frames"),
+    (_DOUBLE, "duration_s"),
+    (_STRING, "error"),
 )
 
-CHUNK_BLOBS = T.StructType.fromDDL(
-    "recording_id STRING, chunk_id STRING, source_path STRING, audio_path STRING,"
-    " start_ms BIGINT, end_ms BIGINT, overlap_ms BIGINT, content BINARY, error STRING"
+CHUNK_BLOBS = _table(
+    (_STRING, "recording_id chunk_id source_path audio_path"),
+    (_LONG, "start_ms end_ms overlap_ms"),
+    (_BINARY, "content"),
+    (_STRING, "error"),
 )
 
 PROBE_ATTEMPTS = (
