@@ -104,3 +104,27 @@ def memory_limit_mb(memory_total_mb: Column | str) -> Column:
         F.when(total.isNotNull(), F.greatest(F.lit(1.0), total * F.lit(MEMORY_SHARE))),
         F.lit(FALLBACK_LIMIT_MB),
     )
+
+
+def round_hundredths(value: Column | str) -> Column:
+    """Round a non-negative DOUBLE to two places by its exact binary value.
+
+    The built-in rounds the shortest decimal text, so 67.725 goes up although the
+    stored number lies below it. Here the fraction is split in halves whose
+    products are exact, which leaves the comparison with one half free of error;
+    true ties go to the even digit.
+    """
+
+    v = _col(value)
+    whole = F.floor(v)
+    part = v - whole
+    high = F.floor(part * F.lit(2.0**26)) / F.lit(2.0**26)
+    near = F.floor(part * 100 + F.lit(0.5))
+    off = (high * 100 - near) + (part - high) * 100
+    odd = near % 2 == 1
+    step = (
+        F.when((off > 0.5) | ((off == 0.5) & odd), 1)
+        .when((off < -0.5) | ((off == -0.5) & odd), -1)
+        .otherwise(0)
+    )
+    return (whole * 100 + near + step) / F.lit(100.0)

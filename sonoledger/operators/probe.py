@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sonoledger.functions.scalars import memory_estimate_mb, memory_limit_mb
+from sonoledger.functions.scalars import (
+    memory_estimate_mb,
+    memory_limit_mb,
+    round_hundredths,
+)
 from sonoledger.schemas import PROBE_ATTEMPTS
 
 # Fixed values.
 INITIAL_S = 60.0
 TOLERANCE_S = 5.0
-ROUND_DIGITS = 2
 FITS_TEXT = "fits memory budget"
 # Upper bound of search steps: each one halves a span, so this many reach below
 # a second from any length a double can state in seconds.
@@ -162,7 +165,8 @@ def probe_windows(
         "gpu_index",
         "gpu_name",
         "memory_limit_mb",
-        F.round("search.low", ROUND_DIGITS).alias("max_duration_s"),
+        round_hundredths("search.low").alias("max_duration_s"),
+        F.col("search.low").alias("search_s"),
         # The estimate is linear in the duration, which gives the bound itself.
         F.least(F.col("longest_s"), F.col("memory_limit_mb") / F.nullif(F.col("mb_per_s"), F.lit(0.0)))
         .alias("bound_s"),

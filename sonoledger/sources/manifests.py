@@ -63,7 +63,7 @@ def write_manifest(windows: DataFrame, path: str, fmt: str = "parquet") -> str:
     ]
     writer = windows.select(*columns).write.mode("overwrite")
     if fmt == "csv":
-        writer.csv(path, header=True, nullValue="", emptyValue="")
+        writer.csv(path, header=True, nullValue="", emptyValue="", escape='"')
     else:
         writer.parquet(path)
     return path

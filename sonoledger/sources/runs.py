@@ -16,9 +16,15 @@ def read_run_summary(spark: SparkSession, path: str | list[str]) -> DataFrame:
     work; large runs are better kept as the table of :func:`write_job_results`.
     """
 
-    docs = spark.read.text(path, wholetext=True).select(
-        scan_path().alias("summary_path"), F.try_parse_json("value").alias("doc")
+    return parse_run_summary(
+        spark.read.text(path, wholetext=True).select(scan_path().alias("summary_path"), "value")
     )
+
+
+def parse_run_summary(texts: DataFrame) -> DataFrame:
+    """Job rows from ``(summary_path, value)`` texts."""
+
+    docs = texts.select("summary_path", F.try_parse_json("value").alias("doc"))
     jobs = docs.select(
         "summary_path",
         F.explode(F.try_variant_get("doc", "$.jobs", "map<string,variant>")),
