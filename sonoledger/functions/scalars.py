@@ -11,6 +11,7 @@ _DIGITS = r"\d+(?:_\d+)*"
 _NUMBER = (
     rf"^\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
 )
+_NUMBER_CHARS = "0123456789+-.eE "
 
 # Fixed values.
 MIN_BUCKET_MINUTES = 1
@@ -30,8 +31,13 @@ def tolerant_double(value: Column | str) -> Column:
     """Text to DOUBLE; anything that is not a finite decimal number is NULL."""
 
     text = _col(value).cast("string")
-    plain = F.regexp_replace(F.trim(text), "_", "")
-    return F.when(text.rlike(_NUMBER), plain.try_cast("double"))
+    # Nearly all text holds number characters only, and then the cast alone
+    # decides; the pattern is left for the rest.
+    usual = F.translate(text, _NUMBER_CHARS, "") == ""
+    grouped = F.regexp_replace(F.trim(text), "_", "")
+    return F.when(usual, text.try_cast("double")).when(
+        text.rlike(_NUMBER), grouped.try_cast("double")
+    )
 
 
 def tolerant_long(value: Column | str) -> Column:

@@ -124,12 +124,12 @@ def explode_detections(enriched: DataFrame) -> DataFrame:
     return _canonical(rows, default)
 
 
-def match_raw_labels(pending: DataFrame, labels: DataFrame) -> DataFrame:
-    """Raw label rows for payloads that point at a label folder.
+def window_names(pending: DataFrame) -> DataFrame:
+    """Each payload once per name its label rows may carry, in ``file_name``.
 
     A label row belongs to a payload if its file name is one of the names the
-    window goes by, or if it has no file name. Each payload is spread over its
-    few distinct names plus the empty one, which makes this a plain equi-join on
+    window goes by, or if it has no file name. Spreading a payload over its few
+    distinct names plus the empty one makes matching a plain equi-join on
     (folder, name): no residual test, and no label row can match twice.
     """
 
@@ -143,9 +143,7 @@ def match_raw_labels(pending: DataFrame, labels: DataFrame) -> DataFrame:
             )
         )
     )
-    wanted = pending.withColumn("file_name", F.explode(names))
-    found = labels.select("label_dir", "file_name", F.struct(*_LABEL_FIELDS).alias("det"))
-    return wanted.join(found, ["label_dir", "file_name"])
+    return pending.withColumn("file_name", F.explode(names))
 
 
 def detections_with_labels(
@@ -158,11 +156,12 @@ def detections_with_labels(
     pending = enriched.filter(needs_labels).withColumn(
         "label_dir", F.regexp_replace("label_dir", "/+$", "")
     )
-    matched = match_raw_labels(pending, labels)
-    from_labels = _canonical(matched, F.lit(STATUS_WITH_DETECTIONS))
-    unmatched = pending.join(
-        matched.select("file_path").distinct(), "file_path", "left_anti"
-    ).join(label_dirs.select("label_dir", F.lit(True).alias("has_file")), "label_dir", "left")
+    named, key = window_names(pending), ["label_dir", "file_name"]
+    found = labels.select(*key, F.struct(*_LABEL_FIELDS).alias("det"))
+    from_labels = _canonical(named.join(found, key), F.lit(STATUS_WITH_DETECTIONS))
+    # Which payloads matched at all needs the label keys only, each once.
+    matched = named.select("file_path", *key).join(labels.select(*key), key, "left_semi")
+    unmatched = pending.join(matched.select("file_path"), "file_path", "left_anti").join(label_dirs.select("label_dir", F.lit(True).alias("has_file")), "label_dir", "left")
     placeholders = _canonical(
         unmatched.withColumn("det", F.get(F.col("detections"), F.lit(0))),
         F.when(F.col("has_file"), F.lit(STATUS_NO_ROWS)).otherwise(F.lit(STATUS_NO_FILE)),

@@ -16,9 +16,6 @@ from sonoledger.schemas import PROBE_ATTEMPTS
 INITIAL_S = 60.0
 TOLERANCE_S = 5.0
 FITS_TEXT = "fits memory budget"
-# Upper bound of search steps: each one halves a span, so this many reach below
-# a second from any length a double can state in seconds.
-_SEARCH_STEPS = 64
 
 _STATE = (
     f"STRUCT<phase: STRING, cand: DOUBLE, low: DOUBLE, high: DOUBLE, attempts: {PROBE_ATTEMPTS}>"
@@ -149,8 +146,10 @@ def probe_windows(
         F.col("longest_s"),
         F.array().cast(PROBE_ATTEMPTS),
     )
+    # Both phases halve a span that starts no longer than the recording.
+    halvings = F.ceil(F.log2(F.col("longest_s") / tol)).cast("int")
     found = rows.withColumn(
-        "search", F.aggregate(F.sequence(F.lit(1), F.lit(_SEARCH_STEPS)), start, step)
+        "search", F.aggregate(F.sequence(F.lit(1), halvings * 2 + 4), start, step)
     )
     note = F.when(
         F.col("gpu_index").isNotNull(),

@@ -15,6 +15,8 @@ from sonoledger.sources.manifests import HASH_DRY_RUN, HASH_PENDING
 
 # Windows numbered per inner sequence: bounds the array any one row carries.
 WINDOW_BLOCK = 4096
+# Rows handed back from Python at a time.
+OUTPUT_ROWS = 65536
 PREVIEW_WINDOWS = 3
 
 
@@ -179,25 +181,34 @@ def plan_windows_seconds(
 
 
 def _folded(rows: DataFrame, step: float) -> DataFrame:
-    """Window bounds by running addition, a block of windows at a time."""
+    """Window bounds by running addition.
+
+    The edges depend on the step alone, so a task adds them up once, as far as
+    its longest recording needs, and looks up every recording's share of them.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        edges = np.zeros(1)
         for batch in batches:
-            for rec in batch.itertuples(index=False):
-                carry, first = 0.0, 0
-                while carry < rec.duration_s:
-                    edges = np.add.accumulate(np.r_[carry, np.full(WINDOW_BLOCK, step)])
-                    starts = edges[:-1][edges[:-1] < rec.duration_s]
-                    yield pd.DataFrame(
-                        {
-                            "recording_id": rec.recording_id,
-                            "audio_path": rec.audio_path,
-                            "k": first + np.arange(len(starts)),
-                            "start_s": starts,
-                            "end_s": np.minimum(edges[1 : len(starts) + 1], rec.duration_s),
-                        }
-                    )
-                    carry, first = edges[-1], first + WINDOW_BLOCK
+            lengths = batch.duration_s.to_numpy()
+            while len(lengths) and edges[-1] < lengths.max():
+                more = np.full(max(WINDOW_BLOCK, len(edges)), step)
+                edges = np.r_[edges[:-1], np.add.accumulate(np.r_[edges[-1], more])]
+            counts = np.searchsorted(edges, lengths, side="left")
+            ends = np.cumsum(counts)
+            for first in range(0, int(ends[-1]) if len(ends) else 0, OUTPUT_ROWS):
+                place = np.arange(first, min(first + OUTPUT_ROWS, ends[-1]))
+                owner = np.searchsorted(ends, place, side="right")
+                k = place - (ends - counts)[owner]
+                yield pd.DataFrame(
+                    {
+                        "recording_id": batch.recording_id.to_numpy()[owner],
+                        "audio_path": batch.audio_path.to_numpy()[owner],
+                        "k": k,
+                        "start_s": edges[k],
+                        "end_s": np.minimum(edges[k + 1], lengths[owner]),
+                    }
+                )
 
     return rows.mapInPandas(
         run, "recording_id STRING, audio_path STRING, k BIGINT, start_s DOUBLE, end_s DOUBLE"

@@ -14,6 +14,17 @@ from sonoledger.sources._scan import scan_path
 PAYLOAD_TEXT_KEYS = ["source_path", "status", "runner", "dataset_root", "model_version"]
 RAW_OUTPUT_KEY_ENDING = "_output"
 
+# Text keys cannot fail to read; the nested ones stay open, as they may hold anything.
+_TOP = "STRUCT<" + ", ".join(
+    [f"{k}: STRING" for k in ["recording_id", *PAYLOAD_TEXT_KEYS]]
+    + [f"{k}: VARIANT" for k in ["chunk_id", "chunk", "detections"]]
+) + ">"
+_CHUNK = "STRUCT<start_ms: STRING, end_ms: STRING, sha256: STRING>"
+_DETECTION = (
+    "STRUCT<timestamp_ms: STRING, end_ms: STRING, label: STRING, label_code: STRING,"
+    " label_name: STRING, confidence: STRING>"
+)
+
 
 def read_payloads(spark: SparkSession, root: str) -> DataFrame:
     """Every ``*.json`` below ``root``, parsed; unreadable files are left out."""
@@ -30,12 +41,10 @@ def scan_payload_text(spark: SparkSession, root: str) -> DataFrame:
     return lines.select(scan_path().alias("file_path"), F.col("value"))
 
 
-def _is_object(doc: Column) -> Column:
-    return F.schema_of_variant(doc).startswith("OBJECT")
-
+def _is_object(text: Column) -> Column:
+    """For text already known to be JSON: whether it is an object."""
 
-def _text(doc: Column, path: str) -> Column:
-    return F.try_variant_get(doc, path, "string")
+    return text.rlike(r"^\s*\{")
 
 
 def parse_payloads(files: DataFrame) -> DataFrame:
@@ -45,51 +54,66 @@ def parse_payloads(files: DataFrame) -> DataFrame:
     ``detections`` stays an array of small structs; the caller explodes it.
     """
 
-    doc = F.col("doc")
-    keys = F.try_variant_get(doc, "$", "map<string,variant>")
-    raw_dirs = F.map_values(
-        F.map_filter(keys, lambda k, _: k.endswith(RAW_OUTPUT_KEY_ENDING))
-    )
+    doc, top, chunk = F.col("doc"), F.col("top"), F.col("chunk_block")
+    # One typed read per level; the fields below are then plain struct accesses.
     parsed = (
         files.withColumn("doc", F.try_parse_json("value"))
-        .drop("value")
-        .filter(doc.isNotNull() & _is_object(doc))
+        .filter(doc.isNotNull() & _is_object(F.col("value")))
+        .withColumn("top", F.try_variant_get(doc, "$", _TOP))
+        .withColumn("chunk_block", F.try_variant_get(top["chunk"], "$", _CHUNK))
+        .withColumn("detection_rows", _detection_rows(top["detections"]))
+    )
+    # Listing the keys is only worth it where one can have the ending.
+    keys = F.map_keys(F.try_variant_get(doc, "$", "map<string,variant>"))
+    raw_key = F.get(F.filter(keys, lambda k: k.endswith(RAW_OUTPUT_KEY_ENDING)), F.lit(0))
+    raw_dir = F.when(
+        F.col("value").contains(f'{RAW_OUTPUT_KEY_ENDING}"'),
+        F.try_variant_get(doc, F.concat(F.lit("$."), raw_key), "string"),
     )
     return parsed.select(
         "file_path",
         # Only an absent key falls back to the file stem; an explicit null stays null.
-        F.when(F.map_contains_key(keys, "chunk_id"), _text(doc, "$.chunk_id"))
-        .otherwise(stem("file_path"))
+        F.when(top["chunk_id"].isNull(), stem("file_path"))
+        .otherwise(top["chunk_id"].try_cast("string"))
         .alias("chunk_id"),
-        blank_to_null(_text(doc, "$.recording_id")).alias("recording_id"),
+        blank_to_null(top["recording_id"]).alias("recording_id"),
         parent_name("file_path").alias("parent_dir"),
-        *[blank_to_null(_text(doc, f"$.{k}")).alias(k) for k in PAYLOAD_TEXT_KEYS],
-        tolerant_long(_text(doc, "$.chunk.start_ms")).alias("chunk_start_ms"),
-        tolerant_long(_text(doc, "$.chunk.end_ms")).alias("chunk_end_ms"),
-        blank_to_null(_text(doc, "$.chunk.sha256")).alias("chunk_sha256"),
-        blank_to_null(F.get(raw_dirs, F.lit(0)).try_cast("string")).alias("label_dir"),
+        *[blank_to_null(top[k]).alias(k) for k in PAYLOAD_TEXT_KEYS],
+        tolerant_long(chunk["start_ms"]).alias("chunk_start_ms"),
+        tolerant_long(chunk["end_ms"]).alias("chunk_end_ms"),
+        blank_to_null(chunk["sha256"]).alias("chunk_sha256"),
+        blank_to_null(raw_dir).alias("label_dir"),
+        F.transform("detection_rows", _detection).alias("detections"),
+    )
+
+
+def _detection_rows(items: Column) -> Column:
+    """The list in one cast; item by item only where one of them is no object."""
+
+    return F.coalesce(
+        F.try_variant_get(items, "$", f"ARRAY<{_DETECTION}>"),
         F.transform(
-            F.try_variant_get(doc, "$.detections", "array<variant>"), _detection
-        ).alias("detections"),
+            F.try_variant_get(items, "$", "array<variant>"),
+            lambda item: F.try_variant_get(item, "$", _DETECTION),
+        ),
     )
 
 
-def _detection(item: Column) -> Column:
+def _detection(det: Column) -> Column:
     return F.struct(
-        tolerant_long(_text(item, "$.timestamp_ms")).alias("timestamp_ms"),
-        tolerant_long(_text(item, "$.end_ms")).alias("end_ms"),
-        F.coalesce(_text(item, "$.label"), F.lit("unknown")).alias("label"),
-        _text(item, "$.label_code").alias("label_code"),
-        _text(item, "$.label_name").alias("label_name"),
-        tolerant_double(_text(item, "$.confidence")).alias("confidence"),
+        tolerant_long(det["timestamp_ms"]).alias("timestamp_ms"),
+        tolerant_long(det["end_ms"]).alias("end_ms"),
+        F.coalesce(det["label"], F.lit("unknown")).alias("label"),
+        det["label_code"].alias("label_code"),
+        det["label_name"].alias("label_name"),
+        tolerant_double(det["confidence"]).alias("confidence"),
     )
 
 
 def count_unreadable(files: DataFrame) -> DataFrame:
     """One row: payload files seen, and how many are not a JSON object."""
 
-    doc = F.try_parse_json("value")
-    readable = F.coalesce(_is_object(doc), F.lit(False))
+    readable = F.try_parse_json("value").isNotNull() & _is_object(F.col("value"))
     return files.agg(
         F.count("*").alias("files"), F.count_if(~readable).alias("unreadable")
     )

@@ -162,7 +162,8 @@ def _detect(job):
 
 
 def _scored(spark, sf_dir, max_retries=0):
-    options = ScoreOptions(detector=_detect, max_retries=max_retries)
+    # This detector takes microseconds, so a task gets far more than the default.
+    options = ScoreOptions(detector=_detect, max_retries=max_retries, windows_per_task=20_000)
     return materialise(score_windows(jobs(spark, sf_dir), options), "scored"), options
 
 
@@ -200,7 +201,7 @@ def scored_totals(spark, sf_dir):
 def stub_payload_files(spark, sf_dir):
     """The stub detector's payloads written, read back and exploded."""
 
-    options = ScoreOptions()
+    options = ScoreOptions(windows_per_task=20_000)
     scored = materialise(score_windows(jobs(spark, sf_dir), options), "scored")
     by_status = scored.withColumn("recording_id", F.expr("concat('all_', chunk_id LIKE '%5')"))
     path = write_payload_json(by_status, shared_dir(spark, "payloads"), options)
