@@ -6,8 +6,13 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark import cloudpickle
+
+import sonoledger
 from sonoledger.session import CHECKPOINT_KEY, build_session
 
+cloudpickle.register_pickle_by_value(sonoledger)
+
 
 @pytest.fixture(scope="session")
 def spark():
