@@ -183,16 +183,16 @@ def per_recording_reports(
 
     from pyspark.sql import Window
 
-    rolled = R.rollup(detections)
+    rolled = detections if R.is_rolled(detections) else R.rollup(detections)
     mean = F.try_divide(F.sum("confidence_sum"), F.sum("confidence_count"))
     labels = rolled.groupBy("recording_id", "label", "label_name").agg(
-        F.sum(R._ROLLED).alias("detections"), mean.alias("avg_confidence")
+        F.sum(R.ROLLED).alias("detections"), mean.alias("avg_confidence")
     )
     rank = Window.partitionBy("recording_id").orderBy(
         F.desc("detections"), F.asc_nulls_first("label"), F.asc_nulls_first("label_name")
     )
     windows = rolled.groupBy("recording_id", "chunk_id", "chunk_start_ms").agg(
-        F.sum(R._ROLLED).alias("detections"), mean.alias("avg_confidence")
+        F.sum(R.ROLLED).alias("detections"), mean.alias("avg_confidence")
     )
     width = bucket_minutes_floor(options.bucket_minutes) * MS_PER_MINUTE
     start = F.coalesce("chunk_start_ms", F.lit(0))

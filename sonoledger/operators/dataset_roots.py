@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonoledger.functions.paths import ancestors, directory
+from sonoledger.operators.skew import spread_join
 
 
 def attach_dataset_root(
@@ -33,6 +34,5 @@ def attach_dataset_root(
         .groupBy("_folder")
         .agg(F.max_by("_above", F.length("_above")).alias(out_col))
     )
-    return (
-        rows.withColumn("_folder", folder).join(nearest, "_folder", "left").drop("_folder")
-    )
+    placed = rows.withColumn("_folder", folder)
+    return spread_join(placed, nearest, "_folder", [path_col]).drop("_folder")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sonoledger.functions.paths import basename
 from sonoledger.functions.scalars import absolute_time, first_text
 from sonoledger.operators.dataset_roots import attach_dataset_root
+from sonoledger.operators.skew import spread_join
 from sonoledger.schemas import DETECTIONS
 from sonoledger.session import materialise
 from sonoledger.sources.detections import write_detections, write_detections_csv
@@ -33,13 +34,13 @@ def enrich_payloads(
     """Fill what a payload leaves open: from the manifest, then from its own path.
 
     The manifest is reduced to one row per window before the outer join, so rows
-    never multiply. No broadcast is forced: adaptive execution sees the reduced
-    manifest's real size and broadcasts it if small, else sort-merges and splits
-    a window id that holds an outsized share of the payloads.
+    never multiply; one without ``row_order`` is taken to be reduced already. No
+    broadcast is forced: that is left to the reduced manifest's real size.
     """
 
     if manifest is not None:
-        known = manifest_index(manifest).select(
+        index = manifest_index(manifest) if "row_order" in manifest.columns else manifest
+        known = index.select(
             "chunk_id",
             F.col("recording_id").alias("m_recording_id"),
             F.col("source_path").alias("m_source_path"),
@@ -47,7 +48,7 @@ def enrich_payloads(
             F.col("end_ms").alias("m_end_ms"),
             F.col("sha256").alias("m_sha256"),
         )
-        joined = payloads.join(known, "chunk_id", "left")
+        joined = spread_join(payloads, known, "chunk_id", ["file_path"])
     else:
         joined = payloads.withColumns(
             {
@@ -161,7 +162,12 @@ def detections_with_labels(
     from_labels = _canonical(named.join(found, key), F.lit(STATUS_WITH_DETECTIONS))
     # Which payloads matched at all needs the label keys only, each once.
     matched = named.select("file_path", *key).join(labels.select(*key), key, "left_semi")
-    unmatched = pending.join(matched.select("file_path"), "file_path", "left_anti").join(label_dirs.select("label_dir", F.lit(True).alias("has_file")), "label_dir", "left")
+    unmatched = spread_join(
+        pending.join(matched.select("file_path"), "file_path", "left_anti"),
+        label_dirs.select("label_dir", F.lit(True).alias("has_file")),
+        "label_dir",
+        ["file_path"],
+    )
     placeholders = _canonical(
         unmatched.withColumn("det", F.get(F.col("detections"), F.lit(0))),
         F.when(F.col("has_file"), F.lit(STATUS_NO_ROWS)).otherwise(F.lit(STATUS_NO_FILE)),

@@ -30,7 +30,7 @@ SUMMARY_LIMIT = 20
 DEFAULT_BUCKET_MINUTES = 60
 
 _GRAIN = ["recording_id", "chunk_id", "chunk_start_ms", "label", "label_name"]
-_ROLLED = "rolled_detections"
+ROLLED = "rolled_detections"
 
 
 def rollup(detections: DataFrame) -> DataFrame:
@@ -41,18 +41,22 @@ def rollup(detections: DataFrame) -> DataFrame:
     """
 
     return detections.groupBy(*_GRAIN).agg(
-        F.count("*").alias(_ROLLED),
+        F.count("*").alias(ROLLED),
         F.sum("confidence").alias("confidence_sum"),
         F.count("confidence").alias("confidence_count"),
     )
 
 
+def is_rolled(df: DataFrame) -> bool:
+    return ROLLED in df.columns
+
+
 def _count(df: DataFrame) -> Column:
-    return F.sum(_ROLLED) if _ROLLED in df.columns else F.count("*")
+    return F.sum(ROLLED) if is_rolled(df) else F.count("*")
 
 
 def _mean(df: DataFrame) -> Column:
-    if _ROLLED in df.columns:
+    if is_rolled(df):
         return F.try_divide(F.sum("confidence_sum"), F.sum("confidence_count"))
     return F.avg("confidence")
 

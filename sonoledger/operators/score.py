@@ -16,8 +16,9 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sonoledger.schemas import JOB_RESULTS
+from sonoledger.schemas import JOB_RESULTS, MANIFEST
 
 # A detector takes one manifest row and returns its detections.
 Detector = Callable[[dict[str, Any]], Sequence[dict[str, Any]]]
@@ -28,23 +29,36 @@ BACKOFF_LIMIT_S = 5
 STUB, CUSTOM = "stub", "custom"
 ERROR_TAIL = 500
 
-_DETECTION = (
-    "STRUCT<timestamp_ms: BIGINT, end_ms: BIGINT, label: STRING, label_code: STRING,"
-    " label_name: STRING, confidence: DOUBLE>"
+_DETECTION = T.StructType(
+    [
+        *[T.StructField(n, T.LongType()) for n in ("timestamp_ms", "end_ms")],
+        *[T.StructField(n, T.StringType()) for n in ("label", "label_code", "label_name")],
+        T.StructField("confidence", T.DoubleType()),
+    ]
 )
-_EVENT = (
-    "STRUCT<status: STRING, timestamp: STRING, finished_at: STRING, runtime_s: DOUBLE,"
-    " attempt: INT, backoff_s: DOUBLE, error: STRING>"
+_EVENT = T.StructType(
+    [
+        *[T.StructField(n, T.StringType()) for n in ("status", "timestamp", "finished_at")],
+        T.StructField("runtime_s", T.DoubleType()),
+        T.StructField("attempt", T.IntegerType()),
+        T.StructField("backoff_s", T.DoubleType()),
+        T.StructField("error", T.StringType()),
+    ]
 )
-_SCORED = (
-    "recording_id STRING, chunk_id STRING, source_path STRING, start_ms BIGINT, end_ms BIGINT,"
-    " overlap_ms BIGINT, sha256 STRING, notes STRING, status STRING, attempts INT, retries INT,"
-    " last_backoff_s DOUBLE, last_error STRING, worker STRING, gpu_index BIGINT,"
-    f" detections ARRAY<{_DETECTION}>, events ARRAY<{_EVENT}>"
+# A scored window: its manifest row, the outcome, and what happened on the way.
+SCORED = T.StructType(
+    [
+        *MANIFEST,
+        T.StructField("status", T.StringType()),
+        *[T.StructField(n, T.IntegerType()) for n in ("attempts", "retries")],
+        T.StructField("last_backoff_s", T.DoubleType()),
+        *[T.StructField(n, T.StringType()) for n in ("last_error", "worker", "runner")],
+        T.StructField("model_version", T.StringType()),
+        T.StructField("gpu_index", T.LongType()),
+        T.StructField("detections", T.ArrayType(_DETECTION)),
+        T.StructField("events", T.ArrayType(_EVENT)),
+    ]
 )
-_JOB_COLUMNS = [
-    "recording_id", "chunk_id", "source_path", "start_ms", "end_ms", "overlap_ms", "sha256", "notes",
-]
 
 
 @dataclass(frozen=True)
@@ -142,6 +156,7 @@ def score_windows(manifest: DataFrame, options: ScoreOptions = ScoreOptions()) -
         command_detector(options.command, options.extra_args) if options.command else _stub
     )
     tries, fail_fast, succeeded = options.max_retries + 1, options.fail_fast, "success"
+    runner, model_version = options.runner, options.model_version
 
     def attempt_all(job: dict[str, Any]) -> dict[str, Any]:
         events, backoff, error = [], None, None
@@ -181,35 +196,36 @@ def score_windows(manifest: DataFrame, options: ScoreOptions = ScoreOptions()) -
             for job in batch.astype(object).where(batch.notna(), None).to_dict("records"):
                 outcome = attempt_all(job)
                 out.append({**job, **outcome, "retries": outcome["attempts"] - 1,
-                            "worker": worker, "gpu_index": gpu})
+                            "worker": worker, "runner": runner,
+                            "model_version": model_version, "gpu_index": gpu})
             yield pd.DataFrame(out)
 
-    jobs = manifest.select(*_JOB_COLUMNS)
-    parts = options.partitions or _partitions(jobs, options.windows_per_task)
-    return jobs.repartition(parts).mapInPandas(run, _SCORED)
+    jobs = manifest.select(*MANIFEST.names)
+    parts = options.partitions or even_partitions(jobs, options.windows_per_task)
+    return jobs.repartition(parts).mapInPandas(run, SCORED)
 
 
-def _partitions(jobs: DataFrame, per_task: int) -> int:
+def even_partitions(jobs: DataFrame, per_task: int) -> int:
     """Enough tasks for the given share each, and all cores for short runs."""
 
     rows, cores = jobs.count(), jobs.sparkSession.sparkContext.defaultParallelism
     return max(1, -(-rows // per_task), min(rows, cores))
 
 
-def payload_rows(scored: DataFrame, options: ScoreOptions = ScoreOptions()) -> DataFrame:
+def payload_rows(scored: DataFrame) -> DataFrame:
     """Successful windows in the shape :func:`ingest.enrich_payloads` takes."""
 
-    status = STUB if options.runner == STUB else "ok"
+    status = F.when(F.col("runner") == STUB, F.lit(STUB)).otherwise(F.lit("ok"))
     return scored.filter(F.col("status") == "success").select(
         F.col("source_path").alias("file_path"),
         "chunk_id",
         "recording_id",
         F.col("recording_id").alias("parent_dir"),
         "source_path",
-        F.lit(status).alias("status"),
-        F.lit(options.runner).alias("runner"),
+        status.alias("status"),
+        "runner",
         F.lit(None).cast("string").alias("dataset_root"),
-        F.lit(options.model_version).cast("string").alias("model_version"),
+        "model_version",
         F.col("start_ms").alias("chunk_start_ms"),
         F.col("end_ms").alias("chunk_end_ms"),
         F.col("sha256").alias("chunk_sha256"),
@@ -254,10 +270,10 @@ def result_rows(scored: DataFrame) -> DataFrame:
     ).select(*JOB_RESULTS.names)
 
 
-def write_payload_json(scored: DataFrame, path: str, options: ScoreOptions = ScoreOptions()) -> str:
+def write_payload_json(scored: DataFrame, path: str) -> str:
     """Payloads in their interchange shape, many per file, one folder per recording."""
 
-    rows = payload_rows(scored, options).select(
+    rows = payload_rows(scored).select(
         F.col("recording_id").alias("recording"),
         "chunk_id", "recording_id", "source_path", "status", "runner", "model_version", "detections",
         F.struct(

@@ -5,34 +5,42 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sonoledger.operators import reports as R
 from sonoledger.operators.audio import cut_windows, manifest_from_blobs
 from sonoledger.operators.bundle import BundleOptions, write_bundle
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
 from sonoledger.operators.score import (
+    SCORED,
     ScoreOptions,
+    even_partitions,
     event_rows,
     payload_rows,
     result_rows,
     score_windows,
 )
+from sonoledger.operators.skew import spread_join
 from sonoledger.operators.telemetry import worker_totals
 from sonoledger.operators.windows import plan_windows
 from sonoledger.plans.chunk_plan import build_chunk_plan, runnable_plans
 from sonoledger.plans.infer_plan import build_infer_plan, require_complete
 from sonoledger.plans.resume import pending_jobs, resume_entries
-from sonoledger.schemas import DETECTIONS, JOB_RESULTS, MANIFEST
+from sonoledger.schemas import DETECTIONS, MANIFEST
 from sonoledger.sources._scan import nothing_there
 from sonoledger.sources.detections import write_detections
 from sonoledger.sources.recordings import discover_recordings, read_wav_headers
-from sonoledger.sources.runs import read_job_results, write_job_results, write_worker_totals
+from sonoledger.sources.runs import write_job_results, write_worker_totals
 from sonoledger.sources.status import COMPLETED, FAILED, IN_PROGRESS, append_status, read_status
 from sonoledger.sources.tables import write_report_csv
 from sonoledger.sources.telemetry import append_telemetry
 
+# Windows cut per task: some megabytes each, so a lost task repeats little.
+WINDOWS_PER_TASK = 256
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -61,19 +69,45 @@ def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def _table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A table that may not have been written yet."""
-
-    from pyspark.errors import AnalysisException
+def _runs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of all runs under ``path`` with their ``run``; none before the first."""
 
+    full = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(full).parquet(path)
     except AnalysisException as exc:
         if nothing_there(exc):
-            return spark.createDataFrame([], schema)
+            return spark.createDataFrame([], full)
         raise
 
 
+def newest_run(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of the newest run per key; a repeated run replaces the earlier one."""
+
+    newest = rows.groupBy(*keys).agg(F.max("run").alias("run"))
+    return spread_join(rows, newest, [*keys, "run"], rows.columns, "left_semi")
+
+
+def dataset_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The windows of each recording as last cut."""
+
+    return newest_run(_runs(spark, Layout(root).manifest, MANIFEST), "recording_id").drop("run")
+
+
+def dataset_scores(spark: SparkSession, root: str) -> DataFrame:
+    """All scored rows of all runs. Outcomes and detections both follow from these."""
+
+    return _runs(spark, Layout(root).scored, SCORED)
+
+
+def dataset_detections(spark: SparkSession, root: str) -> DataFrame:
+    """Detections of the last successful score of every window."""
+
+    good = dataset_scores(spark, root).filter(F.col("status") == "success")
+    newest = newest_run(good, "recording_id", "chunk_id")
+    return explode_detections(enrich_payloads(payload_rows(newest)))
+
+
 def cut_dataset(
     spark: SparkSession,
     root: str,
@@ -95,7 +129,7 @@ def cut_dataset(
     plan = runnable_plans(
         build_chunk_plan(
             discover_recordings(spark, root, glob),
-            _table(spark, at.manifest, MANIFEST).select("recording_id"),
+            _runs(spark, at.manifest, MANIFEST).select("recording_id"),
             read_status(spark, at.status),
             root,
             chunk_duration,
@@ -129,10 +163,10 @@ def cut_dataset(
     windows = plan_windows(
         facts.filter(F.col("error").isNull()), chunk_duration, overlap, f"{root}/artifacts/chunks"
     )
-    tasks = partitions or spark.sparkContext.defaultParallelism
+    tasks = partitions or even_partitions(windows, WINDOWS_PER_TASK)
     cut_windows(windows, tasks).write.mode("overwrite").parquet(blob_path)
     blobs = spark.read.parquet(blob_path)
-    manifest_from_blobs(blobs).write.mode("append").parquet(at.manifest)
+    manifest_from_blobs(blobs).write.mode("overwrite").parquet(f"{at.manifest}/run={run_id}")
 
     counts = blobs.groupBy("recording_id").agg(
         F.count_if(F.col("error").isNull()).alias("manifest_rows"),
@@ -171,37 +205,37 @@ def score_dataset(
 ) -> DataFrame | None:
     """Score every window still open; returns the outcome rows of this run.
 
-    The scored table is written first. Telemetry, outcomes, worker totals and
-    detections are all derived from it, so the detector runs once per window.
+    The scored table is the one record of a run: what is still open, and later
+    the detections, are read from it. Telemetry, outcome and worker exports
+    follow, so a stop in between leaves no window scored but unaccounted for.
     """
 
     at = Layout(root)
-    manifest = _table(spark, at.manifest, MANIFEST)
-    done = _table(spark, at.results, JOB_RESULTS)
+    manifest = dataset_manifest(spark, root)
+    done = result_rows(dataset_scores(spark, root))
     listed = manifest.select("recording_id").distinct().withColumn(
         "manifest_path", F.concat(F.lit(f"{at.root}/manifests/"), "recording_id", F.lit(".csv"))
     )
     plan = build_infer_plan(
         listed,
-        done.select("recording_id").filter(F.lit(not resume)).distinct(),
+        done.select("recording_id").distinct(),
         read_status(spark, at.status),
+        # With resume the windows decide, not whether the recording has any output.
         include_existing=include_existing or resume,
     )
     require_complete(plan, allow_partial)
     jobs = manifest.join(plan.select("recording_id"), "recording_id", "left_semi")
-    if resume:
+    if resume and not include_existing:
         jobs = pending_jobs(jobs, resume_entries(done))
     if jobs.isEmpty():
         return None
-    run_path = f"{at.scored}/run={datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
-    score_windows(jobs, options).write.mode("overwrite").parquet(run_path)
-    scored = spark.read.parquet(run_path)
+    run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+    score_windows(jobs, options).write.mode("overwrite").parquet(f"{at.scored}/run={run}")
+    scored = spark.read.schema(SCORED).parquet(f"{at.scored}/run={run}")
     append_telemetry(event_rows(scored), at.telemetry)
     outcomes = result_rows(scored)
     write_job_results(outcomes, at.results)
-    write_worker_totals(worker_totals(read_job_results(spark, at.results)), at.workers)
-    detections = explode_detections(enrich_payloads(payload_rows(scored, options)))
-    write_detections(detections, f"{at.aggregate}/all_detections.parquet", mode="append")
+    write_worker_totals(worker_totals(result_rows(dataset_scores(spark, root))), at.workers)
     return outcomes
 
 
@@ -220,7 +254,9 @@ def run_dataset(
     at = Layout(root)
     cut_dataset(spark, root, chunk_duration, overlap)
     score_dataset(spark, root, options, allow_partial=True)
-    detections = spark.read.schema(DETECTIONS).parquet(f"{at.aggregate}/all_detections.parquet")
+    table = f"{at.aggregate}/all_detections.parquet"
+    write_detections(dataset_detections(spark, root), table, clustered=True)
+    detections = spark.read.schema(DETECTIONS).parquet(table)
     written = (
         write_bundle(detections, at.aggregate, run_name, bundle) if bundle is not None else {}
     )

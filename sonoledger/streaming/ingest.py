@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
+from sonoledger.session import materialise
 from sonoledger.sources._scan import scan_path
+from sonoledger.sources.manifests import manifest_index
 from sonoledger.sources.payloads import parse_payloads
 
 
@@ -41,8 +43,11 @@ def start_ingest(
     exactly once. This also packs many small payload files into few large ones.
     """
 
+    # Reduced once at the start rather than in every micro-batch.
+    index = materialise(manifest_index(manifest), "manifest") if manifest is not None else None
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = explode_detections(enrich_payloads(parse_payloads(batch), manifest, dataset_roots))
+        rows = explode_detections(enrich_payloads(parse_payloads(batch), index, dataset_roots))
         rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
 
     writer = files.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)

@@ -38,7 +38,7 @@ def test_scoring_outcomes(spark, tmp_path):
     assert len(results) == 6
     assert (results["c4"].status, results["c4"].last_error, results["c4"].attempts) == ("failure", "no signal", 1)
     assert results["c4"].error == "failed after 1 attempt(s)" and results["c1"].retries == 0
-    found = explode_detections(enrich_payloads(S.payload_rows(scored, options)))
+    found = explode_detections(enrich_payloads(S.payload_rows(scored)))
     rows = {r.chunk_id: r for r in found.collect()}
     assert set(rows) == {"c0", "c1", "c2", "c3", "c5"}
     assert (rows["c1"].absolute_time_ms, rows["c1"].runner, rows["c1"].model_version) == (1010, "custom", "m1")
@@ -46,7 +46,7 @@ def test_scoring_outcomes(spark, tmp_path):
     events = S.event_rows(scored)
     assert {(r.status, r["count"]) for r in events.groupBy("status").count().collect()} == {
         ("start", 6), ("success", 5), ("failure", 1)}
-    path = S.write_payload_json(scored, f"{tmp_path}/json", options)
+    path = S.write_payload_json(scored, f"{tmp_path}/json")
     again = explode_detections(enrich_payloads(S.read_payload_lines(spark, path)))
     assert again.count() == 5 and again.filter("label = 'L'").first().recording_id == "hot"
 

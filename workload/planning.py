@@ -161,17 +161,17 @@ def _detect(job):
     ]
 
 
-def _scored(spark, sf_dir, max_retries=0):
+def _scored(spark, sf_dir):
     # This detector takes microseconds, so a task gets far more than the default.
-    options = ScoreOptions(detector=_detect, max_retries=max_retries, windows_per_task=20_000)
-    return materialise(score_windows(jobs(spark, sf_dir), options), "scored"), options
+    options = ScoreOptions(detector=_detect, max_retries=0, windows_per_task=20_000)
+    return materialise(score_windows(jobs(spark, sf_dir), options), "scored")
 
 
 def scored_detections(spark, sf_dir):
     """Detector output through the payload shape into the canonical table."""
 
-    scored, options = _scored(spark, sf_dir)
-    found = explode_detections(enrich_payloads(payload_rows(scored, options)))
+    scored = _scored(spark, sf_dir)
+    found = explode_detections(enrich_payloads(payload_rows(scored)))
     return found.select(
         "recording_id", "chunk_id", "chunk_start_ms", "absolute_time_ms", "label", "label_name",
         "confidence", "status", "runner", "chunk_sha256", "source_path",
@@ -179,21 +179,21 @@ def scored_detections(spark, sf_dir):
 
 
 def scored_results(spark, sf_dir):
-    scored, _ = _scored(spark, sf_dir)
+    scored = _scored(spark, sf_dir)
     return result_rows(scored).select(
         "chunk_id", "recording_id", "status", "attempts", "retries", "last_error", "error"
     )
 
 
 def scored_events(spark, sf_dir):
-    scored, _ = _scored(spark, sf_dir)
+    scored = _scored(spark, sf_dir)
     return event_rows(scored).groupBy("status").agg(
         F.count("*").alias("events"), F.sum("details.attempt").alias("attempts")
     )
 
 
 def scored_totals(spark, sf_dir):
-    scored, _ = _scored(spark, sf_dir)
+    scored = _scored(spark, sf_dir)
     totals = worker_totals(result_rows(scored))
     return totals.agg(*[F.sum(c).alias(c) for c in ("jobs", "success", "failure", "retries")])
 
@@ -204,7 +204,7 @@ def stub_payload_files(spark, sf_dir):
     options = ScoreOptions(windows_per_task=20_000)
     scored = materialise(score_windows(jobs(spark, sf_dir), options), "scored")
     by_status = scored.withColumn("recording_id", F.expr("concat('all_', chunk_id LIKE '%5')"))
-    path = write_payload_json(by_status, shared_dir(spark, "payloads"), options)
+    path = write_payload_json(by_status, shared_dir(spark, "payloads"))
     found = explode_detections(enrich_payloads(read_payload_lines(spark, path)))
     return found.select(
         "recording_id", "chunk_id", "chunk_start_ms", "chunk_end_ms", "label", "status", "runner",
