@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sonoledger.functions.paths import ancestors, directory
+from sonoledger.functions.paths import ancestors, directory, tidy_path
 from sonoledger.operators.skew import spread_join
 
 
@@ -25,14 +25,14 @@ def attach_dataset_root(
         .select(folder.alias("_folder"))
         .distinct()
     )
-    roots = roots.select(
-        F.regexp_replace("dataset_root", "/+$", "").alias("_above")
-    ).distinct()
+    roots = roots.groupBy(tidy_path("dataset_root").alias("_above")).agg(
+        F.min(F.rtrim("dataset_root", F.lit("/"))).alias("_root")
+    )
     nearest = (
         folders.withColumn("_above", F.explode(ancestors("_folder")))
         .join(roots, "_above")
         .groupBy("_folder")
-        .agg(F.max_by("_above", F.length("_above")).alias(out_col))
+        .agg(F.max_by("_root", F.length("_above")).alias(out_col))
     )
     placed = rows.withColumn("_folder", folder)
     return spread_join(placed, nearest, "_folder", [path_col]).drop("_folder")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonoledger.functions.paths import basename
+from sonoledger.functions.paths import basename, tidy_path
 from sonoledger.functions.scalars import absolute_time, first_text
 from sonoledger.operators.dataset_roots import attach_dataset_root
 from sonoledger.operators.skew import spread_join
@@ -155,7 +155,7 @@ def detections_with_labels(
     needs_labels = ~_has_detections() & F.col("label_dir").isNotNull()
     direct = explode_detections(enriched.filter(~needs_labels))
     pending = enriched.filter(needs_labels).withColumn(
-        "label_dir", F.regexp_replace("label_dir", "/+$", "")
+        "label_dir", tidy_path("label_dir")
     )
     named, key = window_names(pending), ["label_dir", "file_name"]
     found = labels.select(*key, F.struct(*_LABEL_FIELDS).alias("det"))

@@ -42,7 +42,7 @@ def scan_payload_text(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _is_object(text: Column) -> Column:
-    """For text already known to be JSON: whether it is an object."""
+    """Whether text, if it is JSON at all, is an object."""
 
     return text.rlike(r"^\s*\{")
 
@@ -56,9 +56,11 @@ def parse_payloads(files: DataFrame) -> DataFrame:
 
     doc, top, chunk = F.col("doc"), F.col("top"), F.col("chunk_block")
     # One typed read per level; the fields below are then plain struct accesses.
+    # Exploding a list of one or none drops bad text and parses once; a filter on
+    # the parsed value would be pushed down and parse a second time.
     parsed = (
-        files.withColumn("doc", F.try_parse_json("value"))
-        .filter(doc.isNotNull() & _is_object(F.col("value")))
+        files.filter(_is_object(F.col("value")))
+        .withColumn("doc", F.explode(F.array_compact(F.array(F.try_parse_json("value")))))
         .withColumn("top", F.try_variant_get(doc, "$", _TOP))
         .withColumn("chunk_block", F.try_variant_get(top["chunk"], "$", _CHUNK))
         .withColumn("detection_rows", _detection_rows(top["detections"]))

@@ -40,10 +40,20 @@ def rows_of(columns, rows):
     return sorted(columns), sorted(shaped, key=_key)
 
 
+# Spark and DuckDB names of the types used.
+SAME_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+}
+
+
 def compare(con, query, sql, spark, sf_dir):
     """Empty text when equal, else what differs."""
 
     df = query(spark, sf_dir)
+    shown = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    odd = [(c, t, shown.get(c)) for c, t in df.dtypes if SAME_TYPES.get(t) != shown.get(c)]
+    if odd:
+        return f"types {odd}"
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(sql)
     want_cols, want = rows_of([d[0] for d in cur.description], cur.fetchall())

@@ -59,7 +59,7 @@ def test_paths(spark):
     assert column(spark, values, basename("v")) == ["c.wav", "e", "x.tar.gz", ".hidden", "b"]
     assert column(spark, values, stem("v")) == ["c", "e", "x.tar", ".hidden", "b"]
     assert column(spark, values, parent_name("v")) == ["b", "b.d", "", "a", "a"]
-    assert column(spark, values, directory("v")) == ["/a/b", "/a/b.d", "x.tar.gz", "/a", "/a"]
+    assert column(spark, values, directory("v")) == ["/a/b", "/a/b.d", "", "/a", "/a"]
     assert column(spark, ["/a/b/c"], ancestors("v")) == [["/a", "/a/b", "/a/b/c"]]
     assert column(spark, ["file:///a/b%20c+d"], posix_path("v", True)) == ["/a/b c+d"]
     assert column(spark, ["s3://x/y"], posix_path("v")) == ["s3://x/y"]

@@ -17,6 +17,7 @@ from sonoledger.operators.score import (
 )
 from sonoledger.operators.telemetry import worker_totals
 from sonoledger.plans.chunk_plan import build_chunk_plan, runnable_plans
+from sonoledger.plans.dataset_run import cut_dataset, dataset_manifest, run_dataset
 from sonoledger.plans.infer_plan import build_infer_plan, incomplete_plans, output_locations
 from sonoledger.plans.resume import orphan_counts, pending_jobs, resume_entries, unmatched_entries
 from sonoledger.session import materialise, shared_dir
@@ -36,6 +37,7 @@ from workload.proxies import (
     status_rows,
     table,
 )
+from workload.windows import write_audio
 
 
 def pending_windows(spark, sf_dir):
@@ -231,7 +233,54 @@ def report_bundle(spark, sf_dir):
     return rows
 
 
+# ---- whole-dataset jobs: benchmark texts as recordings -----------------------------------
+
+
+def _dataset(spark, sf_dir):
+    root = shared_dir(spark, "dataset").removeprefix("file://")
+    write_audio(spark, sf_dir, root, "benchmark")
+    return root
+
+
+def dataset_cut(spark, sf_dir):
+    """Discover, plan, cut and record every recording of a dataset."""
+
+    done = cut_dataset(spark, _dataset(spark, sf_dir), 3.0, 1.0)
+    return done.select("recording_id", "status", "manifest_rows", "chunk_duration", "overlap")
+
+
+def _label_even_seconds(job):
+    second = job["start_ms"] // 1000
+    return [{"timestamp_ms": 0, "label": "even", "confidence": 0.5}] if second % 4 == 0 else []
+
+
+def dataset_run(spark, sf_dir):
+    """From audio files to the dataset rollup."""
+
+    root = _dataset(spark, sf_dir)
+    options = ScoreOptions(detector=_label_even_seconds, windows_per_task=20_000)
+    out = run_dataset(spark, root, 3.0, 1.0, options, BundleOptions(database=False), rollup_limit=5)
+    back = spark.read.csv(f"{out['rollup']}/label_summary.csv", header=True)
+    return back.select(
+        "label",
+        F.col("detections").cast("bigint").alias("detections"),
+        F.col("avg_confidence").cast("double").alias("avg_confidence"),
+    )
+
+
+def dataset_manifest_rows(spark, sf_dir):
+    """The manifest after a dataset was cut twice: the newer windows count."""
+
+    root = _dataset(spark, sf_dir)
+    cut_dataset(spark, root, 5.0)
+    cut_dataset(spark, root, 3.0, 1.0, include_existing=True)
+    return dataset_manifest(spark, root).select("recording_id", "chunk_id", "start_ms", "end_ms")
+
+
 QUERIES = {
+    "dataset_cut": dataset_cut,
+    "dataset_run": dataset_run,
+    "dataset_manifest_rows": dataset_manifest_rows,
     "pending_windows": pending_windows,
     "resume_orphans": resume_orphans,
     "resume_unmatched": resume_unmatched,
@@ -285,7 +334,22 @@ bits AS (SELECT ok.*, b FROM ok LEFT JOIN (SELECT unnest(range(0, 3)) AS b) bs
          ON (o_orderkey >> b) & 1 = 1)
 """
 
+_AUDIO = """WITH t AS (SELECT 'rec_' || item_id AS recording_id, octet_length(encode(text)) AS n
+  FROM benchmark WHERE octet_length(encode(text)) > 0),
+w AS (SELECT *, s * 100 AS start_ms, least(s + 30, n) * 100 AS end_ms
+      FROM (SELECT *, unnest(range(0, n, 20)) AS s FROM t))
+"""
+
 ORACLE = {
+    "dataset_cut": f"""{_AUDIO}
+SELECT recording_id, 'completed' AS status, count(*) AS manifest_rows, 3.0::DOUBLE AS chunk_duration,
+       1.0::DOUBLE AS overlap FROM w GROUP BY recording_id""",
+    "dataset_run": f"""{_AUDIO}
+SELECT CASE WHEN start_ms % 4000 = 0 THEN 'even' ELSE 'none' END AS label, count(*) AS detections,
+       avg(CASE WHEN start_ms % 4000 = 0 THEN 0.5::DOUBLE END) AS avg_confidence FROM w GROUP BY 1""",
+    "dataset_manifest_rows": f"""{_AUDIO}
+SELECT recording_id, recording_id || '_chunk_' || start_ms || '_' || end_ms AS chunk_id, start_ms, end_ms
+FROM w""",
     "pending_windows": f"{_RESUME} SELECT recording_id, chunk_id FROM {_pending('entries')}",
     "resume_orphans": f"""{_RESUME},
 n AS (SELECT (SELECT count(*) FROM moved) AS entries, (SELECT count(*) FROM jobs) -

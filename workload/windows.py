@@ -104,7 +104,7 @@ def window_probe_attempts(spark, sf_dir):
 # ---- audio: document texts as 8-bit samples --------------------------------------------
 
 
-def _write_audio(spark, sf_dir, root: str, name: str):
+def write_audio(spark, sf_dir, root: str, name: str):
     """One WAV file per row of a table, whose text is the sample data."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,7 +136,7 @@ def _write_audio(spark, sf_dir, root: str, name: str):
 
 def _facts(spark, sf_dir):
     root = shared_dir(spark, "audio").removeprefix("file://")
-    _write_audio(spark, sf_dir, root, "benchmark")
+    write_audio(spark, sf_dir, root, "benchmark")
     return materialise(read_wav_headers(discover_recordings(spark, root)), "recordings")
 
 
