@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from sonoledger.operators.dataset_roots import attach_dataset_root
 from sonoledger.operators.skew import spread_join
 from sonoledger.schemas import DETECTIONS
 from sonoledger.session import materialise
+from sonoledger.sources._scan import nothing_there
 from sonoledger.sources.detections import write_detections, write_detections_csv
 from sonoledger.sources.labels import list_label_dirs, read_raw_labels
 from sonoledger.sources.manifests import manifest_index, read_manifest
@@ -196,8 +198,8 @@ def read_detections(
     enriched = materialise(enriched, "payloads")
     try:
         labels = read_raw_labels(spark, label_root)
-    except Exception as exc:  # no label file at all: every pending payload has no output
-        if getattr(exc, "getCondition", lambda: None)() != "UNABLE_TO_INFER_SCHEMA":
+    except AnalysisException as exc:  # no label file at all: no payload has output
+        if not nothing_there(exc):
             raise
         return explode_without_label_files(enriched)
     return detections_with_labels(enriched, labels, list_label_dirs(spark, label_root))

@@ -10,6 +10,7 @@ from sonoledger.functions.scalars import (
     memory_limit_mb,
     round_hundredths,
 )
+from sonoledger.operators.skew import spread_join
 from sonoledger.schemas import PROBE_ATTEMPTS
 
 # Fixed values.
@@ -26,35 +27,26 @@ def choose_device(recordings: DataFrame, devices: DataFrame | None) -> DataFrame
     """Attach the device of each recording's ``gpu_index``, else the first device.
 
     ``devices`` has ``gpu_index, gpu_name, memory_total_mb``, one row per device.
-    The first device is a key of its own, so this is an equi-join in both cases.
+    The first device is a single value and enters as a scalar subquery.
     """
 
     wanted = (
         F.col("gpu_index") if "gpu_index" in recordings.columns else F.lit(None).cast("bigint")
     )
-    rows = recordings.withColumn("wanted", wanted).drop("gpu_index")
+    rows = recordings.withColumn("wanted", wanted.cast("bigint")).drop("gpu_index")
+    kept = [c for c in rows.columns if c != "wanted"]
     if devices is None:
-        return rows.withColumns(
-            {
-                "gpu_index": F.lit(None).cast("bigint"),
-                "gpu_name": F.lit(None).cast("string"),
-                "memory_total_mb": F.lit(None).cast("double"),
-            }
-        ).drop("wanted")
+        return rows.select(
+            *kept,
+            F.lit(None).cast("bigint").alias("gpu_index"),
+            F.lit(None).cast("string").alias("gpu_name"),
+            F.lit(None).cast("double").alias("memory_total_mb"),
+        )
     facts = F.struct("gpu_index", "gpu_name", "memory_total_mb")
-    first = devices.agg(F.min_by(facts, "gpu_index").alias("d")).select(
-        F.lit("first").alias("k"), "d"
-    )
-    keyed = devices.select(F.col("gpu_index").cast("string").alias("k"), facts.alias("d"))
-    table = keyed.unionByName(first)
-    known = rows.withColumn("k", F.coalesce(F.col("wanted").cast("string"), F.lit("first")))
-    direct = known.join(table, "k", "left")
-    # An index nobody has falls back to the first device.
-    fallback = table.filter("k = 'first'").select(F.lit("first").alias("k2"), F.col("d").alias("d1"))
-    joined = direct.withColumn("k2", F.lit("first")).join(fallback, "k2", "left")
-    return joined.withColumn("d", F.coalesce("d", "d1")).select(
-        *[c for c in rows.columns if c != "wanted"], "d.*"
-    )
+    table = devices.select(F.col("gpu_index").cast("bigint").alias("wanted"), facts.alias("own"))
+    first = devices.agg(F.min_by(facts, "gpu_index")).scalar()
+    known = spread_join(rows, table, "wanted", ["audio_path", "recording_id"])
+    return known.withColumn("device", F.coalesce("own", first)).select(*kept, "device.*")
 
 
 def probe_windows(

@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 import shlex
 import subprocess
-import tempfile
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from pathlib import Path
 from typing import Any
 
 import pandas as pd
@@ -67,6 +67,7 @@ class ScoreOptions:
 
     detector: Detector | None = None
     command: str | None = None
+    output_dir: str | None = None
     max_retries: int = MAX_RETRIES
     windows_per_task: int = 128
     partitions: int | None = None
@@ -77,6 +78,8 @@ class ScoreOptions:
     def __post_init__(self) -> None:
         if self.detector is not None and self.command is not None:
             raise ValueError("give either a detector or a command, not both")
+        if self.command is not None and self.output_dir is None:
+            raise ValueError("a command needs a shared output_dir")
         if self.max_retries < 0:
             raise ValueError("max_retries cannot be negative")
         if not all(isinstance(a, str) for a in self.extra_args):
@@ -106,31 +109,36 @@ class ScoreOptions:
             raise ValueError("extra_args must be a list of texts")
         return runner["manifest"], cls(
             command=runner.get("runner_cmd"),
+            output_dir=runner.get("output_dir"),
             max_retries=int(runner.get("max_retries", MAX_RETRIES)),
             extra_args=tuple(args),
         )
 
 
-def command_detector(command: str, extra_args: Sequence[str] = ()) -> Detector:
+def command_detector(
+    command: str, output_dir: str, extra_args: Sequence[str] = ()
+) -> Detector:
     """A detector that runs ``command --input X --output Y`` per window.
 
-    If the command writes a JSON object to the output path its ``detections``
-    are taken; an exit code other than zero counts as a failed attempt.
+    Y lies in the shared ``output_dir``, one JSON file per window. If the command
+    writes an object there its ``detections`` are taken; an exit code other than
+    zero counts as a failed attempt.
     """
 
     base = [*shlex.split(command), *extra_args]
 
     def detect(job: dict[str, Any]) -> Sequence[dict[str, Any]]:
-        with tempfile.NamedTemporaryFile(suffix=".json") as out:
-            done = subprocess.run(
-                [*base, "--input", str(job["source_path"]), "--output", out.name],
-                capture_output=True, text=True, check=False,
-            )
-            if done.returncode:
-                text = done.stderr or done.stdout or f"exit code {done.returncode}"
-                raise RuntimeError(text[-ERROR_TAIL:])
-            text = out.read().decode()
-        return json.loads(text).get("detections") or [] if text.strip() else []
+        target = Path(output_dir) / str(job["recording_id"]) / f"{job['chunk_id']}.json"
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.unlink(missing_ok=True)
+        done = subprocess.run(
+            [*base, "--input", str(job["source_path"]), "--output", str(target)],
+            capture_output=True, text=True, check=False,
+        )
+        if done.returncode:
+            text = done.stderr or done.stdout or f"exit code {done.returncode}"
+            raise RuntimeError(text[-ERROR_TAIL:])
+        return json.loads(target.read_text()).get("detections") or [] if target.exists() else []
 
     return detect
 
@@ -153,7 +161,8 @@ def score_windows(manifest: DataFrame, options: ScoreOptions = ScoreOptions()) -
     """
 
     detect = options.detector or (
-        command_detector(options.command, options.extra_args) if options.command else _stub
+        command_detector(options.command, options.output_dir, options.extra_args)
+        if options.command else _stub
     )
     tries, fail_fast, succeeded = options.max_retries + 1, options.fail_fast, "success"
     runner, model_version = options.runner, options.model_version

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +30,7 @@ from sonoledger.plans.chunk_plan import build_chunk_plan, runnable_plans
 from sonoledger.plans.infer_plan import build_infer_plan, require_complete
 from sonoledger.plans.resume import pending_jobs, resume_entries
 from sonoledger.schemas import DETECTIONS, MANIFEST
+from sonoledger.session import materialise
 from sonoledger.sources._scan import nothing_there
 from sonoledger.sources.detections import write_detections
 from sonoledger.sources.recordings import discover_recordings, read_wav_headers
@@ -42,27 +43,37 @@ from sonoledger.sources.telemetry import append_telemetry
 WINDOWS_PER_TASK = 256
 
 
-@dataclass(frozen=True)
-class Layout:
+class Layout(NamedTuple):
     """Where a dataset keeps its tables. All of them are shared folders."""
 
     root: str
-
-    def __getattr__(self, name: str) -> str:
-        # Folder per table.
-        folders = {
-            "status": "tables/chunk_status",
-            "manifest": "tables/manifest",
-            "blobs": "tables/chunk_audio",
-            "scored": "tables/scored",
-            "results": "tables/job_results",
-            "telemetry": "artifacts/telemetry/infer",
-            "workers": "artifacts/telemetry/workers",
-            "aggregate": "artifacts/aggregate",
-        }
-        if name not in folders:
-            raise AttributeError(name)
-        return f"{self.root.rstrip('/')}/{folders[name]}"
+    status: str
+    manifest: str
+    recordings: str
+    blobs: str
+    chunks: str
+    scored: str
+    results: str
+    telemetry: str
+    workers: str
+    aggregate: str
+
+    @classmethod
+    def below(cls, root: str) -> Layout:
+        root = root.rstrip("/")
+        return cls(
+            root=root,
+            status=f"{root}/tables/chunk_status",
+            manifest=f"{root}/tables/manifest",
+            recordings=f"{root}/tables/recordings",
+            blobs=f"{root}/tables/chunk_audio",
+            chunks=f"{root}/artifacts/chunks",
+            scored=f"{root}/tables/scored",
+            results=f"{root}/tables/job_results",
+            telemetry=f"{root}/artifacts/telemetry/infer",
+            workers=f"{root}/artifacts/telemetry/workers",
+            aggregate=f"{root}/artifacts/aggregate",
+        )
 
 
 def _now() -> str:
@@ -81,30 +92,31 @@ def _runs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         raise
 
 
-def newest_run(rows: DataFrame, *keys: str) -> DataFrame:
+def newest_run(rows: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
     """Rows of the newest run per key; a repeated run replaces the earlier one."""
 
     newest = rows.groupBy(*keys).agg(F.max("run").alias("run"))
-    return spread_join(rows, newest, [*keys, "run"], rows.columns, "left_semi")
+    return spread_join(rows, newest, [*keys, "run"], spread_by, "left_semi")
 
 
 def dataset_manifest(spark: SparkSession, root: str) -> DataFrame:
     """The windows of each recording as last cut."""
 
-    return newest_run(_runs(spark, Layout(root).manifest, MANIFEST), "recording_id").drop("run")
+    cuts = _runs(spark, Layout.below(root).manifest, MANIFEST)
+    return newest_run(cuts, ["recording_id"], ["chunk_id"]).drop("run")
 
 
 def dataset_scores(spark: SparkSession, root: str) -> DataFrame:
     """All scored rows of all runs. Outcomes and detections both follow from these."""
 
-    return _runs(spark, Layout(root).scored, SCORED)
+    return _runs(spark, Layout.below(root).scored, SCORED)
 
 
 def dataset_detections(spark: SparkSession, root: str) -> DataFrame:
     """Detections of the last successful score of every window."""
 
     good = dataset_scores(spark, root).filter(F.col("status") == "success")
-    newest = newest_run(good, "recording_id", "chunk_id")
+    newest = newest_run(good, ["recording_id", "chunk_id"], ["source_path"])
     return explode_detections(enrich_payloads(payload_rows(newest)))
 
 
@@ -125,7 +137,7 @@ def cut_dataset(
     row count. One unreadable recording fails alone.
     """
 
-    at = Layout(root)
+    at = Layout.below(root)
     plan = runnable_plans(
         build_chunk_plan(
             discover_recordings(spark, root, glob),
@@ -157,11 +169,11 @@ def cut_dataset(
         partitions,
     )
     blob_path = f"{at.blobs}/run={run_id}"
-    fact_path = f"{at.root.rstrip('/')}/tables/recordings/run={run_id}"
+    fact_path = f"{at.recordings}/run={run_id}"
     facts.write.mode("overwrite").parquet(fact_path)
     facts = spark.read.parquet(fact_path)
     windows = plan_windows(
-        facts.filter(F.col("error").isNull()), chunk_duration, overlap, f"{root}/artifacts/chunks"
+        facts.filter(F.col("error").isNull()), chunk_duration, overlap, at.chunks
     )
     tasks = partitions or even_partitions(windows, WINDOWS_PER_TASK)
     cut_windows(windows, tasks).write.mode("overwrite").parquet(blob_path)
@@ -210,7 +222,7 @@ def score_dataset(
     follow, so a stop in between leaves no window scored but unaccounted for.
     """
 
-    at = Layout(root)
+    at = Layout.below(root)
     manifest = dataset_manifest(spark, root)
     done = result_rows(dataset_scores(spark, root))
     listed = manifest.select("recording_id").distinct().withColumn(
@@ -227,6 +239,8 @@ def score_dataset(
     jobs = manifest.join(plan.select("recording_id"), "recording_id", "left_semi")
     if resume and not include_existing:
         jobs = pending_jobs(jobs, resume_entries(done))
+    # Fixed by writing it: it is counted, dealt out and scored.
+    jobs = materialise(jobs.select(*MANIFEST.names), "jobs")
     if jobs.isEmpty():
         return None
     run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
@@ -251,7 +265,7 @@ def run_dataset(
 ) -> dict[str, str]:
     """Cut, score, bundle and roll up a dataset; returns where the reports are."""
 
-    at = Layout(root)
+    at = Layout.below(root)
     cut_dataset(spark, root, chunk_duration, overlap)
     score_dataset(spark, root, options, allow_partial=True)
     table = f"{at.aggregate}/all_detections.parquet"

@@ -24,7 +24,9 @@ def pending_jobs(jobs: DataFrame, entries: DataFrame) -> DataFrame:
 
     keyed = entries.filter(F.col("recording_id").isNotNull())
     anywhere = entries.filter(F.col("recording_id").isNull()).select("chunk_id")
-    spread = jobs.columns
+    # Whatever tells jobs of one key apart, if the manifest has it.
+    known = ("source_path", "start_ms", "recording_id", "chunk_id")
+    spread = [c for c in known if c in jobs.columns]
     rest = spread_join(jobs, keyed, ["recording_id", "chunk_id"], spread, "left_anti")
     return spread_join(rest, anywhere, "chunk_id", spread, "left_anti")
 

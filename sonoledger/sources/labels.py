@@ -24,7 +24,8 @@ def read_raw_labels(
     """All label files below ``root`` in one scan, keyed by the folder they lie in."""
 
     rows = spark.read.csv(
-        root, header=True, escape='"', recursiveFileLookup=True, pathGlobFilter=glob
+        root, header=True, escape='"', enforceSchema=False, recursiveFileLookup=True,
+        pathGlobFilter=glob,
     )
     return normalise_labels(rows, directory(scan_path()))
 

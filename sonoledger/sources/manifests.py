@@ -18,7 +18,8 @@ HASH_DRY_RUN = "DRY_RUN"
 def read_manifest(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Manifest CSV rows by header name, with ``row_order`` for last-row-wins."""
 
-    rows = spark.read.csv(path, header=True, escape='"')
+    # Files whose header differs from the first are refused, not misread.
+    rows = spark.read.csv(path, header=True, escape='"', enforceSchema=False)
     return rows.select(
         *[
             (

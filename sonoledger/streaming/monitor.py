@@ -68,42 +68,44 @@ def keep_newest(
 
     ``reduce`` is a top-n with a fixed n per group, so what is carried over stays
     small and each batch is thinned inside its tasks, also when one device sends
-    nearly all events. Every version has a folder of its own named by batch id:
-    a batch run again after a failure rewrites the same version from the same
-    predecessor.
+    nearly all events. Two folders take turns: a batch reads the one before it
+    and replaces the one before that, so a batch run again after a failure finds
+    its predecessor untouched. The folder belongs to one checkpoint.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         fresh = shape(batch)
-        before = read_version(batch.sparkSession, state_dir, batch_id - 1)
+        before = _read_slot(batch.sparkSession, state_dir, batch_id - 1)
         rows = fresh if before is None else fresh.unionByName(before)
-        reduce(rows).write.mode("overwrite").parquet(_version(state_dir, batch_id))
+        kept = reduce(rows).withColumn("batch_id", F.lit(batch_id))
+        kept.write.mode("overwrite").parquet(_slot(state_dir, batch_id))
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     return _trigger(writer, interval).start()
 
 
-def _version(state_dir: str, batch_id: int) -> str:
-    return f"{state_dir.rstrip('/')}/version={batch_id:012d}"
+def _slot(state_dir: str, batch_id: int) -> str:
+    return f"{state_dir.rstrip('/')}/slot={batch_id % 2}"
 
 
-def read_version(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
+def _read_slot(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
     if batch_id < 0:
         return None
     try:
-        return spark.read.parquet(_version(state_dir, batch_id))
+        kept = spark.read.parquet(_slot(state_dir, batch_id))
     except AnalysisException as exc:
         if nothing_there(exc):
             return None
         raise
+    return kept.filter(F.col("batch_id") == batch_id).drop("batch_id")
 
 
 def read_newest(spark: SparkSession, state_dir: str) -> DataFrame:
-    """The latest version of a table kept by :func:`keep_newest`."""
+    """The latest state of a table kept by :func:`keep_newest`."""
 
-    versions = spark.read.parquet(state_dir)
-    latest = versions.agg(F.max("version").alias("version"))
-    return versions.join(latest, "version", "left_semi").drop("version")
+    slots = spark.read.parquet(state_dir)
+    newest = slots.agg(F.max("batch_id").alias("batch_id"))
+    return slots.join(newest, "batch_id", "left_semi").drop("batch_id", "slot")
 
 
 _LONG = ["device", "series", "ord", "value"]

@@ -78,7 +78,9 @@ def test_stub_and_options(spark):
     rows = S.payload_rows(S.score_windows(manifest(spark, 2)))
     assert {(r.status, r.runner) for r in rows.collect()} == {("stub", "stub")}
     with pytest.raises(ValueError):
-        S.ScoreOptions(detector=detect, command="x")
+        S.ScoreOptions(detector=detect, command="x", output_dir="/o")
+    with pytest.raises(ValueError):
+        S.ScoreOptions(command="x")
     path, options = S.ScoreOptions.from_mapping(
         {"runner": {"manifest": "m.csv", "max_retries": 1}, "detector": {"extra_args": ["--a", "1"]}, "paths": {}})
     assert (path, options.max_retries, options.extra_args) == ("m.csv", 1, ("--a", "1"))
@@ -92,7 +94,7 @@ def test_command_detector(spark, tmp_path):
     tool.write_text('#!/bin/sh\n[ "$2" = /a/c1.wav ] && { echo broken >&2; exit 3; }\n'
                     'echo \'{"detections": [{"label": "Z"}]}\' > "$4"\n')
     tool.chmod(tool.stat().st_mode | stat.S_IXUSR)
-    options = S.ScoreOptions(command=str(tool), max_retries=0, partitions=2)
+    options = S.ScoreOptions(command=str(tool), output_dir=f"{tmp_path}/out", max_retries=0, partitions=2)
     rows = {r.chunk_id: r for r in S.score_windows(manifest(spark, 3), options).collect()}
     assert rows["c0"].detections[0].label == "Z" and rows["c1"].last_error.strip() == "broken"
 
@@ -111,7 +113,7 @@ def test_dataset_from_audio_to_reports(spark, tmp_path):
     put_wav(tmp_path / "set" / "audio" / "rec1.wav", 3.5)
     put_wav(tmp_path / "set" / "audio" / "x" / "rec2.wav", 1.0)
     (tmp_path / "set" / "audio" / "bad.wav").write_bytes(b"RIFFxxxx")
-    at = Layout(root)
+    at = Layout.below(root)
     status = {r.recording_id: r for r in cut_dataset(spark, root, 1.0, partitions=2).collect()}
     assert {k: (r.status, r.manifest_rows) for k, r in status.items()} == {
         "rec1": ("completed", 4), "rec2": ("completed", 1), "bad": ("failed", 0)}
@@ -151,5 +153,5 @@ def test_run_dataset(spark, tmp_path):
     labels = spark.read.csv(f"{out['rollup']}/label_summary.csv", header=True).collect()
     assert [(r.label, r.detections) for r in labels] == [("none", "2")]
     assert spark.table("e2e.recording_summary").first().detections == 2
-    states = latest_status(read_status(spark, Layout(root).status)).collect()
+    states = latest_status(read_status(spark, Layout.below(root).status)).collect()
     assert [(r.recording_id, r.status) for r in states] == [("rec1", "completed")]

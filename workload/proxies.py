@@ -19,7 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---- detections ------------------------------------------------------------------------
 
-_MS = "(unix_micros(cast(ts AS timestamp)) - unix_micros(timestamp '2024-01-01 00:00:00Z')) div 1000"
+_MS = (
+    "(unix_micros(cast(ts AS timestamp))"
+    " - unix_micros(cast(timestamp_ntz '2024-01-01 00:00:00' AS timestamp))) div 1000"
+)
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:

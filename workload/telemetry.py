@@ -130,6 +130,15 @@ def run_summary_scan(spark, sf_dir):
 # ---- streaming -------------------------------------------------------------------------
 
 
+def _stream_session(spark):
+    """State is kept per shuffle partition and batch: as many as cores, not more."""
+
+    session = spark.newSession()
+    cores = spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(cores))
+    return session
+
+
 def _log_in_files(spark, sf_dir) -> str:
     path = shared_dir(spark, "log")
     append_telemetry(telemetry(spark, sf_dir).repartition(4, "chunk_id"), path)
@@ -139,7 +148,8 @@ def _log_in_files(spark, sf_dir) -> str:
 def live_device_totals(spark, sf_dir):
     """The running totals after the stream has read every file of the log."""
 
-    events = monitor.telemetry_stream(spark, _log_in_files(spark, sf_dir), max_files=2)
+    log = _log_in_files(spark, sf_dir)
+    events = monitor.telemetry_stream(_stream_session(spark), log, max_files=2)
     out = shared_dir(spark, "totals")
 
     def keep(batch, batch_id):
@@ -203,7 +213,7 @@ def live_timeline(spark, sf_dir):
         F.timestamp_millis(F.lit(1704067200000) + F.col("chunk_end_ms") - 60000),
     )
     stamped.repartitionByRange(4, "event_time").write.parquet(src)
-    stream = spark.readStream.schema(stamped.schema).parquet(src)
+    stream = _stream_session(spark).readStream.schema(stamped.schema).parquet(src)
     out, name = windowed_timeline(stream), shared_dir(spark, "timeline")
     (
         out.writeStream.outputMode("append")
