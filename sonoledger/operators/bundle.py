@@ -123,15 +123,16 @@ def write_bundle(
     prefix: str,
     options: BundleOptions = BundleOptions(),
     database: str | None = None,
+    rolled: DataFrame | None = None,
 ) -> dict[str, str]:
     """All report exports below ``base_dir``, named after ``prefix``.
 
-    The detections are read once, into the per-window rollup; every table of the
-    bundle comes from that.
+    The detections are read once, into the per-window rollup (or ``rolled``, if
+    that is at hand); every table of the bundle comes from that.
     """
 
     base = base_dir.rstrip("/")
-    rolled = materialise(R.rollup(detections), "rollup")
+    rolled = materialise(R.rollup(detections), "rollup") if rolled is None else rolled
     written: dict[str, str] = {}
     if options.quicklook:
         folder = f"{base}/{prefix}_quicklook"
@@ -171,9 +172,20 @@ def _catalog_name(prefix: str) -> str:
 # ---- the same reports for every recording at once -------------------------------------
 
 
+def write_recording_reports(
+    detections: DataFrame, base_dir: str, options: BundleOptions = BundleOptions()
+) -> dict[str, str]:
+    """The per-recording tables as Parquet, one table for all recordings each."""
+
+    written = {}
+    for name, table in per_recording_reports(detections, options).items():
+        written[name] = f"{base_dir.rstrip('/')}/{name}.parquet"
+        table.write.mode("overwrite").parquet(written[name])
+    return written
+
+
 def per_recording_reports(
-    detections: DataFrame,
-    options: BundleOptions = BundleOptions(),
+    detections: DataFrame, options: BundleOptions = BundleOptions()
 ) -> dict[str, DataFrame]:
     """Bundle tables of all recordings in one pass, keyed by ``recording_id``.
 

@@ -13,10 +13,13 @@ from sonoledger.functions.scalars import (
 from sonoledger.operators.skew import spread_join
 from sonoledger.schemas import PROBE_ATTEMPTS
 
-# Fixed values.
+# Defaults of the search and texts of its log.
 INITIAL_S = 60.0
 TOLERANCE_S = 5.0
 FITS_TEXT = "fits memory budget"
+OVER_TEXT = "Estimated %.1f MiB exceeds limit %.1f MiB"
+DEVICE_NOTE = "GPU %d (%s) limit %.0f MiB"
+NO_DEVICE_NOTE = "Assumed 4 GiB limit (no GPUs detected)"
 
 _STATE = (
     f"STRUCT<phase: STRING, cand: DOUBLE, low: DOUBLE, high: DOUBLE, attempts: {PROBE_ATTEMPTS}>"
@@ -97,9 +100,7 @@ def probe_windows(
         cand, low, high = s["cand"], s["low"], s["high"]
         mb = estimate(cand)
         fits = mb <= F.col("memory_limit_mb")
-        over = F.format_string(
-            "Estimated %.1f MiB exceeds limit %.1f MiB", mb, F.col("memory_limit_mb")
-        )
+        over = F.format_string(OVER_TEXT, mb, F.col("memory_limit_mb"))
         log = F.concat(
             s["attempts"],
             F.array(
@@ -146,10 +147,9 @@ def probe_windows(
     note = F.when(
         F.col("gpu_index").isNotNull(),
         F.format_string(
-            "GPU %d (%s) limit %.0f MiB",
-            F.col("gpu_index"), F.col("gpu_name"), F.col("memory_limit_mb"),
+            DEVICE_NOTE, F.col("gpu_index"), F.col("gpu_name"), F.col("memory_limit_mb")
         ),
-    ).otherwise(F.lit("Assumed 4 GiB limit (no GPUs detected)"))
+    ).otherwise(F.lit(NO_DEVICE_NOTE))
     return found.select(
         "recording_id",
         "audio_path",

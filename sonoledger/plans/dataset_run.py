@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sonoledger.operators import reports as R
 from sonoledger.operators.audio import cut_windows, manifest_from_blobs
-from sonoledger.operators.bundle import BundleOptions, write_bundle
+from sonoledger.operators.bundle import BundleOptions, write_bundle, write_recording_reports
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
 from sonoledger.operators.score import (
     SCORED,
@@ -271,10 +271,14 @@ def run_dataset(
     table = f"{at.aggregate}/all_detections.parquet"
     write_detections(dataset_detections(spark, root), table, clustered=True)
     detections = spark.read.schema(DETECTIONS).parquet(table)
-    written = (
-        write_bundle(detections, at.aggregate, run_name, bundle) if bundle is not None else {}
-    )
-    labels, recordings, _ = R.folder_rollup(detections, rollup_limit)
+    rolled = materialise(R.rollup(detections), "rollup")
+    written = {}
+    if bundle is not None:
+        written = write_bundle(detections, at.aggregate, run_name, bundle, rolled=rolled)
+        folder = f"{at.aggregate}/{run_name}_recordings"
+        write_recording_reports(rolled, folder, bundle)
+        written["recordings"] = folder
+    labels, recordings, _ = R.folder_rollup(rolled, rollup_limit)
     folder = f"{at.aggregate}/aggregate_summary"
     write_report_csv(labels, f"{folder}/label_summary.csv")
     write_report_csv(recordings, f"{folder}/recording_summary.csv")

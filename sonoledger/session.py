@@ -72,3 +72,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a plain file scan out when it has fewer tasks than cores.
+
+    For costly work per row on one unsplittable file. A scan of many files or
+    blocks, as on a cluster, is returned as it is: no shuffle is added there.
+    Only for frames without a shuffle, whose task count is known from planning.
+    """
+
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-
-from sonoledger.schemas import CHUNK_PLAN
+from pyspark.sql import functions as F
 
 
 def write_report_csv(report: DataFrame, path: str) -> str:
@@ -20,14 +19,17 @@ def write_summary_json(summary: DataFrame, path: str) -> str:
 
 
 def write_plan(plan: DataFrame, path: str, fmt: str = "csv") -> str:
-    """A plan as CSV or JSON lines; the reader of saved plans takes both."""
+    """A plan as CSV or JSON lines; the reader of saved plans takes both.
+
+    Columns that only served the selection are left out. CSV has no lists, so
+    there they are written as JSON text.
+    """
 
-    columns = [c for c in plan.columns if c in CHUNK_PLAN.names] or plan.columns
-    if "chunk_status" in plan.columns:
-        columns = plan.columns
-    writer = plan.select(*columns).write.mode("overwrite")
+    rows = plan.drop("status", "has_manifest")
     if fmt == "json":
-        writer.json(path, ignoreNullFields=False)
-    else:
-        writer.csv(path, header=True, nullValue="", escape='"')
+        rows.write.mode("overwrite").json(path, ignoreNullFields=False)
+        return path
+    lists = [f.name for f in rows.schema if f.dataType.typeName() == "array"]
+    rows = rows.withColumns({name: F.to_json(name) for name in lists}) if lists else rows
+    rows.write.mode("overwrite").csv(path, header=True, nullValue="", escape='"')
     return path

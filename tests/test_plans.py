@@ -12,6 +12,7 @@ from sonoledger.plans.infer_plan import (
 from sonoledger.plans.resume import orphan_counts, pending_jobs, resume_entries, unmatched_entries
 from sonoledger.sources.manifests import read_plan_manifests
 from sonoledger.sources.status import append_status, latest_status, read_status
+from sonoledger.sources.tables import write_plan
 
 STATUS = "recording_id string, updated_at string, status string"
 
@@ -87,6 +88,21 @@ def test_infer_plan(spark):
     assert [r.output_dir for r in output_locations(got).collect()] == ["/o"]
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_plans_are_saved_and_read_back(spark, tmp_path, fmt):
+    cut = write_plan(plan(spark), f"{tmp_path}/cut.{fmt}", fmt)
+    saved = read_plan_manifests(spark, cut, lines=True)
+    assert sorted(r.manifest_path for r in saved.collect()) == ["/d/manifests/rec2.csv", "/d/manifests/rec3.csv"]
+    assert ids(saved) == ["rec2", "rec3"]
+    manifests = frame(spark, "recording_id string, manifest_path string", ("rec1", "/m/rec1.csv"))
+    infer = build_infer_plan(manifests, frame(spark, "recording_id string"), frame(spark, STATUS),
+                             detector_args=["--a", "1"])
+    path = write_plan(infer, f"{tmp_path}/infer.{fmt}", fmt)
+    assert [r.manifest_path for r in read_plan_manifests(spark, path, lines=True).collect()] == ["/m/rec1.csv"]
+    if fmt == "csv":
+        assert spark.read.csv(path, header=True, escape='"').first().detector_args == '["--a","1"]'
+
+
 def test_saved_plans(spark, tmp_path):
     (tmp_path / "p.csv").write_text("recording_id,manifest_path\nx,foo.csv\ny,\n")
     (tmp_path / "p.json").write_text(json.dumps([{"manifest": "bar.csv"}, {"manifest": None}], indent=1))

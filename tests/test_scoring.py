@@ -153,5 +153,7 @@ def test_run_dataset(spark, tmp_path):
     labels = spark.read.csv(f"{out['rollup']}/label_summary.csv", header=True).collect()
     assert [(r.label, r.detections) for r in labels] == [("none", "2")]
     assert spark.table("e2e.recording_summary").first().detections == 2
+    per = spark.read.parquet(f"{out['recordings']}/labels.parquet").first()
+    assert (per.recording_id, per.label, per.detections, per["rank"]) == ("rec1", "none", 2, 1)
     states = latest_status(read_status(spark, Layout.below(root).status)).collect()
     assert [(r.recording_id, r.status) for r in states] == [("rec1", "completed")]

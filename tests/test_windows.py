@@ -1,5 +1,6 @@
-import io
 import hashlib
+import io
+import itertools
 import math
 import wave
 
@@ -73,12 +74,11 @@ def test_bad_arguments(spark):
 
 
 def by_addition(duration, length):
-    out, start = [], 0.0
-    while start < duration:
-        end = min(start + length, duration)
-        out.append((start, end))
-        start = end
-    return out
+    """Starts are a running sum; each window ends where the next begins."""
+
+    starts = list(itertools.takewhile(
+        lambda s: s < duration, itertools.accumulate(itertools.repeat(length), initial=0.0)))
+    return list(zip(starts, [*starts[1:], duration]))
 
 
 @pytest.mark.parametrize("length", [0.1, 0.7, 7.3, 30.0, 0.25])
@@ -162,34 +162,28 @@ def test_cutting_reports_missing_files(spark):
     assert len(rows) == 2 and all(r.content is None and "FileNotFound" in r.error for r in rows)
 
 
-def reference_probe(duration, bps, limit, initial=60.0, top=None, tol=5.0):
-    longest = max(tol, duration if top is None else min(top, duration))
-    tried = []
-
-    def fits(c):
-        ok = bps * 4 * min(c, longest) * 1.35 / 2**20 <= limit
-        tried.append((c, ok))
-        return ok
-
-    low, high, cand = 0.0, longest, min(initial, longest)
-    ok = fits(cand)
-    if ok:
-        low = cand
-    else:
-        high = cand
-        while cand > tol and not ok:
-            cand = max(tol, cand / 2)
-            ok = fits(cand)
-            if not ok:
-                high = cand
-        low = cand if ok else tol
-    while high - low > tol:
-        mid = (low + high) / 2
-        if fits(mid):
-            low = mid
+def check_search(attempts, best, longest, limit, mb_per_s, initial, tol):
+    """Every attempt follows from what the ones before it showed."""
+
+    for n, now in enumerate(attempts):
+        before = attempts[:n]
+        good = [a.duration_s for a in before if a.fits]
+        bad = [a.duration_s for a in before if not a.fits]
+        if not before:
+            expected = min(initial, longest)
+        elif not good and bad[-1] > tol:
+            expected = max(tol, bad[-1] / 2)
         else:
-            high = mid
-    return round(low, 2), tried
+            expected = (max(good, default=tol) + min(bad, default=longest)) / 2
+        assert now.duration_s == expected and now.attempt == n + 1
+        assert now.fits == (now.estimated_vram_mb <= limit)
+        assert math.isclose(now.estimated_vram_mb, mb_per_s * now.duration_s, rel_tol=1e-12)
+    good = [a.duration_s for a in attempts if a.fits]
+    bad = [a.duration_s for a in attempts if not a.fits]
+    assert best == round(max(good, default=tol), 2)
+    # The search is over: something fits up to the tolerance, or nothing at all does.
+    assert min(bad, default=longest) - max(good, default=tol) <= tol
+    assert good or min(bad) <= tol
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -206,10 +200,9 @@ def test_probe_search(spark, recs, initial, tol, top):
     probes = probe_windows(df, devices, initial, top, tol)
     got = {r.recording_id: r for r in probes.collect()}
     for i, (d, rate) in enumerate(recs):
-        best, tried = reference_probe(d, rate * 4, limits[i % 4], initial, top, tol)
-        row = got[f"r{i}"]
-        assert row.max_duration_s == best
-        assert [(a.duration_s, a.fits) for a in row.attempts] == tried
+        row, longest = got[f"r{i}"], max(tol, d if top is None else min(top, d))
+        mb_per_s = rate * 4 * 4 * 1.35 / 2**20
+        check_search(row.attempts, row.max_duration_s, longest, limits[i % 4], mb_per_s, initial, tol)
     assert probe_attempts(probes).filter("attempt = 1").count() == len(recs)
 
 

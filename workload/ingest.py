@@ -15,7 +15,7 @@ from sonoledger.operators.ingest import (
     ingest,
     read_detections,
 )
-from sonoledger.session import materialise, shared_dir
+from sonoledger.session import materialise, shared_dir, spread_scan
 from sonoledger.sources.labels import normalise_labels, read_raw_labels
 from sonoledger.sources.manifests import manifest_index, read_manifest, write_manifest
 from sonoledger.sources.payloads import count_unreadable, parse_payloads
@@ -25,7 +25,7 @@ from workload.proxies import JOBS_SQL, jobs, table
 def payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payload text per event: 0 to 2 detections, keys left out here and there."""
 
-    events = table(spark, sf_dir, "events")
+    events = spread_scan(table(spark, sf_dir, "events"))
     det = (
         "transform(filter(array(1, 2), k -> k <= user_id % 3), k -> named_struct("
         "'timestamp_ms', k * 500, 'end_ms', concat(k * 500 + 400, '.9'),"
@@ -202,7 +202,10 @@ def _pending(spark, sf_dir):
 def _raw_label_rows(spark, sf_dir):
     """Line items as raw label rows; the seventh line names no file."""
 
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_discount"
+    )
+    return spread_scan(lines).selectExpr(
         "concat('/raw/', l_orderkey div 4) AS dir",
         "if(l_linenumber = 7, '', concat('/deep/chunk_', l_orderkey, '.wav')) AS filename",
         "cast(l_quantity / 10 AS string) AS start_time",
