@@ -27,10 +27,9 @@ def spread_join(
     ``spread_by``, so a repeated task makes the same choice. NULL keys, which
     never match, are spread too.
 
-    Shuffling on (key, salt) has a second use: a lookup that comes out of an
-    aggregation is already partitioned by key, and adaptive execution does not
-    split such a join. With the salt both inputs are plain shuffles, which it
-    splits by size. A lookup that turns out small is broadcast by its real size.
+    This holds whatever the session's adaptive settings are; with them on, what is
+    still too large is split further, and a lookup that turns out small is
+    broadcast by its real size.
     """
 
     if how not in ("left", "left_anti", "left_semi"):
