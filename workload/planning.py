@@ -336,7 +336,8 @@ bits AS (SELECT ok.*, b FROM ok LEFT JOIN (SELECT unnest(range(0, 3)) AS b) bs
 
 _AUDIO = """WITH t AS (SELECT 'rec_' || item_id AS recording_id, octet_length(encode(text)) AS n
   FROM benchmark WHERE octet_length(encode(text)) > 0),
-w AS (SELECT *, s * 100 AS start_ms, least(s + 30, n) * 100 AS end_ms
+w AS (SELECT *, CAST(trunc(s / 10 * 1000) AS BIGINT) AS start_ms,
+             CAST(trunc(least(s + 30, n) / 10 * 1000) AS BIGINT) AS end_ms
       FROM (SELECT *, unnest(range(0, n, 20)) AS s FROM t))
 """
 

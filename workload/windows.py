@@ -291,15 +291,18 @@ SELECT 'rec_' || item_id AS recording_id, 1 AS channels, 10 AS sample_rate,
 WITH t AS (SELECT 'rec_' || item_id AS recording_id, hex(encode(text)) AS h,
                   octet_length(encode(text)) AS n FROM benchmark),
 w AS (SELECT *, unnest(range(0, n, 20)) AS s FROM t),
-e AS (SELECT *, least(s + 30, n) AS f FROM w)
-SELECT recording_id, recording_id || '_chunk_' || (s * 100) || '_' || (f * 100) AS chunk_id,
-       s * 100 AS start_ms, f * 100 AS end_ms,
+e AS (SELECT *, least(s + 30, n) AS f FROM w),
+c AS (SELECT *, CAST(trunc(s / 10 * 1000) AS BIGINT) AS start_ms,
+             CAST(trunc(f / 10 * 1000) AS BIGINT) AS end_ms FROM e)
+SELECT recording_id, recording_id || '_chunk_' || start_ms || '_' || end_ms AS chunk_id,
+       start_ms, end_ms,
        substr(h, CAST(s * 2 + 1 AS BIGINT), CAST((f - s) * 2 AS BIGINT)) AS samples,
-       CAST(44 + f - s AS INTEGER) AS bytes, true AS hash_fits FROM e""",
+       CAST(44 + f - s AS INTEGER) AS bytes, true AS hash_fits FROM c""",
     "window_audio_manifest": """
 WITH t AS (SELECT 'rec_' || item_id AS recording_id, octet_length(encode(text)) AS n FROM benchmark),
 w AS (SELECT *, unnest(range(0, n, 20)) AS s FROM t),
-e AS (SELECT *, s * 100 AS start_ms, least(s + 30, n) * 100 AS end_ms FROM w),
+e AS (SELECT *, CAST(trunc(s / 10 * 1000) AS BIGINT) AS start_ms,
+             CAST(trunc(least(s + 30, n) / 10 * 1000) AS BIGINT) AS end_ms FROM w),
 c AS (SELECT *, recording_id || '_chunk_' || start_ms || '_' || end_ms AS chunk_id FROM e)
 SELECT recording_id, chunk_id, '/chunks/' || recording_id || '/' || chunk_id || '.wav' AS source_path,
        start_ms, end_ms, CAST(1000 AS BIGINT) AS overlap_ms, CAST(64 AS INTEGER) AS hash_length FROM c""",
