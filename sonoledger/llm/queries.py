@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sonoledger.llm.chat import SYNTHETIC, chat_digests, with_synthetic
+from sonoledger.llm.decontaminate import WINDOW, contamination
+from sonoledger.llm.language import identify
 from sonoledger.llm.pieces import encode_texts
 from sonoledger.llm.shards import SHARDS, byte_shards
 
@@ -19,6 +21,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), piece_model())
 
@@ -27,13 +33,19 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(with_synthetic(table(spark, sf_dir, "conversations")))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_chat_formatting": op4_chat_formatting,
+    "op6_decontamination": op6_decontamination,
     "op10_sharding": op10_sharding,
 }
 
@@ -86,4 +98,35 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' A
 FROM cut
 """
 
-ORACLE = {"op4_chat_formatting": OP4_SQL, "op10_sharding": OP10_SQL}
+# An occurrence is an equal run of words at a place; words are numbered from 1.
+OP6_SQL = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, w, len(w) AS n FROM (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents)
+), b AS (
+  SELECT item, w, least({WINDOW}, len(w)) AS m FROM (
+    SELECT coalesce(item_id::VARCHAR, '') AS item,
+      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark)
+  WHERE len(w) > 0
+), pat AS (
+  SELECT DISTINCT item, m, array_to_string(w[i : i + m - 1], ' ') AS p
+  FROM (SELECT item, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM b)
+), places AS (
+  SELECT r, w, m, unnest(range(1, n - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM pat) WHERE n >= m
+), occ AS (
+  SELECT r, i, pat.m, item
+  FROM (SELECT r, i, m, array_to_string(w[i : i + m - 1], ' ') AS p FROM places) x JOIN pat USING (m, p)
+), hit AS (
+  SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS k FROM occ) GROUP BY r
+), it AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM occ) GROUP BY r
+)
+SELECT doc_id, n AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
+"""
+
+ORACLE = {"op6_decontamination": OP6_SQL, "op4_chat_formatting": OP4_SQL, "op10_sharding": OP10_SQL}
