@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 
 # Bytes of text worked on at once; only a single longer text makes a larger slice.
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -49,7 +50,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.
     row, rows = 0, len(offsets) - 1
     while row < rows:
         stop = int(np.searchsorted(offsets, offsets[row] + most, side="right")) - 1
-        stop = min(max(stop, row + 1), rows)
+        stop = min(max(stop, row + 1), row + SLICE_ROWS, rows)
         part = offsets[row : stop + 1]
         yield row, data[part[0] : part[-1]], part - part[0]
         row = stop

@@ -9,6 +9,7 @@ from sonoledger.llm.decontaminate import WINDOW, contamination
 from sonoledger.llm.language import identify
 from sonoledger.llm.pieces import encode_texts
 from sonoledger.llm.shards import SHARDS, byte_shards
+from sonoledger.llm.toxicity import score_documents, train as train_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +38,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"))
 
@@ -46,6 +52,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_chat_formatting": op4_chat_formatting,
     "op6_decontamination": op6_decontamination,
+    "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
 }
 
