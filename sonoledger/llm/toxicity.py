@@ -5,8 +5,8 @@ three equal letters in a row, single letters with gaps between them. Each such s
 lattice: a sign may stand for letters, a repeated letter or a gap may have been put in. A
 Viterbi search picks the path that a character 4-gram model, counted over all documents,
 together with the channel's costs finds likeliest. The restored text is scored by a noisy
-or over its words: each learned word makes a text toxic with the share of toxic texts
-among the labelled ones that hold it.
+or over its words and word beginnings: each learned one makes a text toxic with the share
+of toxic texts among the labelled ones that hold it.
 
 Cases: null and empty texts get the score of a text without words; ids that are null are
 never learned from and not held out; several labels of one id count as toxic if any is;
@@ -31,7 +31,9 @@ from sonoledger.llm.language import held_out
 
 WORD_BITS = 44  # of a word's hash; the rows of a slice fit beside them
 MAX_ROWS = 12_000  # labelled texts of each label that the classifier may see
-LEAST_TEXTS = 3  # sampled texts a learned word must be in
+LEAST_TEXTS = 3  # sampled texts a learned feature must be in
+LEAST_SHARE, LEAST_STEM_SHARE = 0.8, 0.95  # of them that must be toxic, for words and beginnings
+STEMS = (4, 5, 6)  # bytes of word beginnings that are features beside the word
 
 # What a sign may stand for.
 LEET = {
@@ -268,16 +270,27 @@ def restore_slice(
     return np.frombuffer(b"".join(pieces), np.uint8), offsets + shift[np.searchsorted(places, offsets, side="right")], changes
 
 
-def _word_features(batch_column, decoder: Decoder, hasher: Hasher) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, rows, row of each word, word): distinct words of restored texts."""
+def _word_features(column, decoder: Decoder, hasher: Hasher) -> Iterator[tuple]:
+    """(first row, rows, row of each feature, feature, words) of restored texts, by slices.
 
-    for first, data, offsets in slices(batch_column):
+    Features are the distinct words of a text and their first bytes.
+    """
+
+    bits = np.uint64(WORD_BITS)
+    for first, data, offsets in slices(column):
         data, offsets, _ = restore_slice(data, offsets, decoder)
         words = words_of(data, offsets, hasher)
-        bits = np.uint64(WORD_BITS)
-        keys = np.unique((words.doc.astype(np.uint64) << bits) | (words.hash >> (np.uint64(64) - bits)))
-        word = keys & ((np.uint64(1) << bits) - np.uint64(1))
-        yield first, len(offsets) - 1, (keys >> bits).astype(np.int64), word.astype(np.int64)
+        # The last bit of a feature tells word beginnings from words.
+        hashes, docs = [words.hash >> (np.uint64(64) - bits) & ~np.uint64(1)], [words.doc]
+        for stem in STEMS:
+            longer = np.flatnonzero(words.end - words.start > stem)
+            start = words.start[longer]
+            stems = mix(hasher.ranges(words.low, start, start + stem) + np.uint64(stem))
+            hashes.append(stems >> (np.uint64(64) - bits) | np.uint64(1))
+            docs.append(words.doc[longer])
+        keys = np.unique((np.concatenate(docs).astype(np.uint64) << bits) | np.concatenate(hashes))
+        feature = keys & ((np.uint64(1) << bits) - np.uint64(1))
+        yield first, len(offsets) - 1, (keys >> bits).astype(np.int64), feature.astype(np.int64), words
 
 
 class ToxicityModel:
@@ -293,7 +306,7 @@ class ToxicityModel:
 
         def score(column) -> np.ndarray:
             clean = np.full(len(column), np.log1p(-self.base))
-            for first, rows, row, word in _word_features(column, decoder, hasher):
+            for first, rows, row, word, _ in _word_features(column, decoder, hasher):
                 at = np.searchsorted(self.words, word)
                 known = np.flatnonzero(at < len(self.words))
                 known = known[self.words[at[known]] == word[known]]
@@ -303,37 +316,65 @@ class ToxicityModel:
         return score
 
 
-def _families(rows: list[np.ndarray]) -> np.ndarray:
-    """A number per text that near copies mostly share: its words' minima under three hashes."""
+def _copy_keys(words, rows: int) -> np.ndarray:
+    """(rows, 12) keys, of which near copies share some: minima of word pairs in 64 bins, four to a key."""
+
+    pair = mix(words.hash[:-1] * np.uint64(3) + words.hash[1:])
+    same = words.doc[:-1] == words.doc[1:]
+    pair, doc = pair[same], words.doc[:-1][same]
+    none = np.uint64(2**64 - 1)
+    minima = np.full(rows * 64, none)
+    np.minimum.at(minima, doc * 64 + (pair >> np.uint64(58)).astype(np.int64), pair)
+    minima = minima.reshape(rows, 64)[:, :48].reshape(rows, 12, 4)
+    keys = np.zeros((rows, 12), np.uint64)
+    for k in range(4):
+        keys = mix(keys + minima[:, :, k])
+    return np.where((minima == none).any(axis=2), np.uint64(0), keys)  # 0: too short to tell
+
+
+def _families(keys: np.ndarray) -> np.ndarray:
+    """A number per text; texts that share a key, over any number of steps, share it."""
+
+    parent = np.arange(len(keys))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
 
-    out = np.zeros(len(rows), np.uint64)
-    for seed in (1, 2, 3):
-        spread = [mix(r.astype(np.uint64) * np.uint64(2 * seed + 1) + np.uint64(seed)) for r in rows]
-        out = mix(out + np.array([s.min() if len(s) else 0 for s in spread], np.uint64))
-    return out
+    seen: dict[tuple[int, int], int] = {}
+    for i, row in enumerate(keys.tolist()):
+        for place, key in enumerate(row):
+            if key:
+                a, b = root(i), root(seen.setdefault((place, key), i))
+                parent[max(a, b)] = min(a, b)
+    return np.array([root(i) for i in range(len(keys))], np.int64)
 
 
-def learn_words(held: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """(words, toxic shares, share of toxic texts among those without such words).
+def learn_words(held: list[np.ndarray], keys: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(features, toxic shares, share of toxic texts among those without such features).
 
-    A word is learned if most texts that hold it are toxic and the log-likelihood ratio
-    against the overall share stands out among as many words as were looked at. Near copies
-    of one text count once, so a wrong label that was copied teaches nothing.
+    A feature is learned if nearly all texts that hold it are toxic and the log-likelihood
+    ratio against the overall share stands out among as many features as were looked at.
+    Near copies of one text count once, as a share of a text each way, so that what was
+    copied often isn't taken for evidence.
     """
 
     lengths = [len(h) for h in held]
     frame = pd.DataFrame({
         "word": np.concatenate([*held, np.zeros(0, np.int64)]),
-        "family": np.repeat(_families(held), lengths),
-        "toxic": np.repeat(labels, lengths),
-    }).drop_duplicates(["word", "family"])
-    found = frame.groupby("word")["toxic"].agg(["sum", "count"]).query(f"count >= {LEAST_TEXTS}")
+        "family": np.repeat(_families(keys), lengths),
+        "toxic": np.repeat(labels.astype(float), lengths),
+    }).groupby(["word", "family"], sort=True)["toxic"].mean().groupby("word")
+    found = frame.agg(["sum", "count"]).query(f"count >= {LEAST_TEXTS}")
     k, n = found["sum"].to_numpy(float), found["count"].to_numpy(float)
     overall = float(np.clip(labels.mean(), 1e-6, 1 - 1e-6))
     p = np.clip(k / n, 1e-9, 1 - 1e-9)
     ratio = 2 * (k * np.log(p / overall) + (n - k) * np.log((1 - p) / (1 - overall)))
     share = (k + 0.5) / (n + 1)
-    learned = (share > 0.5) & (ratio > 2 * np.log(max(len(found), 1)) + 4)
+    least = np.where(found.index.to_numpy(np.int64) & 1, LEAST_STEM_SHARE, LEAST_SHARE)
+    learned = (share > least) & (ratio > 2 * np.log(max(len(found), 1)) + 4)
     words = found.index.to_numpy(np.int64)[learned]
     without = np.array([not np.isin(h, words).any() for h in held], bool)
     base = (labels[without].sum() + 0.5) / (without.sum() + 1)
@@ -365,20 +406,23 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxic
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder, hasher = Decoder(characters), Hasher()
         for batch in batches:
-            found: list[bytes] = []
-            for _, rows, row, word in _word_features(batch.column(1), decoder, hasher):
+            found, keys = [], []
+            for _, rows, row, feature, words in _word_features(batch.column(1), decoder, hasher):
                 bounds = np.searchsorted(row, np.arange(rows + 1))
-                found += [word[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["label", "words"])
+                found += [feature[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                keys += [k.tobytes() for k in _copy_keys(words, rows)]
+            columns = [batch.column(0), pa.array(found, pa.binary()), pa.array(keys, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "words", "copies"])
 
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True).groupby("words", as_index=False)["label"].max()
+        rows = pd.concat(list(batches), ignore_index=True).groupby(["words", "copies"], as_index=False)["label"].max()
         held = [np.frombuffer(w, np.int64) for w in rows["words"]]
-        words, shares, base = learn_words(held, rows["label"].to_numpy(int))
+        keys = np.array([np.frombuffer(c, np.uint64) for c in rows["copies"]], np.uint64).reshape(-1, 12)
+        words, shares, base = learn_words(held, keys, rows["label"].to_numpy(int))
         yield pd.DataFrame({"words": [words.tobytes()], "shares": [shares.tobytes()], "base": [base]})
 
     model = (
-        sample.mapInArrow(featured, "label int, words binary")
+        sample.mapInArrow(featured, "label int, words binary, copies binary")
         .repartition(1)  # the bounded sample
         .mapInPandas(fitted, "words binary, shares binary, base double")
         .first()
