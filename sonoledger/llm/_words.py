@@ -41,7 +41,9 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(
+    column: pa.Array, most: int = SLICE_BYTES, most_rows: int = SLICE_ROWS
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows holding about ``most`` bytes."""
 
     if isinstance(column, pa.ChunkedArray):
@@ -50,7 +52,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.
     row, rows = 0, len(offsets) - 1
     while row < rows:
         stop = int(np.searchsorted(offsets, offsets[row] + most, side="right")) - 1
-        stop = min(max(stop, row + 1), row + SLICE_ROWS, rows)
+        stop = min(max(stop, row + 1), row + most_rows, rows)
         part = offsets[row : stop + 1]
         yield row, data[part[0] : part[-1]], part - part[0]
         row = stop

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sonoledger.llm.chat import SYNTHETIC, chat_digests, with_synthetic
 from sonoledger.llm.decontaminate import WINDOW, contamination
 from sonoledger.llm.language import identify
+from sonoledger.llm.near_dup import near_duplicates
 from sonoledger.llm.pieces import encode_texts
 from sonoledger.llm.shards import SHARDS, byte_shards
 from sonoledger.llm.toxicity import score_documents, train as train_toxicity
@@ -34,6 +35,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(with_synthetic(table(spark, sf_dir, "conversations")))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +56,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
