@@ -8,6 +8,7 @@ from sonoledger.llm.chat import SYNTHETIC, chat_digests, with_synthetic
 from sonoledger.llm.decontaminate import WINDOW, contamination
 from sonoledger.llm.language import identify
 from sonoledger.llm.near_dup import near_duplicates
+from sonoledger.llm.page_text import extract_pages, learn_weights
 from sonoledger.llm.pieces import encode_texts
 from sonoledger.llm.shards import SHARDS, byte_shards
 from sonoledger.llm.toxicity import score_documents, train as train_toxicity
@@ -23,6 +24,11 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract_pages(pages, learn_weights(pages))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_language_id": op2_language_id,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_chat_formatting": op4_chat_formatting,
