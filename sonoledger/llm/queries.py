@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sonoledger.llm.chat import SYNTHETIC, chat_digests, with_synthetic
 from sonoledger.llm.decontaminate import WINDOW, contamination
@@ -11,6 +12,7 @@ from sonoledger.llm.near_dup import near_duplicates
 from sonoledger.llm.page_text import extract_pages, learn_weights
 from sonoledger.llm.pieces import encode_texts
 from sonoledger.llm.shards import SHARDS, byte_shards
+from sonoledger.llm.vectors import nearest
 from sonoledger.llm.toxicity import score_documents, train as train_toxicity
 
 
@@ -49,6 +51,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -65,6 +71,7 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
 }
