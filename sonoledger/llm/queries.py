@@ -11,6 +11,7 @@ from sonoledger.llm.language import identify
 from sonoledger.llm.near_dup import near_duplicates
 from sonoledger.llm.page_text import extract_pages, learn_weights
 from sonoledger.llm.pieces import encode_texts
+from sonoledger.llm.secrets_scan import scan, train as train_secrets
 from sonoledger.llm.shards import SHARDS, byte_shards
 from sonoledger.llm.vectors import nearest
 from sonoledger.llm.toxicity import score_documents, train as train_toxicity
@@ -51,6 +52,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scan(docs, train_secrets(docs))
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -71,6 +77,7 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
+    "op7_secret_scan": op7_secret_scan,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
