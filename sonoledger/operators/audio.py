@@ -64,7 +64,10 @@ def _slice(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _window_wav(source, row) -> bytes:
     frame = int(row.channels) * int(row.sample_width_bytes)
     source.seek(int(row.data_offset) + int(row.start_frame) * frame)
-    samples = source.read((int(row.end_frame) - int(row.start_frame)) * frame)
+    wanted = (int(row.end_frame) - int(row.start_frame)) * frame
+    samples = source.read(wanted)
+    if len(samples) != wanted:
+        raise ValueError(f"window ends early: {len(samples)} of {wanted} bytes")
     target = io.BytesIO()
     with wave.open(target, "wb") as out:
         out.setnchannels(int(row.channels))

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonoledger.functions.paths import basename, tidy_path
 from sonoledger.functions.scalars import absolute_time, first_text
 from sonoledger.operators.dataset_roots import attach_dataset_root
-from sonoledger.operators.skew import spread_join
 from sonoledger.schemas import DETECTIONS
 from sonoledger.session import materialise
 from sonoledger.sources._scan import nothing_there
 from sonoledger.sources.detections import write_detections, write_detections_csv
-from sonoledger.sources.labels import list_label_dirs, read_raw_labels
+from sonoledger.sources.labels import LABEL_FILE_NAME, list_label_dirs, read_raw_labels
 from sonoledger.sources.manifests import manifest_index, read_manifest
-from sonoledger.sources.payloads import read_payloads
+from sonoledger.sources.payloads import RAW_OUTPUT_KEY, read_payloads
 
 # Texts written where the payload has none.
 PLACEHOLDER_LABEL = "none"
@@ -25,6 +26,9 @@ STATUS_WITHOUT_DETECTIONS = "unknown"
 STATUS_NO_ROWS = "no_detections"
 STATUS_NO_FILE = "no_output"
 
+# Parts a folder's blank file name is dealt over.
+BLANK_SALTS = 8
+
 _LABEL_FIELDS = ["timestamp_ms", "end_ms", "label", "label_code", "label_name", "confidence"]
 
 
@@ -50,7 +54,8 @@ def enrich_payloads(
             F.col("end_ms").alias("m_end_ms"),
             F.col("sha256").alias("m_sha256"),
         )
-        joined = spread_join(payloads, known, "chunk_id", ["file_path"])
+        # One row per window on the right and about one on the left: nothing to split.
+        joined = payloads.join(known, "chunk_id", "left")
     else:
         joined = payloads.withColumns(
             {
@@ -150,31 +155,47 @@ def window_names(pending: DataFrame) -> DataFrame:
 
 
 def detections_with_labels(
-    enriched: DataFrame, labels: DataFrame, label_dirs: DataFrame
+    enriched: DataFrame, labels: DataFrame, label_dirs: DataFrame, label_base: str | None = None
 ) -> DataFrame:
-    """Like :func:`explode_detections`, reading label files where a payload is empty."""
+    """Like :func:`explode_detections`, reading label files where a payload is empty.
+
+    One left join of windows by name with label rows. A folder that holds a label file
+    adds a marker to its blank name, so the join also tells a file without fitting rows
+    from a missing one. Only the blank name of a folder can gather many windows; its
+    windows are dealt over ``BLANK_SALTS``, its label rows copied as often.
+
+    Relative label folders are resolved against ``label_base`` (the working directory,
+    if not given).
+    """
 
     needs_labels = ~_has_detections() & F.col("label_dir").isNotNull()
     direct = explode_detections(enriched.filter(~needs_labels))
-    pending = enriched.filter(needs_labels).withColumn(
-        "label_dir", tidy_path("label_dir")
+    base = (label_base or os.getcwd()).rstrip("/")
+    absolute = F.when(F.col("label_dir").rlike("^(/|[A-Za-z][A-Za-z0-9+.-]*:)"), F.col("label_dir")).otherwise(
+        F.concat(F.lit(f"{base}/"), F.regexp_replace("label_dir", r"^(\./)+", ""))
     )
-    named, key = window_names(pending), ["label_dir", "file_name"]
-    found = labels.select(*key, F.struct(*_LABEL_FIELDS).alias("det"))
-    from_labels = _canonical(named.join(found, key), F.lit(STATUS_WITH_DETECTIONS))
-    # Which payloads matched at all needs the label keys only, each once.
-    matched = named.select("file_path", *key).join(labels.select(*key), key, "left_semi")
-    unmatched = spread_join(
-        pending.join(matched.select("file_path"), "file_path", "left_anti"),
-        label_dirs.select("label_dir", F.lit(True).alias("has_file")),
-        "label_dir",
-        ["file_path"],
+    pending = enriched.filter(needs_labels).withColumn("label_dir", tidy_path(absolute))
+    blank = F.col("file_name") == ""
+    named = window_names(pending).withColumn(
+        "salt", F.when(blank, F.pmod(F.xxhash64("file_path"), F.lit(BLANK_SALTS))).otherwise(0).cast("int")
     )
-    placeholders = _canonical(
-        unmatched.withColumn("det", F.get(F.col("detections"), F.lit(0))),
-        F.when(F.col("has_file"), F.lit(STATUS_NO_ROWS)).otherwise(F.lit(STATUS_NO_FILE)),
+    rows = labels.select("label_dir", "file_name", F.struct(*_LABEL_FIELDS).alias("det"))
+    marks = label_dirs.select("label_dir", F.lit("").alias("file_name"), F.lit(None).cast(rows.schema["det"].dataType).alias("det"))
+    salts = F.sequence(F.lit(0), F.when(blank, BLANK_SALTS - 1).otherwise(0))
+    found = rows.unionByName(marks).withColumn("salt", F.explode(salts)).withColumn("has_file", F.lit(True))
+    joined = named.join(found, ["label_dir", "file_name", "salt"], "left")
+    # A payload without any label row keeps one placeholder, under its blank name.
+    of_payload = Window.partitionBy("file_path")
+    kept = (
+        joined.withColumn("hit", F.max(F.col("det").isNotNull()).over(of_payload))
+        .withColumn("dir_has_file", F.max(F.coalesce("has_file", F.lit(False))).over(of_payload))
+        .filter(F.col("det").isNotNull() | (~F.col("hit") & blank))
     )
-    return direct.unionByName(from_labels).unionByName(placeholders)
+    status = (
+        F.when(F.col("hit"), F.lit(STATUS_WITH_DETECTIONS))
+        .when(F.col("dir_has_file"), F.lit(STATUS_NO_ROWS)).otherwise(F.lit(STATUS_NO_FILE))
+    )
+    return direct.unionByName(_canonical(kept, status))
 
 
 def read_detections(
@@ -183,26 +204,29 @@ def read_detections(
     manifest: str | DataFrame | None = None,
     label_root: str | None = None,
     dataset_roots: DataFrame | None = None,
+    raw_output_key: str = RAW_OUTPUT_KEY,
+    label_file: str = LABEL_FILE_NAME,
+    label_base: str | None = None,
 ) -> DataFrame:
     """Detections from a tree of payload files.
 
-    ``label_root`` turns on the raw-label fallback; label files are looked for
-    below it. The enriched payloads are then written once to the shared folder,
-    since three branches read them.
+    A payload without detections takes them from the ``label_file`` in the folder that
+    its ``raw_output_key`` names. Such files are looked for below ``label_root``, the
+    payload tree itself if not given. The enriched payloads are written once to the
+    shared folder, since both branches read them.
     """
 
     table = read_manifest(spark, manifest) if isinstance(manifest, str) else manifest
-    enriched = enrich_payloads(read_payloads(spark, root), table, dataset_roots)
-    if label_root is None:
-        return explode_detections(enriched)
+    enriched = enrich_payloads(read_payloads(spark, root, raw_output_key), table, dataset_roots)
     enriched = materialise(enriched, "payloads")
+    label_root = root if label_root is None else label_root
     try:
-        labels = read_raw_labels(spark, label_root)
+        labels = read_raw_labels(spark, label_root, label_file)
     except AnalysisException as exc:  # no label file at all: no payload has output
         if not nothing_there(exc):
             raise
         return explode_without_label_files(enriched)
-    return detections_with_labels(enriched, labels, list_label_dirs(spark, label_root))
+    return detections_with_labels(enriched, labels, list_label_dirs(spark, label_root, label_file), label_base)
 
 
 def explode_without_label_files(enriched: DataFrame) -> DataFrame:
@@ -225,6 +249,9 @@ def ingest(
     label_root: str | None = None,
     dataset_roots: DataFrame | None = None,
     clustered: bool = False,
+    raw_output_key: str = RAW_OUTPUT_KEY,
+    label_file: str = LABEL_FILE_NAME,
+    label_base: str | None = None,
 ) -> DataFrame | None:
     """Build the table and export it; ``None`` and no files if there is nothing.
 
@@ -232,7 +259,9 @@ def ingest(
     what the CSV export and the caller read.
     """
 
-    detections = read_detections(spark, root, manifest, label_root, dataset_roots)
+    detections = read_detections(
+        spark, root, manifest, label_root, dataset_roots, raw_output_key, label_file, label_base
+    )
     if parquet_path:
         if detections.isEmpty():
             return None

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sonoledger.operators import reports as R
-from sonoledger.operators.audio import cut_windows, manifest_from_blobs
+from sonoledger.operators.audio import cut_windows, export_wav_files, manifest_from_blobs
 from sonoledger.operators.bundle import BundleOptions, write_bundle, write_recording_reports
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
 from sonoledger.operators.score import (
@@ -23,7 +23,6 @@ from sonoledger.operators.score import (
     result_rows,
     score_windows,
 )
-from sonoledger.operators.skew import spread_join
 from sonoledger.operators.telemetry import worker_totals
 from sonoledger.operators.windows import plan_windows
 from sonoledger.plans.chunk_plan import build_chunk_plan, runnable_plans
@@ -92,18 +91,18 @@ def _runs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         raise
 
 
-def newest_run(rows: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
+def newest_run(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the newest run per key; a repeated run replaces the earlier one."""
 
     newest = rows.groupBy(*keys).agg(F.max("run").alias("run"))
-    return spread_join(rows, newest, [*keys, "run"], spread_by, "left_semi")
+    return rows.join(newest, [*keys, "run"], "left_semi").select(*rows.columns)
 
 
 def dataset_manifest(spark: SparkSession, root: str) -> DataFrame:
     """The windows of each recording as last cut."""
 
     cuts = _runs(spark, Layout.below(root).manifest, MANIFEST)
-    return newest_run(cuts, ["recording_id"], ["chunk_id"]).drop("run")
+    return newest_run(cuts, ["recording_id"]).drop("run")
 
 
 def dataset_scores(spark: SparkSession, root: str) -> DataFrame:
@@ -116,7 +115,7 @@ def dataset_detections(spark: SparkSession, root: str) -> DataFrame:
     """Detections of the last successful score of every window."""
 
     good = dataset_scores(spark, root).filter(F.col("status") == "success")
-    newest = newest_run(good, ["recording_id", "chunk_id"], ["source_path"])
+    newest = newest_run(good, ["recording_id", "chunk_id"])
     return explode_detections(enrich_payloads(payload_rows(newest)))
 
 
@@ -129,12 +128,15 @@ def cut_dataset(
     include_existing: bool = False,
     limit: int | None = None,
     partitions: int | None = None,
+    write_files: bool = True,
 ) -> DataFrame | None:
     """Cut every planned recording, in one job; returns the status rows of this run.
 
-    Audio goes to the blob table, manifest rows follow from what was really
-    written there, and each recording ends as ``completed`` or ``failed`` with a
-    row count. One unreadable recording fails alone.
+    Audio goes to the blob table and, with ``write_files``, to one WAV file per window
+    at the manifest's ``source_path``, where detectors read it. Manifest rows follow from
+    what was really written, and each recording ends as ``completed`` or ``failed`` with
+    a row count. One unreadable recording fails alone. Recordings are told apart by their
+    path: equal file names in different folders get ids of their own.
     """
 
     at = Layout.below(root)
@@ -178,9 +180,11 @@ def cut_dataset(
     tasks = partitions or even_partitions(windows, WINDOWS_PER_TASK)
     cut_windows(windows, tasks).write.mode("overwrite").parquet(blob_path)
     blobs = spark.read.parquet(blob_path)
+    if write_files:
+        export_wav_files(blobs).write.format("noop").mode("overwrite").save()
     manifest_from_blobs(blobs).write.mode("overwrite").parquet(f"{at.manifest}/run={run_id}")
 
-    counts = blobs.groupBy("recording_id").agg(
+    counts = blobs.groupBy("recording_id", "audio_path").agg(
         F.count_if(F.col("error").isNull()).alias("manifest_rows"),
         F.max("error").alias("window_error"),
     )
@@ -188,8 +192,8 @@ def cut_dataset(
     finished = _now()
     outcome = (
         planned.drop("status", "error", "manifest_rows", "updated_at", "completed_at", "duration_s")
-        .join(facts.select("recording_id", "n_frames", "error"), "recording_id", "left")
-        .join(counts, "recording_id", "left")
+        .join(facts.select("recording_id", "audio_path", "n_frames", "error"), ["recording_id", "audio_path"], "left")
+        .join(counts, ["recording_id", "audio_path"], "left")
         .withColumn("error", error)
         .withColumns(
             {

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sonoledger.operators.skew import spread_join
-
 
 def resume_entries(results: DataFrame) -> DataFrame:
     """Distinct ``(recording_id, chunk_id)`` of successful windows; recording may be NULL."""
@@ -24,11 +22,9 @@ def pending_jobs(jobs: DataFrame, entries: DataFrame) -> DataFrame:
 
     keyed = entries.filter(F.col("recording_id").isNotNull())
     anywhere = entries.filter(F.col("recording_id").isNull()).select("chunk_id")
-    # Whatever tells jobs of one key apart, if the manifest has it.
-    known = ("source_path", "start_ms", "recording_id", "chunk_id")
-    spread = [c for c in known if c in jobs.columns]
-    rest = spread_join(jobs, keyed, ["recording_id", "chunk_id"], spread, "left_anti")
-    return spread_join(rest, anywhere, "chunk_id", spread, "left_anti")
+    return jobs.join(keyed, ["recording_id", "chunk_id"], "left_anti").join(anywhere, "chunk_id", "left_anti").select(
+        *jobs.columns
+    )
 
 
 def orphan_counts(jobs: DataFrame, entries: DataFrame) -> DataFrame:

@@ -14,12 +14,12 @@ from sonoledger.functions.scalars import (
 )
 from sonoledger.sources._scan import pick, scan_path
 
-# Fixed value: file name ending of raw label files.
-LABEL_FILE_GLOB = "*_labels.csv"
+# Fixed value: file name of raw label files.
+LABEL_FILE_NAME = "HawkEars_labels.csv"
 
 
 def read_raw_labels(
-    spark: SparkSession, root: str, glob: str = LABEL_FILE_GLOB
+    spark: SparkSession, root: str, glob: str = LABEL_FILE_NAME
 ) -> DataFrame:
     """All label files below ``root`` in one scan, keyed by the folder they lie in."""
 
@@ -48,7 +48,7 @@ def normalise_labels(rows: DataFrame, label_dir) -> DataFrame:
 
 
 def list_label_dirs(
-    spark: SparkSession, root: str, glob: str = LABEL_FILE_GLOB
+    spark: SparkSession, root: str, glob: str = LABEL_FILE_NAME
 ) -> DataFrame:
     """Folders that hold a label file, also one without rows; no content is read."""
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +12,13 @@ from sonoledger.functions.paths import parent_name, stem
 from sonoledger.functions.scalars import blank_to_null, tolerant_double, tolerant_long
 from sonoledger.sources._scan import scan_path
 
-# Top-level keys of a payload. Any key with this ending names the
-# folder holding the detector's raw label file.
+# Top-level keys of a payload. RAW_OUTPUT_KEY names the folder holding the
+# detector's raw label file.
 PAYLOAD_TEXT_KEYS = ["source_path", "status", "runner", "dataset_root", "model_version"]
-RAW_OUTPUT_KEY_ENDING = "_output"
+RAW_OUTPUT_KEY = "hawkears_output"
+
+# A repeated key counts with its last value, as in Python's JSON reader.
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 # Text keys cannot fail to read; the nested ones stay open, as they may hold anything.
 _TOP = "STRUCT<" + ", ".join(
@@ -26,10 +32,25 @@ _DETECTION = (
 )
 
 
-def read_payloads(spark: SparkSession, root: str) -> DataFrame:
+def read_payloads(spark: SparkSession, root: str, raw_output_key: str = RAW_OUTPUT_KEY) -> DataFrame:
     """Every ``*.json`` below ``root``, parsed; unreadable files are left out."""
 
-    return parse_payloads(scan_payload_text(spark, root))
+    return parse_payloads(scan_payload_text(spark, root), raw_output_key)
+
+
+@contextmanager
+def _last_value_of_repeated_keys(spark: SparkSession) -> Iterator[None]:
+    """The setting is read where a JSON expression is built, not where it runs."""
+
+    before = spark.conf.get(REPEATED_KEYS, None)
+    spark.conf.set(REPEATED_KEYS, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(REPEATED_KEYS)
+        else:
+            spark.conf.set(REPEATED_KEYS, before)
 
 
 def scan_payload_text(spark: SparkSession, root: str) -> DataFrame:
@@ -47,13 +68,19 @@ def _is_object(text: Column) -> Column:
     return text.rlike(r"^\s*\{")
 
 
-def parse_payloads(files: DataFrame) -> DataFrame:
+def parse_payloads(files: DataFrame, raw_output_key: str = RAW_OUTPUT_KEY) -> DataFrame:
     """Turn ``(file_path, value)`` rows into typed payload rows.
 
     Text that is not a JSON object is dropped (see :func:`count_unreadable`).
     ``detections`` stays an array of small structs; the caller explodes it.
     """
 
+    with _last_value_of_repeated_keys(files.sparkSession):
+        return _parsed(files, raw_output_key)
+
+
+def _parsed(files: DataFrame, raw_output_key: str) -> DataFrame:
+
     doc, top, chunk = F.col("doc"), F.col("top"), F.col("chunk_block")
     # One typed read per level; the fields below are then plain struct accesses.
     # Exploding a list of one or none drops bad text and parses once; a filter on
@@ -65,13 +92,7 @@ def parse_payloads(files: DataFrame) -> DataFrame:
         .withColumn("chunk_block", F.try_variant_get(top["chunk"], "$", _CHUNK))
         .withColumn("detection_rows", _detection_rows(top["detections"]))
     )
-    # Listing the keys is only worth it where one can have the ending.
-    keys = F.map_keys(F.try_variant_get(doc, "$", "map<string,variant>"))
-    raw_key = F.get(F.filter(keys, lambda k: k.endswith(RAW_OUTPUT_KEY_ENDING)), F.lit(0))
-    raw_dir = F.when(
-        F.col("value").contains(f'{RAW_OUTPUT_KEY_ENDING}"'),
-        F.try_variant_get(doc, F.concat(F.lit("$."), raw_key), "string"),
-    )
+    raw_dir = F.try_variant_get(doc, f"$.{raw_output_key}", "string")
     return parsed.select(
         "file_path",
         # Only an absent key falls back to the file stem; an explicit null stays null.
@@ -115,7 +136,8 @@ def _detection(det: Column) -> Column:
 def count_unreadable(files: DataFrame) -> DataFrame:
     """One row: payload files seen, and how many are not a JSON object."""
 
-    readable = F.try_parse_json("value").isNotNull() & _is_object(F.col("value"))
-    return files.agg(
-        F.count("*").alias("files"), F.count_if(~readable).alias("unreadable")
-    )
+    with _last_value_of_repeated_keys(files.sparkSession):
+        readable = F.try_parse_json("value").isNotNull() & _is_object(F.col("value"))
+        return files.agg(
+            F.count("*").alias("files"), F.count_if(~readable).alias("unreadable")
+        )

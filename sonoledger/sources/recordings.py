@@ -13,12 +13,18 @@ from sonoledger.functions.paths import posix_path, stem
 from sonoledger.schemas import RECORDINGS
 
 AUDIO_FOLDER = "audio"
+# Format tags of a WAV file. The extensible one names the real one further on.
+PCM, EXTENSIBLE = 0x0001, 0xFFFE
 
 
 def discover_recordings(
     spark: SparkSession, dataset_root: str, glob: str = "*.wav"
 ) -> DataFrame:
-    """Audio files below ``<root>/audio``; only the listing is used, no content."""
+    """Audio files below ``<root>/audio``; only the listing is used, no content.
+
+    A recording goes by its file name. Where several files have one name, each goes by
+    its path below the audio folder, ``/`` written as ``__``.
+    """
 
     files = (
         spark.read.format("binaryFile")
@@ -27,8 +33,13 @@ def discover_recordings(
         .load(f"{dataset_root.rstrip('/')}/{AUDIO_FOLDER}")
     )
     path = posix_path("path")
-    return files.select(
-        stem(path).alias("recording_id"), path.alias("audio_path"), F.col("length")
+    listed = files.select(stem(path).alias("name"), path.alias("audio_path"), F.col("length"))
+    # Names are counted first: nearly all are one row, so nothing gathers.
+    repeated = listed.groupBy("name").count().filter("count > 1").select("name", F.lit(True).alias("repeated"))
+    below = F.substring_index("audio_path", f"/{AUDIO_FOLDER}/", -1)
+    full = F.replace(F.regexp_replace(below, r"(?<=.)\.[^./]+$", ""), F.lit("/"), F.lit("__"))
+    return listed.join(repeated, "name", "left").select(
+        F.when(F.col("repeated"), full).otherwise(F.col("name")).alias("recording_id"), "audio_path", "length"
     )
 
 
@@ -85,9 +96,13 @@ def wav_facts(path: str) -> dict[str, int | float]:
         while len(tag := source.read(8)) == 8:
             name, size = struct.unpack("<4sI", tag)
             if name == b"fmt ":
-                _, channels, rate, _, _, bits = struct.unpack("<HHIIHH", source.read(16))
+                block = source.read(size + size % 2)
+                tag, channels, rate, _, _, bits = struct.unpack("<HHIIHH", block[:16])
+                if tag == EXTENSIBLE and len(block) >= 26:
+                    tag = struct.unpack("<H", block[24:26])[0]
+                if tag != PCM:
+                    raise ValueError(f"unknown format: {tag}")
                 shape = (channels, rate, (bits + 7) // 8)
-                source.seek(source.tell() + size - 16 + size % 2)
             elif name == b"data":
                 if shape is None:
                     raise ValueError("sample data before format block")

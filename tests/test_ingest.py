@@ -90,19 +90,19 @@ def label_csv(*lines):
 
 def test_label_fallback(spark, tmp_path):
     raw = tmp_path / "raw"
-    put(raw / "w1" / "x_labels.csv", label_csv(
+    put(raw / "w1" / "HawkEars_labels.csv", label_csv(
         "w1.wav,0.1,0.4,White-throated,WTSP,0.92", "other.wav,0,1,N,C,0.1", ",2.0,3.0,Name only,,",
         "/deep/w1.wav,9,bad,,,x"))
-    put(raw / "w2" / "x_labels.csv", label_csv("other.wav,0,1,N,C,0.1"))
-    put(raw / "w3" / "x_labels.csv", label_csv())
-    put(raw / "w5" / "x_labels.csv", label_csv("w5.wav,1,2,N,C,0.5"))
+    put(raw / "w2" / "HawkEars_labels.csv", label_csv("other.wav,0,1,N,C,0.1"))
+    put(raw / "w3" / "HawkEars_labels.csv", label_csv())
+    put(raw / "w5" / "HawkEars_labels.csv", label_csv("w5.wav,1,2,N,C,0.5"))
     docs = {
         "w1": {"status": "", "source_path": "/a/w1.wav"}, "w2": {}, "w3": {"status": "given"}, "w4": {},
         "w5": {"detections": [{"label": "own"}]},
     }
     for name, doc in docs.items():
         put(tmp_path / "in" / "rec" / f"{name}.json",
-            {"chunk_id": name, "raw_output": f"{raw}/{name}/", "chunk": {"start_ms": 1000}, **doc})
+            {"chunk_id": name, "hawkears_output": f"{raw}/{name}/", "chunk": {"start_ms": 1000}, **doc})
     put(tmp_path / "in" / "rec" / "w6.json", {"chunk_id": "w6", "detections": None})
     found = read_detections(spark, str(tmp_path / "in"), label_root=str(raw))
     assert rows(found, "chunk_id", "label", "status") == [
@@ -117,7 +117,7 @@ def test_label_fallback(spark, tmp_path):
 
 
 def test_label_fallback_without_any_file(spark, tmp_path):
-    put(tmp_path / "in" / "r" / "a.json", {"my_output": "/gone/a"})
+    put(tmp_path / "in" / "r" / "a.json", {"hawkears_output": "/gone/a"})
     (tmp_path / "raw").mkdir()
     put(tmp_path / "raw" / "readme.txt", "x")
     found = read_detections(spark, str(tmp_path / "in"), label_root=str(tmp_path / "raw"))
@@ -152,7 +152,7 @@ def test_one_hot_label_folder_against_brute_force(spark):
 
 
 def test_raw_labels_columns(spark, tmp_path):
-    put(tmp_path / "d" / "a_labels.csv", label_csv("chunk.wav,0.5,1.5,Grouse,RUGR,0.87"))
+    put(tmp_path / "d" / "HawkEars_labels.csv", label_csv("chunk.wav,0.5,1.5,Grouse,RUGR,0.87"))
     row = read_raw_labels(spark, str(tmp_path)).first()
     assert (row.timestamp_ms, row.end_ms, row.confidence, row.file_name) == (500, 1500, 0.87, "chunk.wav")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sonoledger.functions.paths import basename, parent_name, stem
 from sonoledger.functions.scalars import seconds_to_ms, tolerant_double, tolerant_long
+from sonoledger.operators.audio import export_wav_files
 from sonoledger.operators.dataset_roots import attach_dataset_root
 from sonoledger.operators.ingest import (
     detections_with_labels,
@@ -16,7 +17,7 @@ from sonoledger.operators.ingest import (
     read_detections,
 )
 from sonoledger.session import materialise, shared_dir, spread_scan
-from sonoledger.sources.labels import normalise_labels, read_raw_labels
+from sonoledger.sources.labels import LABEL_FILE_NAME, normalise_labels, read_raw_labels
 from sonoledger.sources.manifests import manifest_index, read_manifest, write_manifest
 from sonoledger.sources.payloads import count_unreadable, parse_payloads
 from workload.proxies import JOBS_SQL, jobs, table
@@ -177,6 +178,37 @@ def ingest_exports(spark, sf_dir):
 # ---- raw label fallback ----------------------------------------------------------------
 
 
+def ingest_label_files(spark, sf_dir):
+    """Payload and label files of the detector's own names, read as they lie.
+
+    Payloads name another folder first, repeat a key, and give every second label
+    folder relative to the dataset.
+    """
+
+    root = shared_dir(spark, "labelled").removeprefix("file://")
+    rows = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS k", "s_nationkey AS n", f"concat('{root}/infer/rec_', s_nationkey) AS home",
+    ).selectExpr(
+        "*", "concat(home, '/win_', k, '_out') AS out",
+        "if(k % 2 = 0, concat('infer/rec_', n, '/win_', k, '_out'), concat(home, '/win_', k, '_out')) AS named",
+    )
+    payloads = rows.selectExpr(
+        "cast(k AS string) AS chunk_id", "concat(home, '/win_', k, '.json') AS source_path",
+        """cast(concat('{"chunk_id": "win_', k, '", "recording_id": "wrong", "a_output": "/elsewhere",'
+        ' "recording_id": "rec_', n, '", "hawkears_output": "', named, '", "chunk": {"start_ms": ', n * 1000, '}}')
+        AS binary) AS content""",
+    )
+    header = "filename,start_time,end_time,class_name,class_code,score\n"
+    files = rows.filter("k % 5 != 0").selectExpr(
+        "cast(k AS string) AS chunk_id", f"concat(out, '/{LABEL_FILE_NAME}') AS source_path",
+        f"""cast(concat('{header}', if(k % 7 = 0, '', concat('clips/win_', k, ',1,2.5,Name,S', k, ',0.5\n')),
+        if(k % 3 = 0, 'other.wav,1,2,N,C,0.1\n', '')) AS binary) AS content""",
+    )
+    export_wav_files(payloads.unionByName(files)).write.format("noop").mode("overwrite").save()
+    found = ingest(spark, f"{root}/infer", label_base=root)
+    return found.select("recording_id", "chunk_id", "absolute_time_ms", "absolute_end_ms", "label", "confidence", "status")
+
+
 def _pending(spark, sf_dir):
     """Orders as payloads without detections; four windows share a label folder."""
 
@@ -312,6 +344,7 @@ QUERIES = {
     "payload_file_scan": payload_file_scan,
     "ingest_exports": ingest_exports,
     "label_fallback": label_fallback,
+    "ingest_label_files": ingest_label_files,
     "raw_label_scan": raw_label_scan,
     "tolerant_numbers": tolerant_numbers,
     "path_parts": path_parts,
@@ -354,6 +387,13 @@ SELECT 'rec_' || s_nationkey AS recording_id, 'chunk_' || s_suppkey AS chunk_id,
        CASE WHEN s_acctbal > 0 THEN s_name ELSE 'none' END AS label,
        CASE WHEN s_acctbal > 0 THEN 'ok' ELSE 'unknown' END AS status,
        CASE WHEN s_acctbal > 0 THEN s_acctbal END AS confidence FROM supplier""",
+    "ingest_label_files": """
+WITH s AS (SELECT s_suppkey AS k, s_nationkey AS n, s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0 AS hit FROM supplier)
+SELECT 'rec_' || n AS recording_id, 'win_' || k AS chunk_id,
+       CASE WHEN hit THEN CAST(n * 1000 + 1000 AS BIGINT) END AS absolute_time_ms,
+       CASE WHEN hit THEN CAST(n * 1000 + 2500 AS BIGINT) END AS absolute_end_ms,
+       CASE WHEN hit THEN 'S' || k ELSE 'none' END AS label, CASE WHEN hit THEN 0.5::DOUBLE END AS confidence,
+       CASE WHEN hit THEN 'ok' WHEN k % 5 = 0 THEN 'no_output' ELSE 'no_detections' END AS status FROM s""",
     "label_fallback": f"""WITH {JOBS_SQL},
 l AS (
   SELECT l_orderkey // 4 AS folder, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_orderkey END AS win,

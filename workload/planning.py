@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import struct
+import wave
+
 from pyspark.sql import functions as F
 
+from sonoledger.operators.audio import export_wav_files
 from sonoledger.operators.bundle import BundleOptions, write_bundle
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
 from sonoledger.operators.score import (
@@ -268,6 +272,55 @@ def dataset_run(spark, sf_dir):
     )
 
 
+def _label_first_sample(job):
+    """The label and confidence are taken from the window's audio."""
+
+    with wave.open(job["source_path"]) as audio:
+        samples = audio.readframes(audio.getnframes())
+    return [{"timestamp_ms": 0, "label": f"byte_{samples[0]}", "confidence": len(samples) / 100}]
+
+
+def dataset_run_audio(spark, sf_dir):
+    """The same with a detector that opens each window's file."""
+
+    root = _dataset(spark, sf_dir)
+    options = ScoreOptions(detector=_label_first_sample, windows_per_task=20_000)
+    out = run_dataset(spark, root, 3.0, 1.0, options, None, rollup_limit=1000)
+    back = spark.read.csv(f"{out['rollup']}/label_summary.csv", header=True)
+    return back.select(
+        "label",
+        F.col("detections").cast("bigint").alias("detections"),
+        F.round(F.col("avg_confidence").cast("double"), 9).alias("avg_confidence"),
+    )
+
+
+def dataset_cut_odd_files(spark, sf_dir):
+    """Equal file names in several folders, files that are no PCM, files that end early."""
+
+    root = shared_dir(spark, "dataset").removeprefix("file://")
+    rows = table(spark, sf_dir, "benchmark").filter("length(text) > 0").select(
+        F.col("item_id").cast("string").alias("chunk_id"),
+        F.expr(f"concat('{root}/audio/g', item_id % 4, '/take_', item_id div 4, '.wav')").alias("source_path"),
+        F.col("text").cast("binary").alias("data"),
+        F.expr("if(item_id % 10 = 3, 3, 1)").alias("tag"),
+        F.expr("if(item_id % 10 = 7, 50, 0)").alias("missing"),
+    )
+
+    def build(batches):
+        for batch in batches:
+            content = [
+                struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + len(d) + m, b"WAVE", b"fmt ", 16, t, 1, 10, 10, 1, 8,
+                            b"data", len(d) + m) + d
+                for d, t, m in zip(batch["data"], batch["tag"], batch["missing"])
+            ]
+            yield batch[["chunk_id", "source_path"]].assign(content=content)
+
+    files = rows.mapInPandas(build, "chunk_id STRING, source_path STRING, content BINARY")
+    export_wav_files(files).write.format("noop").mode("overwrite").save()
+    done = cut_dataset(spark, root, 3.0, 1.0, write_files=False)
+    return done.select("recording_id", "status", "manifest_rows")
+
+
 def dataset_manifest_rows(spark, sf_dir):
     """The manifest after a dataset was cut twice: the newer windows count."""
 
@@ -280,6 +333,8 @@ def dataset_manifest_rows(spark, sf_dir):
 QUERIES = {
     "dataset_cut": dataset_cut,
     "dataset_run": dataset_run,
+    "dataset_run_audio": dataset_run_audio,
+    "dataset_cut_odd_files": dataset_cut_odd_files,
     "dataset_manifest_rows": dataset_manifest_rows,
     "pending_windows": pending_windows,
     "resume_orphans": resume_orphans,
@@ -334,7 +389,7 @@ bits AS (SELECT ok.*, b FROM ok LEFT JOIN (SELECT unnest(range(0, 3)) AS b) bs
          ON (o_orderkey >> b) & 1 = 1)
 """
 
-_AUDIO = """WITH t AS (SELECT 'rec_' || item_id AS recording_id, octet_length(encode(text)) AS n
+_AUDIO = """WITH t AS (SELECT 'rec_' || item_id AS recording_id, octet_length(encode(text)) AS n, text
   FROM benchmark WHERE octet_length(encode(text)) > 0),
 w AS (SELECT *, CAST(trunc(s / 10 * 1000) AS BIGINT) AS start_ms,
              CAST(trunc(least(s + 30, n) / 10 * 1000) AS BIGINT) AS end_ms
@@ -348,6 +403,20 @@ SELECT recording_id, 'completed' AS status, count(*) AS manifest_rows, 3.0::DOUB
     "dataset_run": f"""{_AUDIO}
 SELECT CASE WHEN start_ms % 4000 = 0 THEN 'even' ELSE 'none' END AS label, count(*) AS detections,
        avg(CASE WHEN start_ms % 4000 = 0 THEN 0.5::DOUBLE END) AS avg_confidence FROM w GROUP BY 1""",
+    "dataset_run_audio": f"""{_AUDIO}
+SELECT 'byte_' || CAST('0x' || hex(encode(text))[2 * s + 1 : 2 * s + 2] AS INTEGER) AS label, count(*) AS detections,
+       round(avg((least(s + 30, n) - s) / 100), 9) AS avg_confidence FROM w GROUP BY 1""",
+    "dataset_cut_odd_files": """
+WITH t AS (
+  SELECT item_id, octet_length(encode(text)) AS n, CASE WHEN item_id % 10 = 7 THEN 50 ELSE 0 END AS missing,
+         count(*) OVER (PARTITION BY item_id // 4) > 1 AS repeated
+  FROM benchmark WHERE length(text) > 0
+),
+w AS (SELECT *, unnest(range(0, n + missing, 20)) AS s FROM t)
+SELECT CASE WHEN repeated THEN 'g' || item_id % 4 || '__' ELSE '' END || 'take_' || item_id // 4 AS recording_id,
+       CASE WHEN item_id % 10 IN (3, 7) THEN 'failed' ELSE 'completed' END AS status,
+       count(*) FILTER (item_id % 10 <> 3 AND least(s + 30, n + missing) <= n) AS manifest_rows
+FROM w GROUP BY ALL""",
     "dataset_manifest_rows": f"""{_AUDIO}
 SELECT recording_id, recording_id || '_chunk_' || start_ms || '_' || end_ms AS chunk_id, start_ms, end_ms
 FROM w""",
