@@ -110,7 +110,7 @@ def _infer_plan(spark, sf_dir, **options):
     manifests = customer_recordings(spark, sf_dir).selectExpr(
         "recording_id", "concat('/data/manifests/', recording_id, '.csv') AS manifest_path"
     )
-    outputs = job_results(spark, sf_dir).filter("attempts = 2").select("recording_id").distinct()
+    outputs = job_results(spark, sf_dir).filter("status = 'success'").select("recording_id").distinct()
     return build_infer_plan(
         manifests, outputs, status_rows(spark, sf_dir), output_dir="/data/infer",
         telemetry_dir="/data/telemetry", **options,
@@ -366,7 +366,7 @@ plan AS (
 todo AS (SELECT * FROM plan WHERE NOT has_manifest OR coalesce(status IN ('failed', 'in_progress'), false)),
 done AS (
   SELECT DISTINCT 'rec_' || o_custkey AS recording_id FROM orders
-  WHERE o_orderkey % 5 <> 0 AND 1 + CAST(trunc(o_totalprice) AS BIGINT) % 4 = 2
+  WHERE o_orderkey % 5 <> 0 AND o_orderstatus = 'F'
 ),
 open AS (SELECT * FROM plan WHERE recording_id NOT IN (SELECT recording_id FROM done))
 """
