@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 import json
 import shlex
+import socket
 import subprocess
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from pathlib import Path
-from typing import Any
+from typing import Any, NamedTuple
 
 import pandas as pd
 from pyspark import TaskContext
@@ -19,15 +21,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sonoledger.schemas import JOB_RESULTS, MANIFEST
+from sonoledger.sources.labels import LABEL_FILE_NAME
+
+# A detector takes one manifest row and returns its detections, or a :class:`Found`.
+Detector = Callable[[dict[str, Any]], "Sequence[dict[str, Any]] | Found"]
+# The same for many rows in one call, for models that want batches.
+BatchDetector = Callable[[list[dict[str, Any]]], "Sequence[Sequence[dict[str, Any]] | Found]"]
+
+
+class Found(NamedTuple):
+    """Detections with what a detector tells beside them."""
+
+    detections: Sequence[dict[str, Any]]
+    status: str | None = None
+    output: str | None = None
+    stdout: str | None = None
+
+
+class DetectorFailed(RuntimeError):
+    """A detector process that ended badly."""
+
+    def __init__(self, text: str, returncode: int, stdout: str | None = None) -> None:
+        super().__init__(text)
+        self.returncode, self.stdout = returncode, stdout
+
+    def __reduce__(self):
+        return DetectorFailed, (self.args[0], self.returncode, self.stdout)
 
-# A detector takes one manifest row and returns its detections.
-Detector = Callable[[dict[str, Any]], Sequence[dict[str, Any]]]
 
 # Fixed values.
 MAX_RETRIES = 2
 BACKOFF_LIMIT_S = 5
 STUB, CUSTOM = "stub", "custom"
-ERROR_TAIL = 500
+FILES_PER_RECORDING = 4
+DETECTOR_TABLE = "hawkears"  # of a run configuration, holding the detector's extra_args
+DETECTOR = "hawkears"  # runner name of a detector that leaves a label file
+RAW_OUTPUT_SUFFIX = "_hawkears"  # of the folder it writes to
 
 _DETECTION = T.StructType(
     [
@@ -43,6 +72,9 @@ _EVENT = T.StructType(
         T.StructField("attempt", T.IntegerType()),
         T.StructField("backoff_s", T.DoubleType()),
         T.StructField("error", T.StringType()),
+        T.StructField("output", T.StringType()),
+        T.StructField("stdout", T.StringType()),
+        T.StructField("returncode", T.LongType()),
     ]
 )
 # A scored window: its manifest row, the outcome, and what happened on the way.
@@ -55,6 +87,7 @@ SCORED = T.StructType(
         *[T.StructField(n, T.StringType()) for n in ("last_error", "worker", "runner")],
         T.StructField("model_version", T.StringType()),
         T.StructField("gpu_index", T.LongType()),
+        T.StructField("payload_status", T.StringType()),
         T.StructField("detections", T.ArrayType(_DETECTION)),
         T.StructField("events", T.ArrayType(_EVENT)),
     ]
@@ -66,7 +99,10 @@ class ScoreOptions:
     """Options of a scoring run."""
 
     detector: Detector | None = None
+    batch_detector: BatchDetector | None = None
+    batch_size: int = 64
     command: str | None = None
+    label_files: bool = False  # the command writes a label file into a folder
     output_dir: str | None = None
     max_retries: int = MAX_RETRIES
     windows_per_task: int = 128
@@ -76,8 +112,10 @@ class ScoreOptions:
     extra_args: tuple[str, ...] = field(default=())
 
     def __post_init__(self) -> None:
-        if self.detector is not None and self.command is not None:
+        if sum(d is not None for d in (self.detector, self.batch_detector, self.command)) > 1:
             raise ValueError("give either a detector or a command, not both")
+        if self.batch_size < 1:
+            raise ValueError("batch_size must be positive")
         if self.command is not None and self.output_dir is None:
             raise ValueError("a command needs a shared output_dir")
         if self.max_retries < 0:
@@ -87,10 +125,14 @@ class ScoreOptions:
 
     @property
     def runner(self) -> str:
-        return STUB if self.detector is None and self.command is None else CUSTOM
+        if self.detector is self.batch_detector is self.command is None:
+            return STUB
+        return DETECTOR if self.command is not None and self.label_files else CUSTOM
 
     @classmethod
-    def from_mapping(cls, config: dict[str, Any]) -> tuple[str, ScoreOptions]:
+    def from_mapping(
+        cls, config: dict[str, Any], detector_table: str = DETECTOR_TABLE
+    ) -> tuple[str, ScoreOptions]:
         """``(manifest, options)`` from a parsed run configuration.
 
         The ``runner`` table must name a manifest; the detector's own table may
@@ -100,11 +142,8 @@ class ScoreOptions:
         runner = config.get("runner") or {}
         if not isinstance(runner, dict) or not runner.get("manifest"):
             raise ValueError("a [runner] table with a manifest is required")
-        detector_tables = [
-            v for k, v in config.items()
-            if k not in ("runner", "paths") and isinstance(v, dict) and "extra_args" in v
-        ]
-        args = detector_tables[0]["extra_args"] if detector_tables else []
+        own = config.get(detector_table) or {}
+        args = own.get("extra_args", []) if isinstance(own, dict) else []
         if not isinstance(args, list) or not all(isinstance(a, str) for a in args):
             raise ValueError("extra_args must be a list of texts")
         return runner["manifest"], cls(
@@ -120,9 +159,9 @@ def command_detector(
 ) -> Detector:
     """A detector that runs ``command --input X --output Y`` per window.
 
-    Y lies in the shared ``output_dir``, one JSON file per window. If the command
-    writes an object there its ``detections`` are taken; an exit code other than
-    zero counts as a failed attempt.
+    Y lies in ``output_dir``, a folder mounted on every executor, one JSON file per
+    window. If the command writes an object there its ``detections`` are taken; an exit
+    code other than zero counts as a failed attempt.
     """
 
     base = [*shlex.split(command), *extra_args]
@@ -131,18 +170,63 @@ def command_detector(
         target = Path(output_dir) / str(job["recording_id"]) / f"{job['chunk_id']}.json"
         target.parent.mkdir(parents=True, exist_ok=True)
         target.unlink(missing_ok=True)
-        done = subprocess.run(
-            [*base, "--input", str(job["source_path"]), "--output", str(target)],
-            capture_output=True, text=True, check=False,
-        )
-        if done.returncode:
-            text = done.stderr or done.stdout or f"exit code {done.returncode}"
-            raise RuntimeError(text[-ERROR_TAIL:])
-        return json.loads(target.read_text()).get("detections") or [] if target.exists() else []
+        stdout = _run([*base, "--input", str(job["source_path"]), "--output", str(target)])
+        rows = json.loads(target.read_text()).get("detections") or [] if target.exists() else []
+        return Found(rows, None, str(target), stdout)
 
     return detect
 
 
+def _run(command: list[str]) -> str:
+    done = subprocess.run(command, capture_output=True, text=True, check=False)
+    if done.returncode:
+        text = done.stderr or done.stdout or f"exit code {done.returncode}"
+        raise DetectorFailed(text, done.returncode, done.stdout)
+    return done.stdout
+
+
+def label_file_detector(
+    command: str, output_dir: str, extra_args: Sequence[str] = (), label_file: str = LABEL_FILE_NAME
+) -> Detector:
+    """A detector that runs ``command -i X -o FOLDER`` and leaves ``label_file`` there.
+
+    Rows of the window's own file name, and rows without one, are its detections. The
+    status is ``ok``, ``no_detections`` (a file without such rows) or ``no_output``.
+    """
+
+    base = [*shlex.split(command), *extra_args]
+
+    def detect(job: dict[str, Any]) -> Found:
+        folder = Path(output_dir) / str(job["recording_id"]) / f"{job['chunk_id']}{RAW_OUTPUT_SUFFIX}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / label_file).unlink(missing_ok=True)
+        stdout = _run([*base, "-i", str(job["source_path"]), "-o", str(folder)])
+        if not (folder / label_file).exists():
+            return Found([], "no_output", str(folder), stdout)
+        name = Path(str(job["source_path"])).name
+        with (folder / label_file).open(newline="") as lines:
+            rows = [r for r in csv.DictReader(lines) if Path(r.get("filename") or "").name in ("", name)]
+        return Found([_label_row(r) for r in rows], "ok" if rows else "no_detections", str(folder), stdout)
+
+    return detect
+
+
+def _label_row(row: dict[str, str]) -> dict[str, Any]:
+    code, name = row.get("class_code") or None, row.get("class_name") or None
+
+    def ms(text: str | None) -> int | None:
+        try:
+            return int(float(text) * 1000) if text else None
+        except ValueError:
+            return None
+
+    return {
+        "timestamp_ms": ms(row.get("start_time")), "end_ms": ms(row.get("end_time")),
+        "label": code or name or "unknown", "label_code": code, "label_name": name,
+        "confidence": float(row["score"]) if row.get("score") else None,
+    }
+
+
 def _stub(job: dict[str, Any]) -> Sequence[dict[str, Any]]:
     return []
 
@@ -160,53 +244,70 @@ def score_windows(manifest: DataFrame, options: ScoreOptions = ScoreOptions()) -
     used twice: reading it again would run the detector again.
     """
 
+    of_command = label_file_detector if options.label_files else command_detector
     detect = options.detector or (
-        command_detector(options.command, options.output_dir, options.extra_args)
-        if options.command else _stub
+        of_command(options.command, options.output_dir, options.extra_args) if options.command else _stub
     )
+    many = options.batch_detector
     tries, fail_fast, succeeded = options.max_retries + 1, options.fail_fast, "success"
     runner, model_version = options.runner, options.model_version
+    size = options.batch_size if many else 1
+
+    def call(jobs: list[dict[str, Any]]) -> list[Found]:
+        found = list(many(jobs)) if many else [detect(jobs[0])]
+        if len(found) != len(jobs):
+            raise ValueError(f"{len(found)} results for {len(jobs)} windows")
+        found = [f if isinstance(f, Found) else Found(f) for f in found]
+        return [f._replace(detections=[dict(d) for d in f.detections]) for f in found]
+
+    def attempt_all(jobs: list[dict[str, Any]]) -> list[dict[str, Any]]:
+        """Outcomes of windows that are scored in one call; they share its attempts."""
 
-    def attempt_all(job: dict[str, Any]) -> dict[str, Any]:
         events, backoff, error = [], None, None
         for attempt in range(1, tries + 1):
             began = time.monotonic()
             events.append(dict(status="start", timestamp=_now(), attempt=attempt))
             try:
-                found = [dict(d) for d in detect(job)]
+                found = call(jobs)
             except Exception as exc:
                 if fail_fast and attempt == tries:
                     raise
                 backoff = float(min(2**attempt, BACKOFF_LIMIT_S))
-                error = (str(exc) or type(exc).__name__)[-ERROR_TAIL:]
+                error = str(exc) or type(exc).__name__
                 events.append(
                     dict(status="failure", timestamp=_now(), finished_at=_now(), attempt=attempt,
-                         runtime_s=time.monotonic() - began, backoff_s=backoff, error=error)
+                         runtime_s=(time.monotonic() - began) / len(jobs), backoff_s=backoff, error=error,
+                         returncode=getattr(exc, "returncode", None), stdout=getattr(exc, "stdout", None))
                 )
                 if attempt < tries:
                     time.sleep(backoff)
                 continue
-            events.append(
-                dict(status=succeeded, timestamp=_now(), finished_at=_now(), attempt=attempt,
-                     runtime_s=time.monotonic() - began)
-            )
-            return dict(status=succeeded, attempts=attempt, detections=found, events=events,
-                        last_backoff_s=backoff, last_error=error)
-        return dict(status="failure", attempts=tries, detections=[], events=events,
-                    last_backoff_s=backoff, last_error=error)
+            last = dict(status=succeeded, timestamp=_now(), finished_at=_now(), attempt=attempt,
+                        runtime_s=(time.monotonic() - began) / len(jobs))
+            return [
+                dict(status=succeeded, attempts=attempt, detections=f.detections, payload_status=f.status,
+                     events=[*events, dict(last, output=f.output, stdout=f.stdout)],
+                     last_backoff_s=backoff, last_error=error)
+                for f in found
+            ]
+        return [dict(status="failure", attempts=tries, detections=[], payload_status=None, events=events,
+                     last_backoff_s=backoff, last_error=error)] * len(jobs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
         gpus = task.resources().get("gpu") if task else None
         gpu = int(gpus.addresses[0]) if gpus and gpus.addresses[0].isdigit() else None
-        worker = f"gpu-{gpu}" if gpu is not None else f"cpu-{task.partitionId() if task else 0}"
+        # A worker is a device or a machine, as many as the cluster has, whatever the data.
+        host = socket.gethostname()
+        worker = f"{host}-gpu-{gpu}" if gpu is not None else f"cpu-{host}"
         for batch in batches:
-            out = []
-            for job in batch.astype(object).where(batch.notna(), None).to_dict("records"):
-                outcome = attempt_all(job)
-                out.append({**job, **outcome, "retries": outcome["attempts"] - 1,
-                            "worker": worker, "runner": runner,
-                            "model_version": model_version, "gpu_index": gpu})
+            out, jobs = [], batch.astype(object).where(batch.notna(), None).to_dict("records")
+            for at in range(0, len(jobs), size):
+                part = jobs[at : at + size]
+                for job, outcome in zip(part, attempt_all(part)):
+                    out.append({**job, **outcome, "retries": outcome["attempts"] - 1,
+                                "worker": worker, "runner": runner,
+                                "model_version": model_version, "gpu_index": gpu})
             yield pd.DataFrame(out)
 
     jobs = manifest.select(*MANIFEST.names)
@@ -224,7 +325,7 @@ def even_partitions(jobs: DataFrame, per_task: int) -> int:
 def payload_rows(scored: DataFrame) -> DataFrame:
     """Successful windows in the shape :func:`ingest.enrich_payloads` takes."""
 
-    status = F.when(F.col("runner") == STUB, F.lit(STUB)).otherwise(F.lit("ok"))
+    status = F.when(F.col("runner") == STUB, F.lit(STUB)).otherwise(F.coalesce("payload_status", F.lit("ok")))
     return scored.filter(F.col("status") == "success").select(
         F.col("source_path").alias("file_path"),
         "chunk_id",
@@ -247,7 +348,7 @@ def event_rows(scored: DataFrame) -> DataFrame:
     """Telemetry events of a run, ready to append to the log."""
 
     event = F.col("event")
-    return scored.select("chunk_id", "gpu_index", F.explode("events").alias("event")).select(
+    return scored.select("chunk_id", "gpu_index", "runner", F.explode("events").alias("event")).select(
         "chunk_id",
         "gpu_index",
         F.lit(None).cast("string").alias("gpu_name"),
@@ -257,7 +358,11 @@ def event_rows(scored: DataFrame) -> DataFrame:
         event["runtime_s"].alias("runtime_s"),
         F.struct(
             event["attempt"].cast("double").alias("attempt"),
+            event["output"].alias("output"),
+            F.col("runner").alias("runner"),
+            event["stdout"].alias("stdout"),
             event["error"].alias("stderr"),
+            event["returncode"].alias("returncode"),
             event["backoff_s"].alias("backoff_s"),
         ).alias("details"),
     )
@@ -291,7 +396,9 @@ def write_payload_json(scored: DataFrame, path: str) -> str:
             F.col("chunk_sha256").alias("sha256"),
         ).alias("chunk"),
     )
-    rows.write.mode("append").partitionBy("recording").json(path)
+    # Windows of a recording meet in a few tasks, so a folder gets a few files, not one per task.
+    salt = F.pmod(F.xxhash64("chunk_id"), F.lit(FILES_PER_RECORDING))
+    rows.repartition("recording", salt).write.mode("append").partitionBy("recording").json(path)
     return path
 
 

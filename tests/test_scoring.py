@@ -8,7 +8,7 @@ from pyspark import cloudpickle
 from sonoledger.operators import score as S
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
 from sonoledger.operators.telemetry import worker_totals
-from sonoledger.plans.dataset_run import Layout, cut_dataset, run_dataset, score_dataset
+from sonoledger.plans.dataset_run import Layout, cut_dataset, dataset_manifest, run_dataset, score_dataset
 from sonoledger.schemas import MANIFEST
 from sonoledger.sources.runs import read_job_results
 from sonoledger.sources.status import latest_status, read_status
@@ -82,9 +82,10 @@ def test_stub_and_options(spark):
     with pytest.raises(ValueError):
         S.ScoreOptions(command="x")
     path, options = S.ScoreOptions.from_mapping(
-        {"runner": {"manifest": "m.csv", "max_retries": 1}, "detector": {"extra_args": ["--a", "1"]}, "paths": {}})
+        {"runner": {"manifest": "m.csv", "max_retries": 1}, "hawkears": {"extra_args": ["--a", "1"]},
+         "other": {"extra_args": ["no"]}, "paths": {}})
     assert (path, options.max_retries, options.extra_args) == ("m.csv", 1, ("--a", "1"))
-    for bad in ({}, {"runner": {}}, {"runner": {"manifest": "m"}, "d": {"extra_args": [1]}}):
+    for bad in ({}, {"runner": {}}, {"runner": {"manifest": "m"}, "hawkears": {"extra_args": [1]}}):
         with pytest.raises(ValueError):
             S.ScoreOptions.from_mapping(bad)
 
@@ -99,6 +100,42 @@ def test_command_detector(spark, tmp_path):
     assert rows["c0"].detections[0].label == "Z" and rows["c1"].last_error.strip() == "broken"
 
 
+def test_batch_detector(spark):
+    def many(jobs):
+        if any(j["chunk_id"] == "c5" for j in jobs):
+            raise RuntimeError("long " * 300 + "end")
+        return [S.Found([{"label": j["chunk_id"]}], "kept") for j in jobs]
+
+    options = S.ScoreOptions(batch_detector=many, batch_size=4, max_retries=0, partitions=1)
+    rows = {r.chunk_id: r for r in S.score_windows(manifest(spark, 12).coalesce(1), options).collect()}
+    failed = [c for c, r in rows.items() if r.status == "failure"]
+    assert len(failed) == 4 and "c5" in failed and rows["c5"].last_error.endswith("end")
+    assert len(rows["c5"].last_error) > 1000
+    good = next(r for r in rows.values() if r.status == "success")
+    assert good.detections[0].label == good.chunk_id and good.payload_status == "kept"
+    with pytest.raises(ValueError):
+        S.ScoreOptions(detector=detect, batch_detector=many)
+
+
+def test_detector_that_leaves_a_label_file(spark, tmp_path):
+    tool = tmp_path / "tool.sh"
+    tool.write_text('#!/bin/sh\necho working\ncase "$2" in *c0.wav) exit 0;; *c3.wav) echo no >&2; exit 4;; esac\n'
+                    'echo "filename,start_time,end_time,class_name,class_code,score" > "$4/HawkEars_labels.csv"\n'
+                    'case "$2" in *c2.wav) exit 0;; esac\n'
+                    'echo "c1.wav,0.5,1.5,Grouse,RUGR,0.87" >> "$4/HawkEars_labels.csv"\n'
+                    'echo "other.wav,0,1,N,C,0.1" >> "$4/HawkEars_labels.csv"\n')
+    tool.chmod(tool.stat().st_mode | stat.S_IXUSR)
+    options = S.ScoreOptions(command=str(tool), label_files=True, output_dir=f"{tmp_path}/out", max_retries=0, partitions=2)
+    scored = S.score_windows(manifest(spark, 4), options).collect()
+    rows = {r.chunk_id: r for r in scored}
+    assert {c: r.payload_status for c, r in rows.items()} == {"c0": "no_output", "c1": "ok", "c2": "no_detections", "c3": None}
+    assert [tuple(d) for d in rows["c1"].detections] == [(500, 1500, "RUGR", "RUGR", "Grouse", 0.87)]
+    events = {(r.chunk_id, r.status): r.details for r in S.event_rows(spark.createDataFrame(scored, S.SCORED)).collect()}
+    assert events["c3", "failure"].returncode == 4 and events["c3", "failure"].stdout == "working\n"
+    done = events["c1", "success"]
+    assert done.runner == "hawkears" and done.output.endswith("c1_hawkears") and done.stdout == "working\n"
+
+
 def put_wav(path, seconds, rate=100):
     path.parent.mkdir(parents=True, exist_ok=True)
     with wave.open(str(path), "wb") as out:
@@ -118,6 +155,8 @@ def test_dataset_from_audio_to_reports(spark, tmp_path):
     assert {k: (r.status, r.manifest_rows) for k, r in status.items()} == {
         "rec1": ("completed", 4), "rec2": ("completed", 1), "bad": ("failed", 0)}
     assert status["bad"].error
+    cut = [r.source_path for r in dataset_manifest(spark, root).collect()]
+    assert len(cut) == 5 and all(wave.open(p).getnframes() for p in cut)
 
     def noisy(job):
         if job["chunk_id"].endswith("_0_1000") and job["recording_id"] == "rec1":
