@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sonoledger.functions.paths import basename, tidy_path
 from sonoledger.functions.scalars import absolute_time, first_text
-from sonoledger.operators.dataset_roots import attach_dataset_root
+from sonoledger.operators.dataset_roots import attach_dataset_root, find_dataset_roots
 from sonoledger.schemas import DETECTIONS
 from sonoledger.session import materialise
 from sonoledger.sources._scan import nothing_there
@@ -26,6 +26,8 @@ STATUS_WITHOUT_DETECTIONS = "unknown"
 STATUS_NO_ROWS = "no_detections"
 STATUS_NO_FILE = "no_output"
 
+# No file name, so it can stand for all of them.
+ANY_NAME = "/"
 # Parts a folder's blank file name is dealt over.
 BLANK_SALTS = 8
 
@@ -138,7 +140,8 @@ def window_names(pending: DataFrame) -> DataFrame:
     A label row belongs to a payload if its file name is one of the names the
     window goes by, or if it has no file name. Spreading a payload over its few
     distinct names plus the empty one makes matching a plain equi-join on
-    (folder, name): no residual test, and no label row can match twice.
+    (folder, name): no residual test, and no label row can match twice. A payload
+    that goes by no name at all gets ``ANY_NAME`` instead, which stands for every row.
     """
 
     names = F.array_distinct(
@@ -151,7 +154,8 @@ def window_names(pending: DataFrame) -> DataFrame:
             )
         )
     )
-    return pending.withColumn("file_name", F.explode(names))
+    nameless = F.size(names) == 1
+    return pending.withColumn("file_name", F.explode(F.when(nameless, F.array(F.lit(ANY_NAME))).otherwise(names)))
 
 
 def detections_with_labels(
@@ -175,12 +179,18 @@ def detections_with_labels(
         F.concat(F.lit(f"{base}/"), F.regexp_replace("label_dir", r"^(\./)+", ""))
     )
     pending = enriched.filter(needs_labels).withColumn("label_dir", tidy_path(absolute))
-    blank = F.col("file_name") == ""
+    blank = F.col("file_name").isin("", ANY_NAME)
     named = window_names(pending).withColumn(
         "salt", F.when(blank, F.pmod(F.xxhash64("file_path"), F.lit(BLANK_SALTS))).otherwise(0).cast("int")
     )
     rows = labels.select("label_dir", "file_name", F.struct(*_LABEL_FIELDS).alias("det"))
-    marks = label_dirs.select("label_dir", F.lit("").alias("file_name"), F.lit(None).cast(rows.schema["det"].dataType).alias("det"))
+    # Rows once more under the name that stands for all, in folders where a payload has it.
+    nameless = named.filter(F.col("file_name") == ANY_NAME).select("label_dir").distinct()
+    rows = rows.unionByName(rows.join(nameless, "label_dir", "left_semi").withColumn("file_name", F.lit(ANY_NAME)))
+    marks = label_dirs.select(
+        "label_dir", F.explode(F.array(F.lit(""), F.lit(ANY_NAME))).alias("file_name"),
+        F.lit(None).cast(rows.schema["det"].dataType).alias("det"),
+    )
     salts = F.sequence(F.lit(0), F.when(blank, BLANK_SALTS - 1).otherwise(0))
     found = rows.unionByName(marks).withColumn("salt", F.explode(salts)).withColumn("has_file", F.lit(True))
     joined = named.join(found, ["label_dir", "file_name", "salt"], "left")
@@ -207,18 +217,23 @@ def read_detections(
     raw_output_key: str = RAW_OUTPUT_KEY,
     label_file: str = LABEL_FILE_NAME,
     label_base: str | None = None,
+    find_roots: bool = True,
 ) -> DataFrame:
     """Detections from a tree of payload files.
 
     A payload without detections takes them from the ``label_file`` in the folder that
     its ``raw_output_key`` names. Such files are looked for below ``label_root``, the
     payload tree itself if not given. The enriched payloads are written once to the
-    shared folder, since both branches read them.
+    shared folder, since both branches read them. Without ``dataset_roots`` the folders
+    above the payloads' sources are looked up for the marker of a dataset.
     """
 
     table = read_manifest(spark, manifest) if isinstance(manifest, str) else manifest
     enriched = enrich_payloads(read_payloads(spark, root, raw_output_key), table, dataset_roots)
     enriched = materialise(enriched, "payloads")
+    if dataset_roots is None and find_roots:
+        found = attach_dataset_root(enriched, find_dataset_roots(enriched, "chunk_source"), "chunk_source", "found_root")
+        enriched = found.withColumn("dataset_root", F.coalesce("dataset_root", "found_root")).drop("found_root")
     label_root = root if label_root is None else label_root
     try:
         labels = read_raw_labels(spark, label_root, label_file)

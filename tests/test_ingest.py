@@ -116,6 +116,28 @@ def test_label_fallback(spark, tmp_path):
         "w1", "w2", "w3", "w5"}
 
 
+def test_labels_by_default_relative_repeated_and_nameless(spark, tmp_path):
+    home = tmp_path / "in" / "rec"
+    put(home / "a_out" / "HawkEars_labels.csv", label_csv("a.wav,0,1,Grouse,RUGR,0.9", "b.wav,0,1,Other,O,0.1"))
+    put(home / "a_out" / "other_labels.csv", label_csv("a.wav,0,1,Wrong,W,0.9"))
+    (home / "a.json").write_text(
+        '{"chunk_id": "a.wav", "a_output": "/gone", "recording_id": "x", "recording_id": "r", "hawkears_output": "in/rec/a_out"}')
+    (home / "n.json").write_text('{"chunk_id": null, "hawkears_output": "./in/rec/a_out/"}')
+    found = read_detections(spark, str(tmp_path / "in"), label_base=str(tmp_path))
+    got = {(r.chunk_id, r.recording_id, r.label, r.status) for r in found.collect()}
+    assert got == {("a.wav", "r", "RUGR", "ok"), (None, "rec", "RUGR", "ok"), (None, "rec", "O", "ok")}
+    assert found.count() == 3
+
+
+def test_dataset_root_is_found_by_its_marker(spark, tmp_path):
+    (tmp_path / "set" / ".datalad").mkdir(parents=True)
+    audio = tmp_path / "set" / "audio" / "x"
+    put(tmp_path / "in" / "r" / "a.json", {"chunk_id": "a", "source_path": f"{audio}/a.wav"})
+    put(tmp_path / "in" / "r" / "b.json", {"chunk_id": "b", "source_path": "/nowhere/b.wav"})
+    roots = {r.chunk_id: r.dataset_root for r in read_detections(spark, str(tmp_path / "in")).collect()}
+    assert roots == {"a": str(tmp_path / "set"), "b": None}
+
+
 def test_label_fallback_without_any_file(spark, tmp_path):
     put(tmp_path / "in" / "r" / "a.json", {"hawkears_output": "/gone/a"})
     (tmp_path / "raw").mkdir()
