@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
 from sonoledger.session import materialise
 from sonoledger.sources._scan import scan_path
-from sonoledger.sources.manifests import manifest_index
+from sonoledger.sources.manifests import manifest_index, read_manifest
 from sonoledger.sources.payloads import parse_payloads
 
 
@@ -32,31 +34,81 @@ def start_ingest(
     files: DataFrame,
     out: str,
     checkpoint: str,
-    manifest: DataFrame | None = None,
+    manifest: DataFrame | str | None = None,
     dataset_roots: DataFrame | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Append the detections of new payload files to a Parquet table.
 
+    A manifest given as a path is read anew for every micro-batch, so windows planned
+    after the start are known; one given as a table is fixed at the start.
+
     The checkpoint remembers which files were read, and each micro-batch owns one
     folder of the table that a repeated run overwrites: every file's rows appear
     exactly once. This also packs many small payload files into few large ones.
     """
 
-    # Reduced once at the start rather than in every micro-batch.
-    index = materialise(manifest_index(manifest), "manifest") if manifest is not None else None
+    # A fixed table is reduced once at the start rather than in every micro-batch.
+    fixed = materialise(manifest_index(manifest), "manifest") if isinstance(manifest, DataFrame) else None
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        index = read_manifest(batch.sparkSession, manifest) if isinstance(manifest, str) else fixed
         rows = explode_detections(enrich_payloads(parse_payloads(batch), index, dataset_roots))
         rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
 
-    writer = files.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+    return _start(files, step, checkpoint, interval)
+
+
+def _start(
+    rows: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None
+) -> StreamingQuery:
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     writer = (
         writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     )
     return writer.start()
 
 
+def start_timeline(
+    detections: DataFrame,
+    out: str,
+    checkpoint: str,
+    event_time: str = "event_time",
+    bucket_minutes: int = 60,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Keep the bucket timeline of a detection stream as sums, without a watermark.
+
+    Each micro-batch writes one row per bucket and window it saw to a folder of its own,
+    which a repeated run overwrites. No row is too late, and the newest bucket is there at
+    once: :func:`read_timeline` adds the sums up.
+    """
+
+    width = f"{max(1, bucket_minutes)} minutes"
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        sums = batch.groupBy(F.window(event_time, width).alias("bucket"), "chunk_id", "chunk_start_ms").agg(
+            F.count("*").alias("n"), F.sum("confidence").alias("total"), F.count("confidence").alias("known")
+        )
+        sums.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
+
+    return _start(detections, step, checkpoint, interval)
+
+
+def read_timeline(spark: SparkSession, out: str) -> DataFrame:
+    """The timeline so far: per bucket, its detections and the mean of its windows' means."""
+
+    per_window = spark.read.parquet(out).groupBy("bucket", "chunk_id", "chunk_start_ms").agg(
+        F.sum("n").alias("n"), F.try_divide(F.sum("total"), F.sum("known")).alias("mean")
+    )
+    return per_window.groupBy("bucket").agg(
+        F.sum("n").alias("detections"), F.avg("mean").alias("avg_confidence")
+    ).select(
+        F.col("bucket.start").alias("bucket_start"), F.col("bucket.end").alias("bucket_end"),
+        "detections", "avg_confidence",
+    )
+
+
 def windowed_timeline(
     detections: DataFrame,
     event_time: str = "event_time",
@@ -66,8 +118,9 @@ def windowed_timeline(
     """The bucket timeline of a detection stream over wall-clock time.
 
     Two chained aggregations as in the batch form: per recording window and
-    bucket, then per bucket. Rows later than the watermark are dropped, and a
-    bucket is emitted once the watermark has passed it.
+    bucket, then per bucket. For sinks that need final rows: rows later than the
+    watermark are dropped, and a bucket is emitted once the watermark has passed it.
+    :func:`start_timeline` loses no row.
     """
 
     width = f"{max(1, bucket_minutes)} minutes"

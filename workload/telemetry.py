@@ -15,7 +15,8 @@ from sonoledger.sources.runs import (
 )
 from sonoledger.sources.telemetry import append_telemetry, read_telemetry
 from sonoledger.streaming import monitor
-from sonoledger.streaming.ingest import start_ingest, windowed_timeline
+from sonoledger.sources.manifests import write_manifest
+from sonoledger.streaming.ingest import payload_stream, read_timeline, start_ingest, start_timeline
 from workload.ingest import payload_text
 from workload.proxies import (
     DETECTIONS_SQL,
@@ -204,27 +205,42 @@ def live_ingest(spark, sf_dir):
     )
 
 
+def live_payload_files(spark, sf_dir):
+    """Payload files as a stream, filled from a manifest that is read for every batch."""
+
+    src, listed = shared_dir(spark, "payloads"), shared_dir(spark, "manifest")
+    rows = table(spark, sf_dir, "supplier").selectExpr(
+        "concat('chunk_', s_suppkey) AS chunk_id", "s_suppkey AS part",
+        "array(named_struct('timestamp_ms', s_suppkey, 'label', s_name)) AS detections",
+    )
+    rows.repartition(20, "part").write.partitionBy("part").json(src)
+    known = table(spark, sf_dir, "supplier").selectExpr(
+        "concat('rec_', s_nationkey) AS recording_id", "concat('chunk_', s_suppkey) AS chunk_id",
+        "concat('/a/', s_suppkey, '.wav') AS source_path", "s_nationkey * 1000L AS start_ms",
+        "s_nationkey * 1000L + 1000 AS end_ms", "0L AS overlap_ms", "cast(NULL AS string) AS sha256",
+        "cast(NULL AS string) AS notes",
+    )
+    write_manifest(known, listed, "csv")
+    out = shared_dir(spark, "detections")
+    start_ingest(payload_stream(_stream_session(spark), src, 500), out, shared_dir(spark, "cp"), listed).awaitTermination()
+    return spark.read.parquet(out).select("recording_id", "chunk_id", "absolute_time_ms", "label", "source_path")
+
+
 def live_timeline(spark, sf_dir):
-    """Event-time buckets; those the final watermark has passed are out."""
+    """Event-time buckets of files in mixed order: all of them, as in the batch form."""
 
     src = shared_dir(spark, "detections")
     stamped = detections(spark, sf_dir).withColumn(
         "event_time",
         F.timestamp_millis(F.lit(1704067200000) + F.col("chunk_end_ms") - 60000),
     )
-    stamped.repartitionByRange(4, "event_time").write.parquet(src)
-    stream = _stream_session(spark).readStream.schema(stamped.schema).parquet(src)
-    out, name = windowed_timeline(stream), shared_dir(spark, "timeline")
-    (
-        out.writeStream.outputMode("append")
-        .option("checkpointLocation", shared_dir(spark, "cp"))
-        .trigger(availableNow=True)
-        .format("parquet")
-        .option("path", name)
-        .start()
-        .awaitTermination()
+    stamped.repartition(4, "chunk_id").write.parquet(src)
+    stream = (
+        _stream_session(spark).readStream.schema(stamped.schema).option("maxFilesPerTrigger", 1).parquet(src)
     )
-    return spark.read.schema(out.schema).parquet(name).select(
+    out = shared_dir(spark, "timeline")
+    start_timeline(stream, out, shared_dir(spark, "cp")).awaitTermination()
+    return read_timeline(spark, out).select(
         F.unix_seconds("bucket_start").alias("bucket_start"),
         "detections",
         F.round("avg_confidence", 9).alias("avg_confidence"),
@@ -247,6 +263,7 @@ QUERIES = {
     "live_histories": live_histories,
     "live_ingest": live_ingest,
     "live_timeline": live_timeline,
+    "live_payload_files": live_payload_files,
 }
 
 _FLAT = f"WITH {TELEMETRY_SQL}"
@@ -335,11 +352,14 @@ SELECT CASE k WHEN 1 THEN event_type WHEN 2 THEN 'unknown' ELSE 'none' END AS la
        CASE WHEN event_type NOT IN ('error', 'view') THEN 'done' WHEN k IS NULL THEN 'unknown'
             ELSE 'ok' END AS status,
        count(*) AS rows, CAST(sum(k * 500) AS BIGINT) AS time_sum FROM d GROUP BY 1, 2""",
+    "live_payload_files": """
+SELECT 'rec_' || s_nationkey AS recording_id, 'chunk_' || s_suppkey AS chunk_id,
+       CAST(s_nationkey * 1000 + s_suppkey AS BIGINT) AS absolute_time_ms, s_name AS label,
+       '/a/' || s_suppkey || '.wav' AS source_path FROM supplier""",
     "live_timeline": f"""WITH {DETECTIONS_SQL},
 w AS (SELECT (chunk_end_ms - 60000) // 3600000 AS b, chunk_id, chunk_start_ms, count(*) AS n,
              avg(confidence) AS c FROM detections GROUP BY ALL)
 SELECT 1704067200 + b * 3600 AS bucket_start, CAST(sum(n) AS BIGINT) AS detections,
        round(avg(c), 9) AS avg_confidence
-FROM w WHERE (b + 1) * 3600000 <= (SELECT max(chunk_end_ms - 60000) - 600000 FROM detections)
-GROUP BY b""",
+FROM w GROUP BY b""",
 }
