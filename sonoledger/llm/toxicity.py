@@ -16,6 +16,7 @@ all labels are toxic, else 0); repeated rows each get a row.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -30,8 +31,9 @@ from sonoledger.llm._words import Hasher, mix, slices, words_of
 from sonoledger.llm.language import held_out
 
 WORD_BITS = 44  # of a word's hash; the rows of a slice fit beside them
-MAX_ROWS = 12_000  # labelled texts of each label that the classifier may see
+MAX_ROWS = 8_000  # labelled texts of each label that the classifier may see
 LEAST_TEXTS = 3  # sampled texts a learned feature must be in
+LIKELY_SHARE = 0.2  # of them, copies counted, below which a feature isn't looked at
 LEAST_SHARE, LEAST_STEM_SHARE = 0.8, 0.95  # of them that must be toxic, for words and beginnings
 STEMS = (4, 5, 6)  # bytes of word beginnings that are features beside the word
 
@@ -307,10 +309,8 @@ class ToxicityModel:
         def score(column) -> np.ndarray:
             clean = np.full(len(column), np.log1p(-self.base))
             for first, rows, row, word, _ in _word_features(column, decoder, hasher):
-                at = np.searchsorted(self.words, word)
-                known = np.flatnonzero(at < len(self.words))
-                known = known[self.words[at[known]] == word[known]]
-                clean[first : first + rows] += np.bincount(row[known], spared[at[known]], minlength=rows)
+                known, at = _places(word, self.words)
+                clean[first : first + rows] += np.bincount(row[known], spared[at], minlength=rows)
             return 1 - np.exp(clean)
 
         return score
@@ -352,6 +352,16 @@ def _families(keys: np.ndarray) -> np.ndarray:
     return np.array([root(i) for i in range(len(keys))], np.int64)
 
 
+def _places(values: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of ``values`` that are in ``held``, their places there); ``held`` is sorted."""
+
+    if not len(held):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(held, values), len(held) - 1)
+    found = np.flatnonzero(held[at] == values)
+    return found, at[found]
+
+
 def learn_words(held: list[np.ndarray], keys: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, toxic shares, share of toxic texts among those without such features).
 
@@ -361,9 +371,19 @@ def learn_words(held: list[np.ndarray], keys: np.ndarray, labels: np.ndarray) ->
     copied often isn't taken for evidence.
     """
 
-    lengths = [len(h) for h in held]
+    # Most features are in far more clean texts than toxic ones; they are left out first, so
+    # that memory follows the toxic texts.
+    none = np.zeros(0, np.int64)
+    known, k = np.unique(np.concatenate([none, *(h for h, y in zip(held, labels) if y)]), return_counts=True)
+    n = k.copy()
+    for h, y in zip(held, labels):
+        if not y:
+            n[_places(h, known)[1]] += 1
+    likely = known[k / n > LIKELY_SHARE]
+    words_left = [h[_places(h, likely)[0]] for h in held]
+    lengths = [len(h) for h in words_left]
     frame = pd.DataFrame({
-        "word": np.concatenate([*held, np.zeros(0, np.int64)]),
+        "word": np.concatenate([*words_left, none]),
         "family": np.repeat(_families(keys), lengths),
         "toxic": np.repeat(labels.astype(float), lengths),
     }).groupby(["word", "family"], sort=True)["toxic"].mean().groupby("word")
@@ -374,9 +394,9 @@ def learn_words(held: list[np.ndarray], keys: np.ndarray, labels: np.ndarray) ->
     ratio = 2 * (k * np.log(p / overall) + (n - k) * np.log((1 - p) / (1 - overall)))
     share = (k + 0.5) / (n + 1)
     least = np.where(found.index.to_numpy(np.int64) & 1, LEAST_STEM_SHARE, LEAST_SHARE)
-    learned = (share > least) & (ratio > 2 * np.log(max(len(found), 1)) + 4)
+    learned = (share > least) & (ratio > 2 * np.log(max(len(known), 1)) + 4)
     words = found.index.to_numpy(np.int64)[learned]
-    without = np.array([not np.isin(h, words).any() for h in held], bool)
+    without = np.array([not len(_places(h, words)[0]) for h in held], bool)
     base = (labels[without].sum() + 0.5) / (without.sum() + 1)
     return words, share[learned], float(min(base, 0.49))
 
@@ -415,10 +435,19 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxic
             yield pa.RecordBatch.from_arrays(columns, names=["label", "words", "copies"])
 
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True).groupby(["words", "copies"], as_index=False)["label"].max()
-        held = [np.frombuffer(w, np.int64) for w in rows["words"]]
-        keys = np.array([np.frombuffer(c, np.uint64) for c in rows["copies"]], np.uint64).reshape(-1, 12)
-        words, shares, base = learn_words(held, keys, rows["label"].to_numpy(int))
+        # Equal texts once, toxic if any copy is; only arrays are kept, in a fixed order.
+        seen: dict[bytes, list] = {}
+        for batch in batches:
+            for label, words, copies in zip(batch["label"], batch["words"], batch["copies"]):
+                digest = hashlib.blake2b(words + copies, digest_size=16).digest()
+                if digest in seen:
+                    seen[digest][0] = max(seen[digest][0], int(label))
+                else:
+                    seen[digest] = [int(label), np.frombuffer(words, np.int64), np.frombuffer(copies, np.uint64)]
+        kept = [seen[d] for d in sorted(seen)]
+        held, labels = [k[1] for k in kept], np.array([k[0] for k in kept], int)
+        keys = np.array([k[2] for k in kept], np.uint64).reshape(-1, 12)
+        words, shares, base = learn_words(held, keys, labels)
         yield pd.DataFrame({"words": [words.tobytes()], "shares": [shares.tobytes()], "base": [base]})
 
     model = (
