@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from sonoledger.llm._words import Hasher, slices, words_of
+from sonoledger.session import materialise
 
 DICTIONARY = 20_000
 LEAST_LENGTH = 16  # of tokens without a telling name
@@ -296,8 +297,21 @@ def learn_lexicon(texts: DataFrame, most: int = DICTIONARY) -> Lexicon:
                     held, n = {}, Counter()
         yield _word_rows(held, n)
 
-    counted = texts.mapInArrow(work, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return Lexicon({r["word"]: r["n"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()})
+    counted = materialise(
+        texts.mapInArrow(work, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "secret-words"
+    )
+    # Words fall into a few hundred classes of frequency; the highest ones that together
+    # hold at most ``most`` words are kept, so only those reach the driver.
+    level = F.floor(F.log2("n") * 16)
+    sizes = counted.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect()
+    held, least = 0, None
+    for row in sorted(sizes, key=lambda r: -r["level"]):
+        held += row["words"]
+        if held > most:
+            break
+        least = row["level"]
+    kept = counted.filter(F.lit(False) if least is None else level >= least)
+    return Lexicon({r["word"]: r["n"] for r in kept.orderBy("word").collect()})
 
 
 def _word_rows(held: dict[int, bytes], n: Counter) -> pa.RecordBatch:
