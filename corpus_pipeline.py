@@ -14,6 +14,7 @@ copies. An empty table passes through all stages.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,28 +23,44 @@ from sonoledger.llm import secrets_scan, toxicity
 from sonoledger.llm.decontaminate import drop_contaminated
 from sonoledger.llm.near_dup import drop_near_duplicates
 from sonoledger.llm.pieces import encode_texts
-from sonoledger.llm.queries import piece_model, table
+from sonoledger.llm.queries import ARROW_ROWS, piece_model, table
 from sonoledger.session import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def small_batches(stage: Stage) -> Stage:
+    """The stage with texts going to Python in small batches, so that workers stay small."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@small_batches
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+@small_batches
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs)
 
 
+@small_batches
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@small_batches
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets_scan.redact(docs, secrets_scan.train(docs))
 
 
+@small_batches
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_texts(docs, piece_model())
 

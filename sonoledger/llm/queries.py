@@ -17,7 +17,15 @@ from sonoledger.llm.vectors import nearest
 from sonoledger.llm.toxicity import score_documents, train as train_toxicity
 
 
+# Rows of text that go to a Python worker at once. Spark's default of 10,000 makes buffers of
+# a hundred megabytes on either side where texts are long.
+ARROW_ROWS = 2000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the test data. Sets the session's Arrow batches to ``ARROW_ROWS``."""
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
