@@ -3,8 +3,8 @@
 A vector is represented by the order in which it sees a fixed set of pivots. It is posted
 in the inverted files of its nearest pivots; a query probes the files of its own nearest
 pivots. In a file, vectors are ranked by the footrule distance (the sum of differences of
-pivot ranks) to the query, the best share of them is ranked again by the exact distance,
-and the best few of each file are merged.
+pivot ranks) to the query, the best share of their ids, with all that tie at its edge, is
+ranked again by the exact distance, and the best few of each file are merged.
 
 Pivots are a bounded sample (``PIVOTS`` vectors by a hash of id and components); every
 vector is indexed. Files are cut into blocks of about ``BLOCK`` vectors by a hash of the
@@ -102,23 +102,43 @@ def _matrix(rows: pd.Series, kind) -> np.ndarray:
 
 
 def _search_block(queries: pd.DataFrame, block: pd.DataFrame, k: int, share: float) -> pd.DataFrame:
-    """The best ``k`` of a block for each query."""
+    """The best ``k`` ids of a block for each query; all ids tied at the share's edge are ranked again."""
 
-    out = []
+    asked, found, scores = [], [], []
     if len(queries) and len(block):
         block = block.sort_values(["vec_id", "vector"], ignore_index=True)
-        ids, x, ranks = block["vec_id"].to_numpy(), _matrix(block["vector"], float), _matrix(block["ranks"], np.uint8).astype(np.int16)
+        x, ranks = _matrix(block["vector"], float), _matrix(block["ranks"], np.uint8).astype(np.int16)
+        # Cuts count ids, not rows: a repeated id takes one place, with its nearest row.
+        ids, first, rows = np.unique(block["vec_id"].to_numpy(), return_index=True, return_counts=True)
+        once = len(ids) == len(block)
         again = max(50, int(np.ceil(share * len(block))))
         for query, vector, rank in zip(queries["vec_id"], _matrix(queries["vector"], float), _matrix(queries["ranks"], np.uint8)):
             footrule = np.abs(ranks - rank.astype(np.int16)).sum(axis=1, dtype=np.int32)
-            near = np.argpartition(footrule, again - 1)[:again] if again < len(block) else np.arange(len(block))
-            near = near[ids[near] != query]
-            distance = np.sqrt(((x[near] - vector) ** 2).sum(axis=1))
-            best = np.lexsort((ids[near], distance))[: 2 * k]
-            out.append(pd.DataFrame({"query_id": query, "vec_id": ids[near[best]], "score": distance[best]}))
-    if not out:
+            if not once:
+                footrule = np.minimum.reduceat(footrule, first)
+            others = ids != query
+            near = np.flatnonzero(others)
+            if again < len(near):
+                footrule[~others] = np.iinfo(np.int32).max
+                near = np.flatnonzero(footrule <= np.partition(footrule, again - 1)[again - 1])
+            if not len(near):
+                continue
+            if once:
+                distance = np.sqrt(((x[near] - vector) ** 2).sum(axis=1))
+            else:
+                start = np.cumsum(rows[near]) - rows[near]
+                at = np.repeat(first[near] - start, rows[near]) + np.arange(rows[near].sum())
+                distance = np.minimum.reduceat(np.sqrt(((x[at] - vector) ** 2).sum(axis=1)), start)
+            best = np.argsort(distance, kind="stable")[:k]  # ids ascend
+            asked.append(np.full(len(best), query))
+            found.append(ids[near[best]])
+            scores.append(distance[best])
+    if not asked:
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": float})
-    return pd.concat(out).drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k)
+    out = pd.DataFrame({"query_id": np.concatenate(asked), "vec_id": np.concatenate(found), "score": np.concatenate(scores)})
+    # A query's id may be repeated as well.
+    out = out.sort_values(["query_id", "score", "vec_id"], ignore_index=True).drop_duplicates(["query_id", "vec_id"])
+    return out.groupby("query_id").head(k)
 
 
 def nearest(
