@@ -1,7 +1,8 @@
 """Toxicity: noisy-channel deobfuscation, then a score of the restored text.
 
 Disguised words are found by their bytes: digits and signs beside letters (leetspeak),
-three equal letters in a row, single letters with gaps between them. Each such span is a
+three equal letters in a row, letters with gaps between them: single ones over white space,
+any parts of a token over other gap signs. Each such span, however long, is a
 lattice: a sign may stand for letters, a repeated letter or a gap may have been put in. A
 Viterbi search picks the path that a character 4-gram model, counted over all documents,
 together with the channel's costs finds likeliest. The restored text is scored by a noisy
@@ -44,7 +45,7 @@ LEET = {
 }
 # Costs of the channel, in nats.
 SUBSTITUTED, WILDCARD, REPEATED, DOUBLED, GAP, DROPPED = 0.7, 1.5, 0.3, 6.0, 0.1, 6.0
-LONGEST_SPAN = 400  # bytes; longer spans are no words, they stay as they are
+TABLED_SPAN = 400  # bytes; longer spans are decoded each time, so that the table stays small
 BEAM = 32
 
 # Symbols of the character model: 0 edge of a word, 1-26 a-z, 27 any other letter's byte.
@@ -116,16 +117,17 @@ class Decoder:
         self.most = table_spans
 
     def restore(self, span: bytes) -> bytes:
+        if len(span) > TABLED_SPAN:
+            return self._search(span)
         if span not in self.known:
             if len(self.known) >= self.most:
                 self.known.clear()
-            self.known[span] = self._search(span) if len(span) <= LONGEST_SPAN else span
+            self.known[span] = self._search(span)
         return self.known[span]
 
-    def _arcs(self, span: bytes) -> list[list[tuple[int, int, float]]]:
+    def _arcs(self, span: bytes) -> Iterator[list[tuple[int, int, float]]]:
         """For each byte: (symbol, byte written, cost); symbol -1 writes nothing."""
 
-        arcs = []
         text = span.lower()
         for at, byte in enumerate(text):
             char, here = chr(byte), []
@@ -148,12 +150,12 @@ class Decoder:
                     here.append((-1, 0, DROPPED))
                 if not here:
                     here.append((0, byte, 0.0))
-            arcs.append(here)
-        return arcs
+            yield here
 
     def _search(self, span: bytes) -> bytes:
         n, log_p = _SYMBOLS, self.log_p
         cells: dict[int, tuple[float, tuple]] = {0: (0.0, ())}  # last three symbols: cost, path
+        out = bytearray()
         for here in self._arcs(span):
             grown: dict[int, tuple[float, tuple]] = {}
             for state, (cost, path) in cells.items():
@@ -170,13 +172,21 @@ class Decoder:
             if len(grown) > BEAM:
                 grown = dict(sorted(grown.items(), key=lambda kv: (kv[1][0], kv[0]))[:BEAM])
             cells = grown
+            if len(cells) == 1:  # all paths are one: what it wrote is settled
+                [(state, (cost, way))] = cells.items()
+                out += _written(way)
+                cells = {state: (cost, ())}
         ends = ((cost - (log_p[state * n] if state % n else 0.0), state, way) for state, (cost, way) in cells.items())
         _, _, way = min(ends, key=lambda e: e[:2])
-        out = bytearray()
-        while way:
-            way, byte = way
-            out.append(byte)
-        return bytes(reversed(out))
+        return bytes(out + _written(way))
+
+
+def _written(way: tuple) -> bytes:
+    out = bytearray()
+    while way:
+        way, byte = way
+        out.append(byte)
+    return bytes(reversed(out))
 
 
 _PLAIN, _THRICE = re.compile(rb"[A-Za-z\x80-\xff]+"), re.compile(rb"(?i)([a-z])\1\1")
@@ -225,11 +235,17 @@ def suspicious_spans(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, i
     flag = np.zeros(len(start), bool)
     flag[token[(beside | triple) & inside]] = True
     flag |= np.bincount(token[alone & inside], minlength=len(start)) >= 2
+    # Parts of a token with gaps between them: mo-ron
+    held = np.flatnonzero(inside & ~gap)
+    before, behind = held[:-1], held[1:]
+    parted = (behind - before > 1) & (token[before] == token[behind]) & letter[before] & letter[behind]
+    flag[token[behind[parted]]] = True
     has_letter = np.zeros(len(start), bool)
     has_letter[token[letter]] = True
     flag &= has_letter
 
-    # Tokens of one letter or sign each, one after the other: i d i o t
+    # Tokens of one letter or sign each, one after the other: i d i o t. A letter is among
+    # them, or they are four at least.
     single = (end - start == 1) & (letter[start] | leet[start])
     first, after = _runs(single)
     spans = [(int(start[k]), int(end[k])) for k in np.flatnonzero(flag & ~single)]
@@ -237,7 +253,7 @@ def suspicious_spans(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, i
     for a, b in zip(first, after):
         # A run may not go on over the edge of a text.
         cuts = [a, *(a + 1 + np.flatnonzero(np.diff(doc[a:b]))), b]
-        spans += [(int(start[i]), int(end[j - 1])) for i, j in zip(cuts[:-1], cuts[1:]) if j - i >= 4]
+        spans += [(int(start[i]), int(end[j - 1])) for i, j in zip(cuts[:-1], cuts[1:]) if j - i >= (2 if letter[start[i:j]].any() else 4)]
     return sorted(spans)
 
 

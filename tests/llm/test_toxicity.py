@@ -81,3 +81,25 @@ def test_edges(spark, make_docs, world, model):
     assert score_documents(none, train(none, no_labels)).collect() == []
     one = spark.createDataFrame([(1, 0, 0, 0.0), (2, 0, None, 0.0), (None, 0, 1, 0.0)], LABELS)
     assert [r.predicted for r in score_documents(world[0], train(world[0], one)).take(3)] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("gap", [" ", ".", "-"])
+def test_long_spans_are_decoded(model, gap):
+    """Toxic words spaced out letter by letter, several thousand letters on end."""
+
+    words = "the river runs under an old stone bridge where children play and fish all day long".split() * 60 + ["worthless"]
+    spaced = gap.join(gap.join(w) for w in words)
+    score = model.scorer()
+    assert len(spaced) > 8_000 and score(pa.array([spaced]))[0] >= 0.5
+    assert score(pa.array([gap.join(gap.join(w) for w in words[:-1])]))[0] < 0.5
+
+
+@pytest.mark.parametrize("disguise", ["worth-less", "mo.ronic", "scum_bag", "wor--thless", "m-oronic"])
+def test_words_in_parts_are_scored(model, disguise):
+    assert model.scorer()(pa.array([f"the old {disguise} bridge"]))[0] >= 0.5
+
+
+def test_short_runs_of_single_letters_are_spans():
+    text = b"an a s s or 1 2 3"
+    spans = suspicious_spans(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert [text[a:b] for a, b in spans] == [b"a s s"]
