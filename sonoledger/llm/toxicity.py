@@ -4,8 +4,8 @@ Disguised words are found by their bytes: digits and signs beside letters (leets
 three equal letters in a row, letters with gaps between them: single ones over white space,
 any parts of a token over other gap signs. Each such span, however long, is a
 lattice: a sign may stand for letters, a repeated letter or a gap may have been put in. A
-Viterbi search picks the path that a character 4-gram model, counted over all documents,
-together with the channel's costs finds likeliest. The restored text is scored by a noisy
+Viterbi search, which prunes no state, picks the path that a character 4-gram model, counted
+over all documents, together with the channel's costs finds likeliest. The restored text is scored by a noisy
 or over its words and word beginnings: each learned one makes a text toxic with the share
 of toxic texts among the labelled ones that hold it.
 
@@ -46,7 +46,7 @@ LEET = {
 # Costs of the channel, in nats.
 SUBSTITUTED, WILDCARD, REPEATED, DOUBLED, GAP, DROPPED = 0.7, 1.5, 0.3, 6.0, 0.1, 6.0
 TABLED_SPAN = 400  # bytes; longer spans are decoded each time, so that the table stays small
-BEAM = 32
+WIDE = 1_500  # states times choices beyond which a step is taken in arrays
 
 # Symbols of the character model: 0 edge of a word, 1-26 a-z, 27 any other letter's byte.
 _SYMBOLS, _ORDER = 28, 4
@@ -113,6 +113,7 @@ class Decoder:
 
     def __init__(self, model: np.ndarray, table_spans: int = 100_000) -> None:
         self.log_p = model.tolist()
+        self.by_symbol = np.ascontiguousarray(model.reshape(-1, _SYMBOLS).T).astype(float)
         self.known: dict[bytes, bytes] = {}
         self.most = table_spans
 
@@ -152,11 +153,46 @@ class Decoder:
                     here.append((0, byte, 0.0))
             yield here
 
+    def _wide_step(self, cells: dict[int, tuple[float, tuple]], here: list[tuple[int, int, float]]) -> dict:
+        """One step of the search over all 28^3 states at once."""
+
+        n = _SYMBOLS
+        held = np.full(n**3, np.inf)
+        states = np.fromiter(cells, np.int64, len(cells))
+        held[states] = [cost for cost, _ in cells.values()]
+        best, came, wrote = np.full(n**3, np.inf), np.zeros(n**3, np.int64), np.full(n**3, -1)
+
+        def offer(to: np.ndarray, spent: np.ndarray, source: np.ndarray, byte: int) -> None:
+            better = spent < best[to]
+            at = to[better]
+            best[at], came[at], wrote[at] = spent[better], source[better], byte
+
+        edges, pairs = states[states % n == 0], np.arange(n * n)
+        for symbol, byte, price in here:
+            if symbol < 0:
+                offer(states, held[states] + price, states, -1)
+                continue
+            spent = (held + price - self.by_symbol[symbol]).reshape(n, n * n)
+            if symbol == 0:  # no second edge
+                offer(edges, held[edges] + price, edges, -1 if byte == 32 else byte)
+                spent[:, ::n] = np.inf
+            first = spent.argmin(axis=0)
+            offer(pairs * n + symbol, spent[first, pairs], first * n * n + pairs, byte)
+        out = {}
+        to = np.flatnonzero(best < np.inf)
+        for state, cost, source, byte in zip(to.tolist(), best[to].tolist(), came[to].tolist(), wrote[to].tolist()):
+            way = cells[source][1]
+            out[state] = (cost, way if byte < 0 else (way, byte))
+        return out
+
     def _search(self, span: bytes) -> bytes:
         n, log_p = _SYMBOLS, self.log_p
         cells: dict[int, tuple[float, tuple]] = {0: (0.0, ())}  # last three symbols: cost, path
         out = bytearray()
         for here in self._arcs(span):
+            if len(cells) * len(here) > WIDE:
+                cells = self._wide_step(cells, here)
+                continue
             grown: dict[int, tuple[float, tuple]] = {}
             for state, (cost, path) in cells.items():
                 for symbol, byte, price in here:
@@ -169,8 +205,6 @@ class Decoder:
                         to, way = (state * n + symbol) % n**3, (path, byte)
                     if to not in grown or spent < grown[to][0]:
                         grown[to] = (spent, way)
-            if len(grown) > BEAM:
-                grown = dict(sorted(grown.items(), key=lambda kv: (kv[1][0], kv[0]))[:BEAM])
             cells = grown
             if len(cells) == 1:  # all paths are one: what it wrote is settled
                 [(state, (cost, way))] = cells.items()

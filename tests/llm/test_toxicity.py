@@ -1,7 +1,10 @@
+import string
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
+from sonoledger.llm import toxicity
 from sonoledger.llm.toxicity import (
     Decoder, character_counts, character_model, drop_toxic, restore_slice, score_documents, suspicious_spans, train,
 )
@@ -103,3 +106,45 @@ def test_short_runs_of_single_letters_are_spans():
     text = b"an a s s or 1 2 3"
     spans = suspicious_spans(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
     assert [text[a:b] for a, b in spans] == [b"a s s"]
+
+
+def exhaustive(decoder, span):
+    """Cost and text of the likeliest path, of all paths one by one."""
+
+    paths = [(0.0, 0, b"")]
+    for here in decoder._arcs(span):
+        grown = []
+        for cost, state, text in paths:
+            for symbol, byte, price in here:
+                if symbol < 0:
+                    grown.append((cost + price, state, text))
+                elif symbol == 0 and state % 28 == 0:
+                    grown.append((cost + price, state, text if byte == 32 else text + bytes([byte])))
+                else:
+                    spent = cost + price - decoder.log_p[state * 28 + symbol]
+                    grown.append((spent, (state * 28 + symbol) % 28**3, text + bytes([byte])))
+        paths = grown
+    return min((cost - (decoder.log_p[state * 28] if state % 28 else 0.0), text) for cost, state, text in paths)[1]
+
+
+@pytest.mark.parametrize("wide", [0, 1_500, 10**9])
+def test_wildcards_against_all_paths(monkeypatch, wide):
+    """Two and three wildcards; the array steps and the others choose the same."""
+
+    monkeypatch.setattr(toxicity, "WIDE", wide, raising=False)
+    # All of s??e are common and one word is rare, so only the letters after the wildcards can tell.
+    counts = np.zeros((28,) * 4)
+    pairs = [("s" + x + y + "e", 1 if x + y == "qz" else 100) for x in string.ascii_lowercase for y in string.ascii_lowercase]
+    for word, n in [*pairs, ("sqzkum", 1)]:
+        held = [0, 0, 0, *(ord(c) - 96 for c in word), 0]
+        for at in range(3, len(held)):
+            counts[tuple(held[at - 3 : at + 1])] += n
+    decoder = Decoder(character_model(counts))
+    for span in (b"s**e", b"s**kum", b"s*zk*m", b"s**.kum", b"s**k*m"):
+        assert decoder.restore(span) == exhaustive(decoder, span), span
+
+
+def test_words_with_two_and_three_wildcards(world, model):
+    decoder = Decoder(model.characters)
+    for span, word in ((b"mor**ic", b"moronic"), (b"s*u*bag", b"scumbag"), (b"wo**hl*ss", b"worthless")):
+        assert decoder.restore(span) == word
