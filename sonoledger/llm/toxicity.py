@@ -32,9 +32,9 @@ from sonoledger.llm._words import Hasher, mix, slices, words_of
 from sonoledger.llm.language import held_out
 
 WORD_BITS = 44  # of a word's hash; the rows of a slice fit beside them
-MAX_ROWS = 8_000  # labelled texts of each label that the classifier may see
+MAX_ROWS = 12_000  # labelled texts of each label that the classifier may see
 LEAST_TEXTS = 3  # sampled texts a learned feature must be in
-LIKELY_SHARE = 0.2  # of them, copies counted, below which a feature isn't looked at
+PARTS = 16  # of the features, counted one after the other
 LEAST_SHARE, LEAST_STEM_SHARE = 0.8, 0.95  # of them that must be toxic, for words and beginnings
 STEMS = (4, 5, 6)  # bytes of word beginnings that are features beside the word
 
@@ -412,42 +412,52 @@ def _places(values: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return found, at[found]
 
 
-def learn_words(held: list[np.ndarray], keys: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def learn_words(
+    held: list[np.ndarray], keys: np.ndarray, labels: np.ndarray, weights: tuple[float, float] = (1.0, 1.0)
+) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, toxic shares, share of toxic texts among those without such features).
 
     A feature is learned if nearly all texts that hold it are toxic and the log-likelihood
     ratio against the overall share stands out among as many features as were looked at.
     Near copies of one text count once, as a share of a text each way, so that what was
-    copied often isn't taken for evidence.
+    copied often isn't taken for evidence. ``weights`` are of a clean and of a toxic text:
+    how many of its label each stands for. Shares are weighted, the ratio is the sample's.
     """
 
-    # Most features are in far more clean texts than toxic ones; they are left out first, so
-    # that memory follows the toxic texts.
+    # Features of toxic texts are counted by families, a range of features at a time, so that
+    # memory follows the texts. ``held`` ascends in each text.
     none = np.zeros(0, np.int64)
-    known, k = np.unique(np.concatenate([none, *(h for h, y in zip(held, labels) if y)]), return_counts=True)
-    n = k.copy()
-    for h, y in zip(held, labels):
-        if not y:
-            n[_places(h, known)[1]] += 1
-    likely = known[k / n > LIKELY_SHARE]
-    words_left = [h[_places(h, likely)[0]] for h in held]
-    lengths = [len(h) for h in words_left]
-    frame = pd.DataFrame({
-        "word": np.concatenate([*words_left, none]),
-        "family": np.repeat(_families(keys), lengths),
-        "toxic": np.repeat(labels.astype(float), lengths),
-    }).groupby(["word", "family"], sort=True)["toxic"].mean().groupby("word")
-    found = frame.agg(["sum", "count"]).query(f"count >= {LEAST_TEXTS}")
-    k, n = found["sum"].to_numpy(float), found["count"].to_numpy(float)
-    overall = float(np.clip(labels.mean(), 1e-6, 1 - 1e-6))
-    p = np.clip(k / n, 1e-9, 1 - 1e-9)
+    known = np.unique(np.concatenate([none, *(h for h, y in zip(held, labels) if y)]))
+    _, family = np.unique(_families(keys), return_inverse=True)
+    families = int(family.max(initial=0)) + 1
+    inner = known[np.arange(1, PARTS) * len(known) // PARTS] if len(known) else np.zeros(PARTS - 1, np.int64)
+    edges = np.concatenate([[0], inner, [np.iinfo(np.int64).max]])
+    clean_weight, toxic_weight = (w / min(weights) for w in weights)
+    spans = [np.searchsorted(h, edges) for h in held]
+    k, n = np.zeros(len(known)), np.zeros(len(known))
+    for part in range(PARTS):
+        cut = [h[at[part] : at[part + 1]] for h, at in zip(held, spans)]
+        text = np.repeat(np.arange(len(held)), [len(h) for h in cut])
+        found, word = _places(np.concatenate([*cut, none]), known)
+        text = text[found]
+        both, row = np.unique(word * families + family[text], return_inverse=True)
+        toxic = labels[text].astype(bool)
+        weight = np.where(toxic, toxic_weight, clean_weight)
+        mean = np.bincount(row, weight * toxic, len(both)) / np.bincount(row, weight, len(both))
+        n += np.bincount(both // families, minlength=len(known))
+        k += np.bincount(both // families, mean, len(known))
+    weighted_k = k * toxic_weight
+    share = (weighted_k + 0.5) / (weighted_k + (n - k) * clean_weight + 1)
+    overall = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-6, 1 - 1e-6))
+    p = np.clip(k / np.maximum(n, 1), 1e-9, 1 - 1e-9)
     ratio = 2 * (k * np.log(p / overall) + (n - k) * np.log((1 - p) / (1 - overall)))
-    share = (k + 0.5) / (n + 1)
-    least = np.where(found.index.to_numpy(np.int64) & 1, LEAST_STEM_SHARE, LEAST_SHARE)
-    learned = (share > least) & (ratio > 2 * np.log(max(len(known), 1)) + 4)
-    words = found.index.to_numpy(np.int64)[learned]
+    least = np.where(known & 1, LEAST_STEM_SHARE, LEAST_SHARE)
+    learned = (n >= LEAST_TEXTS) & (share > least) & (ratio > 2 * np.log(max(len(known), 1)) + 4)
+    words = known[learned]
     without = np.array([not len(_places(h, words)[0]) for h in held], bool)
-    base = (labels[without].sum() + 0.5) / (without.sum() + 1)
+    toxic = labels[without].sum() * toxic_weight
+    clean = (without.sum() - labels[without].sum()) * clean_weight
+    base = (toxic + 0.5) / (toxic + clean + 1)
     return words, share[learned], float(min(base, 0.49))
 
 
@@ -455,7 +465,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxic
     """Character model over all ``docs``; word shares on labelled ones that are not held out.
 
     The classifier sees about ``max_rows`` texts of each label at most, chosen by a hash of
-    the id; equal texts count once.
+    the id and weighted by the true sizes of the labels; equal texts count once.
     """
 
     characters = character_model(character_counts(docs.select("text")))
@@ -466,11 +476,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxic
     sizes = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return ToxicityModel(characters, np.zeros(0, np.int64), np.zeros(0), 0.99 if 1 in sizes else 0.0)
-    # Both labels by the same share, so that shares of toxic texts stay what they are.
-    share = min(1.0, max_rows / max(sizes.values()))
+    # Each label up to its own bound; weights bring back the true shares.
+    share = {label: min(1.0, max_rows / n) for label, n in sizes.items()}
+    weights = (1 / share[0], 1 / share[1])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     # At most about 2 x max_rows pairs of numbers: small enough to send to every task.
-    chosen = F.broadcast(usable.filter(place < share))
+    chosen = F.broadcast(usable.filter(place < F.when(F.col("label") == 1, share[1]).otherwise(share[0])))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").select("label", "text")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -497,7 +508,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxic
         kept = [seen[d] for d in sorted(seen)]
         held, labels = [k[1] for k in kept], np.array([k[0] for k in kept], int)
         keys = np.array([k[2] for k in kept], np.uint64).reshape(-1, 12)
-        words, shares, base = learn_words(held, keys, labels)
+        words, shares, base = learn_words(held, keys, labels, weights)
         yield pd.DataFrame({"words": [words.tobytes()], "shares": [shares.tobytes()], "base": [base]})
 
     model = (

@@ -6,7 +6,7 @@ import pytest
 
 from sonoledger.llm import toxicity
 from sonoledger.llm.toxicity import (
-    Decoder, character_counts, character_model, drop_toxic, restore_slice, score_documents, suspicious_spans, train,
+    Decoder, character_counts, character_model, drop_toxic, learn_words, restore_slice, score_documents, suspicious_spans, train,
 )
 
 LABELS = "doc_id long, quality int, toxic int, score double"
@@ -148,3 +148,48 @@ def test_words_with_two_and_three_wildcards(world, model):
     decoder = Decoder(model.characters)
     for span, word in ((b"mor**ic", b"moronic"), (b"s*u*bag", b"scumbag"), (b"wo**hl*ss", b"worthless")):
         assert decoder.restore(span) == word
+
+
+def families_of(groups):
+    """Copy keys: texts of the same group above 0 share one."""
+
+    keys = np.zeros((len(groups), 12), np.uint64)
+    keys[:, 0] = groups
+    return keys
+
+
+def test_near_copies_of_a_clean_text_count_once():
+    """A word in ten toxic texts and one clean text that has 100 near copies."""
+
+    held = [np.array([8, 100 + 2 * i]) for i in range(10)] + [np.array([8, 300])] * 100
+    held += [np.array([1000 + 2 * i]) for i in range(200)]
+    labels = np.array([1] * 10 + [0] * 300)
+    words, shares, _ = learn_words(held, families_of([0] * 10 + [1] * 100 + [0] * 200), labels)
+    assert words.tolist() == [8] and np.allclose(shares, 10.5 / 12)
+
+
+def test_weights_bring_back_true_shares():
+    """Of 20 clean texts for each one in the sample, one holds the word of 60 toxic ones."""
+
+    held = [np.array([8])] * 60 + [np.array([8])] + [np.array([1000 + 2 * i]) for i in range(60)]
+    labels, keys = np.array([1] * 60 + [0] * 61), families_of([0] * 121)
+    assert np.allclose(learn_words(held, keys, labels)[1], 60.5 / 62)
+    words, _, base = learn_words(held, keys, labels, (20.0, 1.0))
+    assert not len(words) and np.isclose(base, 60.5 / (60 + 61 * 20 + 1))
+
+
+def test_each_label_has_its_own_bound(spark, make_docs):
+    """One text in 40 is toxic, far fewer than the bound: all of them are learned from."""
+
+    plain = "the river runs under an old stone bridge where children play and fish all day long".split()
+    rng = np.random.default_rng(2)
+    rows, labels = [], []
+    for i in range(4000):
+        bad = i % 40 == 0
+        rows.append((i, " ".join([*rng.choice(plain, 12), f"u{i}", *(["scumbag"] if bad else [])])))
+        labels.append((i, 0, int(bad), 0.0))
+    docs = make_docs(rows)
+    model = train(docs, spark.createDataFrame(labels, LABELS), max_rows=200)
+    got = score_documents(docs, model).collect()
+    assert all(r.predicted == int(r.doc_id % 40 == 0) for r in got)
+    assert model.base < 0.02
