@@ -67,6 +67,9 @@ TELEMETRY = T.StructType(
     ]
 )
 
+# A row of a log: beside the typed fields of ``details``, the whole object as JSON text.
+TELEMETRY_LOG = T.StructType([*TELEMETRY, T.StructField("details_json", _STRING)])
+
 JOB_RESULTS = _table(
     (_STRING, ["chunk_id", "recording_id", "status"]),
     (_INT, ["attempts", "retries"]),

@@ -23,11 +23,12 @@ from sonoledger.sources.runs import (
 )
 from sonoledger.sources.status import append_status, latest_status, read_status
 from sonoledger.sources.tables import write_plan, write_report_csv, write_summary_json
-from sonoledger.sources.telemetry import append_telemetry, parse_telemetry, read_telemetry
+from sonoledger.sources.telemetry import append_telemetry, count_skipped, parse_telemetry, read_telemetry
 
 __all__ = [
     "append_status",
     "append_telemetry",
+    "count_skipped",
     "count_unreadable",
     "discover_recordings",
     "latest_status",

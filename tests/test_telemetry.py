@@ -4,7 +4,7 @@ import pytest
 
 from sonoledger.operators import telemetry as tel
 from sonoledger.sources.runs import parse_run_summary, read_run_summary, write_worker_totals
-from sonoledger.sources.telemetry import append_telemetry, read_telemetry
+from sonoledger.sources.telemetry import append_telemetry, count_skipped, read_telemetry
 from sonoledger.streaming import monitor
 
 
@@ -63,6 +63,25 @@ def test_event_details(spark, tmp_path):
     assert (hist.util_history, hist.memory_history, hist.retry_history) == ([1.0, 7.0], [2.0], [2.0, 1.0, 0.0, 0.0])
 
 
+def test_free_details_are_kept(spark, tmp_path):
+    details = {"attempt": 2, "site": {"name": "north", "tags": ["a", None, 1.5]}, "note": "x \u00e9 \"y\""}
+    events = [{"chunk_id": "a", "details": details}, {"chunk_id": "b"}, {"chunk_id": "c", "details": "free text"}]
+    read = read_telemetry(spark, log(tmp_path / "l.jsonl", events))
+    again = read_telemetry(spark, append_telemetry(read, f"{tmp_path}/again"))
+    for rows in ({r.chunk_id: r for r in df.collect()} for df in (read, again)):
+        assert json.loads(rows["a"].details_json) == details and rows["a"].details.attempt == 2
+        assert rows["b"].details_json is None and rows["c"].details_json == "free text"
+    assert read_telemetry(spark, f"{tmp_path}/none.jsonl").columns == read.columns
+
+
+def test_skipped_lines_are_counted(spark, tmp_path):
+    lines = ['{"chunk_id": "a"}', '{"chunk_id": "b", "sta', "", "  ", '{"status": "x"}', '{"chunk_id": null}', "[]", "text"]
+    (tmp_path / "l.jsonl").write_text("\n".join(lines))
+    count = count_skipped(spark.read.text(f"{tmp_path}/l.jsonl")).first()
+    assert count.asDict() == {"lines": 6, "broken": 2, "without_chunk_id": 3}
+    assert read_telemetry(spark, f"{tmp_path}/l.jsonl").count() == count.lines - count.broken - count.without_chunk_id
+
+
 def test_missing_log_is_empty(spark, tmp_path):
     assert read_telemetry(spark, f"{tmp_path}/none.jsonl").count() == 0
 

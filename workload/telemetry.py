@@ -13,7 +13,7 @@ from sonoledger.sources.runs import (
     write_job_results,
     write_worker_totals,
 )
-from sonoledger.sources.telemetry import append_telemetry, read_telemetry
+from sonoledger.sources.telemetry import append_telemetry, count_skipped, read_telemetry
 from sonoledger.streaming import monitor
 from sonoledger.sources.manifests import write_manifest
 from sonoledger.streaming.ingest import payload_stream, read_timeline, start_ingest, start_timeline
@@ -90,6 +90,18 @@ def telemetry_log_scan(spark, sf_dir):
     )
 
 
+def telemetry_lines_skipped(spark, sf_dir):
+    """Lines of a log with broken and blank ones and events without a chunk here and there."""
+
+    lines = table(spark, sf_dir, "events").selectExpr(
+        "CASE WHEN event_id % 97 = 0 THEN '{\"chunk_id\": \"a\", \"sta'"
+        " WHEN event_id % 89 = 0 THEN '{\"status\": \"start\", \"details\": {}}'"
+        " WHEN event_id % 83 = 0 THEN ' '"
+        " ELSE concat('{\"chunk_id\": \"chunk_', event_id, '\"}') END AS value"
+    )
+    return count_skipped(lines)
+
+
 def worker_totals(spark, sf_dir):
     return tel.worker_totals(job_results(spark, sf_dir))
 
@@ -253,6 +265,7 @@ QUERIES = {
     "device_summary": device_summary,
     "tail_events": tail_events,
     "telemetry_log_scan": telemetry_log_scan,
+    "telemetry_lines_skipped": telemetry_lines_skipped,
     "worker_totals": worker_totals,
     "worker_totals_export": worker_totals_export,
     "retry_hotspots": retry_hotspots,
@@ -328,6 +341,10 @@ FROM flat ORDER BY event_id DESC LIMIT 15""",
     "telemetry_log_scan": f"""{_FLAT}
 SELECT chunk_id, device, status, timestamp, runtime_s, CAST(attempt AS INTEGER) AS attempt,
        CAST(util AS DOUBLE) AS utilization, CAST(mem AS DOUBLE) AS memory FROM flat""",
+    "telemetry_lines_skipped": """
+SELECT count(*) FILTER (WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 <> 0) AS lines,
+       count(*) FILTER (WHERE event_id % 97 = 0) AS broken,
+       count(*) FILTER (WHERE event_id % 97 <> 0 AND event_id % 89 = 0) AS without_chunk_id FROM events""",
     "worker_totals": _WORKERS,
     "worker_totals_export": _WORKERS,
     "retry_hotspots": f"""{_HOT}
