@@ -13,6 +13,7 @@ from sonoledger.llm.page_text import extract_pages, learn_weights
 from sonoledger.llm.pieces import encode_texts
 from sonoledger.llm.secrets_scan import scan, train as train_secrets
 from sonoledger.llm.shards import SHARDS, byte_shards
+from sonoledger.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, compress
 from sonoledger.llm.vectors import nearest
 from sonoledger.llm.toxicity import score_documents, train as train_toxicity
 
@@ -78,6 +79,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_language_id": op2_language_id,
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 # formatted_chars: a turn's markers take 24 code points, a part's 11; escaping adds one for each
@@ -171,4 +177,50 @@ SELECT doc_id, n AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) A
 FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
 """
 
-ORACLE = {"op6_decontamination": OP6_SQL, "op4_chat_formatting": OP4_SQL, "op10_sharding": OP10_SQL}
+
+
+def _op12_sql() -> str:
+    """Codebooks round by round, every part measured against every entry."""
+
+    steps = [f"""
+WITH held AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), part AS MATERIALIZED (
+  SELECT r, p, v[p * len(v) // {PARTS} + 1 : (p + 1) * len(v) // {PARTS}] AS x FROM held, range({PARTS}) t(p)
+), book0 AS MATERIALIZED (
+  SELECT p, r - 1 AS e, x AS c FROM part WHERE r <= {ENTRIES}
+)"""]
+    for k in range(ROUNDS + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT r, p, min(d * {ENTRIES} + e)::BIGINT % {ENTRIES} AS e, min(d * {ENTRIES} + e)::BIGINT // {ENTRIES} AS d
+  FROM (SELECT r, p, e, list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS d
+        FROM part JOIN book{k} USING (p))
+  GROUP BY r, p
+)""")
+        if k < ROUNDS:
+            steps.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(moved, c) AS c FROM book{k} LEFT JOIN (
+    SELECT p, e, list(floor(s / n) ORDER BY j) AS moved FROM (
+      SELECT p, e, j, sum(x[j]) AS s, count(*) AS n
+      FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS j FROM near{k} JOIN part USING (r, p))
+      GROUP BY p, e, j)
+    GROUP BY p, e) USING (p, e)
+)""")
+    return ", ".join(steps) + f""", coded AS MATERIALIZED (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near{ROUNDS} GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT::VARCHAR), ','), ',' ORDER BY p, e)) AS s
+  FROM book{ROUNDS}
+)
+SELECT vec_id, label, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT s FROM digest) AS codebooks_sha256
+FROM held JOIN coded USING (r)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+ORACLE = {"op12_vector_codes": OP12_SQL, "op6_decontamination": OP6_SQL, "op4_chat_formatting": OP4_SQL, "op10_sharding": OP10_SQL}
