@@ -11,6 +11,7 @@ from sonoledger.llm.language import identify
 from sonoledger.llm.near_dup import near_duplicates
 from sonoledger.llm.page_text import extract_pages, learn_weights
 from sonoledger.llm.pieces import encode_texts
+from sonoledger.llm.ranked_search import BEST, ranked_search
 from sonoledger.llm.secrets_scan import scan, train as train_secrets
 from sonoledger.llm.shards import SHARDS, byte_shards
 from sonoledger.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, compress
@@ -83,6 +84,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(table(spark, sf_dir, "embeddings"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_language_id": op2_language_id,
@@ -95,6 +100,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
     "op12_vector_codes": op12_vector_codes,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 # formatted_chars: a turn's markers take 24 code points, a part's 11; escaping adds one for each
@@ -223,4 +229,34 @@ FROM held JOIN coded USING (r)
 
 OP12_SQL = _op12_sql()
 
-ORACLE = {"op12_vector_codes": OP12_SQL, "op6_decontamination": OP6_SQL, "op4_chat_formatting": OP4_SQL, "op10_sharding": OP10_SQL}
+# Every document that shares a term with an item is scored.
+OP13_SQL = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, w FROM (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents)
+  WHERE len(w) > 0
+), b AS MATERIALIZED (
+  SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark
+), asked AS MATERIALIZED (
+  SELECT q, item_id, unnest(w) AS t FROM b
+), total AS (
+  SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d
+), posting AS MATERIALIZED (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM asked) GROUP BY r, t
+), weight AS (
+  SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM posting, total GROUP BY t, n_docs
+), impact AS (
+  SELECT r, doc_id, t, (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * len(d.w) * n_docs) // n_terms)) AS f
+  FROM posting JOIN d USING (r), total
+), scored AS (
+  SELECT q, item_id, r, doc_id, sum(w * f)::BIGINT AS score
+  FROM asked JOIN weight USING (t) JOIN impact USING (t) GROUP BY q, item_id, r, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+QUALIFY rank <= {BEST}
+"""
+
+ORACLE = {"op13_ranked_search": OP13_SQL, "op12_vector_codes": OP12_SQL, "op6_decontamination": OP6_SQL, "op4_chat_formatting": OP4_SQL, "op10_sharding": OP10_SQL}
