@@ -19,7 +19,7 @@ lower-cased. They are told apart by 64-bit hashes. The score of a document sums
 ``m = 10 + (90 n N) div L``, N the documents with a term, L all their terms, n the document's.
 
 Two passes over the texts: N and L first, then the index, which is a written table of one row per
-block. Document frequencies are sums over blocks. Queries are cut into groups by their number,
+block with its arrays compressed. Document frequencies are sums over blocks. Queries are cut into groups by their number,
 blocks meet every group, and each meeting gives k documents a query at most.
 
 Cases: null and empty texts have no terms and are never found; queries without terms find
@@ -42,7 +42,7 @@ from sonoledger.llm._words import Hasher, slices, words_of
 from sonoledger.session import materialise
 
 BEST = 10
-BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 4096  # of a block's texts, but for a single longer one
+BLOCK_BYTES, BLOCK_ROWS = 2 << 20, 1024  # of a block's texts, but for a single longer one
 GROUP_ITEMS = 512  # queries that are searched together
 WAVE = 16  # ranges of a query opened at once
 
@@ -91,6 +91,16 @@ def impacts(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (1_000_000_000 * tf) // (1000 * tf + 8 * m)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    raw = numbers.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, kind) -> np.ndarray:
+    size = int.from_bytes(packed[:8], "little")
+    return np.frombuffer(pa.decompress(packed[8:], decompressed_size=size, codec="zstd"), kind)
+
+
 class Treap:
     """A K2-treap (K = 2): levels from the root, cells of a level in Morton order."""
 
@@ -158,8 +168,8 @@ def _block(ids: pa.Array, texts: pa.Array, found: int, terms: int, hasher: Hashe
     rank[np.argsort(held, kind="stable")] = np.arange(len(known))
     masks, maxima, levels = Treap.build(rank[place], row, impacts(tf.astype(np.int64), m[row]))
     return {
-        "ids": ids, "terms": known.tobytes(), "row_of": rank.astype(np.int32).tobytes(),
-        "doc_counts": held.astype(np.int32).tobytes(), "masks": masks.tobytes(), "maxima": maxima.tobytes(),
+        "ids": ids, "terms": _packed(known), "row_of": _packed(rank.astype(np.int32)),
+        "doc_counts": _packed(held.astype(np.int32)), "masks": _packed(masks), "maxima": _packed(maxima),
         "levels": levels,
     }
 
@@ -242,7 +252,7 @@ def _term_counts(index: DataFrame) -> DataFrame:
         for batch in batches:
             for terms, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 yield pa.RecordBatch.from_pydict({
-                    "term": np.frombuffer(terms, np.int64), "df": np.frombuffer(counts, np.int32).astype(np.int64),
+                    "term": _unpacked(terms, np.int64), "df": _unpacked(counts, np.int32).astype(np.int64),
                 })
 
     return index.select("terms", "doc_counts").mapInArrow(work, "term long, df long")
@@ -265,10 +275,9 @@ class Search:
     """Best-first search of one block for some queries at once."""
 
     def __init__(self, block: dict) -> None:
-        self.terms = np.frombuffer(block["terms"], np.uint64)
-        self.row_of = np.frombuffer(block["row_of"], np.int32)
+        self.terms, self.row_of = _unpacked(block["terms"], np.uint64), _unpacked(block["row_of"], np.int32)
         self.treap = Treap(
-            np.frombuffer(block["masks"], np.uint8), np.frombuffer(block["maxima"], np.uint32), np.asarray(block["levels"])
+            _unpacked(block["masks"], np.uint8), _unpacked(block["maxima"], np.uint32), np.asarray(block["levels"])
         )
         self.null_id = np.array([i is None for i in block["ids"]], bool)
         self.ids = np.array([i or 0 for i in block["ids"]], np.int64)
