@@ -15,6 +15,7 @@ from sonoledger.llm.ranked_search import BEST, ranked_search
 from sonoledger.llm.secrets_scan import scan, train as train_secrets
 from sonoledger.llm.shards import SHARDS, byte_shards
 from sonoledger.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, compress
+from sonoledger.llm.vector_links import near_duplicate_vectors
 from sonoledger.llm.vectors import nearest
 from sonoledger.llm.toxicity import score_documents, train as train_toxicity
 
@@ -80,6 +81,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(table(spark, sf_dir, "embeddings"))
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
+    "op11_vector_duplicates": op11_vector_duplicates,
     "op12_vector_codes": op12_vector_codes,
     "op13_ranked_search": op13_ranked_search,
 }
@@ -229,6 +235,28 @@ FROM held JOIN coded USING (r)
 
 OP12_SQL = _op12_sql()
 
+# Every pair is measured; a component's smallest id spreads along links, as far as there are vectors.
+OP11_SQL = """
+WITH RECURSIVE held AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v,
+         coalesce(len(embedding) > 0 AND vec_id IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS good
+  FROM embeddings
+), link AS MATERIALIZED (
+  SELECT a.r, b.r AS o FROM held a JOIN held b ON a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE a.good AND b.good AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT r, r AS o FROM held
+  UNION
+  SELECT reach.r, link.o FROM reach JOIN link ON reach.o = link.r
+), low AS (
+  SELECT reach.r, min(h.vec_id) AS component_id FROM reach JOIN held h ON reach.o = h.r GROUP BY reach.r
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM held JOIN low USING (r) LEFT JOIN (SELECT r, count(*) AS n FROM link GROUP BY r) USING (r)
+"""
+
 # Every document that shares a term with an item is scored.
 OP13_SQL = f"""
 WITH d AS MATERIALIZED (
@@ -259,4 +287,4 @@ SELECT item_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id))
 QUALIFY rank <= {BEST}
 """
 
-ORACLE = {"op13_ranked_search": OP13_SQL, "op12_vector_codes": OP12_SQL, "op6_decontamination": OP6_SQL, "op4_chat_formatting": OP4_SQL, "op10_sharding": OP10_SQL}
+ORACLE = {"op11_vector_duplicates": OP11_SQL, "op13_ranked_search": OP13_SQL, "op12_vector_codes": OP12_SQL, "op6_decontamination": OP6_SQL, "op4_chat_formatting": OP4_SQL, "op10_sharding": OP10_SQL}
