@@ -20,7 +20,8 @@ lower-cased. They are told apart by 64-bit hashes. The score of a document sums
 
 Two passes over the texts: N and L first, then the index, which is a written table of one row per
 block with its arrays compressed. Document frequencies are sums over blocks. Queries are cut into groups by their number,
-blocks meet every group, and each meeting gives k documents a query at most.
+blocks meet every group, and each meeting gives k documents a query at most. Up to ``SENT_PAIRS``
+query terms go to the blocks where they lie; more are joined with them by group and lane.
 
 Cases: null and empty texts have no terms and are never found; queries without terms find
 nothing; repeated rows of documents or queries count and are ranked each; ids may be null (a null
@@ -45,6 +46,7 @@ BEST = 10
 BLOCK_BYTES, BLOCK_ROWS = 2 << 20, 1024  # of a block's texts, but for a single longer one
 GROUP_ITEMS = 512  # queries that are searched together
 WAVE = 16  # ranges of a query opened at once
+SENT_PAIRS = 200_000  # (query, term) pairs, counted first, that are sent to all tasks: some 5 MB
 
 INDEX_SCHEMA = (
     "block long, ids array<long>, terms binary, row_of binary, doc_counts binary,"
@@ -411,24 +413,29 @@ def ranked_search(
     return search_index(build_index(docs, id_col, text_col, size), asked, size[0], k)
 
 
-def search_index(index: DataFrame, asked: DataFrame, found: int, k: int = BEST, group_items: int = GROUP_ITEMS) -> DataFrame:
+def search_index(
+    index: DataFrame, asked: DataFrame, found: int, k: int = BEST, group_items: int = GROUP_ITEMS, sent_pairs: int = SENT_PAIRS,
+) -> DataFrame:
     """:func:`ranked_search` on a written index and :func:`query_terms`; ``found`` is N."""
 
     spark = index.sparkSession
     weights = term_weights(index, asked, found)
-    groups = max(1, -(-asked.select("query").distinct().count() // group_items))
+    n_queries, n_pairs = asked.agg(F.count_distinct("query"), F.count("*")).first()
+    groups = max(1, -(-n_queries // group_items))
     lanes = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     of_group = F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int").alias("part")
     # About ``group_items`` queries a group; a lane of blocks meets a group under one key.
     told = (
         asked.join(weights, "term").groupBy(of_group)
         .agg(F.collect_list(F.struct("query", "term", "w")).alias("asked"))
-        .withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     )
-    met = index.drop("doc_counts").select(
-        "*", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int").alias("lane"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"),
-    ).join(told, ["part", "lane"])
+    blocks = index.drop("doc_counts").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    if n_pairs <= sent_pairs:
+        met = blocks.join(F.broadcast(told), "part")
+    else:
+        met = blocks.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")).join(
+            told.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))), ["part", "lane"]
+        )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -79,7 +79,9 @@ def test_blocks_groups_copies_and_ties(spark, make_docs, monkeypatch):
     size = corpus_size(docs)
     index = build_index(docs, size=size)
     assert index.count() > 10
-    assert got(search_index(index, asked, size[0], group_items=7)) == plain(rows, items)
+    want = plain(rows, items)
+    assert got(search_index(index, asked, size[0], group_items=7)) == want
+    assert got(search_index(index, asked, size[0], group_items=7, sent_pairs=0)) == want
 
 
 def test_treap_holds_the_points():
