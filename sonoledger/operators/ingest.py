@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonoledger.functions.paths import basename, tidy_path
@@ -15,7 +16,13 @@ from sonoledger.schemas import DETECTIONS
 from sonoledger.session import materialise
 from sonoledger.sources._scan import nothing_there
 from sonoledger.sources.detections import write_detections, write_detections_csv
-from sonoledger.sources.labels import LABEL_FILE_NAME, list_label_dirs, read_raw_labels
+from sonoledger.sources.labels import (
+    LABEL_FILE_NAME,
+    fetch_labels,
+    list_label_dirs,
+    normalise_labels,
+    read_raw_labels,
+)
 from sonoledger.sources.manifests import manifest_index, read_manifest
 from sonoledger.sources.payloads import RAW_OUTPUT_KEY, read_payloads
 
@@ -158,54 +165,63 @@ def window_names(pending: DataFrame) -> DataFrame:
     return pending.withColumn("file_name", F.explode(F.when(nameless, F.array(F.lit(ANY_NAME))).otherwise(names)))
 
 
-def detections_with_labels(
-    enriched: DataFrame, labels: DataFrame, label_dirs: DataFrame, label_base: str | None = None
-) -> DataFrame:
-    """Like :func:`explode_detections`, reading label files where a payload is empty.
+def _needs_labels() -> Column:
+    return ~_has_detections() & F.col("label_dir").isNotNull()
+
 
-    One left join of windows by name with label rows. A folder that holds a label file
-    adds a marker to its blank name, so the join also tells a file without fitting rows
-    from a missing one. Only the blank name of a folder can gather many windows; its
-    windows are dealt over ``BLANK_SALTS``, its label rows copied as often.
+def _label_place(label_base: str | None, home: str = "") -> Column:
+    """Where a payload's label folder lies, from what the payload says.
 
-    Relative label folders are resolved against ``label_base`` (the working directory,
-    if not given).
+    Relative folders are taken from ``label_base`` (the working directory, if not given),
+    those without a scheme from the filesystem ``home``.
     """
 
-    needs_labels = ~_has_detections() & F.col("label_dir").isNotNull()
-    direct = explode_detections(enriched.filter(~needs_labels))
     base = (label_base or os.getcwd()).rstrip("/")
-    absolute = F.when(F.col("label_dir").rlike("^(/|[A-Za-z][A-Za-z0-9+.-]*:)"), F.col("label_dir")).otherwise(
-        F.concat(F.lit(f"{base}/"), F.regexp_replace("label_dir", r"^(\./)+", ""))
+    named = F.regexp_replace("label_dir", "^file:/+", "/")
+    place = (
+        F.when(named.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), named)
+        .when(named.startswith("/"), F.concat(F.lit(home), named))
+        .otherwise(F.concat(F.lit(f"{base}/"), F.regexp_replace(named, r"^(\./)+", "")))
     )
-    pending = enriched.filter(needs_labels).withColumn("label_dir", tidy_path(absolute))
-    blank = F.col("file_name").isin("", ANY_NAME)
-    named = window_names(pending).withColumn(
-        "salt", F.when(blank, F.pmod(F.xxhash64("file_path"), F.lit(BLANK_SALTS))).otherwise(0).cast("int")
+    # One spelling each, so that a folder is opened once: no slashes at the end or doubled, but for the scheme's.
+    return F.rtrim(F.regexp_replace(place, "(?<![:/])/{2,}", "/"), F.lit("/"))
+
+
+def detections_with_labels(
+    enriched: DataFrame, labels: DataFrame, label_dirs: DataFrame, label_base: str | None = None, home: str = ""
+) -> DataFrame:
+    """Like :func:`explode_detections`, reading label rows where a payload is empty.
+
+    Windows by name are joined with label rows once. Which payloads got none is told from
+    keys alone: those whose (folder, name) occurs among the label rows are known without
+    looking at the rows, the others keep one placeholder, ``no_detections`` if their folder
+    is in ``label_dirs``, else ``no_output``. Only the blank name of a folder can gather
+    many windows; its windows are dealt over ``BLANK_SALTS``, its label rows copied as often.
+    """
+
+    direct = explode_detections(enriched.filter(~_needs_labels()))
+    place = F.regexp_replace(_label_place(label_base, home), "/+", "/")
+    # Folders and names are worked out once; every branch below reads them.
+    named = materialise(
+        window_names(enriched.filter(_needs_labels()).withColumn("label_dir", place)).drop("detections"), "named-windows"
     )
-    rows = labels.select("label_dir", "file_name", F.struct(*_LABEL_FIELDS).alias("det"))
+    blank = F.col("file_name").isin("", ANY_NAME)
+    keys = ["label_dir", "file_name"]
     # Rows once more under the name that stands for all, in folders where a payload has it.
     nameless = named.filter(F.col("file_name") == ANY_NAME).select("label_dir").distinct()
-    rows = rows.unionByName(rows.join(nameless, "label_dir", "left_semi").withColumn("file_name", F.lit(ANY_NAME)))
-    marks = label_dirs.select(
-        "label_dir", F.explode(F.array(F.lit(""), F.lit(ANY_NAME))).alias("file_name"),
-        F.lit(None).cast(rows.schema["det"].dataType).alias("det"),
-    )
+    rows = labels.select(*keys, F.struct(*_LABEL_FIELDS).alias("det"))
+    every = rows.unionByName(rows.join(nameless, "label_dir", "left_semi").withColumn("file_name", F.lit(ANY_NAME)))
+    salt = F.when(blank, F.pmod(F.xxhash64("file_path"), F.lit(BLANK_SALTS))).otherwise(0).cast("int")
     salts = F.sequence(F.lit(0), F.when(blank, BLANK_SALTS - 1).otherwise(0))
-    found = rows.unionByName(marks).withColumn("salt", F.explode(salts)).withColumn("has_file", F.lit(True))
-    joined = named.join(found, ["label_dir", "file_name", "salt"], "left")
-    # A payload without any label row keeps one placeholder, under its blank name.
-    of_payload = Window.partitionBy("file_path")
-    kept = (
-        joined.withColumn("hit", F.max(F.col("det").isNotNull()).over(of_payload))
-        .withColumn("dir_has_file", F.max(F.coalesce("has_file", F.lit(False))).over(of_payload))
-        .filter(F.col("det").isNotNull() | (~F.col("hit") & blank))
-    )
-    status = (
-        F.when(F.col("hit"), F.lit(STATUS_WITH_DETECTIONS))
-        .when(F.col("dir_has_file"), F.lit(STATUS_NO_ROWS)).otherwise(F.lit(STATUS_NO_FILE))
-    )
-    return direct.unionByName(_canonical(kept, status))
+    hits = named.withColumn("salt", salt).join(every.withColumn("salt", F.explode(salts)), [*keys, "salt"])
+    # Keys only: a payload's names beside the names there are. Each payload has one blank name.
+    known = rows.select(*keys).unionByName(rows.select("label_dir", F.lit(ANY_NAME).alias("file_name"))).distinct()
+    served = named.select("file_path", *keys).join(known, keys, "left_semi").select("file_path").distinct()
+    there = label_dirs.select("label_dir").distinct().withColumn("has_file", F.lit(True))
+    empty = named.filter(blank).join(served, "file_path", "left_anti").join(there, "label_dir", "left")
+    without = F.when(F.col("has_file"), F.lit(STATUS_NO_ROWS)).otherwise(F.lit(STATUS_NO_FILE))
+    none = empty.withColumn("det", F.lit(None).cast(rows.schema["det"].dataType))
+    return direct.unionByName(_canonical(hits, F.lit(STATUS_WITH_DETECTIONS))).unionByName(_canonical(none, without))
 
 
 def read_detections(
@@ -222,10 +238,12 @@ def read_detections(
     """Detections from a tree of payload files.
 
     A payload without detections takes them from the ``label_file`` in the folder that
-    its ``raw_output_key`` names. Such files are looked for below ``label_root``, the
-    payload tree itself if not given. The enriched payloads are written once to the
-    shared folder, since both branches read them. Without ``dataset_roots`` the folders
-    above the payloads' sources are looked up for the marker of a dataset.
+    its ``raw_output_key`` names, wherever that lies: each folder is opened once, in a
+    task. With ``label_root`` the files below that folder are scanned instead, one listing
+    in place of many small reads, and payloads that name other folders get nothing.
+    The enriched payloads are written once to the shared folder, since both branches read
+    them. Without ``dataset_roots`` the folders above the payloads' sources are looked up
+    for the marker of a dataset.
     """
 
     table = read_manifest(spark, manifest) if isinstance(manifest, str) else manifest
@@ -234,7 +252,15 @@ def read_detections(
     if dataset_roots is None and find_roots:
         found = attach_dataset_root(enriched, find_dataset_roots(enriched, "chunk_source"), "chunk_source", "found_root")
         enriched = found.withColumn("dataset_root", F.coalesce("dataset_root", "found_root")).drop("found_root")
-    label_root = root if label_root is None else label_root
+    if label_root is None:
+        home = _home(root)
+        folders = enriched.filter(_needs_labels()).select(_label_place(label_base, home).alias("label_dir"))
+        lines = materialise(fetch_labels(folders, label_file), "label-lines")
+        place = tidy_path("label_dir")
+        labels = normalise_labels(lines.filter("is_line"), place)
+        return detections_with_labels(
+            enriched, labels, lines.filter("has_file AND NOT is_line").select(place.alias("label_dir")), label_base, home
+        )
     try:
         labels = read_raw_labels(spark, label_root, label_file)
     except AnalysisException as exc:  # no label file at all: no payload has output
@@ -244,11 +270,18 @@ def read_detections(
     return detections_with_labels(enriched, labels, list_label_dirs(spark, label_root, label_file), label_base)
 
 
+def _home(root: str) -> str:
+    """Scheme and host of a path; nothing for local ones."""
+
+    found = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://[^/]*", root)
+    return found.group() if found and not root.startswith("file:") else ""
+
+
 def explode_without_label_files(enriched: DataFrame) -> DataFrame:
     rows = enriched.withColumn(
         "status",
         F.when(
-            ~_has_detections() & F.col("label_dir").isNotNull(),
+            _needs_labels(),
             first_text("status", F.lit(STATUS_NO_FILE)),
         ).otherwise(F.col("status")),
     )

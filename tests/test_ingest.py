@@ -11,7 +11,7 @@ from sonoledger.operators.ingest import (
     read_detections,
 )
 from sonoledger.schemas import DETECTIONS
-from sonoledger.sources.labels import list_label_dirs, read_raw_labels
+from sonoledger.sources.labels import fetch_labels, list_label_dirs, read_raw_labels
 from sonoledger.sources.manifests import manifest_index, read_manifest
 from sonoledger.sources.payloads import count_unreadable, scan_payload_text
 
@@ -129,6 +129,41 @@ def test_labels_by_default_relative_repeated_and_nameless(spark, tmp_path):
     assert found.count() == 3
 
 
+def test_labels_lie_where_payloads_say(spark, tmp_path):
+    """Folders outside the payload tree, with a scheme, empty, large, or not there."""
+
+    far = tmp_path / "far"
+    put(far / "x" / "HawkEars_labels.csv", label_csv("a.wav,0,1,Wren,WREN,0.5", '"a.wav",2,3,"Wren, two",W2,', "b.wav,0,1,Owl,OWL,0.4"))
+    put(far / "e" / "HawkEars_labels.csv", "")
+    put(far / "h" / "HawkEars_labels.csv", label_csv(*[f"h.wav,{i},{i + 1},N,C{i},0.1" for i in range(9000)]))
+    put(far / "plain", "a file, no folder")
+    named = {"a.wav": f"file://{far}/x/", "b.wav": f"{far}//x", "e.wav": f"{far}/e", "h.wav": f"{far}/h", "g.wav": f"{far}/gone",
+             "p.wav": f"{far}/plain", "s.wav": f"file://{far}/x"}
+    for name, folder in named.items():
+        put(tmp_path / "in" / "r" / f"{name}.json", {"chunk_id": name, "hawkears_output": folder})
+    found = read_detections(spark, str(tmp_path / "in"))
+    assert found.filter("chunk_id = 'h.wav'").count() == 9000
+    assert rows(found.filter("chunk_id <> 'h.wav'"), "chunk_id", "label", "status") == [
+        ("a.wav", "W2", "ok"), ("a.wav", "WREN", "ok"), ("b.wav", "OWL", "ok"), ("e.wav", "none", "no_detections"),
+        ("g.wav", "none", "no_output"), ("p.wav", "none", "no_output"), ("s.wav", "none", "no_detections")]
+    # A scan below a root that the payloads do not name finds nothing for them.
+    assert {r.status for r in read_detections(spark, str(tmp_path / "in"), label_root=str(tmp_path / "in")).collect()} == {"no_output"}
+
+
+def test_a_label_file_that_cannot_be_read_is_an_error(spark, tmp_path):
+    (tmp_path / "d" / "HawkEars_labels.csv").mkdir(parents=True)
+    put(tmp_path / "in" / "r" / "a.json", {"hawkears_output": str(tmp_path / "d")})
+    with pytest.raises(Exception, match="directory"):
+        read_detections(spark, str(tmp_path / "in")).collect()
+
+
+def test_each_folder_is_opened_once(spark, tmp_path):
+    put(tmp_path / "d" / "HawkEars_labels.csv", label_csv("a,0,1,N,C,1"))
+    folders = spark.createDataFrame([(str(tmp_path / "d"),)] * 50 + [(None,), (str(tmp_path / "no"),)], "label_dir string")
+    got = sorted((r.has_file, r.is_line) for r in fetch_labels(folders).collect())
+    assert got == [(False, False), (True, False), (True, True)]
+
+
 def test_dataset_root_is_found_by_its_marker(spark, tmp_path):
     (tmp_path / "set" / ".datalad").mkdir(parents=True)
     audio = tmp_path / "set" / "audio" / "x"

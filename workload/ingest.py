@@ -179,18 +179,21 @@ def ingest_exports(spark, sf_dir):
 
 
 def ingest_label_files(spark, sf_dir):
-    """Payload and label files of the detector's own names, read as they lie.
+    """Payload and label files of the detector's own names, read where they lie.
 
-    Payloads name another folder first, repeat a key, and give every second label
-    folder relative to the dataset.
+    Payloads name another folder first and repeat a key. Their label folders are given
+    relative to the dataset, by full path, or lie outside the payload tree, with a scheme.
     """
 
     root = shared_dir(spark, "labelled").removeprefix("file://")
+    scheme = "" if "://" in root else "file://"
     rows = table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS k", "s_nationkey AS n", f"concat('{root}/infer/rec_', s_nationkey) AS home",
     ).selectExpr(
-        "*", "concat(home, '/win_', k, '_out') AS out",
-        "if(k % 2 = 0, concat('infer/rec_', n, '/win_', k, '_out'), concat(home, '/win_', k, '_out')) AS named",
+        "*", f"if(k % 4 = 1, concat('{root}/elsewhere/', n, '/win_', k), concat(home, '/win_', k, '_out')) AS out",
+    ).selectExpr(
+        "*", f"CASE k % 4 WHEN 0 THEN concat('infer/rec_', n, '/win_', k, '_out') WHEN 1 THEN concat('{scheme}', out, '/')"
+        " ELSE out END AS named",
     )
     payloads = rows.selectExpr(
         "cast(k AS string) AS chunk_id", "concat(home, '/win_', k, '.json') AS source_path",
@@ -212,7 +215,7 @@ def ingest_label_files(spark, sf_dir):
 def _pending(spark, sf_dir):
     """Orders as payloads without detections; four windows share a label folder."""
 
-    return jobs(spark, sf_dir).select(
+    return spread_scan(jobs(spark, sf_dir)).select(
         F.col("source_path").alias("file_path"),
         "chunk_id",
         F.col("recording_id"),
