@@ -45,36 +45,83 @@ def with_recording_facts(rows: DataFrame, root: str, path_col: str = "source_pat
     )
 
 
-def merge_overlaps(detections: DataFrame, gap_ms: int = 0) -> DataFrame:
+# Length of the time blocks in which overlaps are merged first.
+BLOCK_MS = 3_600_000
+
+
+def merge_overlaps(detections: DataFrame, gap_ms: int = 0, block_ms: int = BLOCK_MS) -> DataFrame:
     """One row per run of overlapping detections of a label in a recording.
 
     Rows that begin at most ``gap_ms`` after everything before has ended belong together.
     The row with the best confidence stands for the run, with the run's start and end and
-    ``merged``, the rows in it. Rows without a start are runs of their own. A partition of
-    the window is one label of one recording, so its size is bounded by a recording.
+    ``merged``, the rows in it. Rows without a start are runs of their own.
+
+    Rows are merged within blocks of ``block_ms`` by their start, so a label of a recording
+    is spread over as many tasks as it has blocks. A block leaves a few runs (start, reach,
+    best row); block reaches, one row each, tell how far everything before a block has come,
+    and runs are joined where that is beyond their start. Runs are numbered by the runs
+    before them in their block and by the breaks in the blocks before it.
     """
 
-    timed = detections.withColumn("_end", F.greatest("absolute_time_ms", F.coalesce("absolute_end_ms", "absolute_time_ms")))
-    order = Window.partitionBy("recording_id", "label").orderBy(
-        "absolute_time_ms", "_end", F.desc("confidence"), "chunk_id"
+    end = F.greatest("absolute_time_ms", F.coalesce("absolute_end_ms", "absolute_time_ms"))
+    kept = [c for c in detections.columns if c not in ("recording_id", "label", "absolute_time_ms", "absolute_end_ms")]
+    rank = F.struct(F.coalesce("confidence", F.lit(float("-inf"))), -F.coalesce("absolute_time_ms", F.lit(0)), F.col("chunk_id"))
+    key = ["recording_id", "label"]
+    shaped = detections.select(
+        *key, F.col("absolute_time_ms").alias("_start"), end.alias("_end"), rank.alias("_rank"), F.struct(*kept).alias("_row")
     )
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.col("absolute_time_ms").isNull() | F.coalesce(
-        F.col("absolute_time_ms") > F.max("_end").over(before) + gap_ms, F.lit(True)
+    # Rows that begin together are in one run: one row for each start, however many there are.
+    timed = (
+        shaped.filter("_start IS NOT NULL").groupBy(*key, "_start")
+        .agg(F.max("_end").alias("_end"), F.max_by("_row", "_rank").alias("_row"), F.max("_rank").alias("_rank"),
+             F.count("*").alias("_rows"))
+        .withColumn("_block", F.floor(F.col("_start") / block_ms))
     )
-    runs = timed.withColumn("_fresh", fresh.cast("int")).withColumn(
-        "_run", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    in_block = Window.partitionBy(*key, "_block").orderBy("_start")
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fresh = F.coalesce(F.col("_start") > F.max("_end").over(before) + gap_ms, F.lit(True))
+    numbered = timed.withColumn("_fresh", fresh.cast("int")).withColumn("_run", F.sum("_fresh").over(so_far))
+    # Runs of a block, and how far the block reaches.
+    runs = numbered.groupBy(*key, "_block", "_run").agg(
+        F.max_by("_row", "_rank").alias("_row"), F.max("_rank").alias("_rank"), F.min("_start").alias("_start"),
+        F.max("_end").alias("_end"), F.sum("_rows").alias("_rows"),
     )
-    kept = [c for c in detections.columns if c not in ("recording_id", "label", "absolute_time_ms", "absolute_end_ms")]
-    row = F.struct(*kept)
-    rank = F.struct(F.coalesce("confidence", F.lit(float("-inf"))), -F.coalesce("absolute_time_ms", F.lit(0)), F.col("chunk_id"))
-    merged = runs.groupBy("recording_id", "label", "_run").agg(
-        F.max_by(row, rank).alias("_best"), F.min("absolute_time_ms").alias("absolute_time_ms"),
-        F.max("_end").alias("absolute_end_ms"), F.count("*").alias("merged"),
+    blocks = timed.groupBy(*key, "_block").agg(F.max("_end").alias("_reach"))
+    over_blocks = Window.partitionBy(*key).orderBy("_block")
+    reached = blocks.withColumn("_before", F.max("_reach").over(over_blocks.rowsBetween(Window.unboundedPreceding, -1))).drop("_reach")
+    # A run is joined with what lies before if that reaches it: the first runs of a block, or all of them.
+    opened = _with_block(runs, reached).withColumn("_opens", F.coalesce(F.col("_start") > F.col("_before") + gap_ms, F.lit(True)).cast("int"))
+    breaks = opened.groupBy(*key, "_block").agg(F.sum("_opens").alias("_breaks"))
+    earlier = breaks.withColumn(
+        "_earlier", F.coalesce(F.sum("_breaks").over(over_blocks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).drop("_breaks")
+    inside = Window.partitionBy(*key, "_block").orderBy("_run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = _with_block(opened, earlier).withColumn(
+        "_run", F.col("_earlier") + F.sum("_opens").over(inside)
     )
-    return merged.select(
-        "recording_id", "label", "absolute_time_ms", "absolute_end_ms", *[F.col(f"_best.{c}").alias(c) for c in kept], "merged"
+    merged = whole.groupBy(*key, "_run").agg(
+        F.max_by("_row", "_rank").alias("_best"), F.min("_start").alias("absolute_time_ms"),
+        F.max("_end").alias("absolute_end_ms"), F.sum("_rows").alias("merged"),
+    )
+    alone = shaped.filter("_start IS NULL").select(
+        *key, F.col("_row").alias("_best"), F.col("_start").alias("absolute_time_ms"), F.col("_end").alias("absolute_end_ms"),
+        F.lit(1).cast("bigint").alias("merged"),
+    )
+    return merged.drop("_run").unionByName(alone).select(
+        *key, "absolute_time_ms", "absolute_end_ms", *[F.col(f"_best.{c}").alias(c) for c in kept], "merged"
+    )
+
+
+def _with_block(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The one further column of ``blocks`` for rows of a (recording, label, block)."""
+
+    other = blocks.toDF("_of_recording", "_of_label", "_of_block", blocks.columns[-1])
+    same = (
+        F.col("recording_id").eqNullSafe(F.col("_of_recording")) & F.col("label").eqNullSafe(F.col("_of_label"))
+        & (F.col("_block") == F.col("_of_block"))
     )
+    return rows.join(other, same).drop("_of_recording", "_of_label", "_of_block")
 
 
 def merge_study_areas(areas: Mapping[str, DataFrame], codes: Sequence[str] | None = TARGET_CODES) -> DataFrame:

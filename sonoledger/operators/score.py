@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sonoledger.schemas import JOB_RESULTS, MANIFEST
+from sonoledger.schemas import DEVICE_METRICS, JOB_RESULTS, MANIFEST
 from sonoledger.sources.labels import LABEL_FILE_NAME
 
 # A detector takes one manifest row and returns its detections, or a :class:`Found`.
 Detector = Callable[[dict[str, Any]], "Sequence[dict[str, Any]] | Found"]
 # The same for many rows in one call, for models that want batches.
 BatchDetector = Callable[[list[dict[str, Any]]], "Sequence[Sequence[dict[str, Any]] | Found]"]
+# Measures the device of a task (its index, NULL for a processor) before and after each attempt.
+Sampler = Callable[[int | None], "dict[str, Any] | None"]
 
 
 class Found(NamedTuple):
@@ -75,6 +77,8 @@ _EVENT = T.StructType(
         T.StructField("output", T.StringType()),
         T.StructField("stdout", T.StringType()),
         T.StructField("returncode", T.LongType()),
+        T.StructField("gpu_name", T.StringType()),
+        *[T.StructField(n, DEVICE_METRICS) for n in ("before", "after")],
     ]
 )
 # A scored window: its manifest row, the outcome, and what happened on the way.
@@ -101,10 +105,12 @@ class ScoreOptions:
     detector: Detector | None = None
     batch_detector: BatchDetector | None = None
     batch_size: int = 64
+    sampler: Sampler | None = None
     command: str | None = None
     label_files: bool = False  # the command writes a label file into a folder
     output_dir: str | None = None
     max_retries: int = MAX_RETRIES
+    backoff_limit_s: float = BACKOFF_LIMIT_S
     windows_per_task: int = 128
     partitions: int | None = None
     fail_fast: bool = False
@@ -118,8 +124,8 @@ class ScoreOptions:
             raise ValueError("batch_size must be positive")
         if self.command is not None and self.output_dir is None:
             raise ValueError("a command needs a shared output_dir")
-        if self.max_retries < 0:
-            raise ValueError("max_retries cannot be negative")
+        if self.max_retries < 0 or self.backoff_limit_s < 0:
+            raise ValueError("max_retries and backoff_limit_s cannot be negative")
         if not all(isinstance(a, str) for a in self.extra_args):
             raise ValueError("extra_args must be text")
 
@@ -235,6 +241,46 @@ def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
+def nvidia_sampler(index: int | None) -> dict[str, Any] | None:
+    """Utilisation and memory of a device as its driver tells them; nothing for a processor."""
+
+    if index is None:
+        return None
+    # Fields of the driver's query.
+    fields = ["name", "utilization.gpu", "memory.used", "memory.total"]
+    done = subprocess.run(
+        ["nvidia-smi", f"--id={index}", f"--query-gpu={','.join(fields)}", "--format=csv,noheader,nounits"],
+        capture_output=True, text=True, check=False,
+    )
+    cells = [c.strip() for c in done.stdout.strip().rsplit(",", len(fields) - 1)]
+    if done.returncode or len(cells) != len(fields):
+        return None
+
+    def number(text: str) -> float | None:
+        return float(text) if text.replace(".", "", 1).isdigit() else None
+
+    return {
+        "name": cells[0], "index": index, "utilization": number(cells[1]), "memory_used_mb": number(cells[2]),
+        "memory_total_mb": number(cells[3]),
+    }
+
+
+def _sample(sampler: Sampler | None, gpu: int | None) -> dict[str, Any]:
+    """One measurement; a device that cannot be measured never fails a window."""
+
+    try:
+        return (sampler(gpu) if sampler else None) or {}
+    except Exception:
+        return {}
+
+
+def _metrics(sample: dict[str, Any]) -> dict[str, Any] | None:
+    held = {n: sample.get(n) for n in DEVICE_METRICS.names}
+    if all(v is None for v in held.values()):
+        return None
+    return {n: None if v is None else int(v) if n == "index" else float(v) for n, v in held.items()}
+
+
 def score_windows(manifest: DataFrame, options: ScoreOptions = ScoreOptions()) -> DataFrame:
     """One row per window: outcome, detections and the events of every attempt.
 
@@ -242,13 +288,19 @@ def score_windows(manifest: DataFrame, options: ScoreOptions = ScoreOptions()) -
     is per window. A window that fails all attempts is a ``failure`` row, not a
     failed job, unless ``fail_fast``. The result should be written before it is
     used twice: reading it again would run the detector again.
+
+    A batch that fails is halved, and its halves are tried, until the windows that fail
+    by themselves are found; the others succeed in the same attempt. Only those found
+    wait and are tried again, together. A window's run time is that of the call that
+    settled it, divided by the windows of the call; windows of one call share its
+    clock and the measurements around it.
     """
 
     of_command = label_file_detector if options.label_files else command_detector
     detect = options.detector or (
         of_command(options.command, options.output_dir, options.extra_args) if options.command else _stub
     )
-    many = options.batch_detector
+    many, sampler, limit = options.batch_detector, options.sampler, options.backoff_limit_s
     tries, fail_fast, succeeded = options.max_retries + 1, options.fail_fast, "success"
     runner, model_version = options.runner, options.model_version
     size = options.batch_size if many else 1
@@ -260,38 +312,55 @@ def score_windows(manifest: DataFrame, options: ScoreOptions = ScoreOptions()) -
         found = [f if isinstance(f, Found) else Found(f) for f in found]
         return [f._replace(detections=[dict(d) for d in f.detections]) for f in found]
 
-    def attempt_all(jobs: list[dict[str, Any]]) -> list[dict[str, Any]]:
-        """Outcomes of windows that are scored in one call; they share its attempts."""
+    def settle(jobs: list[dict[str, Any]], gpu: int | None) -> list[tuple[Found | Exception, dict[str, Any]]]:
+        """Result or error of each window with the end of its event, by halving calls that fail."""
 
-        events, backoff, error = [], None, None
+        before, began = _sample(sampler, gpu), time.monotonic()
+        try:
+            found: list[Found | Exception] = list(call(jobs))
+        except Exception as exc:
+            if len(jobs) > 1:
+                half = len(jobs) // 2
+                return settle(jobs[:half], gpu) + settle(jobs[half:], gpu)
+            found = [exc]
+        runtime = (time.monotonic() - began) / len(jobs)
+        after = _sample(sampler, gpu)
+        end = dict(finished_at=_now(), runtime_s=runtime, gpu_name=after.get("name") or before.get("name"),
+                   before=_metrics(before), after=_metrics(after))
+        return [(f, end) for f in found]
+
+    def attempt_all(jobs: list[dict[str, Any]], gpu: int | None) -> list[dict[str, Any]]:
+        """Outcomes of some windows that are first tried in one call."""
+
+        held = [dict(status="failure", attempts=0, detections=[], payload_status=None, events=[],
+                     last_backoff_s=None, last_error=None) for _ in jobs]
+        open_ = list(range(len(jobs)))
         for attempt in range(1, tries + 1):
-            began = time.monotonic()
-            events.append(dict(status="start", timestamp=_now(), attempt=attempt))
-            try:
-                found = call(jobs)
-            except Exception as exc:
+            started, failed = _now(), []
+            backoff = float(min(2**attempt, limit))
+            for n, (found, end) in zip(open_, settle([jobs[n] for n in open_], gpu)):
+                mine = held[n]
+                mine["attempts"] = attempt
+                event = dict(timestamp=_now(), attempt=attempt, **end)
+                mine["events"].append(dict(status="start", timestamp=started, attempt=attempt))
+                if isinstance(found, Found):
+                    mine["events"].append(dict(event, status=succeeded, output=found.output, stdout=found.stdout))
+                    mine.update(status=succeeded, detections=found.detections, payload_status=found.status)
+                    continue
                 if fail_fast and attempt == tries:
-                    raise
-                backoff = float(min(2**attempt, BACKOFF_LIMIT_S))
-                error = str(exc) or type(exc).__name__
-                events.append(
-                    dict(status="failure", timestamp=_now(), finished_at=_now(), attempt=attempt,
-                         runtime_s=(time.monotonic() - began) / len(jobs), backoff_s=backoff, error=error,
-                         returncode=getattr(exc, "returncode", None), stdout=getattr(exc, "stdout", None))
+                    raise found
+                mine.update(last_backoff_s=backoff, last_error=str(found) or type(found).__name__)
+                mine["events"].append(
+                    dict(event, status="failure", backoff_s=backoff, error=mine["last_error"],
+                         returncode=getattr(found, "returncode", None), stdout=getattr(found, "stdout", None))
                 )
-                if attempt < tries:
-                    time.sleep(backoff)
-                continue
-            last = dict(status=succeeded, timestamp=_now(), finished_at=_now(), attempt=attempt,
-                        runtime_s=(time.monotonic() - began) / len(jobs))
-            return [
-                dict(status=succeeded, attempts=attempt, detections=f.detections, payload_status=f.status,
-                     events=[*events, dict(last, output=f.output, stdout=f.stdout)],
-                     last_backoff_s=backoff, last_error=error)
-                for f in found
-            ]
-        return [dict(status="failure", attempts=tries, detections=[], payload_status=None, events=events,
-                     last_backoff_s=backoff, last_error=error)] * len(jobs)
+                failed.append(n)
+            open_ = failed
+            if not open_:
+                break
+            if attempt < tries:
+                time.sleep(backoff)
+        return held
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
@@ -304,7 +373,7 @@ def score_windows(manifest: DataFrame, options: ScoreOptions = ScoreOptions()) -
             out, jobs = [], batch.astype(object).where(batch.notna(), None).to_dict("records")
             for at in range(0, len(jobs), size):
                 part = jobs[at : at + size]
-                for job, outcome in zip(part, attempt_all(part)):
+                for job, outcome in zip(part, attempt_all(part, gpu)):
                     out.append({**job, **outcome, "retries": outcome["attempts"] - 1,
                                 "worker": worker, "runner": runner,
                                 "model_version": model_version, "gpu_index": gpu})
@@ -350,8 +419,8 @@ def event_rows(scored: DataFrame) -> DataFrame:
     event = F.col("event")
     return scored.select("chunk_id", "gpu_index", "runner", F.explode("events").alias("event")).select(
         "chunk_id",
-        "gpu_index",
-        F.lit(None).cast("string").alias("gpu_name"),
+        F.coalesce("gpu_index", "event.before.index", "event.after.index").alias("gpu_index"),
+        event["gpu_name"].alias("gpu_name"),
         event["status"].alias("status"),
         event["timestamp"].alias("timestamp"),
         event["finished_at"].alias("finished_at"),
@@ -364,6 +433,10 @@ def event_rows(scored: DataFrame) -> DataFrame:
             event["error"].alias("stderr"),
             event["returncode"].alias("returncode"),
             event["backoff_s"].alias("backoff_s"),
+            F.when(
+                F.coalesce("event.before", "event.after").isNotNull(),
+                F.struct(event["before"].alias("before"), event["after"].alias("after")),
+            ).alias("gpu_metrics"),
         ).alias("details"),
     )
 

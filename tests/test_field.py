@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -45,6 +46,36 @@ def test_overlaps_are_merged(spark):
     assert apart.count() == 1
 
 
+@pytest.mark.parametrize("block_ms", [1, 50, 1000, 10**9])
+def test_overlaps_do_not_depend_on_blocks(spark, block_ms):
+    """One label of one recording holds a third of all rows, with runs over many blocks; against a plain loop."""
+
+    rng = random.Random(7)
+    rows = []
+    for i in range(900):
+        hot = i % 3 == 0
+        start = rng.randrange(0, 20_000) if rng.random() > 0.05 else None
+        end = None if start is None or rng.random() < 0.1 else start + rng.choice([0, 5, 40, 40, 900])
+        rows.append(("hot" if hot else rng.choice(["r", None]), f"c{i}", "A" if hot else rng.choice(["A", "B", None]), start, end,
+                     rng.choice([None, round(rng.random(), 3)])))
+    want = []
+    for key in {(r[0], r[2]) for r in rows}:
+        mine = [r for r in rows if (r[0], r[2]) == key]
+        want += [(*key, None, None, r[5], 1) for r in mine if r[3] is None]
+        run = None
+        for r in sorted((r for r in mine if r[3] is not None), key=lambda r: (r[3], max(r[3], r[4] or r[3]))):
+            end = max(r[3], r[4] if r[4] is not None else r[3])
+            if run is None or r[3] > run[3] + 10:
+                run = [*key, r[3], end, r[5], 1]
+                want.append(run)
+            else:
+                run[3], run[5] = max(run[3], end), run[5] + 1
+                run[4] = r[5] if run[4] is None else run[4] if r[5] is None else max(run[4], r[5])
+    got = X.merge_overlaps(detections(spark, rows), gap_ms=10, block_ms=block_ms)
+    got = [(r.recording_id, r.label, r.absolute_time_ms, r.absolute_end_ms, r.confidence, r.merged) for r in got.collect()]
+    assert sorted(got, key=str) == sorted(map(tuple, want), key=str)
+
+
 def test_areas_and_sites(spark):
     one = spark.createDataFrame([("RUGR", "a")], "label_code string, location string")
     two = spark.createDataFrame([("XXXX",), ("WIPT",)], "label_code string")

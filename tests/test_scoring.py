@@ -1,6 +1,7 @@
 import stat
 import sys
 import wave
+from dataclasses import replace
 
 import pytest
 from pyspark import cloudpickle
@@ -109,7 +110,7 @@ def test_batch_detector(spark):
     options = S.ScoreOptions(batch_detector=many, batch_size=4, max_retries=0, partitions=1)
     rows = {r.chunk_id: r for r in S.score_windows(manifest(spark, 12).coalesce(1), options).collect()}
     failed = [c for c, r in rows.items() if r.status == "failure"]
-    assert len(failed) == 4 and "c5" in failed and rows["c5"].last_error.endswith("end")
+    assert failed == ["c5"] and rows["c5"].last_error.endswith("end")
     assert len(rows["c5"].last_error) > 1000
     good = next(r for r in rows.values() if r.status == "success")
     assert good.detections[0].label == good.chunk_id and good.payload_status == "kept"
@@ -117,6 +118,56 @@ def test_batch_detector(spark):
         S.ScoreOptions(detector=detect, batch_detector=many)
 
 
+def test_one_bad_window_of_a_batch(spark):
+    """The bad one is tried again alone; the others succeed at once, in few calls."""
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def many(jobs):
+        calls.add(1)
+        if any(j["chunk_id"] == "c37" for j in jobs):
+            raise RuntimeError("poison")
+        return [[] for _ in jobs]
+
+    options = S.ScoreOptions(batch_detector=many, batch_size=64, max_retries=2, backoff_limit_s=0, partitions=1)
+    rows = {r.chunk_id: r for r in S.score_windows(manifest(spark, 64), options).collect()}
+    assert len(rows) == 64 and sum(r.status == "success" for r in rows.values()) == 63
+    assert (rows["c37"].status, rows["c37"].attempts, rows["c37"].last_error) == ("failure", 3, "poison")
+    assert [e.status for e in rows["c37"].events] == ["start", "failure"] * 3
+    assert all((r.attempts, r.last_error, [e.status for e in r.events]) == (1, None, ["start", "success"])
+               for c, r in rows.items() if c != "c37")
+    assert calls.value == 13 + 2  # the whole, two halves at each of six sizes, two more tries
+    with pytest.raises(Exception, match="poison"):
+        S.score_windows(manifest(spark, 64), replace(options, fail_fast=True)).collect()
+
+
+def test_wrong_number_of_results(spark):
+    options = S.ScoreOptions(batch_detector=lambda jobs: [[]] * (len(jobs) - 1), max_retries=0, partitions=1)
+    assert {r.last_error for r in S.score_windows(manifest(spark, 4), options).collect()} == {"0 results for 1 windows"}
+
+
+def test_devices_are_measured_around_attempts(spark, tmp_path):
+    from sonoledger.operators.telemetry import device_summary
+    from sonoledger.sources.telemetry import append_telemetry
+
+    def sampler(gpu):
+        return {"index": 3, "name": "Unit X", "utilization": 41, "memory_used_mb": 100.5, "memory_total_mb": 800}
+
+    options = S.ScoreOptions(detector=detect, sampler=sampler, max_retries=1, backoff_limit_s=0, partitions=1)
+    S.score_windows(manifest(spark), options).write.parquet(f"{tmp_path}/s")
+    append_telemetry(S.event_rows(spark.read.schema(S.SCORED).parquet(f"{tmp_path}/s")), f"{tmp_path}/log")
+    rows = {r.device: r for r in device_summary(read_telemetry(spark, f"{tmp_path}/log")).collect()}
+    one = rows["GPU 3"]
+    assert (one.name, one.success, one.failures, one.util_avg, one.max_memory, one.memory_total) == ("Unit X", 5, 2, 41.0, 100.5, 800)
+    assert one.util_history == [41.0] * 7
+
+    def broken(gpu):
+        raise OSError("no driver")
+
+    rows = S.event_rows(S.score_windows(manifest(spark, 2), S.ScoreOptions(sampler=broken, partitions=1))).collect()
+    assert {r.details.gpu_metrics for r in rows} == {None} and {r.gpu_name for r in rows} == {None}
+
+
 def test_detector_that_leaves_a_label_file(spark, tmp_path):
     tool = tmp_path / "tool.sh"
     tool.write_text('#!/bin/sh\necho working\ncase "$2" in *c0.wav) exit 0;; *c3.wav) echo no >&2; exit 4;; esac\n'
