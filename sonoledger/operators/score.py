@@ -417,9 +417,14 @@ def event_rows(scored: DataFrame) -> DataFrame:
     """Telemetry events of a run, ready to append to the log."""
 
     event = F.col("event")
-    return scored.select("chunk_id", "gpu_index", "runner", F.explode("events").alias("event")).select(
+    measured = F.filter(
+        F.transform("events", lambda e: F.coalesce(e["before"]["index"], e["after"]["index"])), lambda i: i.isNotNull()
+    )
+    # Without a device of the task, the one that was measured counts for all events of a window.
+    device = F.coalesce("gpu_index", F.get(measured, F.lit(0))).alias("gpu_index")
+    return scored.select("chunk_id", device, "runner", F.explode("events").alias("event")).select(
         "chunk_id",
-        F.coalesce("gpu_index", "event.before.index", "event.after.index").alias("gpu_index"),
+        "gpu_index",
         event["gpu_name"].alias("gpu_name"),
         event["status"].alias("status"),
         event["timestamp"].alias("timestamp"),

@@ -43,7 +43,7 @@ def recording_facts(spark, sf_dir):
 
 def merged_overlaps(spark, sf_dir):
     found = merge_overlaps(detections(spark, sf_dir), gap_ms=60_000)
-    return found.filter("absolute_time_ms IS NOT NULL").select(
+    return found.select(
         "recording_id", "label", "absolute_time_ms", "absolute_end_ms", "confidence", "merged"
     )
 
@@ -110,7 +110,9 @@ f AS (SELECT *, CASE WHEN t0 <= max(t1) OVER (PARTITION BY recording_id, label O
 r AS (SELECT *, sum(fresh) OVER (PARTITION BY recording_id, label ORDER BY t0, t1, confidence DESC
                  ROWS UNBOUNDED PRECEDING) AS run FROM f)
 SELECT recording_id, label, min(t0) AS absolute_time_ms, max(t1) AS absolute_end_ms,
-       max(confidence) AS confidence, count(*) AS merged FROM r GROUP BY recording_id, label, run""",
+       max(confidence) AS confidence, count(*) AS merged FROM r GROUP BY recording_id, label, run
+UNION ALL SELECT recording_id, label, NULL, NULL, confidence, 1 FROM detections
+WHERE timestamp_ms IS NULL""",
     "study_area_table": f"""WITH {DETECTIONS_SQL}
 SELECT 'area_' || user_id % 5 AS study_area, upper(substr(event_type, 1, 4)) AS label_code, count(*) AS rows
 FROM timed WHERE upper(substr(event_type, 1, 4)) IN ('CLIC', 'ERRO') GROUP BY 1, 2""",

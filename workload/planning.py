@@ -8,7 +8,7 @@ import wave
 from pyspark.sql import functions as F
 
 from sonoledger.operators.audio import export_wav_files
-from sonoledger.operators.bundle import BundleOptions, write_bundle
+from sonoledger.operators.bundle import BundleOptions, load_views, write_bundle
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
 from sonoledger.operators.score import (
     ScoreOptions,
@@ -19,7 +19,7 @@ from sonoledger.operators.score import (
     score_windows,
     write_payload_json,
 )
-from sonoledger.operators.telemetry import worker_totals
+from sonoledger.operators.telemetry import device_summary, worker_totals
 from sonoledger.plans.chunk_plan import build_chunk_plan, runnable_plans
 from sonoledger.plans.dataset_run import cut_dataset, dataset_manifest, run_dataset
 from sonoledger.plans.infer_plan import build_infer_plan, incomplete_plans, output_locations
@@ -28,6 +28,7 @@ from sonoledger.session import materialise, shared_dir
 from sonoledger.sources.manifests import read_plan_manifests
 from sonoledger.sources.status import append_status, latest_status, read_status
 from sonoledger.sources.tables import write_plan
+from sonoledger.sources.telemetry import append_telemetry, read_telemetry
 from workload.proxies import (
     CUSTOMER_SQL,
     DETECTIONS_SQL,
@@ -153,12 +154,7 @@ def plan_json_scan(spark, sf_dir):
 # ---- scoring ---------------------------------------------------------------------------
 
 
-def _detect(job):
-    """A stand-in detector: one detection per set bit of the window number."""
-
-    n = job["start_ms"] // 60000
-    if n % 50 == 49:
-        raise RuntimeError(f"window {n} is silent")
+def _bits(n):
     return [
         {"timestamp_ms": bit * 1000, "end_ms": bit * 1000 + 900, "label": f"B{bit}",
          "label_name": f"bit {bit}", "confidence": n / 1000}
@@ -167,12 +163,64 @@ def _detect(job):
     ]
 
 
+def _detector():
+    """One detection per set bit of the window number; some windows fail once, some always."""
+
+    seen = set()
+
+    def detect(job):
+        n = job["start_ms"] // 60000
+        if n % 50 == 49:
+            raise RuntimeError(f"window {n} is silent")
+        if n % 50 == 24 and n not in seen:
+            seen.add(n)
+            raise RuntimeError(f"window {n} stutters")
+        return _bits(n)
+
+    return detect
+
+
+def _detect_many(batch):
+    """The same for a batch, of which about one in two holds a window that spoils it."""
+
+    numbers = [job["start_ms"] // 60000 for job in batch]
+    if spoiled := [n for n in numbers if n % 128 == 127]:
+        raise RuntimeError(f"window {spoiled[0]} is silent" if len(numbers) == 1 else "batch fails")
+    return [_bits(n) for n in numbers]
+
+
+def _sampler(gpu):
+    return {"index": 0, "name": "Unit 0", "utilization": 41.5, "memory_used_mb": 512.0, "memory_total_mb": 8192.0}
+
+
 def _scored(spark, sf_dir):
-    # This detector takes microseconds, so a task gets far more than the default.
-    options = ScoreOptions(detector=_detect, max_retries=0, windows_per_task=20_000)
+    # This detector takes microseconds, so a task gets far more than the default and nothing waits.
+    options = ScoreOptions(detector=_detector(), sampler=_sampler, backoff_limit_s=0, windows_per_task=20_000)
     return materialise(score_windows(jobs(spark, sf_dir), options), "scored")
 
 
+def scored_batches(spark, sf_dir):
+    """Batches of 64, halved down to the windows that spoil them."""
+
+    options = ScoreOptions(batch_detector=_detect_many, batch_size=64, backoff_limit_s=0, windows_per_task=20_000)
+    scored = materialise(score_windows(jobs(spark, sf_dir), options), "scored")
+    return result_rows(scored).join(scored.select("chunk_id", F.size("detections").alias("found")), "chunk_id").select(
+        "chunk_id", "recording_id", "status", "attempts", "retries", "last_error", "found"
+    )
+
+
+def scored_devices(spark, sf_dir):
+    """A run's own events, appended to the log, read back and summed up by device."""
+
+    log = append_telemetry(event_rows(_scored(spark, sf_dir)), shared_dir(spark, "log"))
+    totals = device_summary(read_telemetry(spark, log))
+    return totals.select(
+        "device", "name", "events", "success", "failures", "retry_attempts", "retry_events", "failure_attempts",
+        "util_min", "util_avg", "util_max", "max_memory", "memory_total",
+        F.aggregate("util_history", F.lit(0.0), lambda a, v: a + v).alias("util_sum"), F.size("retry_history").alias("samples"),
+    )
+
+
 def scored_detections(spark, sf_dir):
     """Detector output through the payload shape into the canonical table."""
 
@@ -205,12 +253,11 @@ def scored_totals(spark, sf_dir):
 
 
 def stub_payload_files(spark, sf_dir):
-    """The stub detector's payloads written, read back and exploded."""
+    """The stub detector's payloads written to a folder per recording, read back and exploded."""
 
     options = ScoreOptions(windows_per_task=20_000)
     scored = materialise(score_windows(jobs(spark, sf_dir), options), "scored")
-    by_status = scored.withColumn("recording_id", F.expr("concat('all_', chunk_id LIKE '%5')"))
-    path = write_payload_json(by_status, shared_dir(spark, "payloads"))
+    path = write_payload_json(scored, shared_dir(spark, "payloads"))
     found = explode_detections(enrich_payloads(read_payload_lines(spark, path)))
     return found.select(
         "recording_id", "chunk_id", "chunk_start_ms", "chunk_end_ms", "label", "status", "runner",
@@ -218,20 +265,37 @@ def stub_payload_files(spark, sf_dir):
     )
 
 
+def _catalog(spark, name):
+    """A catalog database of its own below the shared folder."""
+
+    location = shared_dir(spark, name)
+    database = location.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
+    return database
+
+
 def report_bundle(spark, sf_dir):
-    """Every export of a bundle, counted by file."""
+    """Every export of a bundle with its defaults, the stored views too: rows and their values, by file."""
 
     base = shared_dir(spark, "bundle")
-    written = write_bundle(detections(spark, sf_dir), base, "run", BundleOptions(database=False))
+    written = write_bundle(detections(spark, sf_dir), base, "run", database=_catalog(spark, "bundledb"))
+    views = load_views(spark, written["database"])
+    exports = {
+        f"{key}_{name}": spark.read.csv(f"{written[key]}/{name}.csv", header=True)
+        for key, name in [
+            ("quicklook", "labels"), ("quicklook", "recordings"), ("quicklook", "chunks"),
+            ("table", "labels"), ("table", "recordings"), ("table", "timeline"),
+            ("database_exports", "label_summary"), ("database_exports", "recording_summary"), ("database_exports", "timeline"),
+        ]
+    }
+    exports |= {"view_labels": views.label_summary, "view_recordings": views.recording_summary, "view_timeline": views.timeline_summary}
     rows = None
-    for key, name in [
-        ("quicklook", "labels"), ("quicklook", "recordings"), ("quicklook", "chunks"),
-        ("table", "labels"), ("table", "recordings"), ("table", "timeline"),
-    ]:
-        part = spark.read.csv(f"{written[key]}/{name}.csv", header=True).agg(
-            F.lit(f"{key}_{name}").alias("export"),
+    for name, export in exports.items():
+        part = export.agg(
+            F.lit(name).alias("export"),
             F.count("*").alias("rows"),
             F.sum(F.col("detections").cast("bigint")).alias("detections"),
+            F.round(F.sum(F.col("avg_confidence").cast("double")), 6).alias("confidence_sum"),
         )
         rows = part if rows is None else rows.unionByName(part)
     return rows
@@ -263,7 +327,8 @@ def dataset_run(spark, sf_dir):
 
     root = _dataset(spark, sf_dir)
     options = ScoreOptions(detector=_label_even_seconds, windows_per_task=20_000)
-    out = run_dataset(spark, root, 3.0, 1.0, options, BundleOptions(database=False), rollup_limit=5)
+    out = run_dataset(spark, root, 3.0, 1.0, options, BundleOptions(), rollup_limit=5, run_name=_catalog(spark, "rundb"))
+    load_views(spark, out["database"])  # raises if the stored report is not whole
     back = spark.read.csv(f"{out['rollup']}/label_summary.csv", header=True)
     return back.select(
         "label",
@@ -352,6 +417,8 @@ QUERIES = {
     "scored_results": scored_results,
     "scored_events": scored_events,
     "scored_totals": scored_totals,
+    "scored_batches": scored_batches,
+    "scored_devices": scored_devices,
     "stub_payload_files": stub_payload_files,
     "report_bundle": report_bundle,
 }
@@ -389,6 +456,12 @@ bits AS (SELECT ok.*, b FROM ok LEFT JOIN (SELECT unnest(range(0, 3)) AS b) bs
          ON (o_orderkey >> b) & 1 = 1)
 """
 
+# Windows with the tries they take: three in vain, two, or one.
+_TRIED = f"""WITH {JOBS_SQL},
+s AS (SELECT *, o_orderkey % 50 = 49 AS bad,
+             CASE o_orderkey % 50 WHEN 49 THEN 3 WHEN 24 THEN 2 ELSE 1 END AS tries FROM jobs)
+"""
+
 _AUDIO = """WITH t AS (SELECT 'rec_' || item_id AS recording_id, octet_length(encode(text)) AS n, text
   FROM benchmark WHERE octet_length(encode(text)) > 0),
 w AS (SELECT *, CAST(trunc(s / 10 * 1000) AS BIGINT) AS start_ms,
@@ -456,40 +529,63 @@ SELECT recording_id, chunk_id, start_ms AS chunk_start_ms, start_ms + b * 1000 A
        CASE WHEN b IS NULL THEN 'none' ELSE 'B' || b END AS label, 'bit ' || b AS label_name,
        CASE WHEN b IS NOT NULL THEN o_orderkey / 1000 END AS confidence, 'ok' AS status,
        'custom' AS runner, sha256 AS chunk_sha256, source_path FROM bits""",
-    "scored_results": f"""WITH {JOBS_SQL}, s AS (SELECT *, o_orderkey % 50 = 49 AS bad FROM jobs)
+    "scored_results": f"""{_TRIED}
+SELECT chunk_id, recording_id, CASE WHEN bad THEN 'failure' ELSE 'success' END AS status,
+       CAST(tries AS INTEGER) AS attempts, CASE WHEN bad THEN NULL ELSE CAST(tries - 1 AS INTEGER) END AS retries,
+       CASE WHEN bad THEN 'window ' || o_orderkey || ' is silent'
+            WHEN tries = 2 THEN 'window ' || o_orderkey || ' stutters' END AS last_error,
+       CASE WHEN bad THEN 'failed after 3 attempt(s)' END AS error FROM s""",
+    "scored_events": f"""{_TRIED},
+e AS (SELECT bad, tries, unnest(range(1, tries + 1)) AS k FROM s)
+SELECT 'start' AS status, count(*) AS events, CAST(sum(k) AS DOUBLE) AS attempts FROM e
+UNION ALL SELECT CASE WHEN bad OR k < tries THEN 'failure' ELSE 'success' END, count(*), CAST(sum(k) AS DOUBLE)
+FROM e GROUP BY 1""",
+    "scored_totals": f"""{_TRIED}
+SELECT count(*) AS jobs, count(*) FILTER (WHERE NOT bad) AS success, count(*) FILTER (WHERE bad) AS failure,
+       CAST(coalesce(sum(tries - 1) FILTER (WHERE NOT bad), 0) AS BIGINT) AS retries FROM s""",
+    "scored_batches": f"""WITH {JOBS_SQL}, s AS (SELECT *, o_orderkey % 128 = 127 AS bad FROM jobs)
 SELECT chunk_id, recording_id, CASE WHEN bad THEN 'failure' ELSE 'success' END AS status,
-       CAST(1 AS INTEGER) AS attempts, CASE WHEN bad THEN NULL ELSE CAST(0 AS INTEGER) END AS retries,
+       CAST(CASE WHEN bad THEN 3 ELSE 1 END AS INTEGER) AS attempts,
+       CASE WHEN NOT bad THEN CAST(0 AS INTEGER) END AS retries,
        CASE WHEN bad THEN 'window ' || o_orderkey || ' is silent' END AS last_error,
-       CASE WHEN bad THEN 'failed after 1 attempt(s)' END AS error FROM s""",
-    "scored_events": """
-WITH s AS (SELECT o_orderkey % 50 = 49 AS bad FROM orders)
-SELECT 'start' AS status, count(*) AS events, CAST(count(*) AS DOUBLE) AS attempts FROM s
-UNION ALL SELECT CASE WHEN bad THEN 'failure' ELSE 'success' END, count(*), CAST(count(*) AS DOUBLE)
-FROM s GROUP BY bad""",
-    "scored_totals": """
-SELECT count(*) AS jobs, count(*) FILTER (WHERE o_orderkey % 50 <> 49) AS success,
-       count(*) FILTER (WHERE o_orderkey % 50 = 49) AS failure, CAST(0 AS BIGINT) AS retries
-FROM orders""",
+       CAST(CASE WHEN bad THEN 0 ELSE bit_count(o_orderkey % 8) END AS INTEGER) AS found FROM s""",
+    "scored_devices": f"""{_TRIED},
+e AS (SELECT bad, tries, unnest(range(1, tries + 1)) AS k FROM s)
+SELECT 'GPU 0' AS device, 'Unit 0' AS name, 2 * count(*) AS events,
+       count(*) FILTER (WHERE NOT bad AND k = tries) AS success, count(*) FILTER (WHERE bad OR k < tries) AS failures,
+       CAST(coalesce(sum(k - 1) FILTER (WHERE NOT bad AND k = tries), 0) AS BIGINT) AS retry_attempts,
+       count(*) FILTER (WHERE NOT bad AND k = tries AND k > 1) AS retry_events,
+       CAST(coalesce(sum(k) FILTER (WHERE bad OR k < tries), 0) AS BIGINT) AS failure_attempts,
+       41.5::DOUBLE AS util_min, 41.5::DOUBLE AS util_avg, 41.5::DOUBLE AS util_max, 512::DOUBLE AS max_memory,
+       CAST(8192 AS BIGINT) AS memory_total, least(count(*), 24) * 41.5::DOUBLE AS util_sum,
+       CAST(least(2 * count(*), 24) AS INTEGER) AS samples FROM e""",
     "stub_payload_files": f"""WITH {JOBS_SQL}
-SELECT 'all_' || (chunk_id LIKE '%5') AS recording_id, chunk_id, start_ms AS chunk_start_ms,
+SELECT recording_id, chunk_id, start_ms AS chunk_start_ms,
        end_ms AS chunk_end_ms, 'none' AS label, 'stub' AS status, 'stub' AS runner,
        sha256 AS chunk_sha256 FROM jobs""",
     "report_bundle": f"""WITH {DETECTIONS_SQL},
-l AS (SELECT count(*) AS n FROM detections GROUP BY label, label_name
-      ORDER BY n DESC),
-l10 AS (SELECT n FROM (SELECT label, label_name, count(*) AS n FROM detections GROUP BY ALL)
-        ORDER BY n DESC, label NULLS FIRST, label_name NULLS FIRST LIMIT 10),
-l20 AS (SELECT n FROM (SELECT label, label_name, count(*) AS n FROM detections GROUP BY ALL)
-        ORDER BY n DESC, label NULLS FIRST, label_name NULLS FIRST LIMIT 20),
-r AS (SELECT recording_id, count(*) AS n FROM detections GROUP BY recording_id),
-r5 AS (SELECT n FROM r ORDER BY n DESC, recording_id LIMIT 5),
-r10 AS (SELECT n FROM r ORDER BY n DESC, recording_id LIMIT 10),
-c AS (SELECT count(*) AS n FROM detections GROUP BY chunk_id),
-t AS (SELECT count(*) AS n FROM detections GROUP BY coalesce(chunk_start_ms, 0) // 3600000)
-SELECT 'quicklook_labels' AS export, count(*) AS rows, CAST(sum(n) AS BIGINT) AS detections FROM l10
-UNION ALL SELECT 'quicklook_recordings', count(*), CAST(sum(n) AS BIGINT) FROM r5
-UNION ALL SELECT 'quicklook_chunks', count(*), CAST(sum(n) AS BIGINT) FROM c
-UNION ALL SELECT 'table_labels', count(*), CAST(sum(n) AS BIGINT) FROM l20
-UNION ALL SELECT 'table_recordings', count(*), CAST(sum(n) AS BIGINT) FROM r10
-UNION ALL SELECT 'table_timeline', count(*), CAST(sum(n) AS BIGINT) FROM t""",
+l AS (SELECT count(*) AS n, avg(confidence) AS c,
+             row_number() OVER (ORDER BY count(*) DESC, label NULLS FIRST, label_name NULLS FIRST) AS k
+      FROM detections GROUP BY label, label_name),
+r AS (SELECT count(*) AS n, avg(confidence) AS c, row_number() OVER (ORDER BY count(*) DESC, recording_id) AS k
+      FROM detections GROUP BY recording_id),
+c AS (SELECT count(*) AS n, avg(confidence) AS c FROM detections GROUP BY chunk_id),
+t AS (SELECT CAST(sum(n) AS BIGINT) AS n, avg(c) AS c
+      FROM (SELECT chunk_start_ms, count(*) AS n, avg(confidence) AS c FROM detections GROUP BY chunk_id, chunk_start_ms)
+      GROUP BY coalesce(chunk_start_ms, 0) // 3600000),
+e AS (
+  SELECT 'quicklook_labels' AS export, n, c FROM l WHERE k <= 10
+  UNION ALL SELECT 'quicklook_recordings', n, c FROM r WHERE k <= 5
+  UNION ALL SELECT 'quicklook_chunks', n, c FROM c
+  UNION ALL SELECT 'table_labels', n, c FROM l WHERE k <= 20
+  UNION ALL SELECT 'table_recordings', n, c FROM r WHERE k <= 10
+  UNION ALL SELECT 'table_timeline', n, c FROM t
+  UNION ALL SELECT 'database_exports_label_summary', n, c FROM l WHERE k <= 15
+  UNION ALL SELECT 'database_exports_recording_summary', n, c FROM r WHERE k <= 10
+  UNION ALL SELECT 'database_exports_timeline', n, c FROM t
+  UNION ALL SELECT 'view_labels', n, c FROM l
+  UNION ALL SELECT 'view_recordings', n, c FROM r
+  UNION ALL SELECT 'view_timeline', n, c FROM t)
+SELECT export, count(*) AS rows, CAST(sum(n) AS BIGINT) AS detections, round(sum(c), 6) AS confidence_sum
+FROM e GROUP BY export""",
 }

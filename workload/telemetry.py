@@ -66,9 +66,8 @@ def device_histories(spark, sf_dir):
 
 def device_summary(spark, sf_dir):
     summary = tel.device_summary(telemetry(spark, sf_dir))
-    return summary.select(
-        "device", "name", "events", "last_chunk", F.size("retry_history").alias("history_length")
-    )
+    histories = _history_text(summary).drop("util_trend")
+    return _totals(summary).join(histories, "device")
 
 
 def tail_events(spark, sf_dir):
@@ -185,18 +184,19 @@ def live_tail(spark, sf_dir):
 
 
 def live_histories(spark, sf_dir):
-    """Newest samples per device kept across micro-batches."""
+    """Newest samples per device kept across micro-batches, by value.
+
+    Times are made distinct, so that the order of a stream is that of the log.
+    """
 
-    events = monitor.telemetry_stream(spark, _log_in_files(spark, sf_dir), max_files=1)
+    path = shared_dir(spark, "log")
+    timed = telemetry(spark, sf_dir).withColumn("timestamp", F.lpad(F.col("event_order.row").cast("string"), 15, "0"))
+    append_telemetry(timed.repartition(4, "chunk_id"), path)
+    events = monitor.telemetry_stream(spark, path, max_files=1)
     state = shared_dir(spark, "history")
     monitor.start_histories(events, state, shared_dir(spark, "cp")).awaitTermination()
     packed = monitor.read_histories(spark, state)
-    return packed.select(
-        "device",
-        F.size("util_history").alias("util"),
-        F.size("memory_history").alias("memory"),
-        F.size("retry_history").alias("retries"),
-    )
+    return _history_text(packed)
 
 
 def live_ingest(spark, sf_dir):
@@ -307,19 +307,18 @@ SELECT worker, count(*) AS jobs, count(*) FILTER (WHERE status = 'success') AS s
 FROM job_results GROUP BY worker"""
 _HOT = f"WITH {JOB_RESULTS_SQL}, hot AS (SELECT * FROM job_results WHERE status <> 'success' OR retries > 0)"
 
-ORACLE = {
-    "device_totals": f"""{_FLAT}
-SELECT device, coalesce(arg_max(gpu_name, event_id) FILTER (WHERE gpu_name IS NOT NULL), device) AS name,
+_TOTALS_SQL = f"""SELECT device, coalesce(arg_max(gpu_name, event_id) FILTER (WHERE gpu_name IS NOT NULL), device) AS name,
   {_COUNTS}, round(avg(util), 9) AS util_avg,
   CAST(arg_max(mem_total, event_id) FILTER (WHERE mem_total IS NOT NULL) AS BIGINT) AS memory_total,
   arg_max(status, event_id) AS last_status, arg_max(chunk_id, event_id) AS last_chunk,
   arg_max(timestamp, event_id) FILTER (WHERE timestamp <> '') AS last_timestamp,
   CAST(arg_max(util, event_id) FILTER (WHERE util IS NOT NULL) AS DOUBLE) AS last_util
-FROM flat GROUP BY device""",
-    "device_histories": f"""{_FLAT}, {_newest('util', 'u')}, {_newest('mem', 'm')},
+FROM flat GROUP BY device"""
+_SERIES = f"""{_FLAT}, {_newest('util', 'u')}, {_newest('mem', 'm')},
 r AS (SELECT device, list(attempt - 1 ORDER BY event_id) AS vals FROM (
   SELECT *, row_number() OVER (PARTITION BY device ORDER BY event_id DESC) AS age FROM flat)
-  WHERE age <= 24 GROUP BY device),
+  WHERE age <= 24 GROUP BY device)"""
+_HISTORIES = f"""{_SERIES},
 s AS (SELECT device, list_transform(range(10), lambda i: vals[CAST(trunc(i * 2.4::DOUBLE) AS INTEGER) + 1])
         AS pts FROM u),
 g AS (SELECT device, list_aggregate(list_transform(pts, lambda v: substr(' .:-=+*#%@',
@@ -328,11 +327,15 @@ g AS (SELECT device, list_aggregate(list_transform(pts, lambda v: substr(' .:-=+
 SELECT device, array_to_string(u.vals, ',') AS util_history,
        array_to_string(m.vals, ',') AS memory_history,
        array_to_string(r.vals, ',') AS retry_history, util_trend
-FROM r JOIN u USING (device) JOIN m USING (device) JOIN g USING (device)""",
-    "device_summary": f"""{_FLAT}
-SELECT device, coalesce(arg_max(gpu_name, event_id) FILTER (WHERE gpu_name IS NOT NULL), device) AS name,
-  count(*) AS events, arg_max(chunk_id, event_id) AS last_chunk,
-  CAST(least(count(*), 24) AS INTEGER) AS history_length FROM flat GROUP BY device""",
+FROM r JOIN u USING (device) JOIN m USING (device) JOIN g USING (device)"""
+
+ORACLE = {
+    "device_totals": f"{_FLAT} {_TOTALS_SQL}",
+    "device_histories": _HISTORIES,
+    "device_summary": f"""{_SERIES}, t AS ({_TOTALS_SQL})
+SELECT t.*, array_to_string(u.vals, ',') AS util_history, array_to_string(m.vals, ',') AS memory_history,
+       array_to_string(r.vals, ',') AS retry_history
+FROM t JOIN r USING (device) JOIN u USING (device) JOIN m USING (device)""",
     "tail_events": f"""{_FLAT}
 SELECT timestamp, status, chunk_id,
        CASE WHEN device = 'CPU' THEN 'CPU' ELSE substr(device, 5) END AS device, runtime_s,
@@ -358,10 +361,7 @@ SELECT chunk_id, recording_id, status, CAST(attempts AS INTEGER) AS attempts,
     "live_device_totals": f"{_FLAT} SELECT device, {_COUNTS} FROM flat GROUP BY device",
     "live_tail": f"""{_FLAT}
 SELECT timestamp, status FROM flat ORDER BY timestamp DESC, event_id DESC LIMIT 15""",
-    "live_histories": f"""{_FLAT}
-SELECT device, CAST(least(count(util), 24) AS INTEGER) AS util,
-       CAST(least(count(mem), 24) AS INTEGER) AS memory,
-       CAST(least(count(*), 24) AS INTEGER) AS retries FROM flat GROUP BY device""",
+    "live_histories": _HISTORIES,
     "live_ingest": """
 WITH p AS (SELECT * FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0),
 d AS (SELECT p.*, k FROM p LEFT JOIN (SELECT unnest(range(1, 3)) AS k) ks ON k <= user_id % 3)
