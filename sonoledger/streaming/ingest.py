@@ -13,6 +13,7 @@ from sonoledger.session import materialise
 from sonoledger.sources._scan import scan_path
 from sonoledger.sources.manifests import manifest_index, read_manifest
 from sonoledger.sources.payloads import parse_payloads
+from sonoledger.streaming.compact import read_batches
 
 
 def payload_stream(
@@ -46,6 +47,8 @@ def start_ingest(
     The checkpoint remembers which files were read, and each micro-batch owns one
     folder of the table that a repeated run overwrites: every file's rows appear
     exactly once. This also packs many small payload files into few large ones.
+    :func:`compact.read_batches` reads the table, :func:`compact.compact` folds its
+    batches into large files.
     """
 
     # A fixed table is reduced once at the start rather than in every micro-batch.
@@ -95,12 +98,18 @@ def start_timeline(
     return _start(detections, step, checkpoint, interval)
 
 
+def add_up(sums: DataFrame) -> DataFrame:
+    """Sums of a timeline, one row per bucket and window; also a fold for :func:`compact.compact`."""
+
+    return sums.groupBy("bucket", "chunk_id", "chunk_start_ms").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("known").alias("known")
+    )
+
+
 def read_timeline(spark: SparkSession, out: str) -> DataFrame:
     """The timeline so far: per bucket, its detections and the mean of its windows' means."""
 
-    per_window = spark.read.parquet(out).groupBy("bucket", "chunk_id", "chunk_start_ms").agg(
-        F.sum("n").alias("n"), F.try_divide(F.sum("total"), F.sum("known")).alias("mean")
-    )
+    per_window = add_up(read_batches(spark, out)).withColumn("mean", F.try_divide("total", "known"))
     return per_window.groupBy("bucket").agg(
         F.sum("n").alias("detections"), F.avg("mean").alias("avg_confidence")
     ).select(

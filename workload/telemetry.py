@@ -14,9 +14,10 @@ from sonoledger.sources.runs import (
     write_worker_totals,
 )
 from sonoledger.sources.telemetry import append_telemetry, count_skipped, read_telemetry
-from sonoledger.streaming import monitor
+from sonoledger.streaming import monitor, state
+from sonoledger.streaming.compact import compact, read_batches
 from sonoledger.sources.manifests import write_manifest
-from sonoledger.streaming.ingest import payload_stream, read_timeline, start_ingest, start_timeline
+from sonoledger.streaming.ingest import add_up, payload_stream, read_timeline, start_ingest, start_timeline
 from workload.ingest import payload_text
 from workload.proxies import (
     DETECTIONS_SQL,
@@ -183,16 +184,30 @@ def live_tail(spark, sf_dir):
     return monitor.read_newest(spark, state).select("timestamp", "status")
 
 
+def _timed_log(spark, sf_dir) -> str:
+    path = shared_dir(spark, "log")
+    timed = telemetry(spark, sf_dir).withColumn("timestamp", F.lpad(F.col("event_order.row").cast("string"), 15, "0"))
+    append_telemetry(timed.repartition(4, "chunk_id"), path)
+    return path
+
+
+def live_state_histories(spark, sf_dir):
+    """The same from rings in the state store, the query stopped and started again between files."""
+
+    session, log, cp = _stream_session(spark), _timed_log(spark, sf_dir), shared_dir(spark, "cp")
+    session.conf.set(state.STORE_KEY, state.STORE)
+    for _ in range(2):
+        state.start_state_histories(monitor.telemetry_stream(session, log, 2), cp).awaitTermination()
+    return _history_text(state.read_state_histories(session, cp))
+
+
 def live_histories(spark, sf_dir):
     """Newest samples per device kept across micro-batches, by value.
 
     Times are made distinct, so that the order of a stream is that of the log.
     """
 
-    path = shared_dir(spark, "log")
-    timed = telemetry(spark, sf_dir).withColumn("timestamp", F.lpad(F.col("event_order.row").cast("string"), 15, "0"))
-    append_telemetry(timed.repartition(4, "chunk_id"), path)
-    events = monitor.telemetry_stream(spark, path, max_files=1)
+    events = monitor.telemetry_stream(spark, _timed_log(spark, sf_dir), max_files=1)
     state = shared_dir(spark, "history")
     monitor.start_histories(events, state, shared_dir(spark, "cp")).awaitTermination()
     packed = monitor.read_histories(spark, state)
@@ -212,7 +227,8 @@ def live_ingest(spark, sf_dir):
     )
     out = shared_dir(spark, "detections")
     start_ingest(stream, out, shared_dir(spark, "cp")).awaitTermination()
-    return spark.read.parquet(out).groupBy("label", "status").agg(
+    compact(spark, out, least=1)
+    return read_batches(spark, out).groupBy("label", "status").agg(
         F.count("*").alias("rows"), F.sum("timestamp_ms").alias("time_sum")
     )
 
@@ -252,6 +268,7 @@ def live_timeline(spark, sf_dir):
     )
     out = shared_dir(spark, "timeline")
     start_timeline(stream, out, shared_dir(spark, "cp")).awaitTermination()
+    compact(spark, out, fold=add_up)
     return read_timeline(spark, out).select(
         F.unix_seconds("bucket_start").alias("bucket_start"),
         "detections",
@@ -274,6 +291,7 @@ QUERIES = {
     "live_device_totals": live_device_totals,
     "live_tail": live_tail,
     "live_histories": live_histories,
+    "live_state_histories": live_state_histories,
     "live_ingest": live_ingest,
     "live_timeline": live_timeline,
     "live_payload_files": live_payload_files,
@@ -362,6 +380,7 @@ SELECT chunk_id, recording_id, status, CAST(attempts AS INTEGER) AS attempts,
     "live_tail": f"""{_FLAT}
 SELECT timestamp, status FROM flat ORDER BY timestamp DESC, event_id DESC LIMIT 15""",
     "live_histories": _HISTORIES,
+    "live_state_histories": _HISTORIES,
     "live_ingest": """
 WITH p AS (SELECT * FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0),
 d AS (SELECT p.*, k FROM p LEFT JOIN (SELECT unnest(range(1, 3)) AS k) ks ON k <= user_id % 3)
