@@ -30,6 +30,7 @@ from sonoledger.plans.infer_plan import build_infer_plan, require_complete
 from sonoledger.plans.resume import pending_jobs, resume_entries
 from sonoledger.schemas import DETECTIONS, MANIFEST
 from sonoledger.session import materialise
+from sonoledger.sources._files import exists, subfolders
 from sonoledger.sources._scan import nothing_there
 from sonoledger.sources.detections import write_detections
 from sonoledger.sources.recordings import discover_recordings, read_wav_headers
@@ -56,6 +57,8 @@ class Layout(NamedTuple):
     telemetry: str
     workers: str
     aggregate: str
+    rollup: str
+    worker_sums: str
 
     @classmethod
     def below(cls, root: str) -> Layout:
@@ -72,6 +75,8 @@ class Layout(NamedTuple):
             telemetry=f"{root}/artifacts/telemetry/infer",
             workers=f"{root}/artifacts/telemetry/workers",
             aggregate=f"{root}/artifacts/aggregate",
+            rollup=f"{root}/tables/rollup",
+            worker_sums=f"{root}/tables/worker_sums",
         )
 
 
@@ -119,6 +124,52 @@ def dataset_detections(spark: SparkSession, root: str) -> DataFrame:
     return explode_detections(enrich_payloads(payload_rows(newest)))
 
 
+def _finished_runs(path: str) -> set[str]:
+    return {name for name in subfolders(path, "run=") if exists(f"{path}/{name}/_SUCCESS")}
+
+
+def add_up_runs(spark: SparkSession, root: str) -> list[str]:
+    """Reduce the scores of each new run to sums that add up over runs; the runs reduced.
+
+    A run leaves the rollup of its detections, by window and label, and the totals of its
+    workers. What was reduced before is not read again. The rollup is written last and
+    marks a run as done, so a run whose reduction was cut short is reduced anew.
+    """
+
+    at = Layout.below(root)
+    fresh = sorted(_finished_runs(at.scored) - _finished_runs(at.rollup))
+    for run in fresh:
+        scored = spark.read.schema(SCORED).parquet(f"{at.scored}/{run}")
+        worker_totals(result_rows(scored)).write.mode("overwrite").parquet(f"{at.worker_sums}/{run}")
+        found = explode_detections(enrich_payloads(payload_rows(scored.filter("status = 'success'"))))
+        R.rollup(found).write.mode("overwrite").parquet(f"{at.rollup}/{run}")
+    return fresh
+
+
+def dataset_rollup(spark: SparkSession, root: str) -> DataFrame:
+    """The rollup of :func:`dataset_detections` from the sums of runs; scores of new runs only are read."""
+
+    add_up_runs(spark, root)
+    at = Layout.below(root)
+    runs = sorted(_finished_runs(at.rollup))
+    if not runs:
+        return R.rollup(spark.createDataFrame([], DETECTIONS))
+    sums = spark.read.option("basePath", at.rollup).parquet(*[f"{at.rollup}/{run}" for run in runs])
+    return newest_run(sums, ["recording_id", "chunk_id"]).drop("run")
+
+
+def dataset_worker_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Totals per worker over all runs, from the sums of runs."""
+
+    add_up_runs(spark, root)
+    at = Layout.below(root)
+    runs = sorted(_finished_runs(at.rollup))
+    if not runs:
+        return worker_totals(result_rows(dataset_scores(spark, root)))
+    sums = spark.read.parquet(*[f"{at.worker_sums}/{run}" for run in runs])
+    return sums.groupBy("worker").agg(*[F.sum(c).alias(c) for c in sums.columns if c != "worker"])
+
+
 def cut_dataset(
     spark: SparkSession,
     root: str,
@@ -253,7 +304,7 @@ def score_dataset(
     append_telemetry(event_rows(scored), at.telemetry)
     outcomes = result_rows(scored)
     write_job_results(outcomes, at.results)
-    write_worker_totals(worker_totals(result_rows(dataset_scores(spark, root))), at.workers)
+    write_worker_totals(dataset_worker_totals(spark, root), at.workers)
     return outcomes
 
 
@@ -267,7 +318,11 @@ def run_dataset(
     rollup_limit: int = 20,
     run_name: str = "dataset",
 ) -> dict[str, str]:
-    """Cut, score, bundle and roll up a dataset; returns where the reports are."""
+    """Cut, score, bundle and roll up a dataset; returns where the reports are.
+
+    Reports follow from the sums of runs (:func:`dataset_rollup`); a further run adds its
+    own. Only the export of all detections and the stored table are written whole.
+    """
 
     at = Layout.below(root)
     cut_dataset(spark, root, chunk_duration, overlap)
@@ -275,7 +330,7 @@ def run_dataset(
     table = f"{at.aggregate}/all_detections.parquet"
     write_detections(dataset_detections(spark, root), table, clustered=True)
     detections = spark.read.schema(DETECTIONS).parquet(table)
-    rolled = materialise(R.rollup(detections), "rollup")
+    rolled = materialise(dataset_rollup(spark, root), "rollup")
     written = {}
     if bundle is not None:
         written = write_bundle(detections, at.aggregate, run_name, bundle, rolled=rolled)

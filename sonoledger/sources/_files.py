@@ -29,6 +29,16 @@ def exists(path: str) -> bool:
     return system.get_file_info(inner).type != fs.FileType.NotFound
 
 
+def subfolders(path: str, prefix: str = "") -> list[str]:
+    """Names of the folders right below ``path`` that begin with ``prefix``; none if it isn't there."""
+
+    from pyarrow import fs
+
+    system, inner = filesystem_of(path)
+    listed = system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+    return sorted(f.base_name for f in listed if f.type == fs.FileType.Directory and f.base_name.startswith(prefix))
+
+
 def read_bytes(path: str) -> bytes:
     with open_stream(path) as source:
         return source.read()
@@ -53,8 +63,3 @@ def publish(path: str, content: bytes) -> None:
         system.delete_file(inner)
         system.move(draft, inner)
 
-
-def remove(path: str) -> None:
-    system, inner = filesystem_of(path)
-    if exists(path):
-        system.delete_file(inner)

@@ -23,25 +23,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sonoledger.sources._files import exists, filesystem_of, publish, read_bytes
+from sonoledger.sources._files import exists, filesystem_of, publish, read_bytes, subfolders
 
 BATCH, GENERATION, POINTER = "batch=", "generation=", "_current.json"
 # Bytes of a file that a generation aims at, by the size of what it folds in.
 FILE_BYTES = 128 << 20
 
 
-def _listed(out: str, prefix: str) -> list[str]:
-    """Names of the folders below ``out`` that begin with ``prefix``."""
-
-    from pyarrow import fs
-
-    system, inner = filesystem_of(out)
-    selector = fs.FileSelector(inner, allow_not_found=True)
-    return [f.base_name for f in system.get_file_info(selector) if f.type == fs.FileType.Directory and f.base_name.startswith(prefix)]
-
-
 def _batch_ids(out: str) -> list[int]:
-    return sorted(int(n[len(BATCH):]) for n in _listed(out, BATCH) if re.fullmatch(BATCH + r"\d+", n))
+    return sorted(int(n[len(BATCH):]) for n in subfolders(out, BATCH) if re.fullmatch(BATCH + r"\d+", n))
 
 
 def _finished(out: str, batch: int) -> bool:
@@ -115,6 +105,6 @@ def _sweep(out: str, held: dict, keep: int) -> None:
         if batch <= upto:
             system.delete_dir(f"{inner}/{BATCH}{batch}")
     known = {held["generation"], *held["older"]}
-    for name in _listed(out, GENERATION):
+    for name in subfolders(out, GENERATION):
         if name not in known:
             system.delete_dir(f"{inner}/{name}")

@@ -247,3 +247,44 @@ def test_run_dataset(spark, tmp_path):
     assert (per.recording_id, per.label, per.detections, per["rank"]) == ("rec1", "none", 2, 1)
     states = latest_status(read_status(spark, Layout.below(root).status)).collect()
     assert [(r.recording_id, r.status) for r in states] == [("rec1", "completed")]
+
+
+def test_a_further_run_adds_its_own_sums(spark, tmp_path):
+    """The rollup of runs equals that of all detections; scores of earlier runs are not read again."""
+
+    import shutil
+
+    from sonoledger.operators import reports as R
+    from sonoledger.plans import dataset_run as D
+
+    root = str(tmp_path / "set")
+    at = Layout.below(root)
+
+    def shown(df):
+        return sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=str)
+
+    def score(windows, confidence, bad=()):
+        def judge(job):
+            if job["chunk_id"] in bad:
+                raise RuntimeError("no")
+            return [{"label": label, "confidence": confidence} for label in ("A", "B", "A")]
+
+        options = S.ScoreOptions(detector=judge, max_retries=1, backoff_limit_s=0, partitions=2)
+        run = f"{len(D._finished_runs(at.scored)):03d}"
+        S.score_windows(manifest(spark, windows), options).write.parquet(f"{at.scored}/run={run}")
+        return f"run={run}"
+
+    assert D.dataset_rollup(spark, root).collect() == []
+    first = score(6, 0.5, bad=("c4",))
+    assert D.add_up_runs(spark, root) == [first]
+    assert shown(D.dataset_rollup(spark, root)) == shown(R.rollup(D.dataset_detections(spark, root)))
+    second = score(3, 0.25)  # three windows scored anew
+    kept = shown(R.rollup(D.dataset_detections(spark, root)))
+    totals = shown(worker_totals(S.result_rows(D.dataset_scores(spark, root))))
+    shutil.move(f"{at.scored}/{first}", f"{tmp_path}/away")
+    assert D.add_up_runs(spark, root) == [second] and D.add_up_runs(spark, root) == []
+    assert shown(D.dataset_rollup(spark, root)) == kept
+    assert shown(D.dataset_worker_totals(spark, root)) == totals
+    # A reduction that was cut short is done again.
+    (tmp_path / "set" / "tables" / "rollup" / second / "_SUCCESS").unlink()
+    assert D.add_up_runs(spark, root) == [second] and shown(D.dataset_rollup(spark, root)) == kept
