@@ -10,8 +10,9 @@ share cells, which stay small and mostly empty.
 A query follows the path of each of its terms down the tree, jointly over ranges of documents.
 The sum of weight times cell maximum over its terms bounds the score of every document of a
 range. The ranges with the highest bounds are opened first, some at a time, until no open range
-can reach the k best found; a range of one document has its exact score. Ties at the k-th place
-are opened as well, so they are broken by id whatever the order of search.
+can reach the k best found; a range of one document has its exact score. Columns of a block are
+ordered by id, so of equal scores the leftmost wins: a range whose bound equals the k-th score is
+opened only if it lies left of the k-th document, which keeps large groups of copies closed.
 
 Terms are maximal runs of characters other than ASCII controls, blanks and signs, only A-Z
 lower-cased. They are told apart by 64-bit hashes. The score of a document sums
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +48,7 @@ BEST = 10
 BLOCK_BYTES, BLOCK_ROWS = 2 << 20, 1024  # of a block's texts, but for a single longer one
 GROUP_ITEMS = 512  # queries that are searched together
 WAVE = 16  # ranges of a query opened at once
+TOGETHER = 32  # queries whose ranges are open at once in a task
 SENT_PAIRS = 200_000  # (query, term) pairs, counted first, that are sent to all tasks: some 5 MB
 
 INDEX_SCHEMA = (
@@ -161,6 +164,8 @@ def _spread(x: np.ndarray) -> np.ndarray:
 def _block(ids: pa.Array, texts: pa.Array, found: int, terms: int, hasher: Hasher) -> dict | None:
     """The index row of some documents; None if they have no terms."""
 
+    order = pc.sort_indices(ids, null_placement="at_end")
+    ids, texts = ids.take(order), texts.take(order)
     lengths, row, term, tf = _postings(texts, hasher)
     if not len(row):
         return None
@@ -285,7 +290,7 @@ class Search:
         self.ids = np.array([i or 0 for i in block["ids"]], np.int64)
 
     def best(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, wave: int = WAVE) -> tuple:
-        """(query, column, score) of the ``k`` best columns of each query and of all that tie with the last.
+        """(query, column, score) of the ``k`` best columns of each query, of equal scores the leftmost.
 
         ``query``: a number from 0 for each (query, term) pair.
         """
@@ -298,7 +303,8 @@ class Search:
             none = np.zeros(0, np.int64)
             return none, none, none
         n_queries = int(query.max()) + 1
-        top = np.zeros(n_queries, np.int64)  # the k-th best score of each query so far, from which ranges are opened
+        # Score and column of the k-th best of each query so far: what lies behind it stays closed.
+        top, edge = np.zeros(n_queries, np.int64), np.full(n_queries, np.iinfo(np.int64).max)
         # Open ranges, and for each the terms that have a cell in it.
         owner, level, start = np.unique(query), None, None
         pair_of = np.searchsorted(owner, query)
@@ -309,7 +315,8 @@ class Search:
         open_["bound"] = self._bounds(pairs, len(owner))
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(open_["query"]):
-            chosen = _first_of_each(open_["query"], open_["bound"], wave)
+            left = open_["at"] << open_["level"]
+            chosen = _first_of_each(open_["query"], open_["bound"], left, wave)
             self.opened += int(chosen.sum())
             rest, rest_pairs = _keep(open_, pairs, ~chosen)
             now, now_pairs = _keep(open_, pairs, chosen)
@@ -318,12 +325,13 @@ class Search:
             if scored.any():
                 done.append((fresh["query"][scored], fresh["at"][scored], fresh["bound"][scored]))
                 done = [_best_rows(*(np.concatenate(x) for x in zip(*done)), k)]
-                self._raise(top, done[0], k)
+                self._raise(top, edge, done[0], k)
                 fresh, fresh_pairs = _keep(fresh, fresh_pairs, ~scored)
             open_ = {c: np.concatenate([rest[c], fresh[c]]) for c in rest}
             fresh_pairs["range"] = fresh_pairs["range"] + len(rest["query"])
             pairs = {c: np.concatenate([rest_pairs[c], fresh_pairs[c]]) for c in rest_pairs}
-            alive = open_["bound"] >= np.maximum(top[open_["query"]], 1)
+            q, left = open_["query"], open_["at"] << open_["level"]
+            alive = (open_["bound"] > top[q]) | ((open_["bound"] == top[q]) & (left < edge[q]) & (top[q] > 0))
             if not alive.all():
                 open_, pairs = _keep(open_, pairs, alive)
         if not done:
@@ -361,13 +369,14 @@ class Search:
         )
 
     @staticmethod
-    def _raise(top: np.ndarray, held: tuple, k: int) -> None:
-        query, _, score = held
-        order = np.lexsort((-score, query))
-        query, score = query[order], score[order]
+    def _raise(top: np.ndarray, edge: np.ndarray, held: tuple, k: int) -> None:
+        """``held`` is in order of query and rank."""
+
+        query, column, score = held
         start = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
         full = np.diff(np.r_[start, len(query)]) >= k
-        top[query[start[full]]] = score[start[full] + k - 1]
+        last = start[full] + k - 1
+        top[query[last]], edge[query[last]] = score[last], column[last]
 
 
 def _keep(ranges: dict, pairs: dict, kept: np.ndarray) -> tuple[dict, dict]:
@@ -378,28 +387,21 @@ def _keep(ranges: dict, pairs: dict, kept: np.ndarray) -> tuple[dict, dict]:
     return {c: ranges[c][kept] for c in ranges}, out
 
 
-def _first_of_each(group: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
-    """Marks the ``n`` highest values of every group."""
+def _first_of_each(group: np.ndarray, value: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """Marks the ``n`` highest values of every group, of equal ones those with the lowest place."""
 
-    order = np.lexsort((-value, group))
-    held = group[order]
-    start = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
-    nth = np.arange(len(held)) - np.repeat(start, np.diff(np.r_[start, len(held)]))
+    order = np.lexsort((place, -value, group))
     out = np.zeros(len(group), bool)
-    out[order[nth < n]] = True
+    out[order[_nth(group[order]) < n]] = True
     return out
 
 
 def _best_rows(query: np.ndarray, column: np.ndarray, score: np.ndarray, k: int) -> tuple:
-    """The ``k`` best rows of each query with all that tie with the last."""
+    """The ``k`` best rows of each query in order, of equal scores the leftmost."""
 
-    order = np.lexsort((-score, query))
-    query, column, score = query[order], column[order], score[order]
-    start = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
-    size = np.diff(np.r_[start, len(query)])
-    last = score[start + np.minimum(k, size) - 1]
-    kept = score >= np.repeat(last, size)
-    return query[kept], column[kept], score[kept]
+    order = np.lexsort((column, -score, query))
+    order = order[_nth(query[order]) < k]
+    return query[order], column[order], score[order]
 
 
 def ranked_search(
@@ -444,16 +446,15 @@ def search_index(
                          for c in ("ids", "terms", "row_of", "masks", "maxima", "levels")}
                 pairs = batch.column(batch.schema.get_field_index("asked"))[at].values
                 number, local = np.unique(pairs.field("query").to_numpy(), return_inverse=True)
+                term, weight = pairs.field("term").to_numpy().view(np.uint64), pairs.field("w").to_numpy()
                 search = Search(block)
-                query, column, score = search.best(
-                    local, pairs.field("term").to_numpy().view(np.uint64), pairs.field("w").to_numpy(), k
-                )
-                null_id, ids = search.null_id[column], search.ids[column]
-                order = np.lexsort((ids, null_id, -score, query))
-                order = order[_nth(query[order]) < k]
-                yield pa.RecordBatch.from_pydict({
-                    "query": number[query[order]], "doc_id": pa.array(ids[order], mask=null_id[order]), "score": score[order],
-                })
+                for first in range(0, len(number), TOGETHER):
+                    mine = (local >= first) & (local < first + TOGETHER)
+                    query, column, score = search.best(local[mine] - first, term[mine], weight[mine], k)
+                    yield pa.RecordBatch.from_pydict({
+                        "query": number[query + first], "score": score,
+                        "doc_id": pa.array(search.ids[column], mask=search.null_id[column]),
+                    }).select(["query", "doc_id", "score"])
 
     best = met.select("ids", "terms", "row_of", "masks", "maxima", "levels", "asked").mapInArrow(
         work, "query long, doc_id long, score long"
