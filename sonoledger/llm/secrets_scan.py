@@ -1,16 +1,20 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
 Candidates are values given to a telling name (``password = ...``) and long tokens that mix
-letters and digits. Each gets numbers for its length, character transitions, dictionary
+letters and digits. A quoted value goes to its closing quote on the line, whatever stands
+in it; one without quotes to the next blank, quote, end tag or ``,name=``. Any run of blanks
+may surround the sign. Each gets numbers for its length, character transitions, dictionary
 coverage, path and neighbouring words; a random forest (Spark ML) trained on labelled
 findings decides. Labelled findings are a table (text, path, start, end, label);
 ``example_findings`` makes one from written rules, where no reviewed findings exist.
 
 The dictionary and the letter transitions come from the words of all documents: words are
-counted in the tasks first, and the ``DICTIONARY`` most frequent ones are kept.
+counted in the tasks first, and the ``DICTIONARY`` most frequent ones of 3 to 24 letters are
+kept, ties by the word.
 
 Cases: null and empty texts have no candidates; null paths count as empty; candidates that
-overlap are one, the named value first; a candidate may be as long as its text; repeated
+overlap are one, the named value first, but a quoted value with blanks and what is found
+inside are judged apart and the outer one replaces both; a candidate may be as long as its text; repeated
 rows each get a row; without documents the dictionary is empty and the forest still works.
 """
 
@@ -55,9 +59,11 @@ CONFIG_PATHS = re.compile(r"(?i)\.(?:env|ini|cfg|conf|ya?ml|toml|properties|pem|
 
 _NAME = "|".join(re.escape(n) for n in SECRET_NAMES.split())
 _NAMED = re.compile(
-    rf"(?i)(?<![a-z0-9])([a-z0-9_.-]{{0,40}}?(?:{_NAME})[a-z0-9_-]{{0,20}})[\"']?\s{{0,4}}(?:=>|:=|==?|:)\s{{0,4}}[\"'`]?"
-    r"([^\s\"'`,;<>()]{6,})"
+    rf"(?i)(?<![a-z0-9])([a-z0-9_.-]{{0,40}}?(?:{_NAME})[a-z0-9_-]{{0,20}})[\"']?\s*+(?:=>|:=|==?|:)\s*+"
+    r"(?:([\"'`])((?:\\.|(?!\2)[^\\\r\n])*+)\2|[\"'`]?([^\s\"'`]+))"
 )
+_BARE_END = re.compile(r"(?i)[,;&](?=[a-z0-9_.-]+[=:])|</?[a-z!]")  # of a value without quotes
+LEAST_VALUE = 6  # of values with a telling name
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
 _TOKEN_BYTES = np.zeros(256, bool)
 _TOKEN_BYTES[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-")] = True
@@ -66,6 +72,7 @@ _DIGIT[list(b"0123456789")] = 1
 _ALPHA = np.zeros(256, np.int64)
 _ALPHA[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = 1
 _UUID = re.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+_BLANK = re.compile(r"\s")
 _LETTERS = re.compile(r"[A-Za-z]+")
 _WORDS = re.compile(r"[A-Za-z][A-Za-z0-9]*")
 
@@ -77,9 +84,33 @@ class Candidate(NamedTuple):
     name: str
 
 
+def _named(text: str, start: int, end: int) -> Iterator[Candidate]:
+    """Values with a telling name; those inside a quoted text too (quotes nest a few times at most)."""
+
+    for m in _NAMED.finditer(text, start, end):
+        a, b = m.span(3) if m[2] else _bare(text, *m.span(4))
+        if b - a >= LEAST_VALUE:
+            yield Candidate(a, b, "named", m[1])
+        if m[2] and _BLANK.search(text, a, b):
+            yield from _named(text, a, b)
+
+
+def _bare(text: str, start: int, end: int) -> tuple[int, int]:
+    """A value without quotes, less what follows it and closing signs that nothing opened."""
+
+    cut = _BARE_END.search(text, start, end)
+    end = cut.start() if cut else end
+    spare = {c: text.count(c, start, end) - text.count(o, start, end) for o, c in ("()", "[]", "{}")}
+    while end > start and (text[end - 1] in ",;" or spare.get(text[end - 1], 0) > 0):
+        if text[end - 1] in spare:
+            spare[text[end - 1]] -= 1
+        end -= 1
+    return start, end
+
+
 def candidates(text: str) -> list[Candidate]:
-    found = [Candidate(m.start(2), m.end(2), "named", m[1]) for m in _NAMED.finditer(text)]
-    taken = [(c.start, c.end) for c in found]
+    found = list(_named(text, 0, len(text)))
+    taken = [(c.start, c.end) for c in found if not _BLANK.search(text, c.start, c.end)]
     k = 0
     for m in _TOKEN.finditer(text):
         value = m[0].strip(".=-")
@@ -184,6 +215,7 @@ def finding_features(text: str, c: Candidate, path: str, lexicon: Lexicon) -> li
         float(bool(TEST_PATHS.search(path))),
         float(bool(CONFIG_PATHS.search(path))),
         float(value.count(".") + value.count("/")) / n,
+        float(value.count(" ")) / n,
         float(text[max(0, c.start - 1) : c.start] in "/@." and c.start > 0 or text[c.end : c.end + 1] == "@"),
     ]
 
@@ -240,18 +272,22 @@ def _example(rng: np.random.Generator) -> tuple[str, str, int, int, int]:
     sign = str(rng.choice(["=", " = ", ": ", "=\"", " = \"", ": '"]))
     label = int(rng.integers(0, 2))
     if label:
-        shape = rng.integers(0, 8)
+        shape = rng.integers(0, 10)
         value = [
             lambda: pick(hexa, rng.integers(16, 65)), lambda: "AKIA" + pick(upper + digits, 16),
             lambda: "ghp_" + pick(mixed, 36), lambda: pick(mixed, rng.integers(12, 44)), lambda: "sk_live_" + pick(mixed, 24),
             lambda: "eyJ" + pick(mixed, 30) + "." + pick(mixed, 60) + "." + pick(mixed + "_-", 43),
             lambda: pick(mixed + "+/", 40), lambda: pick(mixed + "!@#%^&*", rng.integers(10, 24)),
+            lambda: pick(mixed + "!@#()[],;", rng.integers(8, 24)) + pick(digits, 1),
+            lambda: "".join(word() + pick(" ,;.-_!()", 1) for _ in range(rng.integers(2, 5))) + pick(digits, rng.integers(1, 4)),
         ][shape]()
+        if shape >= 8:  # such values are whole between quotes only
+            sign = str(rng.choice(["=\"", " = \"", ": '"]))
         bare = shape in (1, 2, 4, 5) and rng.random() < 0.7
         lead = "" if bare else f"{name}{sign}"
         path = str(rng.choice(["config/app.env", "src/main.py", "deploy/values.yaml", "settings.ini", "", "src7", "notes/log.txt"]))
     else:
-        shape = rng.integers(0, 12)
+        shape = rng.integers(0, 15)
         value, lead = [
             lambda: ("-".join(pick(hexa, k) for k in (8, 4, 4, 4, 12)), "id "), lambda: (pick(hexa, 40), "commit "),
             lambda: (pick(hexa, 64), str(rng.choice(["sha256:", "checksum ", "digest "]))), lambda: (pick(hexa, 32), "md5 "),
@@ -261,9 +297,13 @@ def _example(rng: np.random.Generator) -> tuple[str, str, int, int, int]:
             lambda: ("/".join(word() for _ in range(5)) + f"/v{pick(digits, 2)}/index.html", ""),
             lambda: ("mail" + pick(digits, 1) + ".example.com", f"{word()}.{pick(digits, 2)}@"),
             lambda: ("x" * int(rng.integers(8, 20)) + pick(digits, 2), f"{name}{sign}"),
+            lambda: (" ".join(word() for _ in range(rng.integers(3, 9))), f"{name}: \""),
+            lambda: (pick(upper, 1) + pick("-_.", 1).join(pick(digits, rng.integers(2, 5)) for _ in range(rng.integers(5, 8))), ""),
+            lambda: (pick("-_.", 1).join([word() + word(), pick(digits, rng.integers(1, 9)), word() + word(), word()]), ""),
         ][shape]()
         path = str(rng.choice(["tests/test_auth.py", "docs/usage.md", "src/main.py", "examples/conf.yaml", "", "src7", "README.md"]))
-    text = f"{before} {lead}{value} {after}".lstrip()
+    closing = lead[-1:] if lead[-1:] in "\"'" else ""
+    text = f"{before} {lead}{value}{closing} {after}".lstrip()
     start = text.index(lead + value) + len(lead)
     return text, path, start, start + len(value), label
 
@@ -287,8 +327,10 @@ def learn_lexicon(texts: DataFrame, most: int = DICTIONARY) -> Lexicon:
         for batch in batches:
             for _, data, offsets in slices(batch.column(0)):
                 words = words_of(data, offsets, hasher)
-                keys, at, count = np.unique(words.hash, return_index=True, return_counts=True)
-                for key, i, c in zip(keys.tolist(), at.tolist(), count.tolist()):
+                size = words.end - words.start
+                fit = np.flatnonzero((size >= 3) & (size <= 24))
+                keys, at, count = np.unique(words.hash[fit], return_index=True, return_counts=True)
+                for key, i, c in zip(keys.tolist(), fit[at].tolist(), count.tolist()):
                     if key not in held:
                         held[key] = words.low[words.start[i] : words.end[i]].tobytes()
                     n[key] += c
@@ -300,18 +342,21 @@ def learn_lexicon(texts: DataFrame, most: int = DICTIONARY) -> Lexicon:
     counted = materialise(
         texts.mapInArrow(work, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "secret-words"
     )
-    # Words fall into a few hundred classes of frequency; the highest ones that together
-    # hold at most ``most`` words are kept, so only those reach the driver.
+    # Words fall into a few hundred classes of frequency: the highest ones that fit are taken
+    # whole, and of the next one its first words, so only ``most`` words reach the driver.
     level = F.floor(F.log2("n") * 16)
     sizes = counted.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect()
-    held, least = 0, None
+    words: dict[str, int] = {}
+    room, above = most, None
     for row in sorted(sizes, key=lambda r: -r["level"]):
-        held += row["words"]
-        if held > most:
+        if row["words"] > room:
+            edge = counted.filter(level == row["level"]).orderBy(F.desc("n"), "word").limit(room)
+            words = {r["word"]: r["n"] for r in edge.collect()}
             break
-        least = row["level"]
-    kept = counted.filter(F.lit(False) if least is None else level >= least)
-    return Lexicon({r["word"]: r["n"] for r in kept.orderBy("word").collect()})
+        room, above = room - row["words"], row["level"]
+    if above is not None:
+        words.update((r["word"], r["n"]) for r in counted.filter(level >= above).collect())
+    return Lexicon(dict(sorted(words.items())))
 
 
 def _word_rows(held: dict[int, bytes], n: Counter) -> pa.RecordBatch:
@@ -332,6 +377,15 @@ class SecretModel(NamedTuple):
         x = np.array([finding_features(text, c, path, self.lexicon) for c in found])
         return list(zip(found, self.forest.score(x).tolist()))
 
+    def secrets(self, findings: list[tuple[Candidate, float]], least: float) -> list[tuple[Candidate, float]]:
+        """Findings of at least that score, without those inside another one."""
+
+        out: list[tuple[Candidate, float]] = []
+        for c, score in sorted(findings, key=lambda f: (f[0].start, -f[0].end)):
+            if score >= least and not (out and c.start < out[-1][0].end):
+                out.append((c, score))
+        return out
+
 
 def train(docs: DataFrame, findings: DataFrame | None = None) -> SecretModel:
     """Dictionary of all documents and a forest of the labelled findings.
@@ -395,7 +449,7 @@ def scan(docs: DataFrame, model: SecretModel, path_col: str | None = "source", l
         for batch in batches:
             counts, kept, digests = [], [], []
             for _, text, findings in _found(batch, 1, 2 if path_col else None, model):
-                secrets = [(c, s) for c, s in findings if s >= least]
+                secrets = model.secrets(findings, least)
                 counts.append(len(findings))
                 kept.append([{"start": c.start, "end": c.end, "kind": c.kind, "score": s} for c, s in secrets])
                 digests.append(hashlib.sha256(_redacted(text, [c for c, _ in secrets]).encode()).hexdigest())
@@ -418,7 +472,7 @@ def redact(docs: DataFrame, model: SecretModel, path_col: str | None = "source",
         for batch in batches:
             texts, changed = batch.column(text_at).to_pylist(), {}
             for row, text, findings in _found(batch, text_at, path_at, model):
-                secrets = [c for c, s in findings if s >= least]
+                secrets = [c for c, _ in model.secrets(findings, least)]
                 if secrets:
                     texts[row] = changed[row] = _redacted(text, secrets)
             columns = list(batch.columns)
