@@ -13,12 +13,13 @@ U+241B ``1``, and a line break in a role U+241B ``2``.
 Cases: null texts and roles are empty, null turns come first, rows equal in turn are
 ordered by role and text and all kept, null ids form one conversation, an empty table
 gives no rows. A conversation is one output text, so it meets in one task by nature;
-copying turn texts is linear in a conversation's length.
+formatting and reading back are linear in its length, but for sorting: places are running
+sums over turns, and a span names the marker before it, so no text is read from its start.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ESC = "␛"
@@ -45,8 +46,9 @@ def _unescape_role(role: Column) -> Column:
 def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """(conv_id, formatted, loss_spans): one row per conversation.
 
-    ``loss_spans`` lists (start, length) in code points of ``formatted``, from 0: each
-    text of ``loss_role`` by itself, without markers or separators.
+    ``loss_spans`` lists (start, length, marker): each text of ``loss_role`` by itself,
+    without markers or separators, in code points of ``formatted``, from 0, and the number
+    of the marker (start, part or end) that it follows, from 0.
     """
 
     turn = F.struct(
@@ -65,36 +67,39 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     merged = with_starts.select(
         "conv_id",
         F.expr(
-            "transform(sequence(0, size(starts) - 2), k -> struct(turns[starts[k]].role as role,"
-            " transform(slice(turns, starts[k] + 1, starts[k + 1] - starts[k]), t -> t.text) as texts))"
+            "transform(sequence(0, size(starts) - 2), k -> struct(turns[starts[k]].role as role, starts[k] as first,"
+            " starts[k + 1] - 1 as last, transform(sequence(starts[k], starts[k + 1] - 1), i -> turns[i].text) as texts))"
         ).alias("runs"),
     )
-    # Pieces in order; those that carry the loss are marked.
+    # One piece per text; the markers before it are one per text and one per closed run.
     pieces = F.flatten(
         F.transform(
             "runs",
-            lambda run: F.concat(
-                F.array(F.struct(
-                    F.concat(F.lit(START), _escape_role(run["role"]), F.lit("\n")).alias("piece"),
-                    F.lit(False).alias("loss"),
-                )),
-                F.flatten(F.transform(run["texts"], lambda text, i: F.array(
-                    F.struct(F.when(i > 0, F.lit(PART)).otherwise(F.lit("")).alias("piece"), F.lit(False).alias("loss")),
-                    F.struct(_escape(text).alias("piece"), (run["role"] == loss_role).alias("loss")),
-                ))),
-                F.array(F.struct(F.lit(END).alias("piece"), F.lit(False).alias("loss"))),
-            ),
+            lambda run, k: F.transform(run["texts"], lambda text, i: F.struct(
+                F.when(i == 0, F.concat(F.lit(START), _escape_role(run["role"]), F.lit("\n"))).otherwise(F.lit(PART)).alias("head"),
+                _escape(text).alias("body"),
+                F.when(run["first"] + i == run["last"], F.lit(END)).otherwise(F.lit("")).alias("tail"),
+                (run["role"] == loss_role).alias("loss"),
+                (run["first"] + i + k).cast("long").alias("marker"),
+            )),
         )
     )
-    with_pieces = merged.select("conv_id", pieces.alias("pieces"))
-    return with_pieces.select(
+    # The running place of every piece: partitioned as the turns are, so nothing is shuffled.
+    rows = merged.select("conv_id", F.posexplode(pieces).alias("at", "piece")).select("conv_id", "at", "piece.*")
+    piece = F.concat("head", "body", "tail")
+    end = F.sum(F.length(piece).cast("long")).over(
+        Window.partitionBy("conv_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    start = end - F.length("tail") - F.length("body")
+    placed = rows.select("conv_id", F.struct(
+        "at", piece.alias("piece"), "loss", start.alias("start"), F.length("body").cast("long").alias("length"), "marker"
+    ).alias("piece"))
+    joined = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    return joined.select(
         "conv_id",
         F.concat_ws("", F.transform("pieces", lambda p: p["piece"])).alias("formatted"),
-        F.expr(
-            "aggregate(pieces, struct(0L as at, cast(array() as array<struct<start: bigint, length: bigint>>) as spans),"
-            " (acc, p) -> struct(acc.at + length(p.piece) as at,"
-            " case when p.loss then concat(acc.spans, array(struct(acc.at as start, cast(length(p.piece) as bigint) as length)))"
-            " else acc.spans end as spans)).spans"
+        F.transform(
+            F.filter("pieces", lambda p: p["loss"]), lambda p: F.struct(p["start"], p["length"], p["marker"])
         ).alias("loss_spans"),
     )
 
@@ -113,14 +118,16 @@ def read_chats(formatted: DataFrame) -> DataFrame:
             F.split(body, r"<\|im_part\|>", -1), lambda t: F.struct(role.alias("role"), _unescape(t).alias("text"))
         )
 
+    # A text ends where the next marker begins. The split text is bound once, not per span.
+    parts = F.split("formatted", r"(?=<\|im_(?:start|part|end)\|>)", -1)
+    loss_texts = F.flatten(F.transform(F.array(parts), lambda part: F.transform(
+        "loss_spans", lambda s: _unescape(F.right(F.get(part, s["marker"].cast("int")), s["length"].cast("int")))
+    )))
     blocks = F.slice(F.split("formatted", r"<\|im_start\|>", -1), 2, 1 << 30)
     return formatted.select(
         "conv_id",
         F.flatten(F.transform(blocks, turns_of)).alias("turns"),
-        F.transform(
-            "loss_spans",
-            lambda s: _unescape(F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))),
-        ).alias("loss_texts"),
+        loss_texts.alias("loss_texts"),
         "formatted",
     )
 

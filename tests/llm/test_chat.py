@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from sonoledger.llm.chat import chat_digests, format_chats, read_chats, with_synthetic
 
@@ -46,6 +47,22 @@ def test_long_conversation_and_texts(spark):
     assert got == expected(rows)
 
 
+def test_conversation_of_many_turns(spark):
+    roles = ["user", "assistant", "assistant", "tool", "user"]
+    rows = [(5, i, roles[i % 5] if i < 20_000 else "assistant", f"é{i}<|", "") for i in range(40_000)]
+    began = time.monotonic()
+    row = chat_digests(spark.createDataFrame(rows, SCHEMA)).first()
+    assert time.monotonic() - began < 30
+    assert {row[0]: tuple(row)[1:5]} == expected(rows)
+
+
+def test_spans_point_into_the_text(spark):
+    for row in format_chats(spark.createDataFrame(ROWS, SCHEMA)).collect():
+        said = [(t or "") for c, _, role, t, _ in ROWS if c == row.conv_id and role == "assistant"]
+        spans = [row.formatted[s.start : s.start + s.length].replace("␛1", "<|").replace("␛0", "␛") for s in row.loss_spans]
+        assert sorted(spans) == sorted(said)
+
+
 def test_synthetic_and_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert chat_digests(empty).collect() == []
