@@ -7,6 +7,7 @@ import json
 import shlex
 import socket
 import subprocess
+import tempfile
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sonoledger.schemas import DEVICE_METRICS, JOB_RESULTS, MANIFEST
+from sonoledger.sources import _files
 from sonoledger.sources.labels import LABEL_FILE_NAME
 
 # A detector takes one manifest row and returns its detections, or a :class:`Found`.
@@ -123,7 +125,7 @@ class ScoreOptions:
         if self.batch_size < 1:
             raise ValueError("batch_size must be positive")
         if self.command is not None and self.output_dir is None:
-            raise ValueError("a command needs a shared output_dir")
+            raise ValueError("a command needs an output_dir that all executors reach")
         if self.max_retries < 0 or self.backoff_limit_s < 0:
             raise ValueError("max_retries and backoff_limit_s cannot be negative")
         if not all(isinstance(a, str) for a in self.extra_args):
@@ -160,25 +162,45 @@ class ScoreOptions:
         )
 
 
+def _attempt_folder(output_dir: str) -> tempfile.TemporaryDirectory:
+    """A folder that one attempt writes to and that goes with it.
+
+    It lies in ``output_dir`` where that is mounted. A command can only write to mounted folders,
+    so for other filesystems it is the executor's own scratch, held for the one call.
+    """
+
+    if "://" in output_dir and not output_dir.startswith("file://"):
+        return tempfile.TemporaryDirectory()
+    base = Path(output_dir.removeprefix("file://").removeprefix("file:"))
+    base.mkdir(parents=True, exist_ok=True)
+    return tempfile.TemporaryDirectory(prefix=".attempt-", dir=base)
+
+
 def command_detector(
     command: str, output_dir: str, extra_args: Sequence[str] = ()
 ) -> Detector:
     """A detector that runs ``command --input X --output Y`` per window.
 
-    Y lies in ``output_dir``, a folder mounted on every executor, one JSON file per
-    window. If the command writes an object there its ``detections`` are taken; an exit
+    Y is a file of the attempt. If the command succeeds and writes Y, it is moved whole to
+    ``output_dir``/recording/window.json, on any filesystem Arrow knows, so a lost or failed
+    attempt leaves no half file. If Y holds an object its ``detections`` are taken; an exit
     code other than zero counts as a failed attempt.
     """
 
     base = [*shlex.split(command), *extra_args]
 
     def detect(job: dict[str, Any]) -> Sequence[dict[str, Any]]:
-        target = Path(output_dir) / str(job["recording_id"]) / f"{job['chunk_id']}.json"
-        target.parent.mkdir(parents=True, exist_ok=True)
-        target.unlink(missing_ok=True)
-        stdout = _run([*base, "--input", str(job["source_path"]), "--output", str(target)])
-        rows = json.loads(target.read_text()).get("detections") or [] if target.exists() else []
-        return Found(rows, None, str(target), stdout)
+        target = f"{output_dir.rstrip('/')}/{job['recording_id']}/{job['chunk_id']}.json"
+        with _attempt_folder(output_dir) as scratch:
+            draft = Path(scratch) / f"{job['chunk_id']}.json"
+            stdout = _run([*base, "--input", str(job["source_path"]), "--output", str(draft)])
+            if not draft.exists():
+                _files.remove(target)  # of an earlier run
+                return Found([], None, target, stdout)
+            rows = json.loads(draft.read_text()).get("detections") or []
+            with draft.open("rb") as content:
+                _files.publish(target, content)
+        return Found(rows, None, target, stdout)
 
     return detect
 
@@ -197,22 +219,32 @@ def label_file_detector(
     """A detector that runs ``command -i X -o FOLDER`` and leaves ``label_file`` there.
 
     Rows of the window's own file name, and rows without one, are its detections. The
-    status is ``ok``, ``no_detections`` (a file without such rows) or ``no_output``.
+    status is ``ok``, ``no_detections`` (a file without such rows) or ``no_output``. FOLDER
+    belongs to the attempt; what a successful one leaves there is moved file by file to a
+    folder of the window in ``output_dir``, on any filesystem Arrow knows, ``label_file`` last.
     """
 
     base = [*shlex.split(command), *extra_args]
 
     def detect(job: dict[str, Any]) -> Found:
-        folder = Path(output_dir) / str(job["recording_id"]) / f"{job['chunk_id']}{RAW_OUTPUT_SUFFIX}"
-        folder.mkdir(parents=True, exist_ok=True)
-        (folder / label_file).unlink(missing_ok=True)
-        stdout = _run([*base, "-i", str(job["source_path"]), "-o", str(folder)])
-        if not (folder / label_file).exists():
-            return Found([], "no_output", str(folder), stdout)
+        target = f"{output_dir.rstrip('/')}/{job['recording_id']}/{job['chunk_id']}{RAW_OUTPUT_SUFFIX}"
         name = Path(str(job["source_path"])).name
-        with (folder / label_file).open(newline="") as lines:
-            rows = [r for r in csv.DictReader(lines) if Path(r.get("filename") or "").name in ("", name)]
-        return Found([_label_row(r) for r in rows], "ok" if rows else "no_detections", str(folder), stdout)
+        with _attempt_folder(output_dir) as scratch:
+            folder = Path(scratch)
+            stdout = _run([*base, "-i", str(job["source_path"]), "-o", str(folder)])
+            labels = folder / label_file
+            rows, status = [], "no_output"
+            if labels.exists():
+                with labels.open(newline="") as lines:
+                    rows = [r for r in csv.DictReader(lines) if Path(r.get("filename") or "").name in ("", name)]
+                status = "ok" if rows else "no_detections"
+            else:
+                _files.remove(f"{target}/{label_file}")  # of an earlier run
+            left = sorted(f for f in folder.rglob("*") if f.is_file())
+            for file in sorted(left, key=lambda f: f == labels):
+                with file.open("rb") as content:
+                    _files.publish(f"{target}/{file.relative_to(folder).as_posix()}", content)
+        return Found([_label_row(r) for r in rows], status, target, stdout)
 
     return detect
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import shutil
 import uuid
+from typing import BinaryIO
 
 
 def filesystem_of(path: str):
@@ -44,11 +47,19 @@ def read_bytes(path: str) -> bytes:
         return source.read()
 
 
-def publish(path: str, content: bytes) -> None:
+def remove(path: str) -> None:
+    """Delete a file that may not be there."""
+
+    if exists(path):
+        system, inner = filesystem_of(path)
+        system.delete_file(inner)
+
+
+def publish(path: str, content: bytes | BinaryIO) -> None:
     """Write a whole file under another name first, then move it to ``path``.
 
     Readers see the old file or the new one. Where a filesystem cannot move onto a file, the old
-    one is removed just before.
+    one is removed just before. A stream is copied piece by piece.
     """
 
     system, inner = filesystem_of(path)
@@ -56,10 +67,9 @@ def publish(path: str, content: bytes) -> None:
     system.create_dir(folder, recursive=True)
     draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
     with system.open_output_stream(draft, compression=None) as out:
-        out.write(content)
+        shutil.copyfileobj(io.BytesIO(content) if isinstance(content, bytes) else content, out, 1 << 20)
     try:
         system.move(draft, inner)
     except OSError:
         system.delete_file(inner)
         system.move(draft, inner)
-

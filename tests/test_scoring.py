@@ -1,9 +1,11 @@
+import json
 import stat
 import sys
 import wave
 from dataclasses import replace
 
 import pytest
+from pyarrow import fs
 from pyspark import cloudpickle
 
 from sonoledger.operators import score as S
@@ -11,6 +13,7 @@ from sonoledger.operators.ingest import enrich_payloads, explode_detections
 from sonoledger.operators.telemetry import worker_totals
 from sonoledger.plans.dataset_run import Layout, cut_dataset, dataset_manifest, run_dataset, score_dataset
 from sonoledger.schemas import MANIFEST
+from sonoledger.sources import _files
 from sonoledger.sources.runs import read_job_results
 from sonoledger.sources.status import latest_status, read_status
 from sonoledger.sources.telemetry import read_telemetry
@@ -187,6 +190,62 @@ def test_detector_that_leaves_a_label_file(spark, tmp_path):
     assert done.runner == "hawkears" and done.output.endswith("c1_hawkears") and done.stdout == "working\n"
 
 
+@pytest.fixture
+def store(tmp_path, monkeypatch):
+    """A filesystem that is reached by a URI scheme only."""
+
+    (tmp_path / "store").mkdir()
+    system = fs.SubTreeFileSystem(str(tmp_path / "store"), fs.LocalFileSystem())
+    monkeypatch.setattr(_files, "filesystem_of", lambda path: (system, path.removeprefix("store://")))
+    return tmp_path / "store"
+
+
+def tool_of(tmp_path, text):
+    tool = tmp_path / "tool.sh"
+    tool.write_text("#!/bin/sh\n" + text)
+    tool.chmod(tool.stat().st_mode | stat.S_IXUSR)
+    return str(tool)
+
+
+def test_command_output_on_another_filesystem(store, tmp_path):
+    tool = tool_of(tmp_path, 'case "$2" in *bad*) echo half > "$4"; exit 2;; *none*) exit 0;; esac\n'
+                             'echo \'{"detections": [{"label": "Z"}]}\' > "$4"\n')
+    detect = S.command_detector(tool, "store://out/")
+    job = {"recording_id": "r 1", "chunk_id": "c1", "source_path": "/a/c1.wav"}
+    found = detect(job)
+    assert found.output == "store://out/r 1/c1.json" and found.detections == [{"label": "Z"}]
+    assert json.loads((store / "out/r 1/c1.json").read_text()) == {"detections": [{"label": "Z"}]}
+    # A failed attempt leaves what was there; one without output takes the old file away.
+    with pytest.raises(S.DetectorFailed):
+        detect({**job, "source_path": "/a/bad.wav"})
+    assert [f.name for f in store.rglob("*") if f.is_file()] == ["c1.json"] and "Z" in (store / "out/r 1/c1.json").read_text()
+    assert detect({**job, "source_path": "/a/none.wav"}).detections == []
+    assert not [f for f in store.rglob("*") if f.is_file()]
+
+
+def test_label_files_on_another_filesystem(store, tmp_path):
+    tool = tool_of(tmp_path, 'case "$2" in *none*) exit 0;; esac\nmkdir "$4/more"; echo x > "$4/more/log.txt"\n'
+                             'printf "filename,class_code,score\\n,RUGR,0.5\\n" > "$4/HawkEars_labels.csv"\n')
+    detect = S.label_file_detector(tool, "store://out")
+    job = {"recording_id": "r1", "chunk_id": "c1", "source_path": "/a/c1.wav"}
+    found = detect(job)
+    assert (found.status, found.output, found.detections[0]["label"]) == ("ok", "store://out/r1/c1_hawkears", "RUGR")
+    folder = store / "out/r1/c1_hawkears"
+    assert sorted(f.name for f in folder.rglob("*") if f.is_file()) == ["HawkEars_labels.csv", "log.txt"]
+    assert detect({**job, "source_path": "/a/none.wav"}).status == "no_output"
+    assert not (folder / "HawkEars_labels.csv").exists()
+
+
+def test_attempts_in_a_mounted_folder_leave_nothing_behind(tmp_path):
+    tool = tool_of(tmp_path, 'echo "{}" > "$4"; [ "$2" != bad ]\n')
+    detect = S.command_detector(tool, f"file://{tmp_path}/out")
+    with pytest.raises(S.DetectorFailed):
+        detect({"recording_id": "r1", "chunk_id": "c1", "source_path": "bad"})
+    detect({"recording_id": "r1", "chunk_id": "c2", "source_path": "good"})
+    assert [str(f.relative_to(tmp_path)) for f in (tmp_path / "out").rglob("*") if f.is_file()] == ["out/r1/c2.json"]
+    assert [f.name for f in (tmp_path / "out").iterdir()] == ["r1"]
+
+
 def put_wav(path, seconds, rate=100):
     path.parent.mkdir(parents=True, exist_ok=True)
     with wave.open(str(path), "wb") as out:
