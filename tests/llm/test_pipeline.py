@@ -8,7 +8,7 @@ from tests.llm.test_near_dup import brute_classes
 
 def test_registered():
     names = [q for q in entry.queries() if q.startswith("op") and q[2].isdigit()]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
