@@ -1,9 +1,14 @@
 import html
+import random
 import re
-
-from sonoledger.llm.page_text import PageWeights, example_pages, extract_pages, learn_weights, main_text, page_counts, tokens
+import time
 from collections import Counter
 
+import pytest
+from sonoledger.llm.page_text import (
+    PageWeights, best_region, example_pages, extract_pages, learn_weights, main_text, page_counts, tokens,
+)
+
 
 def written_weights():
     counts = Counter()
@@ -29,6 +34,64 @@ def test_furniture_goes():
             assert main_text(page, WEIGHTS) == want, page
 
 
+def test_prose_stays_whatever_it_is_called():
+    for part in (
+        "<section id='search-engines'><h2>Kept</h2><p>words</p></section>", "<p id='login'>Kept words</p>",
+        "<p class='alert-text'>Kept words</p>", "<h2 id='discussion'>Kept</h2>", "<blockquote class='social-quote'>Kept</blockquote>",
+        "<section id='discussion'><p>Kept words</p></section>", "<p>Kept <a href='#'>and linked</a></p>",
+        "<table><tr><td>Kept</td><td></td><td></td></tr></table>",
+    ):
+        for page in (f"<article>{BODY}{part}{BODY}</article>", f"<div class='content'>{BODY}{part}{BODY}</div>"):
+            text = main_text(page, WEIGHTS)
+            assert "Kept" in text and text.startswith(TEXT) and text.endswith(TEXT), page
+
+
+def test_what_follows_a_marked_article_goes():
+    remark = "<p>" + "I do not agree at all " * 20 + "</p>"
+    parts = (
+        f"<div class='rdr'>{remark * 4}</div>", "<div class='more'><h3>Read next</h3><a href='#'>One</a><a href='#'>Two</a></div>",
+        f"<article class='x'>{remark}</article>",
+    )
+    for part in parts[:2]:
+        assert main_text(f"<article>{BODY}</article>{part}", WEIGHTS) == TEXT
+        assert main_text(f"{part}<main>{BODY}</main>{part}", WEIGHTS) == TEXT
+    # An article in an article is a remark; cards beside the main text are not the page.
+    assert main_text(f"<article>{BODY}{parts[2]}{BODY}</article>", WEIGHTS) == f"{TEXT}\n\n{TEXT}"
+    card = "<article><p>card</p></article>"
+    assert TEXT in main_text(f"<div>{BODY * 5}</div>{card}{card}", WEIGHTS)
+
+
+def test_names_of_containers():
+    remark = "<p>" + "a long remark " * 20 + "</p>"
+    for name in ("related-posts", "comment-body", "comments-area", "ad-slot", "topNav", "newsletter-form", "sidebar-inner"):
+        part = f"<div class='{name}'>{remark}</div>"
+        for page in (f"<article>{BODY}{part}{BODY}</article>", f"<div>{BODY}{part}{BODY}</div>"):
+            assert main_text(page, WEIGHTS) == f"{TEXT}\n\n{TEXT}", page
+
+
+def test_form_around_the_page():
+    page = f"<form action='#'><div id='nav'><a href='#'>Home</a></div>{BODY}{BODY}<form><p>Your name</p></form></form>"
+    assert TEXT in main_text(page, WEIGHTS)
+    assert "Your name" not in main_text(f"<div>{BODY}<form><p>Your name</p></form></div>", WEIGHTS)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_region_is_the_best_of_all(seed):
+    draw = random.Random(seed)
+    scores = [draw.choice([-2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 3.0]) for _ in range(draw.randrange(30))]
+    first, last = best_region(scores)
+    sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+    assert sum(scores[first : last + 1]) == max([0.0, *sums])
+
+
+def test_time_is_linear_in_nesting():
+    n = 50_000
+    began = time.monotonic()
+    assert main_text("<article>" + "<div class='x'>" * n + "deep words" + "</div>" * n + "</article>", WEIGHTS) == "deep words"
+    assert main_text("<b class='x'>" * n + "</p></i></div>" * n + "words", WEIGHTS) == "words"
+    assert time.monotonic() - began < 60  # the square of this depth takes many minutes
+
+
 def test_headers():
     assert main_text(f"<header>Site name here</header><div>{BODY}</div>", WEIGHTS) == TEXT
     # An article's own header holds its title.
@@ -65,6 +128,15 @@ def test_whole_table_against_the_known_layout(spark, table):
         assert got[row.page_id].n_chars == len(want)
 
 
+def test_copies_of_one_page_count_once_in_the_sample(spark):
+    page = f"<body><div class='zig'>{BODY}</div><article>{BODY}</article></body>"
+    other = f"<body><div class='zag'>{BODY}</div><article>{BODY} more</article></body>"
+    schema = "page_id long, url string, html string"
+    few = learn_weights(spark.createDataFrame([(1, "", page), (2, "", other)], schema))
+    many = learn_weights(spark.createDataFrame([(i, "", page) for i in range(300)] + [(300, "", other)], schema))
+    assert few.odds == many.odds and few.odds["class:zig"] < -1.5
+
+
 def test_empty_table_and_null_rows(spark):
     schema = "page_id long, url string, html string, text int, n_chars string"
     empty = spark.createDataFrame([], schema)
