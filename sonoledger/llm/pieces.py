@@ -4,7 +4,9 @@ No piece of the model has a white-space marker after another character, so merge
 never cross the start of a run of markers: a text falls into chunks (markers, then
 other characters) that are segmented independently. Each task keeps a table of the
 distinct chunks it met; the library segments a chunk once, and the ids of a text are
-joined from the table by position. A full table is begun anew, so memory is bounded.
+joined from the table by position. A table of ``TABLE_BYTES`` is begun anew and no chunk
+above ``LONG_CHUNK`` characters is kept, so memory is bounded by the table, a slice of
+texts and the longest text. A model with pieces across markers is refused.
 
 Cases: null and empty texts have no ids and decode to the empty text; a text without
 white space is one chunk and goes to the library as it is.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections.abc import Iterator
 from itertools import chain
 
@@ -23,7 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructType
 
 MARK = "▁"
-TABLE_CHUNKS = 400_000
+TABLE_BYTES = 64 << 20
+ENTRY_BYTES = 120  # of a chunk besides its text: its place in the table, its row and offset
+LONG_CHUNK = 200
 SLICE_CHARS = 1 << 20
 
 
@@ -32,23 +37,49 @@ def crossing_pieces(model: str) -> list[str]:
 
     import sentencepiece
 
-    held = sentencepiece.SentencePieceProcessor(model_file=model)
+    return _crossing(sentencepiece.SentencePieceProcessor(model_file=model))
+
+
+def _crossing(held) -> list[str]:
     return [p for p in map(held.id_to_piece, range(held.get_piece_size())) if re.search(f"[^{MARK}]{MARK}", p)]
 
 
 class _Rows(dict):
-    """Chunk to row of the table; a new chunk gets the next row and waits to be segmented."""
+    """Chunk to row of the table; a new chunk gets the next row and waits to be segmented.
+    A long one gets a row too, but no entry."""
 
     def __init__(self) -> None:
         super().__init__()
         self.waiting: list[str] = []
+        self.rows = 0
+        self.bytes = 0
 
     def __missing__(self, chunk: str) -> int:
-        row = self[chunk] = len(self)
+        row = self.rows
+        self.rows += 1
         self.waiting.append(chunk)
+        if len(chunk) <= LONG_CHUNK:
+            self[chunk] = row
+            self.bytes += sys.getsizeof(chunk) + ENTRY_BYTES
         return row
 
 
+class _Array:
+    """An array that grows at its end, by doubling."""
+
+    def __init__(self, kind: type) -> None:
+        self.held, self.used = np.zeros(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        need = self.used + len(values)
+        if need > len(self.held):
+            grown = np.zeros(max(need, 2 * len(self.held)), self.held.dtype)
+            grown[: self.used] = self.held[: self.used]
+            self.held = grown
+        self.held[self.used : need] = values
+        self.used = need
+
+
 def _chunks(text: str) -> list[str]:
     """Chunks without the first marker of each: the library puts that one in front."""
 
@@ -67,17 +98,22 @@ def _gather(flat: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray
 class ChunkEncoder:
     """Exact encoder of one task. The model must add a dummy prefix and keep white space."""
 
-    def __init__(self, model: str, table_chunks: int = TABLE_CHUNKS) -> None:
+    def __init__(self, model: str, table_bytes: int = TABLE_BYTES) -> None:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.most = table_chunks
+        if crossing := _crossing(self.model):
+            raise ValueError(f"pieces with a marker after another character: {crossing[:5]}")
+        self.most = table_bytes
         self._begin()
 
     def _begin(self) -> None:
         self.rows = _Rows()
-        self.ids = np.zeros(0, np.int32)
-        self.at = np.zeros(1, np.int64)
+        self.ids, self.at = _Array(np.int32), _Array(np.int64)
+        self.at.add(np.zeros(1, np.int64))
+
+    def held_bytes(self) -> int:
+        return self.rows.bytes + self.ids.held.nbytes + self.at.held.nbytes
 
     def _segment(self) -> None:
         waiting, self.rows.waiting = self.rows.waiting, []
@@ -88,19 +124,20 @@ class ChunkEncoder:
             lists[waiting.index("")] = [self.model.piece_to_id(MARK)]
         ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
         fresh = np.fromiter(chain.from_iterable(lists), np.int32, int(ends[-1]))
-        self.ids = np.concatenate([self.ids, fresh])
-        self.at = np.concatenate([self.at, self.at[-1] + ends])
+        self.at.add(self.ids.used + ends)
+        self.ids.add(fresh)
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; give texts of about ``SLICE_CHARS`` characters at a time."""
 
-        if len(self.rows) > self.most:
+        if self.held_bytes() > self.most:
             self._begin()
         found = [np.array(list(map(self.rows.__getitem__, _chunks(t))) if t else [], np.int64) for t in texts]
         self._segment()
         rows = np.concatenate([*found, np.zeros(0, np.int64)])
-        lengths = self.at[rows + 1] - self.at[rows]
-        every = _gather(self.ids, self.at[rows], lengths)
+        at = self.at.held
+        lengths = at[rows + 1] - at[rows]
+        every = _gather(self.ids.held, at[rows], lengths)
         bounds = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, found)])]
         return [every[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
