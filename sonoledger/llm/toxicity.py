@@ -465,7 +465,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxic
     """Character model over all ``docs``; word shares on labelled ones that are not held out.
 
     The classifier sees about ``max_rows`` texts of each label at most, chosen by a hash of
-    the id and weighted by the true sizes of the labels; equal texts count once.
+    the id, and about twice as many of its rows where ids repeat (chosen by id and place), so
+    that one id under many rows doesn't reach the fit whole. Weights bring back the true sizes
+    of the labels; equal texts count once.
     """
 
     characters = character_model(character_counts(docs.select("text")))
@@ -478,11 +480,16 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxic
         return ToxicityModel(characters, np.zeros(0, np.int64), np.zeros(0), 0.99 if 1 in sizes else 0.0)
     # Each label up to its own bound; weights bring back the true shares.
     share = {label: min(1.0, max_rows / n) for label, n in sizes.items()}
-    weights = (1 / share[0], 1 / share[1])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     # At most about 2 x max_rows pairs of numbers: small enough to send to every task.
     chosen = F.broadcast(usable.filter(place < F.when(F.col("label") == 1, share[1]).otherwise(share[0])))
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").select("label", "text")
+    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("at"))
+    found = placed.join(chosen, "doc_id")
+    rows = {r["label"]: r["n"] for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    of_rows = {label: min(1.0, 2 * max_rows / max(rows.get(label, 0), 1)) for label in sizes}
+    weights = (1 / share[0] / of_rows[0], 1 / share[1] / of_rows[1])
+    row_place = F.pmod(F.xxhash64("doc_id", "at"), F.lit(1 << 30)) / float(1 << 30)
+    sample = found.filter(row_place < F.when(F.col("label") == 1, of_rows[1]).otherwise(of_rows[0])).select("label", "text")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder, hasher = Decoder(characters), Hasher()

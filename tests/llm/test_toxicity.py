@@ -193,3 +193,20 @@ def test_each_label_has_its_own_bound(spark, make_docs):
     got = score_documents(docs, model).collect()
     assert all(r.predicted == int(r.doc_id % 40 == 0) for r in got)
     assert model.base < 0.02
+
+
+def test_one_id_under_many_rows(spark, make_docs):
+    """One id has nine tenths of all rows, and the fit takes about twice its bound of rows."""
+
+    rng = np.random.default_rng(3)
+    plain = "the river runs under an old stone bridge where children play and fish all day long".split()
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 3 == 0
+        rows.append((i, " ".join([*rng.choice(plain, 12), f"u{i}", *(["scumbag"] if bad else [])])))
+        labels.append((i, 0, int(bad), 0.0))
+    rows += [(1, " ".join([*rng.choice(plain, 12), f"hot{k}"])) for k in range(6000)]
+    docs = make_docs(rows)
+    model = train(docs, spark.createDataFrame(labels, LABELS), max_rows=700)
+    got = score_documents(docs, model).collect()
+    assert all(r.predicted == int(r.doc_id != 1 and r.doc_id % 3 == 0) for r in got)
