@@ -58,6 +58,7 @@ MAX_RETRIES = 2
 BACKOFF_LIMIT_S = 5
 STUB, CUSTOM = "stub", "custom"
 FILES_PER_RECORDING = 4
+PAYLOADS_PER_FILE = 100_000
 DETECTOR_TABLE = "hawkears"  # of a run configuration, holding the detector's extra_args
 DETECTOR = "hawkears"  # runner name of a detector that leaves a label file
 RAW_OUTPUT_SUFFIX = "_hawkears"  # of the folder it writes to
@@ -494,11 +495,14 @@ def result_rows(scored: DataFrame) -> DataFrame:
     ).select(*JOB_RESULTS.names)
 
 
-def write_payload_json(scored: DataFrame, path: str) -> str:
-    """Payloads in their interchange shape, many per file, one folder per recording."""
+def write_payload_json(scored: DataFrame, path: str, per_file: int = PAYLOADS_PER_FILE) -> str:
+    """Payloads in their interchange shape, many per file, those of a recording side by side.
+
+    Recordings share files: their number follows the rows, not the recordings, of which there
+    may be millions. Each payload names its recording.
+    """
 
     rows = payload_rows(scored).select(
-        F.col("recording_id").alias("recording"),
         "chunk_id", "recording_id", "source_path", "status", "runner", "model_version", "detections",
         F.struct(
             F.col("chunk_start_ms").alias("start_ms"),
@@ -506,9 +510,10 @@ def write_payload_json(scored: DataFrame, path: str) -> str:
             F.col("chunk_sha256").alias("sha256"),
         ).alias("chunk"),
     )
-    # Windows of a recording meet in a few tasks, so a folder gets a few files, not one per task.
+    # Windows of a recording meet in a few tasks, however many it has.
     salt = F.pmod(F.xxhash64("chunk_id"), F.lit(FILES_PER_RECORDING))
-    rows.repartition("recording", salt).write.mode("append").partitionBy("recording").json(path)
+    ordered = rows.repartition("recording_id", salt).sortWithinPartitions("recording_id", "chunk_id")
+    ordered.write.mode("append").option("maxRecordsPerFile", per_file).json(path)
     return path
 
 

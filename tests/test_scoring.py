@@ -55,6 +55,17 @@ def test_scoring_outcomes(spark, tmp_path):
     assert again.count() == 5 and again.filter("label = 'L'").first().recording_id == "hot"
 
 
+def test_payload_files_follow_rows_not_recordings(spark, tmp_path):
+    many = spark.range(3000).selectExpr(
+        "concat('r', id) AS recording_id", "concat('c', id) AS chunk_id", "'/a.wav' AS source_path", "id AS start_ms",
+        "id + 1 AS end_ms", "0L AS overlap_ms", "cast(NULL AS string) AS sha256", "cast(NULL AS string) AS notes")
+    path = S.write_payload_json(S.score_windows(many, S.ScoreOptions(partitions=2)), f"{tmp_path}/json", per_file=1000)
+    files = [f for f in (tmp_path / "json").rglob("*.json")]
+    assert 3 <= len(files) <= 20 and all(len(f.read_text().splitlines()) <= 1000 for f in files)
+    rows = explode_detections(enrich_payloads(S.read_payload_lines(spark, path)))
+    assert rows.filter("substr(recording_id, 2) = substr(chunk_id, 2)").count() == 3000
+
+
 def test_retries_then_success(spark, tmp_path, monkeypatch):
     marks = str(tmp_path)
 

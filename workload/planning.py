@@ -253,7 +253,7 @@ def scored_totals(spark, sf_dir):
 
 
 def stub_payload_files(spark, sf_dir):
-    """The stub detector's payloads written to a folder per recording, read back and exploded."""
+    """The stub detector's payloads written many to a file by recording, read back and exploded."""
 
     options = ScoreOptions(windows_per_task=20_000)
     scored = materialise(score_windows(jobs(spark, sf_dir), options), "scored")
