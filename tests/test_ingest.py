@@ -236,3 +236,33 @@ def test_explode_keeps_payload_without_manifest(spark, tmp_path):
     manifest = put(tmp_path / "m.csv", HEADER + "rec,other,/s,1,2,0,s,\n")
     row = read_detections(spark, str(tmp_path / "in"), manifest).first()
     assert (row.recording_id, row.chunk_id, row.chunk_start_ms) == ("r", "zz", None)
+
+
+def test_small_files_are_dealt_over_tasks_by_their_number(spark, tmp_path):
+    from workload.proxies import write_files
+
+    files = spark.range(500).coalesce(1).selectExpr(
+        "cast(id AS string) AS chunk_id", f"concat('{tmp_path}/in/r', id % 3, '/', id, '.json') AS source_path",
+        "cast(concat('{\"chunk_id\": \"c', id, '\"}') AS binary) AS content")
+    assert write_files(files, per_task=25) == 20
+    assert read_detections(spark, str(tmp_path / "in")).select("chunk_id").distinct().count() == 500
+
+
+def test_payload_queries_write_from_many_tasks(spark, tmp_path, monkeypatch):
+    from workload import ingest as queries
+
+    shares = []
+
+    def counted(files, **options):
+        from workload.proxies import write_files
+
+        shares.append(write_files(files, per_task=10))
+        return shares[-1]
+
+    monkeypatch.setattr(queries, "write_files", counted)
+    spark.range(1, 101).selectExpr(
+        "id AS s_suppkey", "concat('S', id) AS s_name", "cast(id % 5 AS int) AS s_nationkey", "id - 50D AS s_acctbal"
+    ).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    assert queries.ingest_exports(spark, str(tmp_path)).count() == 100
+    assert queries.payload_file_scan(spark, str(tmp_path)).count() == 100
+    assert shares == [10, 10]

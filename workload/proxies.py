@@ -10,13 +10,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sonoledger.operators.audio import export_wav_files
+from sonoledger.operators.score import even_partitions
 from sonoledger.schemas import TELEMETRY
 
+# Creating a small file is a round trip, so a task gets no more of them however many there are.
+FILES_PER_TASK = 2000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def write_files(files: DataFrame, per_task: int = FILES_PER_TASK) -> int:
+    """Write ``content`` to ``source_path`` for every row; the tasks that did it.
+
+    The share of a task is set by the rows: left to their bytes, a table of small texts
+    is one task's work.
+    """
+
+    tasks = even_partitions(files, per_task)
+    export_wav_files(files.repartition(tasks)).write.format("noop").mode("overwrite").save()
+    return tasks
+
+
 # ---- detections ------------------------------------------------------------------------
 
 _MS = (
