@@ -266,3 +266,14 @@ def test_payload_queries_write_from_many_tasks(spark, tmp_path, monkeypatch):
     assert queries.ingest_exports(spark, str(tmp_path)).count() == 100
     assert queries.payload_file_scan(spark, str(tmp_path)).count() == 100
     assert shares == [10, 10]
+
+
+def test_folders_are_listed_many_to_a_task(spark, tmp_path):
+    for i in range(200):
+        put(tmp_path / "in" / f"r{i}" / "a.json", {"chunk_id": f"c{i}"})
+    tracker, key = spark.sparkContext.statusTracker(), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, held = set(tracker.getJobIdsForGroup()), spark.conf.get(key)
+    assert scan_payload_text(spark, str(tmp_path / "in")).count() == 200
+    stages = [s for j in set(tracker.getJobIdsForGroup()) - before for s in tracker.getJobInfo(j).stageIds]
+    assert max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) <= 50
+    assert spark.conf.get(key) == held
