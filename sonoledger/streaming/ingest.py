@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
+from sonoledger.operators.score import even_partitions
 from sonoledger.session import materialise
 from sonoledger.sources._scan import scan_path
 from sonoledger.sources.manifests import manifest_index, read_manifest
 from sonoledger.sources.payloads import parse_payloads
 from sonoledger.streaming.compact import read_batches
 
+_SUM_KEYS = ["bucket", "chunk_id", "chunk_start_ms"]
+# Rows that a task adds up: windows are many, so it may hold a sum for each.
+ROWS_PER_TASK = 500_000
+
 
 def payload_stream(
     spark: SparkSession, root: str, max_files: int | None = None
@@ -90,7 +95,8 @@ def start_timeline(
     width = f"{max(1, bucket_minutes)} minutes"
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        sums = batch.groupBy(F.window(event_time, width).alias("bucket"), "chunk_id", "chunk_start_ms").agg(
+        rows = batch.select(F.window(event_time, width).alias("bucket"), "chunk_id", "chunk_start_ms", "confidence")
+        sums = by_window(rows).groupBy(*_SUM_KEYS).agg(
             F.count("*").alias("n"), F.sum("confidence").alias("total"), F.count("confidence").alias("known")
         )
         sums.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
@@ -98,10 +104,20 @@ def start_timeline(
     return _start(detections, step, checkpoint, interval)
 
 
+def by_window(rows: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows of a bucket and window in one task, tasks of bounded length.
+
+    Dealt before they are added up: adding up first, in tasks cut by bytes, holds as many
+    sums as a file of well-packed rows has windows.
+    """
+
+    return rows.repartition(max(1, even_partitions(rows, per_task)), *_SUM_KEYS)
+
+
 def add_up(sums: DataFrame) -> DataFrame:
     """Sums of a timeline, one row per bucket and window; also a fold for :func:`compact.compact`."""
 
-    return sums.groupBy("bucket", "chunk_id", "chunk_start_ms").agg(
+    return by_window(sums).groupBy(*_SUM_KEYS).agg(
         F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("known").alias("known")
     )
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sonoledger.streaming import compact as C
-from sonoledger.streaming.ingest import add_up
+from sonoledger.streaming.ingest import add_up, by_window
 
 
 def batch(spark, out, n, rows=3):
@@ -97,3 +97,16 @@ def test_an_empty_folder_and_the_pointer(spark, tmp_path):
     C.compact(spark, f"file://{tmp_path}/t", keep=0)  # a path with a scheme
     held = json.loads((tmp_path / "t" / C.POINTER).read_text())
     assert held["upto"] == 1 and folders(tmp_path) == ["batch=2", held["generation"]]
+
+
+def test_sums_are_added_in_tasks_of_bounded_length(spark):
+    rows = spark.range(4000).coalesce(1).selectExpr(
+        "id % 4 AS bucket", "concat('w', id % 2000) AS chunk_id", "cast(NULL AS long) AS chunk_start_ms",
+        "1L AS n", "1D AS total", "1L AS known")
+    lengths = by_window(rows, per_task=100).rdd.glom().map(len).collect()
+    assert len(lengths) == 40 and max(lengths) <= 200
+    summed = add_up(rows)
+    assert summed.count() == 2000 and {r.n for r in summed.collect()} == {2}
+    # One exchange, before any adding up.
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("HashAggregate") < plan.index("Exchange hash")
