@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sonoledger.operators.ingest import enrich_payloads, explode_detections
 from sonoledger.operators.score import even_partitions
 from sonoledger.session import materialise
-from sonoledger.sources._scan import scan_path
+from sonoledger.sources._scan import LISTING_TASKS, listing_tasks, scan_path, set_for
 from sonoledger.sources.manifests import manifest_index, read_manifest
 from sonoledger.sources.payloads import parse_payloads
 from sonoledger.streaming.compact import read_batches
@@ -19,21 +19,27 @@ from sonoledger.streaming.compact import read_batches
 _SUM_KEYS = ["bucket", "chunk_id", "chunk_start_ms"]
 # Rows that a task adds up: windows are many, so it may hold a sum for each.
 ROWS_PER_TASK = 500_000
+# Names of waiting files that a stream keeps; the checkpoint holds those it has read anyway.
+WAITING_FILES = 1_000_000
 
 
 def payload_stream(
     spark: SparkSession, root: str, max_files: int | None = None
 ) -> DataFrame:
-    """New ``*.json`` payload files below ``root`` as ``(file_path, value)``."""
+    """New ``*.json`` payload files below ``root`` as ``(file_path, value)``.
+
+    Files that wait are remembered, so a backlog is not listed anew every few batches. Set
+    ``LISTING_TASKS`` in a session that streams many small files: each batch lists its own.
+    """
 
     reader = spark.readStream.option("recursiveFileLookup", "true").option(
         "pathGlobFilter", "*.json"
-    )
+    ).option("maxCachedFiles", WAITING_FILES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(root, wholetext=True).select(
-        scan_path().alias("file_path"), F.col("value")
-    )
+    with set_for(spark, LISTING_TASKS, listing_tasks(spark)):
+        files = reader.text(root, wholetext=True)
+    return files.select(scan_path().alias("file_path"), F.col("value"))
 
 
 def start_ingest(
@@ -46,8 +52,9 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append the detections of new payload files to a Parquet table.
 
-    A manifest given as a path is read anew for every micro-batch, so windows planned
-    after the start are known; one given as a table is fixed at the start.
+    A manifest given as a path is read anew for a micro-batch when its files have changed,
+    so windows planned after the start are known; one given as a table is fixed at the start.
+    A batch is joined with the manifest's rows of its own windows only.
 
     The checkpoint remembers which files were read, and each micro-batch owns one
     folder of the table that a repeated run overwrites: every file's rows appear
@@ -58,15 +65,38 @@ def start_ingest(
 
     # A fixed table is reduced once at the start rather than in every micro-batch.
     fixed = materialise(manifest_index(manifest), "manifest") if isinstance(manifest, DataFrame) else None
+    held: dict[str, object] = {}
+
+    def index_of(spark: SparkSession) -> DataFrame | None:
+        if not isinstance(manifest, str):
+            return fixed
+        state = _files_of(spark, manifest)
+        if held.get("state") != state:
+            held.update(state=state, index=materialise(manifest_index(read_manifest(spark, manifest)), "manifest"))
+        return held["index"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        index = read_manifest(batch.sparkSession, manifest) if isinstance(manifest, str) else fixed
-        rows = explode_detections(enrich_payloads(parse_payloads(batch), index, dataset_roots))
+        index, payloads = index_of(batch.sparkSession), parse_payloads(batch)
+        if index is not None:
+            payloads = payloads.persist()
+            index = index.join(payloads.select("chunk_id"), "chunk_id", "left_semi")
+        rows = explode_detections(enrich_payloads(payloads, index, dataset_roots))
         rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
+        if index is not None:
+            payloads.unpersist()
 
     return _start(files, step, checkpoint, interval)
 
 
+def _files_of(spark: SparkSession, path: str) -> tuple:
+    """What tells one state of some files from another, without reading them."""
+
+    with set_for(spark, LISTING_TASKS, listing_tasks(spark)):
+        files = spark.read.format("binaryFile").load(path)
+    mark = F.xxhash64("path", "modificationTime", "length")
+    return tuple(files.agg(F.count("*"), F.bit_xor(mark), F.max("modificationTime")).first())
+
+
 def _start(
     rows: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None
 ) -> StreamingQuery:

@@ -277,3 +277,24 @@ def test_folders_are_listed_many_to_a_task(spark, tmp_path):
     stages = [s for j in set(tracker.getJobIdsForGroup()) - before for s in tracker.getJobInfo(j).stageIds]
     assert max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) <= 50
     assert spark.conf.get(key) == held
+
+
+def test_a_manifest_is_read_again_only_when_its_files_change(spark, tmp_path, monkeypatch):
+    from sonoledger.streaming import ingest as live
+
+    reads = []
+    monkeypatch.setattr(live, "read_manifest", lambda s, path: reads.append(path) or read_manifest(s, path))
+    listed, out = tmp_path / "m", str(tmp_path / "out")
+    put(listed / "a.csv", HEADER + "".join(f"rec,c{i},/s,{i},2,0,s,\n" for i in range(4)))
+    for i in range(4):
+        put(tmp_path / "in" / f"c{i}.json", {"chunk_id": f"c{i}"})
+
+    def run():
+        files = live.payload_stream(spark, str(tmp_path / "in"), 1)
+        live.start_ingest(files, out, str(tmp_path / "cp"), str(listed)).awaitTermination()
+        return rows(spark.read.parquet(out), "chunk_id", "recording_id", "chunk_start_ms")
+
+    assert run() == [(f"c{i}", "rec", i) for i in range(4)] and len(reads) == 1
+    put(listed / "b.csv", HEADER + "rec,c9,/s,9,2,0,s,\n")
+    put(tmp_path / "in" / "c9.json", {"chunk_id": "c9"})
+    assert run()[-1] == ("c9", "rec", 9) and len(reads) == 2
