@@ -201,26 +201,28 @@ def detections_with_labels(
 
     direct = explode_detections(enriched.filter(~_needs_labels()))
     place = F.regexp_replace(_label_place(label_base, home), "/+", "/")
-    # Folders and names are worked out once; every branch below reads them.
-    named = materialise(
-        window_names(enriched.filter(_needs_labels()).withColumn("label_dir", place)).drop("detections"), "named-windows"
-    )
+    # Folders and names are worked out once; every branch below reads them. A payload goes by a
+    # number, which is shorter than its path wherever rows are shuffled.
+    pending = enriched.filter(_needs_labels()).withColumn("label_dir", place).withColumn("payload", F.monotonically_increasing_id())
+    named = materialise(window_names(pending).drop("detections"), "named-windows", "zstd")
     blank = F.col("file_name").isin("", ANY_NAME)
     keys = ["label_dir", "file_name"]
-    # Rows once more under the name that stands for all, in folders where a payload has it.
-    nameless = named.filter(F.col("file_name") == ANY_NAME).select("label_dir").distinct()
-    rows = labels.select(*keys, F.struct(*_LABEL_FIELDS).alias("det"))
+    # Rows once more under the name that stands for all, in folders where a payload has it. These
+    # are written first: a join with few of them, or none, then needs no shuffle of all label rows.
+    nameless = materialise(named.filter(F.col("file_name") == ANY_NAME).select("label_dir").distinct(), "nameless")
+    rows = labels.select(*keys, *_LABEL_FIELDS)
     every = rows.unionByName(rows.join(nameless, "label_dir", "left_semi").withColumn("file_name", F.lit(ANY_NAME)))
-    salt = F.when(blank, F.pmod(F.xxhash64("file_path"), F.lit(BLANK_SALTS))).otherwise(0).cast("int")
+    salt = F.when(blank, F.pmod(F.xxhash64("payload"), F.lit(BLANK_SALTS))).otherwise(0).cast("int")
     salts = F.sequence(F.lit(0), F.when(blank, BLANK_SALTS - 1).otherwise(0))
     hits = named.withColumn("salt", salt).join(every.withColumn("salt", F.explode(salts)), [*keys, "salt"])
+    hits = hits.withColumn("det", F.struct(*_LABEL_FIELDS))
     # Keys only: a payload's names beside the names there are. Each payload has one blank name.
-    known = rows.select(*keys).unionByName(rows.select("label_dir", F.lit(ANY_NAME).alias("file_name"))).distinct()
-    served = named.select("file_path", *keys).join(known, keys, "left_semi").select("file_path").distinct()
+    known = every.select(*keys).distinct()
+    served = named.select("payload", *keys).join(known, keys, "left_semi").select("payload").distinct()
     there = label_dirs.select("label_dir").distinct().withColumn("has_file", F.lit(True))
-    empty = named.filter(blank).join(served, "file_path", "left_anti").join(there, "label_dir", "left")
+    empty = named.filter(blank).join(served, "payload", "left_anti").join(there, "label_dir", "left")
     without = F.when(F.col("has_file"), F.lit(STATUS_NO_ROWS)).otherwise(F.lit(STATUS_NO_FILE))
-    none = empty.withColumn("det", F.lit(None).cast(rows.schema["det"].dataType))
+    none = empty.withColumn("det", F.lit(None).cast(hits.schema["det"].dataType))
     return direct.unionByName(_canonical(hits, F.lit(STATUS_WITH_DETECTIONS))).unionByName(_canonical(none, without))
 
 
@@ -248,14 +250,14 @@ def read_detections(
 
     table = read_manifest(spark, manifest) if isinstance(manifest, str) else manifest
     enriched = enrich_payloads(read_payloads(spark, root, raw_output_key), table, dataset_roots)
-    enriched = materialise(enriched, "payloads")
+    enriched = materialise(enriched, "payloads", "zstd")
     if dataset_roots is None and find_roots:
         found = attach_dataset_root(enriched, find_dataset_roots(enriched, "chunk_source"), "chunk_source", "found_root")
         enriched = found.withColumn("dataset_root", F.coalesce("dataset_root", "found_root")).drop("found_root")
     if label_root is None:
         home = _home(root)
         folders = enriched.filter(_needs_labels()).select(_label_place(label_base, home).alias("label_dir"))
-        lines = materialise(fetch_labels(folders, label_file), "label-lines")
+        lines = materialise(fetch_labels(folders, label_file), "label-lines", "zstd")
         place = tidy_path("label_dir")
         labels = normalise_labels(lines.filter("is_line"), place)
         return detections_with_labels(

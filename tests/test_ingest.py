@@ -306,3 +306,30 @@ def test_a_manifest_is_read_again_only_when_its_files_change(spark, tmp_path, mo
     put(listed / "b.csv", HEADER + "rec,c9,/s,9,2,0,s,\n")
     put(tmp_path / "in" / "c9.json", {"chunk_id": "c9"})
     assert run()[-1] == ("c9", "rec", 9) and len(reads) == 2
+
+
+def test_label_rows_are_shuffled_once(spark):
+    """Where no window is nameless, a second pass over all label rows moves none of them."""
+
+    empty = "cast(NULL AS array<struct<timestamp_ms bigint, end_ms bigint, label string, label_code string," \
+        " label_name string, confidence double>>)"
+    payloads = spark.range(300).selectExpr(
+        "'/in/same.json' AS file_path", "concat('w', id) AS chunk_id", "'r' AS recording_id", "'p' AS parent_dir",
+        "concat('/a/w', id, '.wav') AS source_path", "cast(NULL AS string) AS status", "'x' AS runner",
+        "cast(NULL AS string) AS dataset_root", "cast(NULL AS string) AS model_version", "0L AS chunk_start_ms",
+        "1L AS chunk_end_ms", "cast(NULL AS string) AS chunk_sha256", "concat('/d', id div 4) AS label_dir",
+        f"{empty} AS detections")
+    labels = spark.range(200).selectExpr(
+        "concat('/d', id div 4) AS label_dir", "concat('w', id, '.wav') AS file_name", "id AS timestamp_ms",
+        "0L AS end_ms", "'L' AS label", "'c' AS label_code", "'n' AS label_name", "0.5D AS confidence")
+    held = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = detections_with_labels(enrich_payloads(payloads), labels, labels.select("label_dir"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(label_dir" in x and "file_name" not in x
+                    and "timestamp_ms" in x] and "BroadcastHashJoin [label_dir" in plan
+        # Payloads of one path are told apart: those without a row keep their placeholder.
+        assert sorted((r.label, r["count"]) for r in found.groupBy("label").count().collect()) == [("L", 200), ("none", 100)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", held)
