@@ -19,10 +19,13 @@ lower-cased. They are told apart by 64-bit hashes. The score of a document sums
 ``w * impact`` over the query's distinct terms, with ``w = floor(1000 ln((2N + 2) / (2df + 1)))``,
 ``m = 10 + (90 n N) div L``, N the documents with a term, L all their terms, n the document's.
 
-Two passes over the texts: N and L first, then the index, which is a written table of one row per
-block with its arrays compressed. Document frequencies are sums over blocks. Queries are cut into groups by their number,
-blocks meet every group, and each meeting gives k documents a query at most. Up to ``SENT_PAIRS``
-query terms go to the blocks where they lie; more are joined with them by group and lane.
+Two passes over the texts. Up to ``SENT_PAIRS`` query terms go to all tasks: the first pass counts N, L
+and the documents of each term, in the second a task makes one block after the other and searches it
+at once, so that no more than a block is held and the JVM moves texts only. More query terms meet a
+written index: the first pass counts N and L, the second writes a row per block with its arrays
+compressed, a row group each, as rows are megabytes and readers and writers hold row groups whole.
+Document frequencies are sums over its blocks; queries are cut into groups by their number and joined
+with the blocks by group and lane. Each meeting gives k documents a query at most.
 
 Cases: null and empty texts have no terms and are never found; queries without terms find
 nothing; repeated rows of documents or queries count and are ranked each; ids may be null (a null
@@ -50,27 +53,44 @@ GROUP_ITEMS = 512  # queries that are searched together
 WAVE = 16  # ranges of a query opened at once
 TOGETHER = 32  # queries whose ranges are open at once in a task
 SENT_PAIRS = 200_000  # (query, term) pairs, counted first, that are sent to all tasks: some 5 MB
+# A writer or reader of the index holds one block, whatever a task holds; its arrays are compressed already.
+INDEX_FILES = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false"}
 
 INDEX_SCHEMA = (
     "block long, ids array<long>, terms binary, row_of binary, doc_counts binary,"
     " masks binary, maxima binary, levels array<int>"
 )
+FOUND_SCHEMA = "query long, doc_id long, score long"
 
 
 def corpus_size(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
     """(N, L): documents with at least one term, all their terms."""
 
+    return corpus_counts(docs, np.zeros(0, np.uint64), text_col)[:2]
+
+
+def corpus_counts(docs: DataFrame, known: np.ndarray, text_col: str = "text") -> tuple[int, int, np.ndarray]:
+    """(N, L, documents that hold each of the terms ``known``, which are sorted and distinct)."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, found, terms = Hasher(), 0, 0
+        hasher, sums = Hasher(), np.zeros(len(known) + 2, np.int64)
         for batch in batches:
             for _, data, offsets in slices(batch.column(0)):
-                n = np.bincount(words_of(data, offsets, hasher).doc, minlength=len(offsets) - 1)
-                found, terms = found + int((n > 0).sum()), terms + int(n.sum())
-        yield pa.RecordBatch.from_pydict({"found": [found], "terms": [terms]})
-
-    sums = docs.select(F.col(text_col)).mapInArrow(work, "found long, terms long").agg(F.sum("found"), F.sum("terms"))
-    found, terms = sums.first()
-    return found or 0, terms or 0
+                words, rows = words_of(data, offsets, hasher), len(offsets) - 1
+                n = np.bincount(words.doc, minlength=rows)
+                sums[-2:] += (n > 0).sum(), n.sum()
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, words.hash), len(known) - 1)
+                    asked = known[place] == words.hash
+                    held = np.unique(place[asked] * rows + words.doc[asked]) // rows
+                    sums[:-2] += np.bincount(held, minlength=len(known))
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_pydict({"place": some, "n": sums[some]})
+
+    counted = docs.select(F.col(text_col)).mapInArrow(work, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    counted, sums = counted.toArrow(), np.zeros(len(known) + 2, np.int64)
+    sums[counted["place"].to_numpy()] = counted["n"].to_numpy()
+    return int(sums[-2]), int(sums[-1]), sums[:-2]
 
 
 def _postings(column: pa.Array, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -162,7 +182,7 @@ def _spread(x: np.ndarray) -> np.ndarray:
 
 
 def _block(ids: pa.Array, texts: pa.Array, found: int, terms: int, hasher: Hasher) -> dict | None:
-    """The index row of some documents; None if they have no terms."""
+    """Ids and arrays of some documents; None if they have no terms."""
 
     order = pc.sort_indices(ids, null_placement="at_end")
     ids, texts = ids.take(order), texts.take(order)
@@ -175,9 +195,8 @@ def _block(ids: pa.Array, texts: pa.Array, found: int, terms: int, hasher: Hashe
     rank[np.argsort(held, kind="stable")] = np.arange(len(known))
     masks, maxima, levels = Treap.build(rank[place], row, impacts(tf.astype(np.int64), m[row]))
     return {
-        "ids": ids, "terms": _packed(known), "row_of": _packed(rank.astype(np.int32)),
-        "doc_counts": _packed(held.astype(np.int32)), "masks": _packed(masks), "maxima": _packed(maxima),
-        "levels": levels,
+        "ids": ids.to_pylist(), "terms": known, "row_of": rank.astype(np.int32), "doc_counts": held.astype(np.int32),
+        "masks": masks, "maxima": maxima, "levels": levels,
     }
 
 
@@ -194,13 +213,15 @@ def build_index(
             made = _block(ids, texts, found, terms, hasher)
             if made:
                 yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([0], pa.int64()), "ids": pa.array([made["ids"].to_pylist()], pa.list_(pa.int64())),
-                    **{k: pa.array([made[k]], pa.binary()) for k in ("terms", "row_of", "doc_counts", "masks", "maxima")},
+                    "block": pa.array([0], pa.int64()), "ids": pa.array([made["ids"]], pa.list_(pa.int64())),
+                    **{k: pa.array([_packed(made[k])], pa.binary()) for k in ("terms", "row_of", "doc_counts", "masks", "maxima")},
                     "levels": pa.array([made["levels"]], pa.list_(pa.int32())),
                 })
 
     blocks = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(work, INDEX_SCHEMA)
-    return materialise(blocks.withColumn("block", F.monotonically_increasing_id()), "search-index")
+    return materialise(
+        blocks.withColumn("block", F.monotonically_increasing_id()), "search-index", "uncompressed", INDEX_FILES
+    )
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
@@ -272,20 +293,27 @@ def term_weights(index: DataFrame, asked: DataFrame, found: int) -> DataFrame:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ratio = (2.0 * found + 2.0) / (2.0 * batch["df"] + 1.0)
-            yield pd.DataFrame({"term": batch["term"], "w": np.floor(1000 * np.log(ratio)).astype(np.int64)})
+            yield pd.DataFrame({"term": batch["term"], "w": _weights(batch["df"].to_numpy(), found)})
 
     return df.mapInPandas(work, "term long, w long")
 
 
+def _weights(df: np.ndarray, found: int) -> np.ndarray:
+    return np.floor(1000 * np.log((2.0 * found + 2.0) / (2.0 * df + 1.0))).astype(np.int64)
+
+
 class Search:
     """Best-first search of one block for some queries at once."""
 
     def __init__(self, block: dict) -> None:
-        self.terms, self.row_of = _unpacked(block["terms"], np.uint64), _unpacked(block["row_of"], np.int32)
-        self.treap = Treap(
-            _unpacked(block["masks"], np.uint8), _unpacked(block["maxima"], np.uint32), np.asarray(block["levels"])
-        )
+        """``block``: of :func:`_block`, or with its arrays packed, as a row of the index."""
+
+        def array(name: str, kind) -> np.ndarray:
+            held = block[name]
+            return held if isinstance(held, np.ndarray) else _unpacked(held, kind)
+
+        self.terms, self.row_of = array("terms", np.uint64), array("row_of", np.int32)
+        self.treap = Treap(array("masks", np.uint8), array("maxima", np.uint32), np.asarray(block["levels"]))
         self.null_id = np.array([i is None for i in block["ids"]], bool)
         self.ids = np.array([i or 0 for i in block["ids"]], np.int64)
 
@@ -368,6 +396,20 @@ class Search:
             {c: np.concatenate([h[c] for h in half_pairs]) for c in half_pairs[0]},
         )
 
+    def found(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+        """(query, doc_id, score) of :meth:`best`, for ``TOGETHER`` queries at a time. ``query`` is sorted."""
+
+        number, start = np.unique(query, return_index=True)
+        start = np.r_[start, len(query)]
+        for first in range(0, len(number), TOGETHER):
+            last = min(first + TOGETHER, len(number))
+            mine = slice(start[first], start[last])
+            local = np.searchsorted(number[first:last], query[mine])
+            which, column, score = self.best(local, term[mine], weight[mine], k)
+            yield pa.RecordBatch.from_pydict({
+                "query": number[which + first], "doc_id": pa.array(self.ids[column], mask=self.null_id[column]), "score": score,
+            })
+
     @staticmethod
     def _raise(top: np.ndarray, edge: np.ndarray, held: tuple, k: int) -> None:
         """``held`` is in order of query and rank."""
@@ -406,13 +448,39 @@ def _best_rows(query: np.ndarray, column: np.ndarray, score: np.ndarray, k: int)
 
 def ranked_search(
     docs: DataFrame, queries: DataFrame, k: int = BEST, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", query_text_col: str = "text",
+    item_col: str = "item_id", query_text_col: str = "text", sent_pairs: int = SENT_PAIRS,
 ) -> DataFrame:
     """(item_id, rank, doc_id, score) of the ``k`` best documents of every query with a score above 0."""
 
-    size = corpus_size(docs, text_col)
     asked = query_terms(queries, item_col, query_text_col)
-    return search_index(build_index(docs, id_col, text_col, size), asked, size[0], k)
+    if asked.count() <= sent_pairs:
+        return search_blocks(docs, asked, k, id_col, text_col)
+    size = corpus_size(docs, text_col)
+    return search_index(build_index(docs, id_col, text_col, size), asked, size[0], k, sent_pairs=sent_pairs)
+
+
+def search_blocks(
+    docs: DataFrame, asked: DataFrame, k: int = BEST, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """:func:`ranked_search` for few :func:`query_terms`: blocks are searched by the task that makes them."""
+
+    pairs = asked.select("query", "term").toArrow()
+    order = np.argsort(pairs["query"].to_numpy(), kind="stable")
+    query, term = pairs["query"].to_numpy()[order], pairs["term"].to_numpy()[order].view(np.uint64)
+    known, place = np.unique(term, return_inverse=True)
+    found, terms, df = corpus_counts(docs, known, text_col)
+    weight = _weights(df, found)[place]
+    held = df[place] > 0
+    query, term, weight = query[held], term[held], weight[held]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for ids, texts in _gathered(batches):
+            made = _block(ids, texts, found, terms, hasher)
+            if made:
+                yield from Search(made).found(query, term, weight, k)
+
+    return _ranked(docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(work, FOUND_SCHEMA), asked, k)
 
 
 def search_index(
@@ -445,20 +513,18 @@ def search_index(
                 block = {c: batch.column(batch.schema.get_field_index(c))[at].as_py()
                          for c in ("ids", "terms", "row_of", "masks", "maxima", "levels")}
                 pairs = batch.column(batch.schema.get_field_index("asked"))[at].values
-                number, local = np.unique(pairs.field("query").to_numpy(), return_inverse=True)
+                query = pairs.field("query").to_numpy()
+                order = np.argsort(query, kind="stable")
                 term, weight = pairs.field("term").to_numpy().view(np.uint64), pairs.field("w").to_numpy()
-                search = Search(block)
-                for first in range(0, len(number), TOGETHER):
-                    mine = (local >= first) & (local < first + TOGETHER)
-                    query, column, score = search.best(local[mine] - first, term[mine], weight[mine], k)
-                    yield pa.RecordBatch.from_pydict({
-                        "query": number[query + first], "score": score,
-                        "doc_id": pa.array(search.ids[column], mask=search.null_id[column]),
-                    }).select(["query", "doc_id", "score"])
-
-    best = met.select("ids", "terms", "row_of", "masks", "maxima", "levels", "asked").mapInArrow(
-        work, "query long, doc_id long, score long"
-    )
+                yield from Search(block).found(query[order], term[order], weight[order], k)
+
+    best = met.select("ids", "terms", "row_of", "masks", "maxima", "levels", "asked").mapInArrow(work, FOUND_SCHEMA)
+    return _ranked(best, asked, k)
+
+
+def _ranked(best: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of what the blocks gave, by item."""
+
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
     ranked = best.withColumn("rank", rank).filter(F.col("rank") <= k)
     names = asked.groupBy("query").agg(F.first("item_id").alias("item_id"))

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 
 from sonoledger.llm import ranked_search
 from sonoledger.llm.ranked_search import Search, Treap, build_index, corpus_size, query_terms, search_index
@@ -132,3 +133,43 @@ def test_copies_stay_closed(spark, make_docs):
     term = ranked_search._postings(pa.array(["words"]), hasher)[2]
     query, column, score = search.best(np.zeros(1, np.int64), term, np.array([7]), 10)
     assert search.ids[column].tolist() == list(range(4001, 4011)) and search.opened < 200
+
+
+def test_counts_of_asked_terms(make_docs):
+    hasher = ranked_search.Hasher()
+    words = ["ab", "b", "zz", "ä"]
+    known = np.array([ranked_search._postings(pa.array([w]), hasher)[2][0] for w in words])
+    order = np.argsort(known)
+    docs = make_docs(["ab AB b", None, "", "b b ä", "...", "ab", "c"] * 3).repartition(4)
+    found, total, held = ranked_search.corpus_counts(docs, known[order])
+    assert (found, total) == corpus_size(docs) == (12, 24)
+    assert dict(zip(np.array(words)[order].tolist(), held.tolist())) == {"ab": 6, "b": 6, "zz": 0, "ä": 3}
+    assert ranked_search.corpus_counts(docs.limit(0), known[order])[2].tolist() == [0] * 4
+
+
+def test_few_terms_are_searched_where_blocks_are_made(spark, make_docs, monkeypatch):
+    """No index goes through the JVM, whose rows of megabytes filled executors; many terms meet a written one."""
+
+    monkeypatch.setattr(ranked_search, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(ranked_search, "TOGETHER", 3)
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i % 90, " ".join(rng.choice(words, rng.integers(0, 20)))) for i in range(150)]
+    rows += [(None, "w1 w2"), (7, None), (400, "w3 " * 3000)] + [(300 - i, "w5 same w6") for i in range(60)]
+    items = [(i // 2, " ".join(rng.choice(words, 5))) for i in range(20)] + [(None, "same none"), (77, "nowhere"), (78, None)]
+    docs = make_docs(rows).repartition(2)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    want = plain(rows, items)
+    assert got(ranked_search.ranked_search(docs, asked, sent_pairs=0)) == want
+    monkeypatch.setattr(ranked_search, "build_index", None)
+    assert got(ranked_search.ranked_search(docs, asked)) == want
+
+
+def test_index_files_hold_a_block_a_row_group(make_docs, monkeypatch):
+    """Writers and readers hold a row group whole, so one of all blocks of a task grows with its input."""
+
+    monkeypatch.setattr(ranked_search, "BLOCK_ROWS", 8)
+    index = build_index(make_docs([f"a{i} b" for i in range(200)]).coalesce(1))
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert groups == [1] * index.count() and len(groups) > 10
